@@ -1,13 +1,18 @@
-"""Small dictionaries as literals: lookups that need neither a join nor a shuffle."""
+"""Small dictionaries as literals, and other helpers for lookups inside a row."""
 
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, functions as F
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Evaluate `value` once per row for a body that uses it several times, for example inside a lambda."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def literal_map(entries: Mapping[str, object], value_type: str) -> Column:
     """A map literal; Catalyst folds the parsing away when it plans the query."""
     return F.from_json(F.lit(json.dumps(entries, ensure_ascii=False)), f"map<string,{value_type}>")

@@ -12,12 +12,16 @@ FIRST_SYLLABLE = 0xAC00
 TAIL_SLOTS = len(TAILS) + 1
 LEAD_SLOTS = len(VOWELS) * TAIL_SLOTS
 
-_TAIL_ONLY = "".join(letter for letter in TAILS if letter not in LEADS)
-_TAIL_OR_LEAD = "".join(letter for letter in TAILS if letter in LEADS)
+# Single letters are ㄱ-ㅎ (with the clusters below, which close a syllable only) and ㅏ-ㅣ.
+_CLUSTERS = "ㄳㄵㄶㄺ-ㅀㅄ"
+_LEADS_ONLY = "ㄸㅃㅉ"
 # A letter that could also open the next syllable is a tail only if no vowel follows it.
 _UNIT = (
-    rf"(?s)[{LEADS}][{VOWELS}](?:[{_TAIL_ONLY}]|[{_TAIL_OR_LEAD}](?![{VOWELS}]))?|."
+    rf"[ㄱ-ㅎ](?=[ㅏ-ㅣ])(?<![{_CLUSTERS}])[ㅏ-ㅣ]"
+    rf"(?:[ㄱ-ㅎ](?<![{_LEADS_ONLY}])(?:(?![ㅏ-ㅣ])|(?<=[{_CLUSTERS}])))?|."
 )
+_RUN = r"[가-힣ㄱ-ㅣ]+|[^가-힣ㄱ-ㅣ]+"
+_HAS_LETTER = "[ㄱ-ㅣ]"
 
 
 def _letter(letters: str, index: Column) -> Column:
@@ -45,12 +49,17 @@ def _compose(unit: Column) -> Column:
     return F.when(F.char_length(unit) > 1, F.decode(F.unhex(F.hex(code)), "UTF-16BE")).otherwise(unit)
 
 
+def _recompose(run: Column) -> Column:
+    letters = F.array_join(F.transform(F.split(run, ""), _decompose), "")
+    return F.array_join(F.transform(F.regexp_extract_all(letters, F.lit(_UNIT), F.lit(0)), _compose), "")
+
+
 def compose_jamo(text: Column) -> Column:
     """Take every syllable apart into letters, then put the letters together again.
 
-    Text without single letters comes back unchanged, so only text that holds some is worked on.
+    Letters only combine within a run of Hangul, and a run without single letters comes back unchanged. So
+    only runs that hold some are worked on.
     """
-    letters = F.array_join(F.transform(F.split(text, ""), _decompose), "")
-    units = F.regexp_extract_all(letters, F.lit(_UNIT), F.lit(0))
-    composed = F.array_join(F.transform(units, _compose), "")
-    return F.when(text.rlike("[ㄱ-ㅎㅏ-ㅣ]"), composed).otherwise(text)
+    runs = F.regexp_extract_all(text, F.lit(_RUN), F.lit(0))
+    fixed = F.transform(runs, lambda run: F.when(run.rlike(_HAS_LETTER), _recompose(run)).otherwise(run))
+    return F.when(text.rlike(_HAS_LETTER), F.array_join(fixed, "")).otherwise(text)

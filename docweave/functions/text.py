@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, functions as F
 
 from docweave.functions import tags
@@ -9,17 +11,31 @@ from docweave.functions.tags import KOREAN, Letters
 
 # Unicode white space, spelled out because Java's \s covers ASCII only.
 BLANK = r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+BLANKS = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 TOKEN = r"[\p{L}\p{N}]+"
 NOT_TOKEN = r"[^\p{L}\p{N}]+"
 
 
 def strip(text: Column) -> Column:
     """Drop Unicode white space at both ends."""
-    return F.regexp_replace(text, rf"^[{BLANK}]+|[{BLANK}]+\z", "")
+    return F.btrim(text, F.lit(BLANKS))
 
 
 def is_blank(text: Column) -> Column:
-    return ~text.rlike(rf"[^{BLANK}]")
+    return strip(text) == ""
+
+
+def outside(body: str) -> str:
+    """A pattern for one character that is not in the class `[body]`; `body` holds plain characters and ranges.
+
+    Java tests the ranges of a class one by one, which is slow for long classes. Characters below 256 are
+    listed singly, so that one table look-up answers for them, and each other range is tested on its own.
+    """
+    ends = re.findall(r"(.)-(.)|(.)", body, re.DOTALL)
+    ranges = [(ord(a or c), ord(b or c)) for a, b, c in ends]
+    low = "".join(f"\\x{code:02x}" for a, b in ranges for code in range(a, min(b, 255) + 1))
+    high = "".join(f"(?![\\x{{{max(a, 256):x}}}-\\x{{{b:x}}}])" for a, b in ranges if b > 255)
+    return rf"(?:[\x00-\xff&&[^{low}]]|{high}[\x{{100}}-\x{{10ffff}}])"
 
 
 def without_line_breaks(text: Column) -> Column:
@@ -42,7 +58,7 @@ def blank_punctuation(text: Column) -> Column:
 
 def keep_letters(text: Column, letters: Letters = KOREAN) -> Column:
     """Keep letters, digits and white space, then drop line breaks and outer blanks."""
-    kept = F.regexp_replace(text, f"[^{letters.kept}{BLANK}]", "")
+    kept = F.regexp_replace(text, outside(letters.kept + BLANKS), "")
     return strip(without_line_breaks(kept))
 
 
@@ -86,7 +102,7 @@ def close_words(fragment: Column, letters: Letters = KOREAN) -> Column:
     """
     mark = f"<em>[{letters.highlighted}{BLANK}]*</em>[{letters.highlighted}]*"
     rest = F.split(fragment, mark, -1)
-    words = F.flatten(F.transform(rest, lambda part: F.split(part, f"[^{letters.word}]", -1)))
+    words = F.flatten(F.transform(rest, lambda part: F.split(part, outside(letters.word), -1)))
     return F.filter(words, lambda word: word != "")
 
 

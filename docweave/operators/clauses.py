@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from docweave.functions import tags, text as T
+from docweave.functions.dictionary import let
 from docweave.functions.hangul import compose_jamo
 from docweave.operators.lookup import best_match, category_dictionary, emotion_dictionary, exact_lookup
 
@@ -19,25 +20,29 @@ def split_sentences(
     docs: DataFrame, keys: Sequence[str], text_col: str, sentence_end: str = tags.SENTENCE_END
 ) -> DataFrame:
     """One row per sentence that is not blank; `sentence_idx` counts blank ones too."""
-    pieces = T.sentences(F.col(text_col), sentence_end)
-    return (
-        docs.select(*keys, F.posexplode(pieces).alias("sentence_idx", "_sentence"))
-        .where(~T.is_blank(F.col("_sentence")))
-        .select(*keys, "sentence_idx", T.strip(F.col("_sentence")).alias("sentence"))
-    )
+    pieces = F.transform(T.sentences(F.col(text_col), sentence_end), T.strip)
+    return docs.select(*keys, F.posexplode(pieces).alias("sentence_idx", "sentence")).where(F.col("sentence") != "")
 
 
 def split_clauses(tagged: DataFrame, text_col: str = "sentence", kma_col: str = "sentence_kma") -> DataFrame:
     """One row per clause: the tagged text is split after every connective ending."""
     others = [name for name in tagged.columns if name != kma_col]
-    parts = F.split(F.col(kma_col), tags.CLAUSE_MARK, -1)
-    whole = T.blank_punctuation(F.col(text_col))
-    part = T.strip(compose_jamo(T.strip_tags(F.col("clause_kma"))))
+
+    def with_text(parts: Column) -> Column:
+        whole = T.blank_punctuation(F.col(text_col))
+        return F.transform(
+            parts,
+            lambda part: F.struct(
+                part.alias("clause_kma"),
+                F.when(F.size(parts) == 1, whole).otherwise(T.strip(compose_jamo(T.strip_tags(part)))).alias("clause"),
+            ),
+        )
+
+    clauses = let(F.split(F.col(kma_col), tags.CLAUSE_MARK, -1), with_text)
     return (
-        tagged.select(*others, F.size(parts).alias("_n"), F.posexplode(parts).alias("clause_idx", "clause_kma"))
-        .withColumn("clause", F.when(F.col("_n") == 1, whole).otherwise(part))
-        .where(F.col("clause") != "")
-        .drop("_n")
+        tagged.select(*others, F.posexplode(clauses).alias("clause_idx", "_clause"))
+        .where(F.col("_clause.clause") != "")
+        .select(*others, "clause_idx", "_clause.*")
     )
 
 
@@ -102,8 +107,10 @@ def analysed_clauses(tagged: DataFrame, verb_dict: DataFrame, verb_part: str = "
 def clause_sentiments(tagged: DataFrame, verb_dict: DataFrame, verb_part: str = "as_written") -> DataFrame:
     """One label per clause. Subjects share the verb's sentiment, so no grouping is needed."""
     clauses = analysed_clauses(tagged, verb_dict, verb_part)
-    labels = F.transform("subjects", lambda _: F.col("sentiment"))
-    return clauses.withColumn("clause_sentiment", clause_label(labels))
+    shared = F.array(F.col("sentiment"))
+    return clauses.withColumn(
+        "clause_sentiment", F.when(F.size("subjects") > 0, let(shared, clause_label)).otherwise(tags.NEUTRAL)
+    )
 
 
 def extract_attributes(

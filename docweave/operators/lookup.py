@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from docweave.bounds import PLAN_ROWS, broadcast_if_small, rows_if_small
-from docweave.functions.dictionary import lookup
+from docweave.functions.dictionary import let, lookup
 from docweave.functions.text import tokens
 
 POSTING = "array<struct<key:string,value:string>>"
@@ -58,15 +58,19 @@ def _postings(dictionary: DataFrame) -> DataFrame:
 def _best_in_row(text: Column, postings: dict[str, list[dict]]) -> Column:
     known = F.filter(F.array_distinct(tokens(text)), lambda token: token.isin(list(postings)))
     none = F.array().cast(POSTING)
-    hits = F.flatten(F.transform(known, lambda token: lookup(token, postings, POSTING, none)))
-    ranked = F.transform(
-        F.array_distinct(hits),
-        lambda hit: F.struct(
-            (-F.size(F.filter(hits, lambda other: other == hit))).alias("score"), hit["key"].alias("key"),
-            hit["value"].alias("value"),
-        ),
-    )
-    return F.coalesce(F.array_min(ranked)["value"], F.lit(""))
+    found = F.flatten(F.transform(known, lambda token: lookup(token, postings, POSTING, none)))
+
+    def best(hits: Column) -> Column:
+        ranked = F.transform(
+            F.array_distinct(hits),
+            lambda hit: F.struct(
+                (-F.size(F.filter(hits, lambda other: other == hit))).alias("score"), hit["key"].alias("key"),
+                hit["value"].alias("value"),
+            ),
+        )
+        return F.array_min(ranked)["value"]
+
+    return F.coalesce(let(found, best), F.lit(""))
 
 
 def best_match(

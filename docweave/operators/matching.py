@@ -199,8 +199,7 @@ def filter_documents(
         # Only keys that some target asks for leave the row, so few copies of a document are made.
         asked = [row.entry_key for row in keys]
         held = F.array_distinct(F.filter(_entry_keys(), lambda key: key.isin(asked)))
-        reached = texts.withColumn("_keys", held).where(F.size("_keys") > 0)
-        pairs = reached.withColumn("entry_key", F.explode("_keys")).join(broadcast_if_small(wanted), "entry_key")
+        pairs = texts.withColumn("_keys", held).withColumn("entry_key", F.explode("_keys")).join(broadcast_if_small(wanted), "entry_key")
     else:
         # Too many keys for the plan: find the candidate pairs on narrow rows, then fetch the documents.
         held = F.array_distinct(_entry_keys())

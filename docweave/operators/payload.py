@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from docweave.functions.dictionary import let
 from docweave.functions.text import clean_id, corpus_line, strip, without_line_breaks
 
-TAGGING_PAYLOAD = "struct<result:array<struct<kma:string>>>"
+CHECKED_PAYLOAD = "struct<result:array<struct<kma:string>>,broken:string>"
 MATCHING_PAYLOAD = (
     "struct<result:array<struct<sentence:struct<string:string>,"
     "matched_text:struct<string:string,begin:int>,variables:array<struct<value:string>>>>>"
@@ -22,14 +23,18 @@ def parse(body: Column, schema: str) -> Column:
     return F.from_json(_whole(body), schema)
 
 
-def add_quality(records: DataFrame, body_col: str = "JSON", schema: str = TAGGING_PAYLOAD) -> DataFrame:
-    """Add the parsed `payload` and its `quality`: ok, no_result or undecodable."""
-    quality = (
-        F.when(F.try_parse_json(_whole(F.col(body_col))).isNull(), UNDECODABLE)
-        .when(F.coalesce(F.size("payload.result"), F.lit(0)) > 0, OK)
+def quality(payload: Column) -> Column:
+    """ok, no_result or undecodable, from a payload parsed with `CHECKED_PAYLOAD`."""
+    return (
+        F.when(payload["broken"].isNotNull(), UNDECODABLE)
+        .when(F.coalesce(F.size(payload["result"]), F.lit(0)) > 0, OK)
         .otherwise(NO_RESULT)
     )
-    return records.withColumn("payload", parse(F.col(body_col), schema)).withColumn("quality", quality)
+
+
+def parse_checked(body: Column) -> Column:
+    """The payload, with the text in `broken` where it cannot be decoded."""
+    return F.from_json(_whole(body), CHECKED_PAYLOAD, {"columnNameOfCorruptRecord": "broken"})
 
 
 def cleaned_records(records: DataFrame, strip_ends: bool = False) -> DataFrame:
@@ -40,15 +45,32 @@ def cleaned_records(records: DataFrame, strip_ends: bool = False) -> DataFrame:
     return records.select(doc_id.alias("doc_id"), content.alias("content"), "JSON")
 
 
-def corpus_lines(checked: DataFrame) -> DataFrame:
+def record_quality(records: DataFrame, body_col: str = "JSON") -> DataFrame:
+    """The quality of every record; `broken` holds the text of an undecodable one."""
+    checked = let(
+        parse_checked(F.col(body_col)),
+        lambda payload: F.struct(quality(payload).alias("quality"), payload["broken"].alias("broken")),
+    )
+    others = [name for name in records.columns if name != body_col]
+    return records.select(*others, checked.alias("_checked")).select(*others, "_checked.*")
+
+
+def quarantine(records: DataFrame, body_col: str = "JSON") -> DataFrame:
+    """Records whose payload could not be decoded, with the text that failed."""
+    return record_quality(records, body_col).where(F.col("quality") == UNDECODABLE)
+
+
+def corpus_lines(records: DataFrame, body_col: str = "JSON") -> DataFrame:
     """One line per document: its morphemes, or an empty line where the payload was undecodable.
 
-    Documents without a result give no line. Input comes from `add_quality`.
+    Documents without a result give no line.
     """
-    line = F.when(F.col("quality") == OK, corpus_line(F.get(F.col("payload.result"), F.lit(0))["kma"]))
-    return checked.where(F.col("quality") != NO_RESULT).select("doc_id", F.coalesce(line, F.lit("")).alias("line"))
 
+    def lines(payload: Column) -> Column:
+        state = quality(payload)
+        line = F.when(state == OK, corpus_line(F.get(payload["result"], F.lit(0))["kma"]))
+        return F.when(state == NO_RESULT, F.array().cast("array<string>")).otherwise(
+            F.array(F.coalesce(line, F.lit("")))
+        )
 
-def quarantine(checked: DataFrame, body_col: str = "JSON") -> DataFrame:
-    """Records whose payload could not be decoded, with the text that failed."""
-    return checked.where(F.col("quality") == UNDECODABLE).select("doc_id", body_col)
+    return records.select("doc_id", F.explode(let(parse_checked(F.col(body_col)), lines)).alias("line"))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from docweave.bounds import broadcast_if_small
 from docweave.functions import text as T
+from docweave.functions.dictionary import let
 from docweave.functions.tags import STOP_TYPES
 
 FRAGMENT_SIZE = 30
@@ -36,29 +37,36 @@ def _placed_words(text: Column, fragment_size: int) -> Column:
     )
 
 
-def _close_words(placed: Column, words: Column, phrase: Column, fragment_limit: int, attached: bool) -> Column:
+def _close_words(placed: Column, phrase: Column, fragment_limit: int, attached: bool) -> Column:
     """Words of the first fragments with a hit, the hit itself left out."""
     width = F.size(phrase)
-    last = F.element_at(phrase, -1)
-
-    def opens(word: Column, i: Column) -> Column:
-        end = F.get(words, i + width - 1)
-        ends = F.startswith(end, last) if attached else end == last
-        middle = F.slice(words, i + 1, width - 1) == F.slice(phrase, F.lit(1), width - 1)
-        first = F.startswith(word, F.get(phrase, F.lit(0)))
-        return first & F.coalesce(ends, F.lit(False)) & middle
-
-    starts = F.filter(F.transform(words, lambda word, i: F.when(opens(word, i), i)), lambda i: i.isNotNull())
-    hits = F.array_distinct(F.flatten(F.transform(starts, lambda i: F.sequence(i, i + width - 1))))
-    hit_fragments = F.array_distinct(F.transform(hits, lambda i: F.get(placed, i)["fragment"]))
-    shown = F.slice(hit_fragments, 1, fragment_limit)
-    close = F.filter(
-        placed,
-        lambda item, i: F.array_contains(shown, item["fragment"]) & ~F.array_contains(hits, i),
-    )
-    return F.when(F.size(starts) > 0, F.transform(close, lambda item: item["word"])).otherwise(
-        F.array().cast("array<string>")
-    )
+    first, last = F.get(phrase, F.lit(0)), F.element_at(phrase, -1)
+
+    def hits_in(words: Column) -> Column:
+        def opens(word: Column, i: Column) -> Column:
+            end = F.get(words, i + width - 1)
+            ends = F.startswith(end, last) if attached else end == last
+            same = F.slice(words, i + 1, width - 1) == F.slice(phrase, F.lit(1), width - 1)
+            return F.startswith(word, first) & F.coalesce(ends, F.lit(False)) & same
+
+        starts = F.filter(F.transform(words, lambda word, i: F.when(opens(word, i), i)), lambda i: i.isNotNull())
+        return F.array_distinct(F.flatten(F.transform(starts, lambda i: F.sequence(i, i + width - 1))))
+
+    def shown(hits: Column) -> Column:
+        fragments = F.array_distinct(F.transform(hits, lambda i: F.get(placed, i)["fragment"]))
+        return F.slice(fragments, 1, fragment_limit)
+
+    def close(hits: Column) -> Column:
+        words = let(
+            shown(hits),
+            lambda fragments: F.filter(
+                placed, lambda item, i: F.array_contains(fragments, item["fragment"]) & ~F.array_contains(hits, i)
+            ),
+        )
+        return F.transform(words, lambda item: item["word"])
+
+    words = F.transform(placed, lambda item: item["word"])
+    return let(let(words, hits_in), close)
 
 
 def related_words(
@@ -78,17 +86,13 @@ def related_words(
     wanted = broadcast_if_small(requests.select("doc_id", "term").distinct())
     joined = docs.select("doc_id", "doc_title", "doc_content").join(wanted, "doc_id")
     phrase = T.tokens(F.col("term"))
-    placed = joined.select(
-        "doc_id", "term", phrase.alias("phrase"),
-        _placed_words(F.coalesce("doc_title", F.lit("")), fragment_size).alias("title"),
-        _placed_words(F.coalesce("doc_content", F.lit("")), fragment_size).alias("content"),
-    ).where(F.size("phrase") > 0)
-    fields = [
-        _close_words(F.col(name), F.col(f"{name}.word"), F.col("phrase"), fragment_limit, attached)
-        for name in ("title", "content")
-    ]
-    words = F.concat(*fields)
+
+    def words_of(field: str, phrase: Column) -> Column:
+        placed = _placed_words(F.coalesce(field, F.lit("")), fragment_size)
+        return let(placed, lambda words: _close_words(words, phrase, fragment_limit, attached))
+
+    words = let(phrase, lambda p: F.concat(words_of("doc_title", p), words_of("doc_content", p)))
     if content is not None:
         words = F.transform(words, content)
     kept = F.filter(F.array_distinct(words), lambda word: F.char_length(word) > 1)
-    return placed.select("doc_id", "term", F.posexplode(kept).alias("word_order", "word"))
+    return joined.where(F.size(phrase) > 0).select("doc_id", "term", F.posexplode(kept).alias("word_order", "word"))

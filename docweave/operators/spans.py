@@ -6,6 +6,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from docweave.functions.dictionary import let
 from docweave.functions.text import dictionary_form
 from docweave.operators.lookup import best_match, emotion_dictionary, exact_lookup
 from docweave.operators.payload import MATCHING_PAYLOAD, parse
@@ -37,12 +38,15 @@ def cause_spans(docs: DataFrame, keys: Sequence[str], body_col: str = "JSON") ->
             ),
         )
 
+    def with_next(causes: Column) -> Column:
+        return F.transform(
+            causes, lambda c, i: F.struct(c.alias("cause"), F.get(causes, i + 1)["start"].alias("next"))
+        )
+
     causes = F.array_sort(F.flatten(F.transform(results, causes_of)))
     others = [name for name in docs.columns if name != body_col and name not in keys]
-    ordered = docs.select(*keys, *others, causes.alias("_causes"))
-    following = F.transform("_causes", lambda c, i: F.struct(c.alias("cause"), F.get("_causes", i + 1)["start"].alias("next")))
     return (
-        ordered.select(*keys, *others, F.posexplode(following).alias("cause_idx", "_item"))
+        docs.select(*keys, *others, F.posexplode(let(causes, with_next)).alias("cause_idx", "_item"))
         .select(*keys, *others, "cause_idx", "_item.cause.*", "_item.next")
         .withColumn("span", F.coalesce("next", "sentence_length") - F.col("start"))
         .drop("next")
@@ -78,9 +82,15 @@ def described_tokens(tokens: Column, span: Column) -> Column:
 
 def last_per_token(kept: Column) -> Column:
     """Keep the last entry of every distinct token."""
-    names = F.transform(kept, lambda item: item["token"])
-    backwards = F.reverse(names)
-    return F.filter(kept, lambda item, i: F.array_position(backwards, item["token"]) == F.size(names) - i)
+    def last_ones(items: Column) -> Column:
+        return let(
+            F.reverse(F.transform(items, lambda item: item["token"])),
+            lambda backwards: F.filter(
+                items, lambda item, i: F.array_position(backwards, item["token"]) == F.size(backwards) - i
+            ),
+        )
+
+    return let(kept, last_ones)
 
 
 def cause_verbs(

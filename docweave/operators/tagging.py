@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from docweave.bounds import PLAN_ROWS, broadcast_if_small, rows_if_small
 from docweave.functions import text as T
-from docweave.functions.dictionary import lookup
+from docweave.functions.dictionary import let, lookup
 from docweave.functions.tags import KOREAN, STOP_TYPES, Letters
 
 UNKNOWN_TAG = "NNG"
@@ -78,17 +78,18 @@ def word_tokens(text: Column, lexicon_rows: Sequence, letters: Letters = KOREAN)
     """
     types = {row.word: row.token_type for row in lexicon_rows}
     pieces = {row.word: row.piece for row in lexicon_rows}
-    words = _words(text, letters)
-    # The running start offset of each word: one pass that only keeps word lengths.
-    lengths = F.transform(words, lambda word: F.char_length(word))
-    starts = F.aggregate(
-        lengths,
-        F.struct(F.lit(0).alias("next"), F.array().cast("array<int>").alias("starts")),
-        lambda state, length: F.struct(
-            (state["next"] + length + 1).alias("next"), F.array_append(state["starts"], state["next"]).alias("starts")
-        ),
-        lambda state: state["starts"],
-    )
+
+    def placed(words: Column) -> Column:
+        starts = F.aggregate(
+            words,
+            F.struct(F.lit(0).alias("next"), F.array().cast("array<int>").alias("starts")),
+            lambda state, word: F.struct(
+                (state["next"] + F.char_length(word) + 1).alias("next"),
+                F.array_append(state["starts"], state["next"]).alias("starts"),
+            ),
+            lambda state: state["starts"],
+        )
+        return F.zip_with(words, starts, lambda word, start: F.struct(word.alias("word"), start.alias("start")))
 
     def pair(item: Column, position: Column) -> Column:
         word, start = item["word"], item["start"]
@@ -107,8 +108,7 @@ def word_tokens(text: Column, lexicon_rows: Sequence, letters: Letters = KOREAN)
             ),
         )
 
-    placed = F.zip_with(words, starts, lambda word, start: F.struct(word.alias("word"), start.alias("start")))
-    return F.flatten(F.transform(placed, pair)).cast(TOKENS_TYPE)
+    return F.flatten(F.transform(let(_words(text, letters), placed), pair)).cast(TOKENS_TYPE)
 
 
 def content_word_of(lexicon_rows: Sequence, stop_types: Sequence[str] = STOP_TYPES) -> Callable[[Column], Column]:

@@ -92,7 +92,7 @@ def tagged_records(
 
 def corpus(records: DataFrame) -> DataFrame:
     """Corpus lines of raw records (DocId, Content, JSON)."""
-    return payload.corpus_lines(payload.add_quality(payload.cleaned_records(records, strip_ends=True)))
+    return payload.corpus_lines(payload.cleaned_records(records, strip_ends=True))
 
 
 def cause_verbs(

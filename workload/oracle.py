@@ -406,7 +406,7 @@ SELECT doc_id, len(list) AS n_words, array_to_string(list, ' ') AS words FROM fo
 
 ORACLE["related_words"] = rf"""WITH {DOCS}, lexicon AS ({W.LEXICON}),
 asked AS (
- SELECT doc_id, [w[2], w[3]] AS phrase, w[2] || ' ' || w[3] AS term, content FROM (SELECT doc_id, {words('content')} AS w, content FROM docs)),
+ SELECT doc_id, list_filter([w[2], w[3]], lambda x: x IS NOT NULL) AS phrase, concat_ws(' ', w[2], w[3]) AS term, content FROM (SELECT doc_id, {words('content')} AS w, content FROM docs)),
 fields AS (
  SELECT doc_id, phrase, 0 AS field, split_part(content, chr(10), 1) AS t FROM asked
  UNION ALL SELECT doc_id, phrase, 1, content FROM asked),
@@ -417,7 +417,8 @@ placed AS (
  SELECT *, row_number() OVER w AS i, lead(word) OVER w AS following, lag(word) OVER w AS previous
  FROM toks WINDOW w AS (PARTITION BY doc_id, field ORDER BY frag, j)),
 marked AS (
- SELECT *, (word = phrase[1] AND following = phrase[2]) OR coalesce(previous = phrase[1] AND word = phrase[2], false) AS hit FROM placed),
+ SELECT *, (word = phrase[1] AND (len(phrase) = 1 OR coalesce(following = phrase[2], false)))
+  OR coalesce(previous = phrase[1] AND word = phrase[2], false) AS hit FROM placed),
 shown AS (
  SELECT doc_id, field, frag FROM (
   SELECT doc_id, field, frag, row_number() OVER (PARTITION BY doc_id, field ORDER BY frag) AS rank
@@ -425,8 +426,8 @@ shown AS (
 close AS (
  SELECT m.doc_id, m.field, m.i, m.word FROM marked m JOIN shown USING (doc_id, field, frag) LEFT JOIN lexicon l ON l.word = m.word
  WHERE NOT coalesce(m.hit, false) AND coalesce(l.token_type, 'NNG') NOT IN {STOP_IN_LEXICON} AND length(m.word) > 1),
-firsts AS (SELECT doc_id, word, min([field, i]) AS at FROM close GROUP BY doc_id, word)
-SELECT doc_id, a.term, row_number() OVER (PARTITION BY doc_id ORDER BY at) - 1 AS word_order, word FROM firsts JOIN asked a USING (doc_id)"""
+firsts AS (SELECT doc_id, word, min([field, i]) AS first_at FROM close GROUP BY doc_id, word)
+SELECT doc_id, a.term, row_number() OVER (PARTITION BY doc_id ORDER BY first_at) - 1 AS word_order, word FROM firsts JOIN asked a USING (doc_id)"""
 
 ORACLE["emotion_exact"] = f"""WITH {DOC_CLAUSES}, verb_dict AS ({W.VERB_DICT})
 SELECT doc_id, sentence_idx, clause_idx, {strip('v.verb')} AS verb, coalesce(d.emotion, '') AS emotion

@@ -265,7 +265,7 @@ def _tagging_records(spark, sf):
 
 
 def payload_quality(spark, sf):
-    checked = payload.add_quality(payload.cleaned_records(_tagging_records(spark, sf), strip_ends=True))
+    checked = payload.record_quality(payload.cleaned_records(_tagging_records(spark, sf), strip_ends=True))
     return checked.select("doc_id", "quality", F.char_length("content").cast("bigint").alias("content_length"))
 
 

@@ -171,19 +171,14 @@ def status_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _body(json):
-    """An object's JSON text without its braces."""
-    return F.substring(json, F.lit(2), F.char_length(json) - 2)
-
-
 def tagging_records(tagged: DataFrame) -> DataFrame:
     """Raw records with a tagging payload; some languages give broken, empty or missing results."""
-    result = F.to_json(F.struct(F.array(F.struct(F.col("kma"))).alias("result")))
+    result = F.concat(F.lit('"result":['), F.to_json(F.struct("kma")), F.lit("]"))
     body = (
         F.when(F.col("lang") == "es", F.lit('"result":[{"kma":'))
         .when(F.col("lang") == "de", F.lit('"result":[]'))
         .when((F.col("lang") == "fr") & F.col("source").endswith("0"), F.lit('"status":"none"'))
-        .otherwise(_body(result))
+        .otherwise(result)
     )
     return tagged.select(F.concat(F.lit(" "), "doc_id", F.lit("\r\n")).alias("DocId"), F.col("text").alias("Content"), body.alias("JSON"))
 
@@ -203,7 +198,7 @@ def matching_records(docs: DataFrame) -> DataFrame:
     )
     return docs.select(
         F.col("doc_id").alias("DocId"), F.col("content").alias("Content"),
-        _body(F.to_json(F.struct(results.alias("result")))).alias("JSON"),
+        F.concat(F.lit('"result":'), F.to_json(results)).alias("JSON"),
     )
 
 
