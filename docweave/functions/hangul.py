@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from docweave.functions.dictionary import let
+
 # Fixed values of the Unicode Hangul block: letters in composition order.
 LEADS = "ㄱㄲㄴㄷㄸㄹㅁㅂㅃㅅㅆㅇㅈㅉㅊㅋㅌㅍㅎ"
 VOWELS = "ㅏㅐㅑㅒㅓㅔㅕㅖㅗㅘㅙㅚㅛㅜㅝㅞㅟㅠㅡㅢㅣ"
@@ -60,6 +62,10 @@ def compose_jamo(text: Column) -> Column:
     Letters only combine within a run of Hangul, and a run without single letters comes back unchanged. So
     only runs that hold some are worked on.
     """
-    runs = F.regexp_extract_all(text, F.lit(_RUN), F.lit(0))
-    fixed = F.transform(runs, lambda run: F.when(run.rlike(_HAS_LETTER), _recompose(run)).otherwise(run))
-    return F.when(text.rlike(_HAS_LETTER), F.array_join(fixed, "")).otherwise(text)
+
+    def by_run(text: Column) -> Column:
+        runs = F.regexp_extract_all(text, F.lit(_RUN), F.lit(0))
+        fixed = F.transform(runs, lambda run: F.when(run.rlike(_HAS_LETTER), _recompose(run)).otherwise(run))
+        return F.when(text.rlike(_HAS_LETTER), F.array_join(fixed, "")).otherwise(text)
+
+    return let(text, by_run)

@@ -25,17 +25,31 @@ def is_blank(text: Column) -> Column:
     return strip(text) == ""
 
 
+def _class_parts(body: str) -> tuple[str, str]:
+    """The class `[body]` of plain characters and ranges, split into characters below 256 and ranges above."""
+    found = re.findall(r"(.)-(.)|(.)", body, re.DOTALL)
+    ranges = [(ord(first or single), ord(last or single)) for first, last, single in found]
+    low = "".join(f"\\x{code:02x}" for first, last in ranges for code in range(first, min(last, 255) + 1))
+    high = "".join(f"[\\x{{{max(first, 256):x}}}-\\x{{{last:x}}}]" for first, last in ranges if last > 255)
+    return low, high
+
+
+# Java tests the ranges of a class one by one, which is slow for long classes. In the patterns below one table
+# look-up answers for characters below 256, and only the others are held against the ranges.
+_ABOVE = r"(?=[\x{100}-\x{10ffff}])"
+
+
 def outside(body: str) -> str:
-    """A pattern for one character that is not in the class `[body]`; `body` holds plain characters and ranges.
+    """A pattern for one character that is not in the class `[body]`."""
+    low, high = _class_parts(body)
+    others = "".join(f"(?!{part}])" for part in high.split("]") if part)
+    return rf"(?s:[\x00-\xff&&[^{low}]]|{_ABOVE}{others}.)"
 
-    Java tests the ranges of a class one by one, which is slow for long classes. Characters below 256 are
-    listed singly, so that one table look-up answers for them, and each other range is tested on its own.
-    """
-    ends = re.findall(r"(.)-(.)|(.)", body, re.DOTALL)
-    ranges = [(ord(a or c), ord(b or c)) for a, b, c in ends]
-    low = "".join(f"\\x{code:02x}" for a, b in ranges for code in range(a, min(b, 255) + 1))
-    high = "".join(f"(?![\\x{{{max(a, 256):x}}}-\\x{{{b:x}}}])" for a, b in ranges if b > 255)
-    return rf"(?:[\x00-\xff&&[^{low}]]|{high}[\x{{100}}-\x{{10ffff}}])"
+
+def inside(body: str) -> str:
+    """A pattern for one character of the class `[body]`."""
+    low, high = _class_parts(body)
+    return rf"(?:[{low}]|{_ABOVE}[{high}])"
 
 
 def without_line_breaks(text: Column) -> Column:

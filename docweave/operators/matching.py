@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from docweave.bounds import PLAN_ROWS, broadcast_if_small, rows_if_small
 from docweave.functions import text as T
+from docweave.functions.dictionary import let
 
 # Bounds that stand for a missing date.
 FIRST_MOMENT, LAST_MOMENT = "1900-01-01 00:00:00", "2100-12-31 23:59:59"
@@ -192,14 +193,23 @@ def filter_documents(
     `requests` has one row per (request, dataset). The columns of `docs` are kept, after `seq` and
     `dataset_seq`.
     """
-    wanted = targets(requests, rules)
+    # Small, and read three times: for its keys, for its size and by the join.
+    wanted = targets(requests, rules).persist()
     keys = rows_if_small(wanted.select("entry_key").distinct(), max_in_plan)
     texts = _with_texts(docs)
     if keys is not None:
         # Only keys that some target asks for leave the row, so few copies of a document are made.
         asked = [row.entry_key for row in keys]
         held = F.array_distinct(F.filter(_entry_keys(), lambda key: key.isin(asked)))
-        pairs = texts.withColumn("_keys", held).withColumn("entry_key", F.explode("_keys")).join(broadcast_if_small(wanted), "entry_key")
+        # Exploding an expression instead of a column keeps Spark from testing its size ahead, at double cost.
+        with_all = let(
+            held, lambda keys: F.transform(keys, lambda key: F.struct(key.alias("entry_key"), keys.alias("_keys")))
+        )
+        pairs = (
+            texts.select("*", F.explode(with_all).alias("_held"))
+            .select(*texts.columns, "_held.*")
+            .join(broadcast_if_small(wanted), "entry_key")
+        )
     else:
         # Too many keys for the plan: find the candidate pairs on narrow rows, then fetch the documents.
         held = F.array_distinct(_entry_keys())

@@ -39,8 +39,8 @@ def _placed_words(text: Column, fragment_size: int) -> Column:
 
 def _close_words(placed: Column, phrase: Column, fragment_limit: int, attached: bool) -> Column:
     """Words of the first fragments with a hit, the hit itself left out."""
-    width = F.size(phrase)
-    first, last = F.get(phrase, F.lit(0)), F.element_at(phrase, -1)
+    width = F.greatest(F.size(phrase), F.lit(1))
+    first, last = F.get(phrase, F.lit(0)), F.get(phrase, width - 1)
 
     def hits_in(words: Column) -> Column:
         def opens(word: Column, i: Column) -> Column:
@@ -95,4 +95,4 @@ def related_words(
     if content is not None:
         words = F.transform(words, content)
     kept = F.filter(F.array_distinct(words), lambda word: F.char_length(word) > 1)
-    return joined.where(F.size(phrase) > 0).select("doc_id", "term", F.posexplode(kept).alias("word_order", "word"))
+    return joined.select("doc_id", "term", F.posexplode(kept).alias("word_order", "word"))

@@ -58,18 +58,22 @@ def described_tokens(tokens: Column, span: Column) -> Column:
 
     After a word with a particle, tokens at other positions describe something else and are passed over.
     """
-    inside = F.filter(
+
+    def opens(token: Column) -> Column:
+        return (token["type"] == "EOJEOL") & token["particle"]
+
+    # Tokens that neither open a word nor can be kept do not change the outcome.
+    relevant = F.filter(
         tokens,
         lambda t: (t["start_offset"] >= 0) & (t["start_offset"] < span)
-        & (t["end_offset"] - 1 >= 0) & (t["end_offset"] - 1 < span),
+        & (t["end_offset"] - 1 >= 0) & (t["end_offset"] - 1 < span)
+        & (t["type"].isin(*VERB_TYPES, "NNG") | opens(t)),
     )
 
     def step(state: Column, token: Column) -> Column:
-        opens = (token["type"] == "EOJEOL") & token["particle"]
-        belongs = (state["position"] == -1) | (state["position"] == token["position"])
-        kept = belongs & token["type"].isin(*VERB_TYPES, "NNG")
+        kept = (state["position"] == -1) | (state["position"] == token["position"])
         item = F.struct(token["token"].alias("token"), token["type"].alias("type"))
-        return F.when(opens, F.struct(token["position"].alias("position"), state["kept"].alias("kept"))).when(
+        return F.when(opens(token), F.struct(token["position"].alias("position"), state["kept"].alias("kept"))).when(
             kept,
             F.struct(state["position"].alias("position"), F.array_append(state["kept"], item).alias("kept")),
         ).otherwise(state)
@@ -77,7 +81,7 @@ def described_tokens(tokens: Column, span: Column) -> Column:
     start = F.struct(
         F.lit(-1).alias("position"), F.array().cast("array<struct<token:string,type:string>>").alias("kept")
     )
-    return F.aggregate(inside, start, step, lambda state: state["kept"])
+    return F.aggregate(relevant, start, step, lambda state: state["kept"])
 
 
 def last_per_token(kept: Column) -> Column:

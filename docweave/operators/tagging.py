@@ -26,7 +26,7 @@ def word_list(lexicon: DataFrame) -> DataFrame:
 
 
 def _words(text: Column, letters: Letters) -> Column:
-    split = F.split(F.lower(T.tagger_input(text, letters)), f"[{T.BLANK}]+", -1)
+    split = F.split(F.lower(T.tagger_input(text, letters)), f"{T.inside(T.BLANKS)}+", -1)
     return F.filter(split, lambda word: word != "")
 
 
@@ -76,8 +76,9 @@ def word_tokens(text: Column, lexicon_rows: Sequence, letters: Letters = KOREAN)
 
     Offsets count characters of the cleaned text, in which words are one space apart.
     """
-    types = {row.word: row.token_type for row in lexicon_rows}
-    pieces = {row.word: row.piece for row in lexicon_rows}
+    entry_type = "struct<type:string,particle:boolean>"
+    entries = {row.word: {"type": row.token_type, "particle": "/J_" in row.piece} for row in lexicon_rows}
+    unknown = F.struct(F.lit(UNKNOWN_TAG).alias("type"), F.lit(False).alias("particle"))
 
     def placed(words: Column) -> Column:
         starts = F.aggregate(
@@ -93,20 +94,18 @@ def word_tokens(text: Column, lexicon_rows: Sequence, letters: Letters = KOREAN)
 
     def pair(item: Column, position: Column) -> Column:
         word, start = item["word"], item["start"]
-        piece = lookup(word, pieces, "string", _unknown(word))
-        token_type = lookup(word, types, "string", F.lit(UNKNOWN_TAG))
         end = start + F.char_length(word)
-        content = F.when(token_type.isin("VV", "VA", "XR"), F.concat(word, F.lit("/"), token_type)).otherwise(word)
-        return F.array(
-            F.struct(
-                word.alias("token"), F.lit("EOJEOL").alias("type"), start.alias("start_offset"),
-                end.alias("end_offset"), position.alias("position"), F.contains(piece, F.lit("/J_")).alias("particle"),
-            ),
-            F.struct(
-                content.alias("token"), token_type.alias("type"), start.alias("start_offset"),
-                end.alias("end_offset"), position.alias("position"), F.lit(False).alias("particle"),
-            ),
-        )
+        place = [start.alias("start_offset"), end.alias("end_offset"), position.alias("position")]
+
+        def tokens_of(entry: Column) -> Column:
+            kind = entry["type"]
+            content = F.when(kind.isin("VV", "VA", "XR"), F.concat(word, F.lit("/"), kind)).otherwise(word)
+            return F.array(
+                F.struct(word.alias("token"), F.lit("EOJEOL").alias("type"), *place, entry["particle"].alias("particle")),
+                F.struct(content.alias("token"), kind.alias("type"), *place, F.lit(False).alias("particle")),
+            )
+
+        return let(lookup(word, entries, entry_type, unknown), tokens_of)
 
     return F.flatten(F.transform(let(_words(text, letters), placed), pair)).cast(TOKENS_TYPE)
 

@@ -96,11 +96,13 @@ def corpus(records: DataFrame) -> DataFrame:
 
 
 def cause_verbs(
-    records: DataFrame, verb_dict: DataFrame, analyse: Callable[[Column], Column]
+    records: DataFrame,
+    verb_dict: DataFrame,
+    analyse: Callable[[Column], Column],
+    keys: Sequence[str] = ("doc_id", "content"),
 ) -> DataFrame:
-    """Verbs and nouns per cause of raw records, with their emotions."""
-    causes = spans.cause_spans(payload.cleaned_records(records), ["doc_id", "content"])
-    return spans.cause_verbs(causes, verb_dict, analyse, ["doc_id", "content"])
+    """Verbs and nouns per cause of cleaned records, with their emotions. `keys` are repeated on every row."""
+    return spans.cause_verbs(spans.cause_spans(records, keys), verb_dict, analyse, keys)
 
 
 def topic_lists(rows: DataFrame, lexicon: DataFrame, keys: Sequence[str], text_col: str, letters: Letters = KOREAN) -> DataFrame:

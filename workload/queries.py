@@ -145,12 +145,17 @@ def _parsed_clauses(spark, sf):
     return clauses.add_subjects_and_verb(clauses.split_clauses(_tagged(spark, sf)))
 
 
-def conjunct_subjects(spark, sf):
-    rows = _parsed_clauses(spark, sf).where(F.col("n_parts") > 1)
+def _exploded(rows):
+    """One row per subject. The outer form keeps Spark from testing the array's size ahead, at double cost."""
     found = rows.select(
-        "doc_id", "sentence_idx", "clause_idx", F.posexplode("subjects").alias("attr_idx", "subject")
+        "doc_id", "sentence_idx", "clause_idx", F.posexplode_outer("subjects").alias("attr_idx", "subject")
     )
-    return _big(found, "sentence_idx", "clause_idx", "attr_idx")
+    return found.where(F.col("attr_idx").isNotNull())
+
+
+def conjunct_subjects(spark, sf):
+    rows = _parsed_clauses(spark, sf).where(F.col("n_parts") > 1)
+    return _big(_exploded(rows), "sentence_idx", "clause_idx", "attr_idx")
 
 
 def topic_words(spark, sf):
@@ -207,9 +212,7 @@ def emotion_match(spark, sf):
 
 
 def _subjects(spark, sf):
-    return _parsed_clauses(spark, sf).select(
-        "doc_id", *_ORDINALS, F.posexplode("subjects").alias("attr_idx", "subject")
-    )
+    return _exploded(_parsed_clauses(spark, sf))
 
 
 def category_exact(spark, sf):
@@ -282,13 +285,14 @@ def cause_spans(spark, sf):
 
 def cause_verbs(spark, sf):
     lexicon = W.small(spark, W.LEXICON).collect()
-    records = W.matching_records(W.plain_docs(spark, sf))
+    records = payload.cleaned_records(W.matching_records(W.plain_docs(spark, sf)))
+    # The written rows repeat the content of their document; here its length stands for it.
+    records = records.withColumn("content_length", F.char_length("content")).drop("content")
     found = jobs.cause_verbs(
-        records, W.small(spark, W.VERB_DICT), lambda text: tagging.word_tokens(text, lexicon, LETTERS)
+        records, W.small(spark, W.VERB_DICT), lambda text: tagging.word_tokens(text, lexicon, LETTERS),
+        ["doc_id", "content_length"],
     )
-    # The content goes with every row in the output; its length is enough here.
-    shown = found.withColumn("content_length", F.char_length("content")).drop("content")
-    return _big(shown, "cause_idx", "verb_idx", "content_length")
+    return _big(found, "cause_idx", "verb_idx", "content_length")
 
 
 # -- files -----------------------------------------------------------------------------------------------
@@ -345,7 +349,7 @@ def topic_columns(spark, sf):
     """Topics of every comment, numbered as the columns after the two source columns."""
     sheet = W.survey(spark, sf).select("comment", F.concat_ws("_", "case_id", "response_id").alias("row_key"))
     listed = jobs.topic_lists(sheet, W.small(spark, W.LEXICON), ["row_key"], "comment", LETTERS)
-    found = listed.select("row_key", F.posexplode("topics").alias("i", "topic"))
+    found = listed.select("row_key", F.posexplode_outer("topics").alias("i", "topic")).where(F.col("i").isNotNull())
     return found.select("row_key", (F.col("i") + 2).cast("bigint").alias("column_idx"), "topic")
 
 
