@@ -15,9 +15,6 @@ from docweave.functions.dictionary import let, lookup
 from docweave.functions.tags import KOREAN, STOP_TYPES, Letters
 
 UNKNOWN_TAG = "NNG"
-TOKENS_TYPE = (
-    "array<struct<token:string,type:string,start_offset:int,end_offset:int,position:int,particle:boolean>>"
-)
 
 
 def word_list(lexicon: DataFrame) -> DataFrame:
@@ -83,17 +80,13 @@ def word_tokens(text: Column, lexicon_rows: Sequence, letters: Letters = KOREAN)
     def placed(words: Column) -> Column:
         starts = F.aggregate(
             words,
-            F.struct(F.lit(0).alias("next"), F.array().cast("array<int>").alias("starts")),
-            lambda state, word: F.struct(
-                (state["next"] + F.char_length(word) + 1).alias("next"),
-                F.array_append(state["starts"], state["next"]).alias("starts"),
-            ),
-            lambda state: state["starts"],
+            F.array(F.lit(0)),
+            lambda starts, word: F.array_append(starts, F.element_at(starts, -1) + F.char_length(word) + 1),
         )
-        return F.zip_with(words, starts, lambda word, start: F.struct(word.alias("word"), start.alias("start")))
+        return let(starts, lambda starts: F.flatten(F.transform(words, lambda word, i: pair(word, i, starts))))
 
-    def pair(item: Column, position: Column) -> Column:
-        word, start = item["word"], item["start"]
+    def pair(word: Column, position: Column, starts: Column) -> Column:
+        start = F.get(starts, position)
         end = start + F.char_length(word)
         place = [start.alias("start_offset"), end.alias("end_offset"), position.alias("position")]
 
@@ -107,7 +100,7 @@ def word_tokens(text: Column, lexicon_rows: Sequence, letters: Letters = KOREAN)
 
         return let(lookup(word, entries, entry_type, unknown), tokens_of)
 
-    return F.flatten(F.transform(let(_words(text, letters), placed), pair)).cast(TOKENS_TYPE)
+    return let(_words(text, letters), placed)
 
 
 def content_word_of(lexicon_rows: Sequence, stop_types: Sequence[str] = STOP_TYPES) -> Callable[[Column], Column]:
