@@ -10,15 +10,11 @@ PLAN_ROWS = 4_096
 
 
 def fits(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """Measure `df`, reading at most `max_rows` + 1 of its rows."""
-    measured = (
-        df.limit(max_rows + 1)
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0)).alias("n_bytes"),
-        )
-        .first()
-    )
+    """Measure rows and bytes of `df` in one distributed pass; only the two sums are collected."""
+    measured = df.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0)).alias("n_bytes"),
+    ).first()
     return measured.n <= max_rows and measured.n_bytes <= max_bytes
 
 

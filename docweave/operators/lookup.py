@@ -11,6 +11,7 @@ from docweave.bounds import PLAN_ROWS, broadcast_if_small, rows_if_small
 from docweave.functions.dictionary import let, lookup
 from docweave.functions.text import tokens
 
+HOT_ENTRIES = 1_000
 POSTING = "array<struct<key:string,value:string>>"
 
 
@@ -79,6 +80,7 @@ def best_match(
     dictionary: DataFrame,
     out_col: str,
     max_in_plan: int = PLAN_ROWS,
+    hot_entries: int = HOT_ENTRIES,
 ) -> DataFrame:
     """Value of the entry that shares most distinct tokens with `text`, the first key on a tie; '' if none does.
 
@@ -93,19 +95,54 @@ def best_match(
             index.setdefault(row.token, []).append({"key": row.key, "value": row.value})
         return df.withColumn(out_col, _best_in_row(text, index) if index else F.lit(""))
 
-    texts = df.select(text.alias("_text")).distinct()
-    best = (
-        texts.select("_text", F.explode(F.array_distinct(tokens(F.col("_text")))).alias("token"))
-        .join(broadcast_if_small(postings), "token")
-        .groupBy("_text", "key", "value")
-        .count()
-        .groupBy("_text")
-        .agg(F.min(F.struct(-F.col("count"), "key", "value")).alias("_best"))
-        .select("_text", F.col("_best.value").alias("_found"))
-    )
+    best = _best_by_join(df.select(text.alias("_text")).where(text.isNotNull()).distinct(), dictionary, hot_entries)
     return (
         df.withColumn("_text", text)
         .join(best, "_text", "left")
         .withColumn(out_col, F.coalesce("_found", F.lit("")))
         .drop("_text", "_found")
     )
+
+
+def _best_by_join(texts: DataFrame, dictionary: DataFrame, hot_entries: int) -> DataFrame:
+    """`_text`, `_found` for distinct texts that share a token with some entry.
+
+    A token that more than `hot_entries` entries hold does not pair texts with all of them. Entries that share
+    nothing else with a text differ only in which hot tokens they hold, so of each such set the first entry by
+    key stands for all.
+    """
+    entries = dictionary.select("key", "value", F.array_distinct(tokens(F.col("words"))).alias("words")).distinct()
+    postings = entries.select("key", "value", "words", F.explode("words").alias("token"))
+    counts = postings.groupBy("token").count()
+    hot = [row.token for row in counts.where(F.col("count") > hot_entries).collect()]
+    split = texts.select("_text", F.array_distinct(tokens(F.col("_text"))).alias("_tokens"))
+    rare_postings = postings.where(~F.col("token").isin(hot)) if hot else postings
+    overlap = F.size(F.array_intersect("_tokens", "words"))
+    candidates = (
+        split.select("*", F.explode(F.filter("_tokens", lambda token: ~token.isin(hot)) if hot else F.col("_tokens")).alias("token"))
+        .join(broadcast_if_small(rare_postings), "token")
+        .select("_text", (-overlap).alias("score"), "key", "value")
+    )
+    if hot:
+        hot_part = lambda words: F.array_sort(F.filter(words, lambda token: token.isin(hot)))
+        standing_in = (
+            entries.groupBy(hot_part("words").alias("words"))
+            .agg(F.min(F.struct("key", "value")).alias("first"))
+            .select("words", "first", F.explode_outer("words").alias("token"))
+            .where(F.col("token").isNotNull())
+        )
+        held = split.select("_text", hot_part("_tokens").alias("_held"))
+        sets = held.select(F.col("_held").alias("_tokens")).distinct()
+        per_set = (
+            sets.select("_tokens", F.explode_outer("_tokens").alias("token"))
+            .join(broadcast_if_small(standing_in), "token")
+            .groupBy("_tokens")
+            .agg(F.min(F.struct((-overlap).alias("score"), "first.key", "first.value")).alias("best"))
+        )
+        by_hot = held.join(per_set, F.col("_held") == F.col("_tokens")).select("_text", "best.*")
+        candidates = candidates.unionByName(by_hot)
+    return (
+        candidates.groupBy("_text")
+        .agg(F.min(F.struct("score", "key", "value")).alias("_best"))
+        .select("_text", F.col("_best.value").alias("_found"))
+    )

@@ -6,7 +6,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from docweave.bounds import broadcast_if_small
+from docweave.bounds import fits
 from docweave.functions import text as T
 from docweave.functions.dictionary import let
 from docweave.functions.tags import STOP_TYPES
@@ -83,7 +83,8 @@ def related_words(
     come before those of the content. `content` gives the content word of a word, '' if it carries none. With
     `attached`, letters that follow the phrase's last word belong to the hit.
     """
-    wanted = broadcast_if_small(requests.select("doc_id", "term").distinct())
+    asked = requests.select("doc_id", "term")
+    wanted = F.broadcast(asked.distinct()) if fits(asked) else asked.distinct()
     joined = docs.select("doc_id", "doc_title", "doc_content").join(wanted, "doc_id")
     phrase = T.tokens(F.col("term"))
 

@@ -22,8 +22,8 @@ def test_best_match_equals_brute_force_on_both_ways(spark):
     texts = [" ".join(rng.choices([*words, "x", "y"], k=rng.randint(0, 5))) for _ in range(120)]
     dictionary = lookup.emotion_dictionary(spark.createDataFrame(entries, "verb string, emotion string"))
     rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
-    for limit in (4096, 0):
-        got = lookup.best_match(rows, F.col("t"), dictionary, "e", limit).orderBy("i").collect()
+    for limit, hot in ((4096, 1000), (0, 1000), (0, 6), (0, 0)):
+        got = lookup.best_match(rows, F.col("t"), dictionary, "e", limit, hot).orderBy("i").collect()
         assert [r.e for r in got] == [brute_best(t, entries) for t in texts]
 
 

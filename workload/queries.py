@@ -10,7 +10,7 @@ from docweave.functions import hangul, tags, text as T, topics
 from docweave.functions.tags import KOREAN_AND_LATIN as LETTERS
 from docweave.operators import clauses, lookup, matching, paging, payload, related, requests, spans, tagging
 from docweave.plans import export, jobs
-from docweave.scratch import fresh_path
+from docweave.scratch import fresh_path, written_table
 from docweave.session import allow_legacy_charsets
 from docweave.sinks import files as sinks
 from docweave.sources import files as sources
@@ -85,7 +85,9 @@ def request_datasets(spark, sf):
 
 
 def export_pages(spark, sf):
-    paged = paging.add_pages(export.matched_documents(W.crawl_doc(spark, sf), W.control_tables(spark)), PAGE_SIZE)
+    # Written first, because the range sort reads its input twice.
+    matched = written_table(export.matched_documents(W.crawl_doc(spark, sf), W.control_tables(spark)), "matched")
+    paged = paging.add_pages(matched, PAGE_SIZE)
     ints = [name for name in paged.columns if name.endswith("_seq")]
     return _big(paged.withColumn("doc_datetime", _stamp("doc_datetime")), "seq", *ints)
 
