@@ -25,25 +25,26 @@ def split_sentences(
 
 
 def split_clauses(tagged: DataFrame, text_col: str = "sentence", kma_col: str = "sentence_kma") -> DataFrame:
-    """One row per clause: the tagged text is split after every connective ending."""
+    """One row per clause: the tagged text is split after every connective ending.
+
+    A clause without text is left out. A sentence that has no other keeps one row with nulls.
+    """
     others = [name for name in tagged.columns if name != kma_col]
 
     def with_text(parts: Column) -> Column:
         whole = T.blank_punctuation(F.col(text_col))
-        return F.transform(
+        clauses = F.transform(
             parts,
-            lambda part: F.struct(
+            lambda part, idx: F.struct(
+                idx.alias("clause_idx"),
                 part.alias("clause_kma"),
                 F.when(F.size(parts) == 1, whole).otherwise(T.strip(compose_jamo(T.strip_tags(part)))).alias("clause"),
             ),
         )
+        return F.filter(clauses, lambda clause: clause["clause"] != "")
 
     clauses = let(F.split(F.col(kma_col), tags.CLAUSE_MARK, -1), with_text)
-    return (
-        tagged.select(*others, F.posexplode(clauses).alias("clause_idx", "_clause"))
-        .where(F.col("_clause.clause") != "")
-        .select(*others, "clause_idx", "_clause.*")
-    )
+    return tagged.select(*others, F.explode_outer(clauses).alias("_clause")).select(*others, "_clause.*")
 
 
 def _plain(tagged: Column) -> Column:
@@ -108,9 +109,8 @@ def clause_sentiments(tagged: DataFrame, verb_dict: DataFrame, verb_part: str =
     """One label per clause. Subjects share the verb's sentiment, so no grouping is needed."""
     clauses = analysed_clauses(tagged, verb_dict, verb_part)
     shared = F.array(F.col("sentiment"))
-    return clauses.withColumn(
-        "clause_sentiment", F.when(F.size("subjects") > 0, let(shared, clause_label)).otherwise(tags.NEUTRAL)
-    )
+    label = F.when(F.size("subjects") > 0, let(shared, clause_label)).otherwise(tags.NEUTRAL)
+    return clauses.withColumn("clause_sentiment", F.when(F.col("clause_idx").isNotNull(), label))
 
 
 def extract_attributes(

@@ -41,7 +41,7 @@ def attribute_rows(tagged: DataFrame, verb_dict: DataFrame, category: DataFrame,
 
 def clause_documents(tagged: DataFrame, verb_dict: DataFrame) -> DataFrame:
     """One JSON document per clause, with an id that is unique within the document."""
-    rows = clauses.clause_sentiments(tagged, verb_dict)
+    rows = clauses.clause_sentiments(tagged, verb_dict).where(F.col("clause_idx").isNotNull())
     source = {
         "sentence": F.col("sentence"), "sentence_kma": F.col("clause_kma"), "sentiment": F.col("clause_sentiment"),
     }
@@ -69,7 +69,7 @@ def survey_attributes(
 
 
 def survey_documents(tagged: DataFrame, verb_dict: DataFrame) -> DataFrame:
-    """One JSON document per clause of a comment."""
+    """One JSON document per clause of a comment; a sentence without clauses gives one with empty values."""
     rows = clauses.clause_sentiments(tagged, verb_dict)
     source = {
         "content": F.col("content"), "sentence": F.col("sentence"),

@@ -57,6 +57,18 @@ def test_empty_tagged_text_gives_an_empty_subject(spark, dictionaries):
     assert attributes(spark, dictionaries, "") == [(0, 0, "", "", "", "")]
 
 
+def test_sentence_without_clauses_keeps_a_row(spark, dictionaries):
+    assert attributes(spark, dictionaries, "/EM ") == [(None, None, None, None, None, None)]
+    survey = spark.createDataFrame(
+        [("c", "r", "a", "l", "글", 0, "글", "/EM ")],
+        "case_id string, response_id string, answer_id string, language_id string, content string, sentence_idx int, sentence string, sentence_kma string",
+    )
+    row = jobs.survey_documents(survey, dictionaries[0]).first()
+    assert row.id == "c_r_a_l_0" and '"sentence_kma":"","sentiment":""' in row.document
+    rows = jobs.survey_attributes(survey, *dictionaries).collect()
+    assert [(r.content, r.clause, r.subject) for r in rows] == [("글", None, None)]
+
+
 def test_connective_splits_clauses(spark, dictionaries):
     got = attributes(spark, dictionaries, "값/NNG+이/J_ 싸/VA 고/EM 차/NNG+는/J_ 느리다/VA")
     assert [(r[0], r[2], r[4], r[5]) for r in got] == [(0, "값", "긍정", "C01"), (1, "차", "부정", "C03")]
