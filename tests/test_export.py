@@ -180,3 +180,14 @@ def test_unordered_pages(spark, docs):
     matched = docs.select(F.lit(1).alias("seq"), F.lit(6).alias("dataset_seq"), "doc_id").repartition(1)
     sinks.write_pages_unordered(matched, path, 2, ["doc_id"])
     assert len(glob.glob(f"{path.removeprefix('file:')}/seq=1/dataset_seq=6/*.csv")) == 3
+
+
+def test_filters_reach_the_scan(spark, docs):
+    path = fresh_path(spark, "docs")
+    docs.write.parquet(path)
+    stored = spark.read.parquet(path)
+    plan = matching.in_channels(matching.in_period(stored, "2024-01-02 00:00:00", ""), "2^11").select("doc_id")
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    pushed = text[text.index("PushedFilters") :]
+    assert "GreaterThanOrEqual(doc_datetime" in pushed
+    assert "doc_content" not in text[text.index("ReadSchema") :]
