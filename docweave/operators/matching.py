@@ -17,6 +17,9 @@ from docweave.functions.dictionary import let
 # Bounds that stand for a missing date.
 FIRST_MOMENT, LAST_MOMENT = "1900-01-01 00:00:00", "2100-12-31 23:59:59"
 
+# Datasets with more rules keep one row per rule instead of carrying all of them on each row.
+RULES_IN_ROW = 64
+
 RULE = (
     "struct<required:array<string>,title:array<string>,content:array<string>,url:array<string>>"
 )
@@ -115,7 +118,31 @@ def _year_key(year: Column) -> Column:
     return F.concat(F.lit("#"), year.cast("string"))
 
 
-def targets(requests: DataFrame, rules: DataFrame | None) -> DataFrame:
+def _rules_per_entry_word(rules: DataFrame, rules_in_row: int) -> DataFrame:
+    """`dataset_seq`, `entry_key`, the `rules` to test there, and all `entry_words` of the dataset.
+
+    A dataset of more than `rules_in_row` rules has one row per rule, and its `entry_words` are left empty.
+    """
+    active = active_rules(rules)
+    sizes = active.groupBy("dataset_seq").agg(F.count(F.lit(1)).alias("_n"))
+    sized = active.join(broadcast_if_small(sizes), "dataset_seq")
+    whole = (
+        sized.where(F.col("_n") <= rules_in_row)
+        .groupBy("dataset_seq")
+        .agg(
+            F.array_sort(F.collect_list("rule")).alias("rules"),
+            F.array_sort(F.collect_set("entry_word")).alias("entry_words"),
+        )
+        .select("dataset_seq", F.explode_outer("entry_words").alias("entry_key"), "rules", "entry_words")
+    )
+    single = sized.where(F.col("_n") > rules_in_row).select(
+        "dataset_seq", F.col("entry_word").alias("entry_key"), F.array("rule").alias("rules"),
+        F.array().cast("array<string>").alias("entry_words"),
+    )
+    return whole.unionByName(single)
+
+
+def targets(requests: DataFrame, rules: DataFrame | None, rules_in_row: int = RULES_IN_ROW) -> DataFrame:
     """Requests as targets: `seq`, `dataset_seq`, `channels`, `start`, `end`, `rules`, `entry_words`, `entry_key`.
 
     Input has one row per (request, dataset), as `requests.with_datasets` gives. A dataset without active
@@ -136,18 +163,8 @@ def targets(requests: DataFrame, rules: DataFrame | None) -> DataFrame:
     )
     if rules is None:
         return open_targets
-    per_dataset = (
-        active_rules(rules)
-        .groupBy("dataset_seq")
-        .agg(
-            F.array_sort(F.collect_list("rule")).alias("rules"),
-            F.array_sort(F.collect_set("entry_word")).alias("entry_words"),
-        )
-    )
-    ruled = base.join(broadcast_if_small(per_dataset), "dataset_seq").select(
-        *base.columns, "rules", "entry_words", F.explode("entry_words").alias("entry_key")
-    )
-    return open_targets.unionByName(ruled)
+    entries = _rules_per_entry_word(rules, rules_in_row)
+    return open_targets.unionByName(base.join(broadcast_if_small(entries), "dataset_seq"))
 
 
 _TEXTS = ["_title", "_content", "_url", "_keys"]
@@ -178,7 +195,8 @@ def _accepted() -> Column:
     return (
         F.col("doc_datetime").between(F.col("start"), F.col("end"))
         & (F.col("channels").isNull() | F.array_contains(F.coalesce("channels", F.array(pair)), pair))
-        & ((F.size("entry_words") == 0) | ((first_key == F.col("entry_key")) & by_rule))
+        & ((F.size("entry_words") == 0) | (first_key == F.col("entry_key")))
+        & ((F.size("rules") == 0) | by_rule)
     )
 
 
@@ -187,14 +205,15 @@ def filter_documents(
     requests: DataFrame,
     rules: DataFrame | None = None,
     max_in_plan: int = PLAN_ROWS,
+    rules_in_row: int = RULES_IN_ROW,
 ) -> DataFrame:
     """Every (request, dataset, document) for which the document answers the request.
 
     `requests` has one row per (request, dataset). The columns of `docs` are kept, after `seq` and
     `dataset_seq`.
     """
-    # Small, and read three times: for its keys, for its size and by the join.
-    wanted = targets(requests, rules).persist()
+    # Small, and read several times: for its keys, for its size and by the join.
+    wanted = targets(requests, rules, rules_in_row).persist()
     keys = rows_if_small(wanted.select("entry_key").distinct(), max_in_plan)
     texts = _with_texts(docs)
     if keys is not None:
@@ -216,16 +235,21 @@ def filter_documents(
         narrow = texts.select("doc_id", F.explode(held).alias("entry_key"))
         candidates = narrow.join(broadcast_if_small(wanted), "entry_key")
         pairs = texts.withColumn("_keys", held).join(candidates, "doc_id")
-    return pairs.where(_accepted()).select("seq", "dataset_seq", *docs.columns)
+    found = pairs.where(_accepted()).select("seq", "dataset_seq", *docs.columns)
+    # Only where a dataset has one row per rule can a pair be found twice.
+    single_rules = wanted.where((F.size("entry_words") == 0) & (F.size("rules") > 0))
+    return found if single_rules.isEmpty() else found.dropDuplicates(["seq", "dataset_seq", "doc_id"])
 
 
-def match_datasets(docs: DataFrame, rules: DataFrame, max_in_plan: int = PLAN_ROWS) -> DataFrame:
+def match_datasets(
+    docs: DataFrame, rules: DataFrame, max_in_plan: int = PLAN_ROWS, rules_in_row: int = RULES_IN_ROW
+) -> DataFrame:
     """Every (dataset, document) for which at least one rule of the dataset accepts the document."""
     requests = rules.select(
         F.lit(0).alias("seq"), "dataset_seq", F.lit("all").alias("channel"), F.lit("").alias("start_date"),
         F.lit("").alias("end_date"),
     ).distinct()
-    return filter_documents(docs, requests, rules, max_in_plan).drop("seq")
+    return filter_documents(docs, requests, rules, max_in_plan, rules_in_row).drop("seq")
 
 
 def rule_decisions(docs: DataFrame, rules: DataFrame, keep: list[str], max_in_plan: int = PLAN_ROWS) -> DataFrame:

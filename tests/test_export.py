@@ -95,8 +95,8 @@ def test_matching_equals_brute_force(spark):
         and not any(has(title, p) for p in terms(no_title)) and not any(has(content, p) for p in terms(no_content))
         and not any(u in url for u in terms(no_url))
     }
-    for limit in (4096, 0):
-        rows = matching.match_datasets(frame, spark.createDataFrame(rules, RULE_SCHEMA), limit).collect()
+    for limit, in_row in ((4096, 64), (0, 64), (4096, 3), (0, 0)):
+        rows = matching.match_datasets(frame, spark.createDataFrame(rules, RULE_SCHEMA), limit, in_row).collect()
         assert len(rows) == len(want) and {(r.dataset_seq, r.doc_id) for r in rows} == want
 
 
