@@ -80,13 +80,21 @@ def add_subjects_and_verb(clauses: DataFrame, kma_col: str = "clause_kma", verb_
     parts = F.split(kma, tags.PARTICLE, -1)
     words = F.split(kma, " ", -1)
     chosen = {"as_written": F.get(parts, F.lit(1)), "last": F.get(parts, F.size(parts) - 1)}[verb_part]
-    verb_words = F.transform(F.filter(words, _is_verb), lambda word: F.concat(F.lit(" "), _plain(word)))
-    nouns = F.transform(F.filter(words, lambda word: ~_is_verb(word)), _plain)
+
+    def plain_words(chosen: Column) -> Column:
+        """Plain forms with a space before each; tags and letters never reach across a space."""
+        joined = compose_jamo(T.strip_tags(F.array_join(F.transform(chosen, T.strip), " ")))
+        return F.when(F.size(chosen) > 0, F.concat(F.lit(" "), joined)).otherwise("")
+
+    verb_words = let(F.filter(words, _is_verb), plain_words)
+    noun_words = let(F.filter(words, lambda word: ~_is_verb(word)), plain_words)
+    # The text before the first space is no noun.
+    nouns = let(F.split(noun_words, " ", -1), lambda list_: F.slice(list_, F.lit(2), F.size(list_)))
     no_particle = F.size(parts) == 1
     return clauses.select(
         "*",
         F.size(parts).alias("n_parts"),
-        F.when(no_particle, F.array_join(verb_words, "")).otherwise(_plain(chosen)).alias("verb"),
+        F.when(no_particle, verb_words).otherwise(_plain(chosen)).alias("verb"),
         F.when(no_particle, nouns).otherwise(split_conjuncts(subject_part(kma))).alias("subjects"),
     )
 
