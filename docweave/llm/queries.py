@@ -24,7 +24,7 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
 }
 
-_WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), w -> w <> '')"
+_WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
 
 ORACLE = {
     "op6_exact_dedup": """
@@ -35,7 +35,7 @@ ORACLE = {
     "op8_quality_rules": rf"""
         WITH split AS (
             SELECT doc_id, coalesce(text, '') AS text, {_WORDS} AS words,
-                   list_filter(string_split(coalesce(text, ''), chr(10)), l -> regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
+                   list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
             FROM documents
         ), windows AS (
             SELECT doc_id, i, words[i:i + 7] AS w FROM (SELECT doc_id, words, unnest(range(1, len(words) - 6)) AS i FROM split)
