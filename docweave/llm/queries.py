@@ -2,11 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
 
 from docweave.llm import common
 from docweave.llm.exact_dedup import exact_dedup
+from docweave.llm.packing import pack_documents
 from docweave.llm.quality_rules import apply_policy, ledger
+from docweave.llm.token_counts import token_counts
+
+BYTE_BPE = "byte_bpe_50k.json"
+
+
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(common.documents(spark, sf_dir), public_tokenizers.path(BYTE_BPE))
+
+
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(common.documents(spark, sf_dir), public_tokenizers.path(BYTE_BPE))
 
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,6 +33,8 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_best_fit_packing": op1_best_fit_packing,
+    "op4_token_counts": op4_token_counts,
     "op6_exact_dedup": op6_exact_dedup,
     "op8_quality_rules": op8_quality_rules,
 }
