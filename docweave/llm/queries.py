@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from docweave.llm import common
 from docweave.llm.exact_dedup import exact_dedup
 from docweave.llm.packing import pack_documents
+from docweave.llm.quality_classifier import quality_scores, train as train_quality
 from docweave.llm.quality_rules import apply_policy, ledger
 from docweave.llm.token_counts import token_counts
 
@@ -18,6 +19,11 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(common.documents(spark, sf_dir), public_tokenizers.path(BYTE_BPE))
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.documents(spark, sf_dir)
+    return quality_scores(docs, train_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(common.documents(spark, sf_dir), public_tokenizers.path(BYTE_BPE))
 
@@ -34,6 +40,7 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op3_quality_classifier": op3_quality_classifier,
     "op4_token_counts": op4_token_counts,
     "op6_exact_dedup": op6_exact_dedup,
     "op8_quality_rules": op8_quality_rules,
