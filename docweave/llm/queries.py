@@ -11,6 +11,7 @@ from docweave.llm.packing import pack_documents
 from docweave.llm.quality_classifier import quality_scores, train as train_quality
 from docweave.llm.quality_rules import apply_policy, ledger
 from docweave.llm.token_counts import token_counts
+from docweave.llm.toxicity import toxicity_scores, train as train_toxicity
 
 BYTE_BPE = "byte_bpe_50k.json"
 
@@ -38,12 +39,18 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(*first, "fail_bits", "n_lines", "n_capitals", "n_exclamations")
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.documents(spark, sf_dir)
+    return toxicity_scores(docs, train_toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op3_quality_classifier": op3_quality_classifier,
     "op4_token_counts": op4_token_counts,
     "op6_exact_dedup": op6_exact_dedup,
     "op8_quality_rules": op8_quality_rules,
+    "op9_toxicity": op9_toxicity,
 }
 
 _WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
