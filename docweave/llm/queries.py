@@ -10,6 +10,7 @@ from docweave.llm.exact_dedup import exact_dedup
 from docweave.llm.packing import pack_documents
 from docweave.llm.quality_classifier import quality_scores, train as train_quality
 from docweave.llm.quality_rules import apply_policy, ledger
+from docweave.llm.secrets import find_secrets, learn_limits
 from docweave.llm.token_counts import token_counts
 from docweave.llm.toxicity import toxicity_scores, train as train_toxicity
 
@@ -33,6 +34,11 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(common.documents(spark, sf_dir)).drop("_file", "_row")
 
 
+def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.documents(spark, sf_dir)
+    return find_secrets(docs, learn_limits(docs))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = apply_policy(ledger(common.documents(spark, sf_dir)), 2)
     first = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
@@ -49,6 +55,7 @@ QUERIES = {
     "op3_quality_classifier": op3_quality_classifier,
     "op4_token_counts": op4_token_counts,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_secret_scans": op7_secret_scans,
     "op8_quality_rules": op8_quality_rules,
     "op9_toxicity": op9_toxicity,
 }
@@ -61,6 +68,7 @@ ORACLE = {
                doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
     """,
+    "op7_secret_scans": op7_secret_scans,
     "op8_quality_rules": rf"""
         WITH split AS (
             SELECT doc_id, coalesce(text, '') AS text, {_WORDS} AS words,
