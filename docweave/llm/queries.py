@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from docweave.llm import common
 from docweave.llm.exact_dedup import exact_dedup
+from docweave.llm.near_dedup import near_dedup
 from docweave.llm.packing import pack_documents
 from docweave.llm.quality_classifier import quality_scores, train as train_quality
 from docweave.llm.quality_rules import apply_policy, ledger
@@ -50,6 +51,10 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(docs, train_toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
+def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup(common.documents(spark, sf_dir), width=2).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op3_quality_classifier": op3_quality_classifier,
@@ -58,6 +63,7 @@ QUERIES = {
     "op7_secret_scans": op7_secret_scans,
     "op8_quality_rules": op8_quality_rules,
     "op9_toxicity": op9_toxicity,
+    "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
 
 _WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
