@@ -12,6 +12,7 @@ from docweave.llm.packing import pack_documents
 from docweave.llm.quality_classifier import quality_scores, train as train_quality
 from docweave.llm.quality_rules import apply_policy, ledger
 from docweave.llm.secrets import find_secrets, learn_limits
+from docweave.llm.substring_dedup import substring_dedup
 from docweave.llm.token_counts import token_counts
 from docweave.llm.toxicity import toxicity_scores, train as train_toxicity
 
@@ -22,6 +23,10 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(common.documents(spark, sf_dir), public_tokenizers.path(BYTE_BPE))
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup(common.documents(spark, sf_dir)).drop("spans")
+
+
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.documents(spark, sf_dir)
     return quality_scores(docs, train_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
@@ -57,6 +62,7 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_quality_classifier": op3_quality_classifier,
     "op4_token_counts": op4_token_counts,
     "op6_exact_dedup": op6_exact_dedup,
@@ -69,6 +75,23 @@ QUERIES = {
 _WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
 
 ORACLE = {
+    "op2_substring_dedup": rf"""
+        WITH split AS (SELECT doc_id, {_WORDS} AS words FROM documents),
+        windows AS (
+            SELECT doc_id, i, sha256(array_to_string(words[i:i + 19], ' ')) AS w
+            FROM (SELECT doc_id, words, unnest(range(1, len(words) - 18)) AS i FROM split)
+        ), later AS (
+            SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY w ORDER BY doc_id, i) AS n FROM windows) WHERE n > 1
+        ), gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS j FROM later),
+        kept AS (
+            SELECT doc_id, string_agg(word, ' ' ORDER BY j) AS text, count(*) AS n
+            FROM (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS j FROM split)
+            ANTI JOIN gone USING (doc_id, j) GROUP BY doc_id
+        )
+        SELECT doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n, 0))::BIGINT AS n_removed,
+               sha256(coalesce(text, '')) AS kept_sha256
+        FROM split LEFT JOIN kept USING (doc_id)
+    """,
     "op6_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
