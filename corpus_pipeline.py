@@ -1,11 +1,29 @@
-"""The corpus pipeline: toxicity, exact copies, near copies, secrets, packing."""
+"""The corpus pipeline: toxic documents, exact copies, near copies, secrets, packing.
+
+Every stage but the last takes and returns rows with the columns of `documents`. Between stages the rows are written as
+Parquet to the shared folder, so a lost executor costs no earlier stage.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from docweave.llm import common
 from docweave.llm.exact_dedup import drop_copies
+from docweave.llm.near_dedup import drop_near_copies
+from docweave.llm.packing import pack_documents
+from docweave.llm.secrets import learn_limits, redact
+from docweave.llm.toxicity import drop_toxic, train
+
+TOKENIZER = "byte_bpe_50k.json"
+#: Words of a shingle for near copies.
+SHINGLE_WORDS = 5
+
+
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents scored 0.7 or more by a model that learns from the labels of `sf_dir` go."""
+    return drop_toxic(docs, train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -13,12 +31,35 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return drop_copies(docs)
 
 
-STAGES = [("exact_dedup", exact_stage)]
+def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies the row with the smallest doc_id stays."""
+    return drop_near_copies(docs, SHINGLE_WORDS)
+
+
+def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents stay; secrets in them are replaced by a mark."""
+    return redact(docs, learn_limits(docs))
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents with their sequences."""
+    return pack_documents(docs, public_tokenizers.path(TOKENIZER))
+
+
+STAGES = [
+    ("toxicity", toxicity_stage),
+    ("exact_dedup", exact_stage),
+    ("minhash_near_dedup", near_stage),
+    ("secret_scans", secrets_stage),
+    ("best_fit_packing", packing_stage),
+]
+#: The trained filter has no SQL; tests compare the stages with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The result of all stages over the documents of `sf_dir`."""
     docs = common.documents(spark, sf_dir)
-    for name, stage in STAGES:
+    for name, stage in STAGES[:-1]:
         docs = common.written(stage(spark, docs, sf_dir), name)
-    return docs
+    return STAGES[-1][1](spark, docs, sf_dir)

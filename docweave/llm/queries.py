@@ -9,6 +9,7 @@ from docweave.llm import common
 from docweave.llm.exact_dedup import exact_dedup
 from docweave.llm.near_dedup import near_dedup
 from docweave.llm.packing import pack_documents
+from docweave.llm.pieces import encoding_report
 from docweave.llm.quality_classifier import quality_scores, train as train_quality
 from docweave.llm.quality_rules import apply_policy, ledger
 from docweave.llm.secrets import find_secrets, learn_limits
@@ -17,6 +18,7 @@ from docweave.llm.token_counts import token_counts
 from docweave.llm.toxicity import toxicity_scores, train as train_toxicity
 
 BYTE_BPE = "byte_bpe_50k.json"
+PIECE_BPE = "piece_bpe_32k.model"
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,6 +38,10 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(common.documents(spark, sf_dir), public_tokenizers.path(BYTE_BPE))
 
 
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encoding_report(common.documents(spark, sf_dir), public_tokenizers.path(PIECE_BPE))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(common.documents(spark, sf_dir)).drop("_file", "_row")
 
@@ -65,6 +71,7 @@ QUERIES = {
     "op2_substring_dedup": op2_substring_dedup,
     "op3_quality_classifier": op3_quality_classifier,
     "op4_token_counts": op4_token_counts,
+    "op5_sentencepiece": op5_sentencepiece,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_secret_scans": op7_secret_scans,
     "op8_quality_rules": op8_quality_rules,
