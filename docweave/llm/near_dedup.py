@@ -204,7 +204,10 @@ def _blocks(posts: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFram
     as_b = F.transform(F.sequence(F.lit(0), F.col("a_blocks") - 1), lambda a: F.struct(a.alias("a_block"), F.col("own_b").alias("b_block")))
     as_a = F.when(F.col("own_a") >= 0, F.transform(F.sequence(F.lit(0), F.col("b_blocks") - 1), lambda b: F.struct(F.col("own_a").alias("a_block"), b.alias("b_block"))))
     dealt = rows.select("token", "node", "component", "own_a", "own_b", F.explode(F.array_union(as_b, F.coalesce(as_a, F.array().cast(rows.select(as_b).schema[0].dataType)))).alias("k"))
-    return dealt.select("token", "k.*", "node", "component", "own_a", "own_b").join(classes.select("node", "n", "signature", "short"), "node")
+    # Sets are long: only those of rows that meet are shuffled.
+    needed = common.small(common.written(rows.select("node").distinct(), "block-nodes"))
+    sets = classes.select("node", "n", "signature", "short").join(needed, "node")
+    return dealt.select("token", "k.*", "node", "component", "own_a", "own_b").join(sets, "node")
 
 
 def _confirmed(links: DataFrame, reps: DataFrame, source: DataFrame, width: int) -> DataFrame:
@@ -254,7 +257,9 @@ def near_dedup(docs: DataFrame, width: int = 5, id_col: str = "doc_id", text_col
     fits = 100 * F.least("n_a", "n_b") >= SIMILARITY * F.greatest("n_a", "n_b")
     checked = firsts.join(short_of("a"), "a").join(short_of("b"), "b").where(fits).where(matches >= MATCHES).select("a", "b")
     checked = common.written(checked, "pairs")
-    sets = lambda side: classes.select(F.col("node").alias(side), F.col("short").alias(f"short_{side}"))
+    needed = checked.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    needed = classes.select("node", "short").join(common.small(common.written(needed, "pair-nodes")), "node")
+    sets = lambda side: needed.select(F.col("node").alias(side), F.col("short").alias(f"short_{side}"))
     links = _first_links(checked.join(sets("a"), "a").join(sets("b"), "b"))
     sure = common.written(_confirmed(common.written(links, "first-links"), reps, source, width), "sure-links")
     labels = common.written(components(sure), "labels")
