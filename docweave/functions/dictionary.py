@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import zlib
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, functions as F
@@ -13,14 +14,23 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def literal_map(entries: Mapping[str, object], value_type: str) -> Column:
-    """A map literal; Catalyst folds the parsing away when it plans the query."""
-    return F.from_json(F.lit(json.dumps(entries, ensure_ascii=False)), f"map<string,{value_type}>")
+# Entries of a bucket on average: a map is searched from its first entry on.
+BUCKET_ENTRIES = 2
+
+
+def literal_buckets(entries: Mapping[str, object], value_type: str) -> tuple[Column, int]:
+    """Map literals by crc32 of the key, and their number; Catalyst folds the parsing away when it plans the query."""
+    n = max(1, len(entries) // BUCKET_ENTRIES)
+    buckets: list[dict] = [{} for _ in range(n)]
+    for key, value in entries.items():
+        buckets[zlib.crc32(key.encode()) % n][key] = value
+    return F.from_json(F.lit(json.dumps(buckets, ensure_ascii=False)), f"array<map<string,{value_type}>>"), n
 
 
 def lookup(key: Column, entries: Mapping[str, object], value_type: str, default: Column) -> Column:
-    """Value of `key`. Membership is a hash test, so keys that are not in the map cost little."""
+    """Value of `key`. Membership is a hash test and a hit searches one bucket, so large dictionaries cost the same."""
     if not entries:
         return default
-    found = F.element_at(literal_map(entries, value_type), key)
+    buckets, n = literal_buckets(entries, value_type)
+    found = F.element_at(F.get(buckets, (F.crc32(key.cast("binary")) % n).cast("int")), key)
     return F.when(key.isin(list(entries)), found).otherwise(default)

@@ -12,6 +12,8 @@ from docweave.functions.dictionary import let, lookup
 from docweave.functions.text import tokens
 
 HOT_ENTRIES = 1_000
+# Tokens that are set apart because many entries hold them, at most; the answer is the same for any number.
+HOT_TOKENS = 500
 POSTING = "array<struct<key:string,value:string>>"
 
 
@@ -84,7 +86,8 @@ def best_match(
 ) -> DataFrame:
     """Value of the entry that shares most distinct tokens with `text`, the first key on a tie; '' if none does.
 
-    A dictionary of at most `max_in_plan` (token, entry) pairs is matched inside the row. A larger one is
+    An entry is a (key, value) with the tokens of all its rows. A dictionary of at most `max_in_plan` (token, entry)
+    pairs is matched inside the row. A larger one is
     matched once per distinct text, and the answers are joined back.
     """
     postings = _postings(dictionary)
@@ -111,10 +114,12 @@ def _best_by_join(texts: DataFrame, dictionary: DataFrame, hot_entries: int) ->
     nothing else with a text differ only in which hot tokens they hold, so of each such set the first entry by
     key stands for all.
     """
-    entries = dictionary.select("key", "value", F.array_distinct(tokens(F.col("words"))).alias("words")).distinct()
+    listed = dictionary.select("key", "value", tokens(F.col("words")).alias("words"))
+    entries = listed.groupBy("key", "value").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("words")))).alias("words"))
     postings = entries.select("key", "value", "words", F.explode("words").alias("token"))
     counts = postings.groupBy("token").count()
-    hot = [row.token for row in counts.where(F.col("count") > hot_entries).collect()]
+    most = counts.where(F.col("count") > hot_entries).orderBy(F.desc("count"), "token").limit(HOT_TOKENS)
+    hot = [row.token for row in most.collect()]
     split = texts.select("_text", F.array_distinct(tokens(F.col("_text"))).alias("_tokens"))
     rare_postings = postings.where(~F.col("token").isin(hot)) if hot else postings
     overlap = F.size(F.array_intersect("_tokens", "words"))

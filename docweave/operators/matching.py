@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from docweave.bounds import PLAN_ROWS, broadcast_if_small, rows_if_small
 from docweave.functions import text as T
 from docweave.functions.dictionary import let
+from docweave.scratch import written_table
 
 # Bounds that stand for a missing date.
 FIRST_MOMENT, LAST_MOMENT = "1900-01-01 00:00:00", "2100-12-31 23:59:59"
@@ -20,6 +21,9 @@ FIRST_MOMENT, LAST_MOMENT = "1900-01-01 00:00:00", "2100-12-31 23:59:59"
 # Datasets with more rules keep one row per rule instead of carrying all of them on each row.
 RULES_IN_ROW = 64
 
+# First channel numbers that a scan is pruned by, at most.
+CHANNELS_IN_PLAN = 256
+
 RULE = (
     "struct<required:array<string>,title:array<string>,content:array<string>,url:array<string>>"
 )
@@ -210,35 +214,63 @@ def filter_documents(
     """Every (request, dataset, document) for which the document answers the request.
 
     `requests` has one row per (request, dataset). The columns of `docs` are kept, after `seq` and
-    `dataset_seq`.
+    `dataset_seq`. Each row of `docs` counts for itself, also where ids are null or repeated.
     """
-    # Small, and read several times: for its keys, for its size and by the join.
-    wanted = targets(requests, rules, rules_in_row).persist()
+    # Small, and read several times: for its bounds, its keys, its size and by the join.
+    wanted = written_table(targets(requests, rules, rules_in_row), "targets")
     keys = rows_if_small(wanted.select("entry_key").distinct(), max_in_plan)
-    texts = _with_texts(docs)
-    if keys is not None:
-        # Only keys that some target asks for leave the row, so few copies of a document are made.
-        asked = [row.entry_key for row in keys]
-        held = F.array_distinct(F.filter(_entry_keys(), lambda key: key.isin(asked)))
-        # Exploding an expression instead of a column keeps Spark from testing its size ahead, at double cost.
-        with_all = let(
-            held, lambda keys: F.transform(keys, lambda key: F.struct(key.alias("entry_key"), keys.alias("_keys")))
-        )
-        pairs = (
-            texts.select("*", F.explode(with_all).alias("_held"))
-            .select(*texts.columns, "_held.*")
-            .join(broadcast_if_small(wanted), "entry_key")
-        )
-    else:
-        # Too many keys for the plan: find the candidate pairs on narrow rows, then fetch the documents.
-        held = F.array_distinct(_entry_keys())
-        narrow = texts.select("doc_id", F.explode(held).alias("entry_key"))
-        candidates = narrow.join(broadcast_if_small(wanted), "entry_key")
-        pairs = texts.withColumn("_keys", held).join(candidates, "doc_id")
-    found = pairs.where(_accepted()).select("seq", "dataset_seq", *docs.columns)
     # Only where a dataset has one row per rule can a pair be found twice.
-    single_rules = wanted.where((F.size("entry_words") == 0) & (F.size("rules") > 0))
-    return found if single_rules.isEmpty() else found.dropDuplicates(["seq", "dataset_seq", "doc_id"])
+    once = wanted.where((F.size("entry_words") == 0) & (F.size("rules") > 0)).isEmpty()
+    if not once or keys is None:
+        return _filter_by_number(_pruned(docs, wanted), wanted, docs.columns)
+    texts = _with_texts(_pruned(docs, wanted))
+    # Only keys that some target asks for leave the row, so few copies of a document are made.
+    asked = [row.entry_key for row in keys]
+    held = F.array_distinct(F.filter(_entry_keys(), lambda key: key.isin(asked)))
+    # Exploding an expression instead of a column keeps Spark from testing its size ahead, at double cost.
+    with_all = let(
+        held, lambda keys: F.transform(keys, lambda key: F.struct(key.alias("entry_key"), keys.alias("_keys")))
+    )
+    pairs = (
+        texts.select("*", F.explode(with_all).alias("_held"))
+        .select(*texts.columns, "_held.*")
+        .join(broadcast_if_small(wanted), "entry_key")
+    )
+    return pairs.where(_accepted()).select("seq", "dataset_seq", *docs.columns)
+
+
+def _pruned(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Documents in the period of all targets together, and in their channels if none asks for every channel.
+
+    The bounds are a few values, so they are plain conditions that reach the scan of stored documents.
+    """
+    span = wanted.agg(F.min("start").alias("start"), F.max("end").alias("end"), F.count_if(F.col("channels").isNull()).alias("n_every")).first()
+    if span.start is None:
+        return docs.where(F.lit(False))
+    docs = docs.where(F.col("doc_datetime").between(F.lit(span.start), F.lit(span.end)))
+    if span.n_every:
+        return docs
+    firsts = rows_if_small(wanted.select(F.explode("channels.depth1_seq").alias("depth1_seq")).distinct(), CHANNELS_IN_PLAN)
+    if firsts is None:
+        return docs
+    return docs.where(F.col("depth1_seq").isin([row.depth1_seq for row in firsts if row.depth1_seq is not None]))
+
+
+def _filter_by_number(docs: DataFrame, wanted: DataFrame, columns: list[str]) -> DataFrame:
+    """The same pairs for many entry keys, or for datasets with one row per rule.
+
+    Documents get a number that is written once, because their ids may be null or repeated. Candidates and accepted
+    pairs are found on narrow rows; a pair that several rules accept counts once.
+    """
+    numbered = written_table(docs.select("*", F.monotonically_increasing_id().alias("_number")), "documents")
+    texts = _with_texts(numbered)
+    held = F.array_distinct(_entry_keys())
+    bounded = broadcast_if_small(wanted.select("entry_key").distinct())
+    met = texts.select("_number", F.explode(held).alias("entry_key")).join(bounded, "entry_key", "left_semi")
+    keys = met.groupBy("_number").agg(F.collect_set("entry_key").alias("_keys"))
+    candidates = texts.join(keys, "_number").select("*", F.explode("_keys").alias("entry_key")).join(broadcast_if_small(wanted), "entry_key")
+    accepted = candidates.where(_accepted()).select("seq", "dataset_seq", "_number").distinct()
+    return numbered.join(accepted, "_number").select("seq", "dataset_seq", *columns)
 
 
 def match_datasets(

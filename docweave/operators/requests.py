@@ -17,11 +17,11 @@ REQUEST_COLUMNS = [
 ]
 
 
-def pending_requests(queue: DataFrame, users: DataFrame) -> DataFrame:
-    """Waiting requests of active users, with dates as text."""
+def pending_requests(queue: DataFrame, users: DataFrame, statuses: tuple[str, ...] = (PENDING,)) -> DataFrame:
+    """Requests of active users in one of `statuses`, with dates as text."""
     active = broadcast_if_small(users.where(F.col("use_yn") == "Y").select(F.col("seq").alias("_user")))
     return (
-        queue.where(F.col("status") == PENDING)
+        queue.where(F.col("status").isin(*statuses))
         .join(active, F.col("user_seq") == F.col("_user"))
         .withColumns(
             {
@@ -80,8 +80,12 @@ def swap_extension(path: str, extension: str):
 
 
 def current_status(events: DataFrame) -> DataFrame:
-    """Latest status of every request from an append-only table (seq, event_no, status)."""
-    return events.groupBy("seq").agg(F.max_by("status", "event_no").alias("status"))
+    """Latest status of every request from an append-only table (seq, event_no, status).
+
+    Of events with the same number the one furthest on (I, P, C) counts.
+    """
+    on = F.when(F.col("status") == PENDING, 0).when(F.col("status") == IN_PROGRESS, 1).otherwise(2)
+    return events.groupBy("seq").agg(F.max_by("status", F.struct("event_no", on)).alias("status"))
 
 
 def with_current_status(queue: DataFrame, events: DataFrame) -> DataFrame:
@@ -94,7 +98,14 @@ def with_current_status(queue: DataFrame, events: DataFrame) -> DataFrame:
     )
 
 
-def status_events(requests: DataFrame, status: str) -> DataFrame:
-    """Events to append when requests are taken up (P) or finished (C). P comes before C."""
-    order = {PENDING: 0, IN_PROGRESS: 1, DONE: 2}[status]
-    return requests.select("seq", F.lit(order).cast("bigint").alias("event_no"), F.lit(status).alias("status")).distinct()
+def status_events(requests: DataFrame, status: str, events: DataFrame | None = None) -> DataFrame:
+    """Events to append when requests are queued again (I), taken up (P) or finished (C).
+
+    Each has the number after the last one of its request in `events`, the log so far.
+    """
+    asked = requests.select("seq").distinct()
+    if events is None:
+        return asked.select("seq", F.lit(1).cast("bigint").alias("event_no"), F.lit(status).alias("status"))
+    last = events.groupBy("seq").agg(F.max("event_no").alias("_last"))
+    number = (F.coalesce("_last", F.lit(0)) + 1).cast("bigint")
+    return asked.join(last, "seq", "left").select("seq", number.alias("event_no"), F.lit(status).alias("status"))

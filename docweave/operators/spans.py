@@ -12,6 +12,8 @@ from docweave.operators.lookup import best_match, emotion_dictionary, exact_look
 from docweave.operators.payload import MATCHING_PAYLOAD, parse
 
 VERB_TYPES = ("VV", "VA", "XR")
+# Analyser tokens of one word, at most.
+WORD_TOKENS = 8
 
 
 def cause_spans(docs: DataFrame, keys: Sequence[str], body_col: str = "JSON") -> DataFrame:
@@ -56,7 +58,9 @@ def cause_spans(docs: DataFrame, keys: Sequence[str], body_col: str = "JSON") ->
 def described_tokens(tokens: Column, span: Column) -> Column:
     """Tokens inside [0, span) that belong to the cause.
 
-    After a word with a particle, tokens at other positions describe something else and are passed over.
+    After a word with a particle, tokens at other positions describe something else and are passed over: a token is
+    kept if no word with a particle came before it, or if its own word is one. Tokens are in order of position, a word's
+    form before its at most WORD_TOKENS - 1 other tokens.
     """
 
     def opens(token: Column) -> Column:
@@ -70,31 +74,31 @@ def described_tokens(tokens: Column, span: Column) -> Column:
         & (t["type"].isin(*VERB_TYPES, "NNG") | opens(t)),
     )
 
-    def step(state: Column, token: Column) -> Column:
-        kept = (state["position"] == -1) | (state["position"] == token["position"])
-        item = F.struct(token["token"].alias("token"), token["type"].alias("type"))
-        return F.when(opens(token), F.struct(token["position"].alias("position"), state["kept"].alias("kept"))).when(
-            kept,
-            F.struct(state["position"].alias("position"), F.array_append(state["kept"], item).alias("kept")),
-        ).otherwise(state)
+    def kept(tokens: Column) -> Column:
+        first = F.coalesce(F.get(F.filter(F.transform(tokens, lambda t, i: F.when(opens(t), i)), lambda i: i.isNotNull()), F.lit(0)), F.size(tokens))
 
-    start = F.struct(
-        F.lit(-1).alias("position"), F.array().cast("array<struct<token:string,type:string>>").alias("kept")
-    )
-    return F.aggregate(relevant, start, step, lambda state: state["kept"])
+        def own_word_opens(token: Column, i: Column) -> Column:
+            before = F.slice(tokens, F.greatest(i - WORD_TOKENS + 2, F.lit(1)), F.least(i, F.lit(WORD_TOKENS - 1)))
+            return F.exists(before, lambda other: opens(other) & (other["position"] == token["position"]))
+
+        return let(
+            first, lambda first: F.filter(tokens, lambda t, i: ~opens(t) & ((i < first) | own_word_opens(t, i)))
+        )
+
+    items = let(relevant, kept)
+    return F.transform(items, lambda t: F.struct(t["token"].alias("token"), t["type"].alias("type")))
 
 
 def last_per_token(kept: Column) -> Column:
-    """Keep the last entry of every distinct token."""
+    """Keep the last entry of every distinct token, in order. Two sorts instead of a search for each entry."""
     def last_ones(items: Column) -> Column:
-        return let(
-            F.reverse(F.transform(items, lambda item: item["token"])),
-            lambda backwards: F.filter(
-                items, lambda item, i: F.array_position(backwards, item["token"]) == F.size(backwards) - i
-            ),
-        )
+        return F.filter(items, lambda item, i: F.coalesce(F.get(items, i + 1)["token"] != item["token"], F.lit(True)))
 
-    return let(kept, last_ones)
+    placed = F.transform(kept, lambda item, i: F.struct(item["token"].alias("token"), i.alias("i"), item["type"].alias("type")))
+    by_place = F.array_sort(
+        F.transform(let(F.array_sort(placed), last_ones), lambda item: F.struct(item["i"].alias("i"), item["token"].alias("token"), item["type"].alias("type")))
+    )
+    return F.transform(by_place, lambda item: F.struct(item["token"].alias("token"), item["type"].alias("type")))
 
 
 def cause_verbs(

@@ -13,6 +13,7 @@ from docweave.bounds import PLAN_ROWS, broadcast_if_small, rows_if_small
 from docweave.functions import text as T
 from docweave.functions.dictionary import let, lookup
 from docweave.functions.tags import KOREAN, STOP_TYPES, Letters
+from docweave.scratch import written_table
 
 UNKNOWN_TAG = "NNG"
 
@@ -43,7 +44,8 @@ def tag_sentences(
     """Add the tagged form of `text_col`. `keys` identify a row.
 
     A word list of at most `max_in_plan` entries is looked up in the row itself. A larger one is joined word
-    by word, and the words are put back in order by key.
+    by word, and the words are put back in order by a number of the row. Both ways give the same rows, also for null
+    or repeated keys; a null text stays untagged.
     """
     entries = word_list(lexicon)
     small = rows_if_small(entries, max_in_plan)
@@ -53,21 +55,51 @@ def tag_sentences(
         tagged = F.transform(words, lambda word: lookup(word, pieces, "string", _unknown(word)))
         return sentences.withColumn(out_col, F.array_join(tagged, " "))
 
+    # The callers' keys may be null or repeated, and texts are long: rows get a number that is written once.
+    numbered = written_table(sentences.withColumn("_number", F.monotonically_increasing_id()), "sentences")
     known = broadcast_if_small(entries.select("word", "piece"))
     pieces = (
-        sentences.select(*keys, F.posexplode(words).alias("word_idx", "word"))
+        numbered.select("_number", F.posexplode(words).alias("word_idx", "word"))
         .join(known, "word", "left")
-        .groupBy(*keys)
+        .groupBy("_number")
         .agg(F.array_sort(F.collect_list(F.struct("word_idx", F.coalesce("piece", _unknown(F.col("word"))).alias("piece")))).alias("pieces"))
-        .select(*keys, F.array_join(F.col("pieces.piece"), " ").alias("_tagged"))
+        .select("_number", F.array_join(F.col("pieces.piece"), " ").alias("_tagged"))
     )
     return (
-        sentences.join(pieces, list(keys), "left")
-        .withColumn(out_col, F.coalesce("_tagged", F.lit("")))
-        .drop("_tagged")
+        numbered.join(pieces, "_number", "left")
+        .withColumn(out_col, F.when(F.col(text_col).isNotNull(), F.coalesce("_tagged", F.lit(""))))
+        .drop("_tagged", "_number")
     )
 
 
+OFFSET_BLOCK = 128
+
+
+def _starts(lengths: Column) -> Column:
+    """Sums of all lengths before each place, in blocks: an array that grows step by step is copied in every step."""
+
+    def running(values: Column, first: Column) -> Column:
+        return F.aggregate(values, F.array(first), lambda sums, value: F.array_append(sums, F.element_at(sums, -1) + value))
+
+    def of_blocks(blocks: Column) -> Column:
+        totals = F.transform(blocks, lambda block: F.aggregate(block, F.lit(0), lambda total, value: total + value))
+        return let(
+            running(totals, F.lit(0)),
+            lambda firsts: F.flatten(
+                F.transform(blocks, lambda block, b: F.slice(running(block, F.get(firsts, b)), 1, F.size(block)))
+            ),
+        )
+
+    def cut(values: Column) -> Column:
+        n_blocks = F.ceil(F.size(values) / OFFSET_BLOCK).cast("int")
+        blocks = F.transform(
+            F.sequence(F.lit(0), F.greatest(n_blocks - 1, F.lit(0))), lambda b: F.slice(values, b * OFFSET_BLOCK + 1, OFFSET_BLOCK)
+        )
+        return let(blocks, of_blocks)
+
+    return let(lengths, cut)
+
+
 def word_tokens(text: Column, lexicon_rows: Sequence, letters: Letters = KOREAN) -> Column:
     """Two analyser tokens per word: the word form (EOJEOL) and its content token.
 
@@ -78,11 +110,7 @@ def word_tokens(text: Column, lexicon_rows: Sequence, letters: Letters = KOREAN)
     unknown = F.struct(F.lit(UNKNOWN_TAG).alias("type"), F.lit(False).alias("particle"))
 
     def placed(words: Column) -> Column:
-        starts = F.aggregate(
-            words,
-            F.array(F.lit(0)),
-            lambda starts, word: F.array_append(starts, F.element_at(starts, -1) + F.char_length(word) + 1),
-        )
+        starts = _starts(F.transform(words, lambda word: F.char_length(word) + 1))
         return let(starts, lambda starts: F.flatten(F.transform(words, lambda word, i: pair(word, i, starts))))
 
     def pair(word: Column, position: Column, starts: Column) -> Column:

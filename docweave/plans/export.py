@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from docweave.bounds import broadcast_if_small
 from docweave.operators import matching, paging, requests
-from docweave.scratch import written_table
+from docweave.scratch import remove_tables, written_table
 from docweave.sinks.files import write_pages
 from docweave.sources.tables import DOCUMENT_COLUMNS
 
 
+STATUS_SCHEMA = "seq bigint, event_no bigint, status string"
+
+
 @dataclass
 class ControlTables:
     queue: DataFrame
@@ -21,9 +24,9 @@ class ControlTables:
     rules: DataFrame
 
 
-def named_requests(control: ControlTables) -> DataFrame:
+def named_requests(control: ControlTables, statuses: tuple[str, ...] = (requests.PENDING,)) -> DataFrame:
     """Pending (request, dataset) rows with their directory and file name."""
-    pending = requests.pending_requests(control.queue, control.users)
+    pending = requests.pending_requests(control.queue, control.users, statuses)
     return requests.with_file_names(requests.with_datasets(requests.with_type_names(pending, control.codes)))
 
 
@@ -32,16 +35,31 @@ def matched_documents(docs: DataFrame, control: ControlTables) -> DataFrame:
     return matching.filter_documents(docs, wanted, control.rules)
 
 
+def _log(spark: SparkSession, status_table: str) -> DataFrame:
+    """The status events so far; none before the first run."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(status_table)
+    if path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        return spark.read.schema(STATUS_SCHEMA).parquet(status_table)
+    return spark.createDataFrame([], STATUS_SCHEMA)
+
+
 def run_export(docs: DataFrame, control: ControlTables, base_dir: str, status_table: str, size: int = paging.PAGE_SIZE) -> DataFrame:
-    """Export all pending requests of one run and return the manifest.
+    """Export the open requests and return the manifest.
 
-    Statuses are appended to `status_table`: P before the work starts, C after the pages are written. A run
-    that fails in between leaves its requests at P.
+    Statuses are appended to `status_table`: P before the work starts, C after the pages are written. Open are the
+    requests whose last status, in the table or else in the queue, is I, or P: a run that failed in between left them
+    there, and this run takes them up again. Pages replace those of the same name only, so runs share one base and a
+    retry gives the same files. Tables written in between are removed at the end, but for the manifest.
     """
-    named = written_table(named_requests(control), "requests")
-    requests.status_events(named, requests.IN_PROGRESS).write.mode("append").parquet(status_table)
+    spark, paths = docs.sparkSession, []
+    queue = requests.with_current_status(control.queue, _log(spark, status_table))
+    named = written_table(named_requests(replace(control, queue=queue), (requests.PENDING, requests.IN_PROGRESS)), "requests", paths)
+    append = lambda status: written_table(
+        requests.status_events(named, status, _log(spark, status_table)), "status", paths
+    ).write.mode("append").parquet(status_table)
+    append(requests.IN_PROGRESS)
     matched = written_table(
-        matching.filter_documents(docs.select(*DOCUMENT_COLUMNS), named, control.rules), "matched"
+        matching.filter_documents(docs.select(*DOCUMENT_COLUMNS), named, control.rules), "matched", paths
     )
     paged = paging.add_pages(matched, size)
     names = named.select(
@@ -51,5 +69,6 @@ def run_export(docs: DataFrame, control: ControlTables, base_dir: str, status_ta
     located = paged.join(broadcast_if_small(names), same).withColumn("file_name", F.concat("_name", paging.page_suffix(F.col("page"))))
     write_pages(located, base_dir)
     listed = written_table(paging.manifest(named, matched, size), "manifest")
-    requests.status_events(named, requests.DONE).write.mode("append").parquet(status_table)
+    append(requests.DONE)
+    remove_tables(spark, paths)
     return listed

@@ -31,7 +31,7 @@ def write_topic_columns(rows: DataFrame, path: str, topics_col: str = "topics",
 
 
 def write_pages(paged: DataFrame, path: str, columns: Sequence[str] = DOCUMENT_COLUMNS) -> None:
-    """One file with a header row per page.
+    """One file with a header row per page. Pages of the same name are replaced, all others stay.
 
     Input has `directory`, `file_name` and `page` next to the document columns. Pages are the unit of
     shuffling: they have a bounded size, however large the export they belong to is.
@@ -44,7 +44,8 @@ def write_pages(paged: DataFrame, path: str, columns: Sequence[str] = DOCUMENT_C
         .sortWithinPartitions("reg_dt", "seq", "file_name", "row_no")
         .drop("row_no")
         .write.partitionBy("reg_dt", "seq", "file_name")
-        .options(header=True, escape='"', nullValue="", emptyValue="")
+        .mode("overwrite")
+        .options(header=True, escape='"', nullValue="", emptyValue="", partitionOverwriteMode="dynamic")
         .csv(path)
     )
 

@@ -30,13 +30,11 @@ def read_xml(spark: SparkSession, path: str, row_tag: str = "Doc", schema: str =
 
 
 def read_legacy_lines(spark: SparkSession, path: str, charset: str = "MS949") -> DataFrame:
-    """Lines of text files in a legacy charset, as column `value`."""
+    """Lines of text files in a legacy charset, as column `value`; blank lines and control characters stay."""
     allow_legacy_charsets(spark)
-    return (
-        spark.read.schema("value string")
-        .options(encoding=charset, sep="\u0001", quote="", escape="", lineSep="\n")
-        .csv(path)
-    )
+    # The text source hands on the bytes of a line as they are; no byte of a two-byte character is a line feed.
+    lines = spark.read.option("lineSep", "\n").text(path)
+    return lines.select(F.regexp_replace(F.decode(F.col("value").cast("binary"), charset), "\r$", "").alias("value"))
 
 
 def convert_to_utf8(spark: SparkSession, path: str, out_path: str, charset: str = "MS949") -> None:
@@ -51,14 +49,24 @@ def add_xml_root(files: DataFrame, charset: str = "MS949") -> DataFrame:
     return files.select("path", F.concat(F.lit(head), F.decode("content", charset), F.lit("</Result>")).alias("value"))
 
 
-def _sheet(spark: SparkSession, path: str) -> DataFrame:
+def _sheet(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.options(header=True, multiLine=True, escape='"').csv(path)
 
 
 def read_survey_sheets(spark: SparkSession, paths: Sequence[str], columns: Sequence[str] = SURVEY_COLUMNS) -> DataFrame:
-    """Rows of all sheets. Columns are found by their header, so sheets may order them differently."""
-    sheets = [_sheet(spark, path).select(*[F.col(c).cast("string") for c in columns]) for path in paths]
-    return reduce(DataFrame.unionByName, sheets)
+    """Rows of all sheets. Columns are found by their header, so sheets may order them differently.
+
+    Headers are read by one job; then there is one read for each order of columns, not for each sheet. A path may be a
+    file or a folder of files with one header. Cells keep line breaks, so a file is read by one task.
+    """
+    lines = spark.read.text(list(paths), wholetext=True).select(
+        F.col("_metadata.file_path").alias("path"), F.regexp_extract("value", "^\\uFEFF?([^\\r\\n]*)", 1).alias("header")
+    )
+    groups = lines.where(F.col("header") != "").groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths"))
+    reads = [_sheet(spark, row.paths).select(*[F.col(c).cast("string") for c in columns]) for row in groups.orderBy("header").collect()]
+    if not reads:
+        return spark.createDataFrame([], ", ".join(f"{c} string" for c in columns))
+    return reduce(DataFrame.unionByName, reads)
 
 
 def read_positional_sheet(spark: SparkSession, path: str, n_columns: int) -> DataFrame:
