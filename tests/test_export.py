@@ -175,6 +175,68 @@ def test_export_writes_pages_manifest_and_statuses(spark, docs, control):
     assert {r.status for r in spark.read.parquet(log).where("seq = 12").collect()} == {"P", "C"}
 
 
+def with_all_columns(docs):
+    return docs.withColumns({c: F.lit("v").alias(c) for c in DOCUMENT_COLUMNS if c not in docs.columns})
+
+
+def pages_of(base):
+    out = {}
+    for path in glob.glob(f"{glob.escape(base.removeprefix('file:'))}/reg_dt=*/seq=*/file_name=*/*.csv"):
+        with open(path, encoding="utf-8") as file:
+            out.setdefault(path.split("/reg_dt=")[1].rsplit("/", 1)[0], []).append(sorted(map(tuple, csv.reader(file))))
+    return out
+
+
+def test_runs_share_a_base_and_done_requests_are_left_out(spark, docs, control):
+    base, log = fresh_path(spark, "export"), fresh_path(spark, "status")
+    first = export.run_export(with_all_columns(docs), control, base, log, size=2).count()
+    pages = pages_of(base)
+    assert first == 5 and export.run_export(with_all_columns(docs), control, base, log, size=2).count() == 0
+    again = spark.createDataFrame([(12,)], "seq bigint")
+    requests.status_events(again, requests.PENDING, spark.read.parquet(log)).write.mode("append").parquet(log)
+    status = lambda: {r.seq: r.status for r in requests.current_status(spark.read.parquet(log)).collect()}
+    assert status() == {12: "I", 13: "C"}
+    assert {r.seq for r in export.run_export(with_all_columns(docs), control, base, log, size=2).collect()} == {12}
+    assert status() == {12: "C", 13: "C"} and pages_of(base) == pages
+
+
+@pytest.mark.parametrize("step", ["filter_documents", "write_pages", "manifest"])
+def test_a_retry_after_a_failure_gives_the_same_files(spark, docs, control, monkeypatch, step):
+    base, log = fresh_path(spark, "export"), fresh_path(spark, "status")
+    owner = {"filter_documents": export.matching, "write_pages": export, "manifest": export.paging}[step]
+
+    def fail(*_, **__):
+        raise RuntimeError(step)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(owner, step, fail)
+        with pytest.raises(RuntimeError):
+            export.run_export(with_all_columns(docs), control, base, log, size=2)
+    assert {r.status for r in requests.current_status(spark.read.parquet(log)).collect()} == {"P"}
+    assert export.run_export(with_all_columns(docs), control, base, log, size=2).count() == 5
+    assert len(pages_of(base)) == 5 and all(len(files) == 1 for files in pages_of(base).values())
+
+
+def test_rows_with_null_and_repeated_ids_count_on_both_ways(spark, docs, rules):
+    twice = docs.unionByName(docs.where("doc_id = '1'")).unionByName(docs.where("doc_id = '5'").withColumn("doc_id", F.lit(None).cast("string")))
+    rows = [
+        sorted((r.dataset_seq, str(r.doc_id)) for r in matching.match_datasets(twice, rules, limit, in_row).collect())
+        for limit, in_row in ((4096, 64), (0, 64), (4096, 0), (0, 0))
+    ]
+    assert rows[0] == rows[1] == rows[2] == rows[3] and rows[0].count((7, "1")) == 2 and (7, "None") in rows[0]
+
+
+def test_bounds_of_the_requests_reach_the_scan(spark, docs):
+    path = fresh_path(spark, "docs")
+    docs.write.parquet(path)
+    wanted = spark.createDataFrame([(1, None, "2^11", "2024-01-02 00:00:00", "2024-03-01 00:00:00"), (2, None, "2^12", "2024-01-01 00:00:00", "2024-02-01 00:00:00")], REQUEST)
+    found = matching.filter_documents(spark.read.parquet(path), wanted)
+    text = found._jdf.queryExecution().executedPlan().toString()
+    pushed = text[text.index("PushedFilters") :]
+    assert "GreaterThanOrEqual(doc_datetime" in pushed and "In(depth1_seq" in pushed or "EqualTo(depth1_seq" in pushed
+    assert sorted((r.seq, r.doc_id) for r in found.collect()) == [(1, "4"), (2, "3")]
+
+
 def test_unordered_pages(spark, docs):
     path = fresh_path(spark, "unordered")
     matched = docs.select(F.lit(1).alias("seq"), F.lit(6).alias("dataset_seq"), "doc_id").repartition(1)

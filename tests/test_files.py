@@ -95,3 +95,20 @@ def test_lines_append(spark, tmp_path):
 def test_tagged_record(spark):
     row = spark.range(1).select(tagged_record(F.lit("d_0"), "20170327", F.lit("글"), [F.lit("a"), F.lit(None), F.lit("c")])).first()[0]
     assert row == "<DOCID>d_0<DATE>20170327<CONTENT>글a\t\tc"
+
+
+def test_legacy_lines_lose_nothing(spark, tmp_path):
+    lines = ["가", "", "나\u0001다", " 앞뒤 ", '"따옴표', "끝"]
+    (tmp_path / "in.txt").write_bytes("\r\n".join(lines).encode("cp949"))
+    rows = sources.read_legacy_lines(spark, str(tmp_path / "in.txt"))
+    assert [r.value for r in rows.collect()] == lines
+
+
+def test_sheets_with_one_header_are_read_together(spark, tmp_path):
+    for i in range(6):
+        order = list(sources.SURVEY_COLUMNS) if i % 2 else list(reversed(sources.SURVEY_COLUMNS))
+        row = [f'"{c}\n{i}"' for c in order]
+        (tmp_path / f"{i}.csv").write_text(",".join(order) + "\n" + ",".join(row) + "\n", encoding="utf-8")
+    found = sources.read_survey_sheets(spark, [str(tmp_path / f"{i}.csv") for i in range(6)])
+    assert sorted(r.comment for r in found.collect()) == [f"comment\n{i}" for i in range(6)]
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Relation") == 2

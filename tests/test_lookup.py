@@ -36,3 +36,32 @@ def test_exact_lookup_takes_the_first_entry(spark):
     for limit in (None, 0):
         got = lookup.exact_lookup(rows, F.col("t"), lookup.category_dictionary(category), "c", limit).collect()
         assert {r.t: r.c for r in got} == {"값": "1", "요금": "2", "": "", None: ""}
+
+
+def test_rows_of_one_key_count_together_on_both_ways(spark):
+    entries = [("z", "first", "", "a"), ("z", "first", "", "b"), ("m", "second", "", "a x")]
+    category = spark.createDataFrame(
+        [(key, kor, words, code) for key, code, kor, words in entries], "category_eng string, category_kor string, synonym string, subtopic_code string"
+    )
+    rows = spark.createDataFrame([("a b",), ("a",), (None,)], "t string")
+    for limit, hot in ((4096, 1000), (0, 1000), (0, 0)):
+        got = lookup.best_match(rows, F.col("t"), lookup.category_dictionary(category), "c", limit, hot).collect()
+        assert {r.t: r.c for r in got} == {"a b": "first", "a": "second", None: ""}
+
+
+def test_large_literals_cost_what_small_ones_cost(spark):
+    import time
+
+    from docweave.functions.dictionary import lookup as literal
+
+    def seconds(n):
+        entries = {f"w{i}": f"v{i}" for i in range(n)}
+        key = F.concat(F.lit("w"), (F.col("id") % n).cast("string"))
+        found = spark.range(400_000).select(literal(key, entries, "string", F.lit("")).alias("v"))
+        assert found.where("v = ''").isEmpty()
+        start = time.perf_counter()
+        found.agg(F.max("v")).collect()
+        return time.perf_counter() - start
+
+    seconds(20)
+    assert seconds(4_000) < 4 * seconds(20) + 1

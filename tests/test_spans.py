@@ -3,7 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from docweave.operators import payload, related, spans
+from docweave.operators import payload, related, spans, tagging
 from docweave.plans import jobs
 
 TOKEN = "array<struct<token:string,type:string,start_offset:int,end_offset:int,position:int,particle:boolean>>"
@@ -82,3 +82,29 @@ def test_related_words_order_and_fragment_limit(spark):
     asked = spark.createDataFrame([("d", "key"), ("d", "")], "doc_id string, term string")
     got = [r.word for r in related.related_words(asked, docs, fragment_limit=2).orderBy("word_order").collect()]
     assert got[:3] == ["title", "end", "word00"] and "word07" not in got and len(got) == len(set(got))
+
+
+def test_tags_are_the_same_on_both_ways_for_null_and_repeated_keys(spark):
+    lexicon = spark.createDataFrame([("값", "값/NNG", "NNG"), ("싸다", "싸/VA+다/EF", "VA")], "word string, piece string, token_type string")
+    rows = spark.createDataFrame([(None, "값 싸다"), (None, "모름"), (1, "값"), (1, "싸다 값"), (1, "값"), (2, ""), (3, None)], "k int, sentence string")
+    both = [
+        sorted(map(str, tagging.tag_sentences(rows, lexicon, ["k"], max_in_plan=limit).collect())) for limit in (4096, 0)
+    ]
+    assert both[0] == both[1] and len(both[0]) == 7
+
+
+def test_offsets_and_tokens_grow_with_the_words(spark):
+    import time
+
+    def seconds(n):
+        text = spark.range(1).select(F.array_join(F.transform(F.sequence(F.lit(1), F.lit(n)), lambda i: F.concat(F.lit("가"), i.cast("string"))), " ").alias("t"))
+        text = text.repartition(1)
+        tokens = tagging.word_tokens(F.col("t"), [])
+        start = time.perf_counter()
+        kept = spans.last_per_token(spans.described_tokens(tokens, F.lit(10_000_000)))
+        last = text.select(F.size(kept).alias("n"), F.element_at(tokens, -1)["end_offset"].alias("end"), F.char_length("t").alias("size")).first()
+        assert last.n == n and last.end == last.size
+        return time.perf_counter() - start
+
+    seconds(1_000)
+    assert seconds(40_000) < 3 * seconds(20_000) + 2
