@@ -506,3 +506,21 @@ ORACLE["topic_columns"] = f"""WITH sheet AS (
 {tag_cte('sheet', 'row_key', 'comment', 's.row_key')},
 lists AS (SELECT row_key, {TOPICS.format('sentence_kma')} AS list FROM tagged WHERE sentence_kma <> '')
 SELECT row_key, unnest(range(len(list))) + 2 AS column_idx, unnest(list) AS topic FROM lists"""
+
+# -- dictionaries above the size limits ------------------------------------------------------------------
+
+DOCUMENT_WORDS = f"""SELECT DISTINCT unnest(list_filter(string_split_regex(lower({kept('text')}), '[{WS}]+'), lambda w: w <> '')) AS word FROM documents"""
+LARGE_LEXICON = f"""SELECT word, CASE length(word) % 3 WHEN 0 THEN word || '/VV+다/EM' WHEN 1 THEN word || '/NNG+은/J_' ELSE word || '/MAG' END AS piece
+ FROM ({DOCUMENT_WORDS})"""
+SURVEY_ROW = "case_id, response_id, answer_id"
+ORACLE["tag_tokens_large"] = f"""WITH {SURVEY}, {
+    tag_cte('survey', SURVEY_ROW, 'comment', 's.case_id, s.response_id, s.answer_id').replace(W.LEXICON, LARGE_LEXICON)
+} SELECT {SURVEY_ROW}, sentence_kma FROM tagged"""
+ORACLE["emotion_match_large"] = f"""WITH {SURVEY}, {
+    match_cte('emotion', 'survey', 'comment', f"SELECT word AS key, 'e' || length(word) % 5 AS value, word AS words FROM ({DOCUMENT_WORDS})")
+} SELECT {SURVEY_ROW}, coalesce(value, '') AS emotion FROM survey LEFT JOIN emotion ON text = comment"""
+ORACLE["category_match_large"] = f"""WITH {SURVEY}, {
+    match_cte('category', 'survey', 'comment',
+              "SELECT source AS key, lang AS value, source || ' ' || lang || ' ' || split_part(text, chr(10), 1) AS words FROM documents")
+} SELECT {SURVEY_ROW}, coalesce(value, '') AS category FROM survey LEFT JOIN category ON text = comment"""
+ORACLE["dataset_match_large"] = ORACLE["dataset_match"]

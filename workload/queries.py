@@ -355,6 +355,47 @@ def topic_columns(spark, sf):
     return found.select("row_key", (F.col("i") + 2).cast("bigint").alias("column_idx"), "topic")
 
 
+# -- dictionaries above the size limits, made from the documents -----------------------------------------
+
+def _document_words(spark, sf):
+    words = F.explode(F.array_distinct(tagging._words(F.col("text"), LETTERS)))
+    return W.load(spark, sf, "documents").select(words.alias("word")).distinct()
+
+
+def tag_tokens_large(spark, sf):
+    """Comments tagged with every distinct word of the documents."""
+    kind = F.char_length("word") % 3
+    piece = F.when(kind == 0, F.concat("word", F.lit("/VV+다/EM"))).when(kind == 1, F.concat("word", F.lit("/NNG+은/J_"))).otherwise(F.concat("word", F.lit("/MAG")))
+    lexicon = _document_words(spark, sf).select("word", piece.alias("piece"), F.lit("NNG").alias("token_type"))
+    keys = ["case_id", "response_id", "answer_id"]
+    tagged = tagging.tag_sentences(W.survey(spark, sf), lexicon, keys, "comment", letters=LETTERS)
+    return tagged.select(*keys, "sentence_kma")
+
+
+def emotion_match_large(spark, sf):
+    """Comments matched with every distinct word of the documents."""
+    emotion = F.concat(F.lit("e"), (F.char_length("word") % 5).cast("string"))
+    verbs = _document_words(spark, sf).select(F.col("word").alias("verb"), emotion.alias("emotion"))
+    found = lookup.best_match(W.survey(spark, sf), F.col("comment"), lookup.emotion_dictionary(verbs), "emotion")
+    return found.select("case_id", "response_id", "answer_id", "emotion")
+
+
+def category_match_large(spark, sf):
+    """Comments matched with categories that have many rows each: the first lines of the documents by source and language."""
+    category = W.load(spark, sf, "documents").select(
+        F.col("source").alias("category_eng"), F.col("lang").alias("category_kor"),
+        F.split_part("text", F.lit("\n"), F.lit(1)).alias("synonym"), F.col("lang").alias("subtopic_code"),
+    )
+    found = lookup.best_match(W.survey(spark, sf), F.col("comment"), lookup.category_dictionary(category), "category", max_in_plan=0)
+    return found.select("case_id", "response_id", "answer_id", "category")
+
+
+def dataset_match_large(spark, sf):
+    """`dataset_match` by the way that many entry words take."""
+    found = matching.match_datasets(W.crawl_doc(spark, sf), W.small(spark, W.RULES), max_in_plan=0)
+    return _big(found.select("dataset_seq", "doc_id"), "dataset_seq")
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -364,7 +405,7 @@ QUERIES: dict[str, Query] = {
         normalize_hangul, close_words, related_words, emotion_exact, emotion_match, category_exact, category_match,
         attribute_rows, clause_sentiment, clause_documents, survey_attributes, survey_documents, tagged_records,
         payload_quality, corpus_lines, cause_spans, cause_verbs, xml_records, charset_ingest, survey_scan,
-        recursive_scan, topic_columns,
+        recursive_scan, topic_columns, tag_tokens_large, emotion_match_large, category_match_large, dataset_match_large,
     )
 }
 QUERIES["clauses"] = clause_rows
