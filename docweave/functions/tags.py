@@ -7,7 +7,7 @@ from dataclasses import dataclass
 # Patterns of the tagged text (`surface/TAG`, morphemes joined by `+`, words by a space).
 CLAUSE_MARK = "/EM "
 PARTICLE = r"[은는이가도]/J_"
-CONJUNCTION = r"[와과및]+/[(J_\|MA)]+"
+CONJUNCTION = r"[와과및]+/[(J_|MA)]+"
 TAG = r"/[A-Z]+[_]*[\+]*"
 VERB_TAGS = ("/VA", "/VV", "/XSD", "/EM")
 
@@ -18,9 +18,9 @@ PUNCTUATION = r"[.!_+*&^%$#@`~:;,，]"
 
 # Token types that do not carry content.
 STOP_TYPES = (
-    "COMPOUND EOJEOL INFLECT VV VA VX VCP VCN NNB E JKS JKC JKG JKO JKB JKV JKQ JX JC EP EF EC ETN ETM "
-    "XPN XSN XSV XSA SF SE SS SN SP SO SW SH"
-).split()
+    "COMPOUND", "EOJEOL", "INFLECT", "VV", "VA", "VX", "VCP", "VCN", "NNB", "E", "JKS", "JKC", "JKG", "JKO", "JKB", "JKV",
+    "JKQ", "JX", "JC", "EP", "EF", "EC", "ETN", "ETM", "XPN", "XSN", "XSV", "XSA", "SF", "SE", "SS", "SN", "SP", "SO", "SW", "SH",
+)
 
 # Noun-like tags that make a topic word, in order of preference.
 TOPIC_NOUN_TAGS = ("NNG", "NNP", "SL", "NFU", "NFG", "FL")

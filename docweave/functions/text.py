@@ -114,6 +114,7 @@ def close_words(fragment: Column, letters: Letters = KOREAN) -> Column:
 
     A mark that holds a digit is not recognised, so its markup is split into words like other text.
     """
+    # Fixed value: the pattern of a mark.
     mark = f"<em>[{letters.highlighted}{BLANK}]*</em>[{letters.highlighted}]*"
     rest = F.split(fragment, mark, -1)
     words = F.flatten(F.transform(rest, lambda part: F.split(part, outside(letters.word), -1)))

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from docweave.bounds import broadcast_if_small
 from docweave.scratch import written_table
 
+# Fixed value: rows of a page.
 PAGE_SIZE = 10_000
 _LOCAL_BITS = 33
 

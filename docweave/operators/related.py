@@ -11,6 +11,7 @@ from docweave.functions import text as T
 from docweave.functions.dictionary import let
 from docweave.functions.tags import STOP_TYPES
 
+# Size and number of fragments.
 FRAGMENT_SIZE = 30
 MAX_FRAGMENTS = 5
 

@@ -11,6 +11,7 @@ from docweave.functions.text import BLANK
 ALL_CHANNELS, SOME_CHANNELS = "전채널", "채널일부"
 PENDING, IN_PROGRESS, DONE = "I", "P", "C"
 
+# Columns of a request.
 REQUEST_COLUMNS = [
     "seq", "user_seq", "type_cd", "account_seq", "reg_dt", "datasets", "channel", "start_date", "end_date",
     "compare_yn", "campaign_seq",

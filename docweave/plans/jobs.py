@@ -81,9 +81,9 @@ def survey_documents(tagged: DataFrame, verb_dict: DataFrame) -> DataFrame:
 
 
 def tagged_records(
-    tagged: DataFrame, verb_dict: DataFrame, category: DataFrame, content_col: str = "content", date: str = "20170327"
+    tagged: DataFrame, verb_dict: DataFrame, category: DataFrame, date: str, content_col: str = "content"
 ) -> DataFrame:
-    """One record of the tagged format per attribute. `tagged` carries the document's content."""
+    """One record of the tagged format per attribute. `tagged` carries the document's content; `date` is yyyyMMdd."""
     rows = clauses.extract_attributes(tagged, verb_dict, category).where(F.col("attr_idx").isNotNull())
     record_id = joined_id("doc_id", "sentence_idx", "clause_idx", "attr_idx")
     attributes = [F.col(name) for name in ("subject", "verb", "sentiment", "category")]

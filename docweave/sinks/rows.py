@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+# Where index documents go.
 INDEX_NAME, INDEX_TYPE = "emotion", "analysis"
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from docweave.functions.text import is_blank
 from docweave.session import allow_legacy_charsets
 
+# Fields of an XML record and columns of a survey sheet.
 RECORD = "DocId string, Content string, JSON string"
 SURVEY_COLUMNS = ["case_id", "response_id", "answer_id", "language_id", "comment"]
 

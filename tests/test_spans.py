@@ -68,12 +68,12 @@ def test_corpus_and_quarantine(spark):
     assert [(r.doc_id, r.broken) for r in bad] == [("b", '{"result":[{"kma":}')]
 
 
-@pytest.mark.parametrize(("attached", "expected"), [(True, ["이런", "헛점을"]), (False, [])])
+@pytest.mark.parametrize(("attached", "expected"), [(True, ["작은", "흠집을"]), (False, [])])
 def test_related_words_with_attached_letters(spark, attached, expected):
-    docs = spark.createDataFrame([("d", "제목", "탄핵 심판 답변서에서 이런 이런 헛점을 a"), ("e", "탄핵", "x")], "doc_id string, doc_title string, doc_content string")
-    asked = spark.createDataFrame([("d", "심판 답변서"), ("zz", "x")], "doc_id string, term string")
+    docs = spark.createDataFrame([("d", "제목", "파란 우산 손잡이에서 작은 작은 흠집을 a"), ("e", "파란", "x")], "doc_id string, doc_title string, doc_content string")
+    asked = spark.createDataFrame([("d", "우산 손잡이"), ("zz", "x")], "doc_id string, term string")
     got = related.related_words(asked, docs, attached=attached).orderBy("word_order").collect()
-    assert [r.word for r in got] == (["탄핵", *expected] if attached else [])
+    assert [r.word for r in got] == (["파란", *expected] if attached else [])
 
 
 def test_related_words_order_and_fragment_limit(spark):

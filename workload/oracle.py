@@ -459,14 +459,15 @@ SELECT id, CAST(to_json({{'_index': 'emotion', '_type': 'analysis', '_id': id, '
 _FLAT = DOC_CLAUSES.replace("text AS content FROM documents", "replace(replace(text, chr(13), ''), chr(10), '') AS content FROM documents")
 ORACLE["tagged_records"] = f"""WITH {_FLAT}, {attribute_select(DOC_KEYS, 'v.doc_id, v.sentence_idx, v.clause_idx')},
 ids AS (SELECT *, concat_ws('_', doc_id, sentence_idx, clause_idx, attr_idx) AS id FROM attributes WHERE attr_idx IS NOT NULL)
-SELECT id, '<DOCID>' || id || '<DATE>20170327<CONTENT>' || content || subject || chr(9) || verb || chr(9) || sentiment || chr(9) || category AS record
+SELECT id, '<DOCID>' || id || '<DATE>{W.RECORD_DATE}<CONTENT>' || content || subject || chr(9) || verb || chr(9) || sentiment || chr(9) || category AS record
 FROM ids JOIN docs USING (doc_id)"""
 
-ORACLE["payload_quality"] = f"WITH {PAYLOAD_CHAIN} SELECT doc_id, quality, length(content) AS content_length FROM checked"
+ORACLE["payload_quality"] = f"WITH {PAYLOAD_CHAIN} SELECT doc_id, quality, content FROM checked"
 ORACLE["corpus_lines"] = f"""WITH {PAYLOAD_CHAIN}
 SELECT doc_id, CASE WHEN quality = 'ok' THEN regexp_replace(kma, '[{WS}+]', ' ', 'g') || ' ' ELSE '' END AS line FROM checked WHERE quality <> 'no_result'"""
 
-ORACLE["cause_spans"] = f"""WITH {CAUSE_CHAIN} SELECT doc_id, cause_idx, start, value, sentence AS matched_text, span FROM spans"""
+ORACLE["cause_spans"] = f"""WITH {CAUSE_CHAIN} SELECT doc_id, replace(replace(c.content, chr(13), ''), chr(10), '') AS content, cause_idx, start, value, sentence AS matched_text, span
+FROM spans JOIN docs c USING (doc_id)"""
 
 ORACLE["cause_verbs"] = f"""WITH {CAUSE_CHAIN}, lexicon AS ({W.LEXICON}), verb_dict AS ({W.VERB_DICT}),
 word_lists AS (
@@ -490,7 +491,7 @@ lasts AS (SELECT doc_id, cause_idx, value, verb, arg_max(word, pos) AS word, arg
 {match_cte('emotion', 'lasts', 'word', EMOTIONS)}
 SELECT a.doc_id, a.cause_idx, a.value, row_number() OVER (PARTITION BY a.doc_id, a.cause_idx ORDER BY a.pos) - 1 AS verb_idx, a.verb,
  coalesce(CASE WHEN a.type = 'NNG' THEN e.value ELSE d.emotion END, '') AS emotion,
- length(replace(replace(c.content, chr(13), ''), chr(10), '')) AS content_length
+ replace(replace(c.content, chr(13), ''), chr(10), '') AS content
 FROM lasts a LEFT JOIN emotion e ON e.text = a.word
 LEFT JOIN verb_dict d ON d.verb = a.word || CASE a.type WHEN 'XR' THEN '하다' ELSE '다' END JOIN docs c USING (doc_id)"""
 
@@ -500,7 +501,7 @@ ORACLE["charset_ingest"] = """SELECT doc_id || '|' || translate(regexp_replace(t
  'aeiou', '가나다라마') AS value FROM documents"""
 ORACLE["survey_scan"] = f"WITH {SURVEY} SELECT * FROM survey"
 ORACLE["recursive_scan"] = f"""WITH {SURVEY}
-SELECT case_id, response_id, answer_id, length(comment) AS n_chars, answer_id AS folder FROM survey"""
+SELECT case_id, response_id, answer_id, replace(replace(comment, chr(13), ' '), chr(10), ' ') AS comment, answer_id AS folder FROM survey"""
 ORACLE["topic_columns"] = f"""WITH sheet AS (
  SELECT conv_id || '_' || turn AS row_key, replace(replace(text, chr(13), ''), chr(10), '') AS comment FROM conversations),
 {tag_cte('sheet', 'row_key', 'comment', 's.row_key')},

@@ -258,7 +258,7 @@ def tagged_records(spark, sf):
     keyed = W.plain_docs(spark, sf).withColumn("text", F.col("content"))
     keyed = keyed.withColumn("content", T.without_line_breaks(F.col("text")))
     tagged = jobs.tagged_sentences(keyed, W.small(spark, W.LEXICON), ["doc_id", "content"], "content", letters=LETTERS)
-    return jobs.tagged_records(tagged, W.small(spark, W.VERB_DICT), W.small(spark, W.CATEGORY))
+    return jobs.tagged_records(tagged, W.small(spark, W.VERB_DICT), W.small(spark, W.CATEGORY), W.RECORD_DATE)
 
 
 # -- payloads --------------------------------------------------------------------------------------------
@@ -271,7 +271,7 @@ def _tagging_records(spark, sf):
 
 def payload_quality(spark, sf):
     checked = payload.record_quality(payload.cleaned_records(_tagging_records(spark, sf), strip_ends=True))
-    return checked.select("doc_id", "quality", F.char_length("content").cast("bigint").alias("content_length"))
+    return checked.select("doc_id", "quality", "content")
 
 
 def corpus_lines(spark, sf):
@@ -280,21 +280,19 @@ def corpus_lines(spark, sf):
 
 def cause_spans(spark, sf):
     records = payload.cleaned_records(W.matching_records(W.plain_docs(spark, sf)))
-    found = spans.cause_spans(records.drop("content"), ["doc_id"])
-    shown = found.select("doc_id", "cause_idx", "start", "value", "matched_text", "span")
+    found = spans.cause_spans(records, ["doc_id", "content"])
+    shown = found.select("doc_id", "content", "cause_idx", "start", "value", "matched_text", "span")
     return _big(shown, "cause_idx", "start", "span")
 
 
 def cause_verbs(spark, sf):
     lexicon = W.small(spark, W.LEXICON).collect()
     records = payload.cleaned_records(W.matching_records(W.plain_docs(spark, sf)))
-    # The written rows repeat the content of their document; here its length stands for it.
-    records = records.withColumn("content_length", F.char_length("content")).drop("content")
     found = jobs.cause_verbs(
         records, W.small(spark, W.VERB_DICT), lambda text: tagging.word_tokens(text, lexicon, LETTERS),
-        ["doc_id", "content_length"],
+        ["doc_id", "content"],
     )
-    return _big(found, "cause_idx", "verb_idx", "content_length")
+    return _big(found, "cause_idx", "verb_idx")
 
 
 # -- files -----------------------------------------------------------------------------------------------
@@ -338,11 +336,11 @@ def survey_scan(spark, sf):
 def recursive_scan(spark, sf):
     """A tree of folders, read with the path of every row's file."""
     path = fresh_path(spark, "tree")
-    survey = W.survey(spark, sf).select("case_id", "response_id", "answer_id", F.char_length("comment").alias("n_chars"))
-    survey.withColumn("folder", F.col("answer_id")).write.partitionBy("folder").csv(path)
-    rows = sources.read_tree(spark, path, "case_id string, response_id string, answer_id string, n_chars bigint")
+    survey = W.survey(spark, sf).select("case_id", "response_id", "answer_id", F.translate("comment", "\r\n", "  ").alias("comment"))
+    survey.withColumn("folder", F.col("answer_id")).write.partitionBy("folder").options(escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
+    rows = sources.read_tree(spark, path, "case_id string, response_id string, answer_id string, comment string", escape='"')
     return rows.select(
-        "case_id", "response_id", "answer_id", "n_chars",
+        "case_id", "response_id", "answer_id", "comment",
         F.regexp_extract("file_path", "/folder=([^/]*)/", 1).alias("folder"),
     )
 

@@ -11,6 +11,9 @@ from docweave.functions.text import strip, tokens
 from docweave.plans.export import ControlTables
 from docweave.sources.tables import DOCUMENT_COLUMNS, spread
 
+# Date of the tagged records.
+RECORD_DATE = "20240101"
+
 LEXICON = """SELECT * FROM (VALUES
  ('the','는/J_','JX'), ('of','이/J_','JKS'), ('de','은/J_','JX'), ('la','도/J_','JX'), ('der','가/J_','JKS'),
  ('and','와/J_','JC'), ('und','과/J_','JC'), ('et','및/MA','MAJ'),
