@@ -122,9 +122,10 @@ def clause_sentiments(tagged: DataFrame, verb_dict: DataFrame, verb_part: str =
 
 
 def extract_attributes(
-    tagged: DataFrame, verb_dict: DataFrame, category: DataFrame, verb_part: str = "as_written"
+    tagged: DataFrame, verb_dict: DataFrame, category: DataFrame, verb_part: str = "as_written", keep_empty: bool = False
 ) -> DataFrame:
-    """One row per subject. A clause without subjects keeps one row with nulls.
+    """One row per subject. A sentence without clauses keeps one row with nulls; with `keep_empty` a clause without
+    subjects does so too.
 
     Subjects of clauses with a particle are matched by shared tokens, the others exactly.
     """
@@ -132,6 +133,8 @@ def extract_attributes(
     others = [name for name in clauses.columns if name not in ("subjects", "verb", "sentiment")]
     rows = clauses.select(*others, "verb", "sentiment", F.posexplode_outer("subjects").alias("attr_idx", "subject"))
     has_subject = F.col("attr_idx").isNotNull()
+    if not keep_empty:
+        rows = rows.where(has_subject | F.col("clause_idx").isNull())
     categories = category_dictionary(category)
     exact = F.when(F.col("n_parts") == 1, F.col("subject"))
     matched = F.when(F.col("n_parts") > 1, F.col("subject"))

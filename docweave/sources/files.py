@@ -15,14 +15,29 @@ RECORD = "DocId string, Content string, JSON string"
 SURVEY_COLUMNS = ["case_id", "response_id", "answer_id", "language_id", "comment"]
 
 
+def _rootless_records(spark: SparkSession, path: str, tag: str, schema: str) -> DataFrame:
+    close = f"</{tag}>"
+    records = spark.read.option("lineSep", close).text(path).where(~is_blank(F.col("value")))
+    parsed = F.from_xml(
+        F.concat("value", F.lit(close)), f"{schema}, _broken string", {"columnNameOfCorruptRecord": "_broken"}
+    )
+    return records.select("value", parsed.alias("record"))
+
+
 def read_rootless_xml(spark: SparkSession, path: str, tag: str = "Doc", schema: str = RECORD) -> DataFrame:
     """Records of files that hold one XML record after the other, without a common root.
 
-    The file is cut at the closing tag, so that large files stay splittable.
+    The file is cut at the closing tag, so that large files stay splittable. Broken records are left to
+    `quarantined_xml`.
     """
-    close = f"</{tag}>"
-    records = spark.read.option("lineSep", close).text(path).where(~is_blank(F.col("value")))
-    return records.select(F.from_xml(F.concat("value", F.lit(close)), schema).alias("record")).select("record.*")
+    records = _rootless_records(spark, path, tag, schema).where(F.col("record._broken").isNull())
+    return records.select("record.*").drop("_broken")
+
+
+def quarantined_xml(spark: SparkSession, path: str, tag: str = "Doc", schema: str = RECORD) -> DataFrame:
+    """The text of the records that `read_rootless_xml` cannot parse."""
+    records = _rootless_records(spark, path, tag, schema).where(F.col("record._broken").isNotNull())
+    return records.select(F.col("value").alias("broken"))
 
 
 def read_xml(spark: SparkSession, path: str, row_tag: str = "Doc", schema: str = RECORD) -> DataFrame:

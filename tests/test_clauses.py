@@ -50,7 +50,7 @@ def test_no_particle(spark, dictionaries):
 
 
 def test_only_verbs_keep_a_row_without_subject(spark, dictionaries):
-    assert attributes(spark, dictionaries, "싸/VA 다/EM+z/VV") == [(0, None, None, None, None, None)]
+    assert attributes(spark, dictionaries, "싸/VA 다/EM+z/VV") == []
 
 
 def test_empty_tagged_text_gives_an_empty_subject(spark, dictionaries):

@@ -112,3 +112,11 @@ def test_sheets_with_one_header_are_read_together(spark, tmp_path):
     found = sources.read_survey_sheets(spark, [str(tmp_path / f"{i}.csv") for i in range(6)])
     assert sorted(r.comment for r in found.collect()) == [f"comment\n{i}" for i in range(6)]
     assert found._jdf.queryExecution().optimizedPlan().toString().count("Relation") == 2
+
+
+def test_broken_xml_records_are_kept_apart(spark, tmp_path):
+    records = ["<Doc><DocId>1</DocId><Content>a & b</Content></Doc>", "<Doc><DocId>2</DocId><Content>b</Content></Doc>"]
+    (tmp_path / "in.xml").write_text("\n".join(records), encoding="utf-8")
+    path = str(tmp_path / "in.xml")
+    assert [r.DocId for r in sources.read_rootless_xml(spark, path).collect()] == ["2"]
+    assert [r.broken for r in sources.quarantined_xml(spark, path).collect()] == ["<Doc><DocId>1</DocId><Content>a & b</Content>"]

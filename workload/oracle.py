@@ -222,14 +222,14 @@ SURVEY_CHAIN = ", ".join(
 
 
 def attribute_select(keys: str, columns: str) -> str:
-    """All attribute rows, with sentiment and category; clauses without subjects keep one row."""
+    """All attribute rows, with sentiment and category."""
     return f"""{match_cte('emotion', 'verbed', 'verb', EMOTIONS)}, {CATEGORY_TERMS},
 {match_cte('category', 'subjects', 'subject', CATEGORIES)},
 attributes AS (
  SELECT {columns}, s.attr_idx, s.subject, CASE WHEN s.attr_idx IS NOT NULL THEN v.verb END AS verb,
   CASE WHEN s.attr_idx IS NOT NULL THEN coalesce(e.value, '') END AS sentiment,
   CASE WHEN s.attr_idx IS NOT NULL THEN coalesce(CASE WHEN v.n_parts = 1 THEN t.code ELSE c.value END, '') END AS category
- FROM verbed v LEFT JOIN subjects s USING ({keys}, clause_idx)
+ FROM verbed v JOIN subjects s USING ({keys}, clause_idx)
  LEFT JOIN emotion e ON e.text = v.verb LEFT JOIN category_terms t ON t.term = s.subject
  LEFT JOIN category c ON c.text = s.subject)"""
 
@@ -525,3 +525,8 @@ ORACLE["category_match_large"] = f"""WITH {SURVEY}, {
               "SELECT source AS key, lang AS value, source || ' ' || lang || ' ' || split_part(text, chr(10), 1) AS words FROM documents")
 } SELECT {SURVEY_ROW}, coalesce(value, '') AS category FROM survey LEFT JOIN category ON text = comment"""
 ORACLE["dataset_match_large"] = ORACLE["dataset_match"]
+
+# -- the same records and sheets from other files ----------------------------------------------------------
+
+ORACLE["xml_rooted_records"] = ORACLE["xml_records"]
+ORACLE["positional_sheet"] = ORACLE["topic_columns"]

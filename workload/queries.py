@@ -310,6 +310,27 @@ def xml_records(spark, sf):
     return payload.cleaned_records(sources.read_rootless_xml(spark, path)).withColumnRenamed("JSON", "payload")
 
 
+def xml_rooted_records(spark, sf):
+    """Documents written as XML files with a root element, then read back."""
+    path = fresh_path(spark, "rooted")
+    docs = W.plain_docs(spark, sf).select(F.col("doc_id").alias("DocId"), F.col("content").alias("Content"), F.lit('"result":[]').alias("JSON"))
+    docs.write.options(rootTag="Result", rowTag="Doc").xml(path)
+    return payload.cleaned_records(sources.read_xml(spark, path)).withColumnRenamed("JSON", "payload")
+
+
+def positional_sheet(spark, sf):
+    """Topics of the first column of sheets whose columns are found by place, next to the column that follows it."""
+    path = fresh_path(spark, "positional")
+    survey = W.survey(spark, sf)
+    rows = survey.select("comment", F.concat_ws("_", "case_id", "response_id").alias("row_key"), "answer_id", "language_id")
+    sinks.write_delimited(rows, path, sep=",", header=True)
+    sheet = sources.read_positional_sheet(spark, path, 2)
+    text, key = sheet.columns
+    listed = jobs.topic_lists(sheet.withColumnRenamed(key, "row_key"), W.small(spark, W.LEXICON), ["row_key"], text, LETTERS)
+    found = listed.select("row_key", F.posexplode_outer("topics").alias("i", "topic")).where(F.col("i").isNotNull())
+    return found.select("row_key", (F.col("i") + 2).cast("bigint").alias("column_idx"), "topic")
+
+
 def charset_ingest(spark, sf):
     """Lines of Hangul and ASCII text written in cp949, then read back."""
     allow_legacy_charsets(spark)
@@ -403,7 +424,7 @@ QUERIES: dict[str, Query] = {
         normalize_hangul, close_words, related_words, emotion_exact, emotion_match, category_exact, category_match,
         attribute_rows, clause_sentiment, clause_documents, survey_attributes, survey_documents, tagged_records,
         payload_quality, corpus_lines, cause_spans, cause_verbs, xml_records, charset_ingest, survey_scan,
-        recursive_scan, topic_columns, tag_tokens_large, emotion_match_large, category_match_large, dataset_match_large,
+        recursive_scan, topic_columns, xml_rooted_records, positional_sheet, tag_tokens_large, emotion_match_large, category_match_large, dataset_match_large,
     )
 }
 QUERIES["clauses"] = clause_rows
