@@ -104,7 +104,6 @@ ORACLE = {
                doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
     """,
-    "op7_secret_scans": op7_secret_scans,
     "op8_quality_rules": rf"""
         WITH split AS (
             SELECT doc_id, coalesce(text, '') AS text, {_WORDS} AS words,
