@@ -7,12 +7,14 @@ import tempfile
 import uuid
 import zipfile
 from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from docweave.bounds import broadcast_if_small
+from docweave.scratch import remove_tables
 
 # Rows and bytes up to which a measured side is broadcast.
 SMALL_ROWS = 400_000
@@ -56,11 +58,38 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """`df` as a Parquet table in the shared folder: it cuts the lineage and survives lost executors."""
-    path = fresh_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+#: Whether Spark removes shuffle files once the query that made them has ended, not when the driver collects garbage.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+_temporary: list[list[str]] = []
+
+
+@contextmanager
+def temporary_tables(spark: SparkSession) -> Iterator[None]:
+    """Tables written inside are removed at the end, unless they are written to be kept."""
+    _temporary.append([])
+    try:
+        yield
+    finally:
+        remove_tables(spark, _temporary.pop())
+
+
+def written(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
+    """`df` as a Parquet table in the shared folder: it cuts the lineage and survives lost executors.
+
+    Shuffle files of the query go as soon as the table is written. Inside `temporary_tables` only a table to `keep` stays.
+    """
+    spark, path = df.sparkSession, fresh_path(df.sparkSession, name)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    if _temporary and not keep:
+        _temporary[-1].append(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def small(df: DataFrame) -> DataFrame:

@@ -3,7 +3,7 @@
 Every window of `window` words holds one chosen short window (the least by hash of those inside it); equal windows choose
 at the same place. Chosen short windows that occur once are dropped; those that are repeated are extended to twice the
 length, to the left and to the right, and counted again, until the length reaches `window` or nothing survives. At the
-last length all windows around the survivors are compared by 128-bit hashes, and each is traced to its first start.
+last length all windows around the survivors are compared by 96 bits of hash, and each is traced to its first start.
 Copies of a whole document are found beforehand by their digest: none of their windows starts first.
 """
 
@@ -22,8 +22,9 @@ from docweave.llm import common
 from docweave.llm.exact_dedup import located
 
 WINDOW = 20
-#: Length of the chosen short windows; doubled once or more it is at most WINDOW.
-BASE = 5
+#: Length of the chosen short windows; doubled once or more it is at most WINDOW. A smaller one means more levels, and
+#: more short windows that are repeated by chance.
+BASE = 10
 
 _U = np.uint64
 _LANES = (_U(0x9E3779B97F4A7C15), _U(0xC2B2AE3D27D4EB4F))
@@ -135,12 +136,13 @@ def _extended(texts: DataFrame, length: int) -> DataFrame:
 
 
 def _whole(texts: DataFrame, length: int, window: int) -> DataFrame:
-    """Windows of `window` words that hold a window of `length` at `ats`: both hashes, rank, all starts in the document."""
+    """Windows of `window` words that hold a window of `length` at `ats`: 96 bits of hash, rank, start, and whether the
+    same window starts earlier in the document."""
 
     def cover(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher()
         for batch in common.blocks(batches):
-            firsts, seconds, ranks, starts = [], [], [], []
+            firsts, seconds, ranks, starts, again = [], [], [], [], []
             for rank, text, ats in zip(*(batch.column(c).to_pylist() for c in ("rank", "text", "ats"))):
                 words = hasher(text.encode().split())
                 n = len(words) - window + 1
@@ -152,18 +154,20 @@ def _whole(texts: DataFrame, length: int, window: int) -> DataFrame:
                 np.add.at(edges, np.clip(at + 1, 0, n), -1)
                 own = np.flatnonzero(np.cumsum(edges[:-1]))
                 one, two = window_hashes(words, window)[own], window_hashes(words, window, 1)[own]
+                if not len(own):
+                    continue
                 order = np.lexsort((own, two, one))
                 one, two, own = one[order], two[order], own[order]
-                new = np.flatnonzero(np.append(True, (one[1:] != one[:-1]) | (two[1:] != two[:-1]))) if len(own) else own
-                firsts.append(one[new].view(np.int64))
-                seconds.append(two[new].view(np.int64))
-                ranks.append(np.full(len(new), rank))
-                starts.extend(np.split(own.astype(np.int32), new[1:]) if len(own) else [])
-            join = lambda parts: np.concatenate(parts) if parts else np.zeros(0, np.int64)
-            columns = [pa.array(join(part), pa.int64()) for part in (firsts, seconds, ranks)]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(starts, pa.list_(pa.int32()))], ["h1", "h2", "rank", "starts"])
+                firsts.append(one.view(np.int64))
+                seconds.append((two >> _U(32)).astype(np.uint32).view(np.int32))
+                ranks.append(np.full(len(own), rank))
+                starts.append(own.astype(np.int32))
+                again.append(np.append(False, (one[1:] == one[:-1]) & (two[1:] == two[:-1])))
+            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.bool_())
+            columns = [pa.array(np.concatenate(part) if part else [], kind) for part, kind in zip((firsts, seconds, ranks, starts, again), kinds)]
+            yield pa.RecordBatch.from_arrays(columns, ["h1", "h2", "rank", "start", "again"])
 
-    return texts.select("rank", "text", "ats").mapInArrow(cover, "h1 long, h2 long, rank long, starts array<int>")
+    return texts.select("rank", "text", "ats").mapInArrow(cover, "h1 long, h2 int, rank long, start int, again boolean")
 
 
 def _cut(texts: DataFrame, window: int) -> DataFrame:
@@ -200,12 +204,17 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, base: int = BASE, id_
     if not 0 < 2 * base <= window:
         raise ValueError("base doubled must be at most window")
     common.ship_package(docs.sparkSession)
+    with common.temporary_tables(docs.sparkSession):
+        return _deduplicated(docs, window, base, id_col, text_col)
+
+
+def _deduplicated(docs: DataFrame, window: int, base: int, id_col: str, text_col: str) -> DataFrame:
     source = located(docs).select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), "_file", "_row")
     read = common.written(_read(source, window, base), "words")
     rows = read.join(_in_order(read), "row").select("rank", "doc_id", "_file", "_row", "n_words", "sha256", "row")
-    rows = common.written(rows, "rows")
+    rows = common.written(rows, "rows", keep=True)
     firsts = rows.where(F.col("n_words") >= window).groupBy("sha256").agg(F.min("rank").alias("rank"))
-    firsts = common.written(firsts.join(rows.select("rank", "_file", "_row", "row"), "rank"), "firsts")
+    firsts = common.written(firsts.join(rows.select("rank", "_file", "_row", "row"), "rank"), "firsts", keep=True)
 
     windows = read.select("row", "hashes", "places").join(common.small(firsts.select("row", "rank")), "row").select(
         "rank", F.explode(F.arrays_zip("hashes", "places")).alias("w")
@@ -226,12 +235,13 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, base: int = BASE, id_
         length *= 2
 
     whole = common.written(_whole(candidates, length, window), "whole-windows")
-    shared = whole.groupBy("h1", "h2").agg(F.min("rank").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    heads = whole.where("NOT again")
+    shared = heads.groupBy("h1", "h2").agg(F.min("rank").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
     shared = common.written(shared.select("h1", "h2", "first"), "shared")
-    later = whole.join(shared, ["h1", "h2"]).where("rank > first").select("rank", "starts")
-    inside = whole.where(F.size("starts") > 1).select("rank", F.slice("starts", 2, F.size("starts") - 1).alias("starts"))
-    removed = later.unionByName(inside).groupBy("rank").agg(F.flatten(F.collect_list("starts")).alias("starts"))
-    cut = common.written(_cut(texts.join(removed, "rank"), window), "cut")
+    later = heads.join(shared, ["h1", "h2"]).where("rank > first").select("rank", "start")
+    removed = later.unionByName(whole.where("again").select("rank", "start")).groupBy("rank").agg(F.collect_list("start").alias("starts"))
+    removed = common.written(removed, "removed")
+    cut = common.written(_cut(texts.join(removed, "rank"), window), "cut", keep=True)
 
     copies = rows.join(firsts.select("sha256", F.col("rank").alias("first")), "sha256", "left")
     is_copy = F.col("first").isNotNull() & (F.col("rank") > F.col("first"))
