@@ -5,9 +5,9 @@ signature, rarest first: two signatures of K coordinates that agree in M of them
 postings. Lists are merged in two steps. First every class is compared with the first class of its lists; what is linked
 then needs no more comparisons with each other and is skipped in the second step, where the classes of a list that are
 still apart are compared block by block: agreeing coordinates are counted, and pairs with M or more are compared by
-their sets. All links are confirmed on the full sets of the texts.
+their sets, which only classes in such pairs bring along. All links are confirmed on the full sets of the texts.
 
-With K = 32 and M = 14 a pair of similarity 0.8 fails the threshold with a probability below one in a million.
+With K = 32 and M = 14 a pair of similarity 0.8 fails the threshold about once in a million times.
 """
 
 from __future__ import annotations
@@ -31,11 +31,12 @@ SIMILARITY = 80
 #: hot ones; a pair of similarity 0.8 agrees in one of them but for one case in ten million.
 HOT, LOW = 512, 10
 #: Rows of a list that meet in one block: classes that are apart, and all classes.
-APART_BLOCK, ALL_BLOCK = 256, 512
+APART_BLOCK, ALL_BLOCK, BUNDLE_ROWS = 256, 512, 2_000
 #: Sets are compared by 32-bit hashes first; links within so many shingles of the limit are left to the full sets.
 SLACK = 2
 
 _U = np.uint64
+_BITS = np.int64(1) << np.arange(COORDINATES)
 _RANDOM = np.random.default_rng(20)
 _FACTORS = _RANDOM.integers(0, 2**63, COORDINATES, dtype=_U) * _U(2) + _U(1)
 _SHIFTS = _RANDOM.integers(0, 2**63, COORDINATES, dtype=_U)
@@ -115,7 +116,10 @@ def _sketches(source: DataFrame, width: int) -> DataFrame:
 
 
 def _posts(classes: DataFrame) -> DataFrame:
-    """token, head (least node of the token), node: the postings that pairs above the threshold are sure to share."""
+    """token, head (least node of the token), node, posted: the postings that pairs above the threshold are sure to share.
+
+    `posted` has a bit for each coordinate under which the node is posted.
+    """
     tokens = classes.select("node", F.posexplode("signature")).select(
         "node", F.shiftleft(F.col("pos").cast("long"), 32).bitwiseOR(F.col("col").cast("long").bitwiseAND(0xFFFFFFFF)).alias("token")
     )
@@ -128,7 +132,10 @@ def _posts(classes: DataFrame) -> DataFrame:
     hot = F.exists("prefix", lambda t: t["z"] > HOT)
     cool = F.filter("prefix", lambda t: t["z"] <= HOT)
     low = F.filter("shared", lambda t: t["token"] < (LOW << 32))
-    return prefix.select("node", F.explode(F.when(hot, F.array_union(cool, low)).otherwise(cool)).alias("t")).select("t.token", "t.head", "node")
+    chosen = prefix.select("node", F.when(hot, F.array_union(cool, low)).otherwise(cool).alias("chosen"))
+    bit = lambda t: F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(t["token"], 32).cast("int"))
+    posted = F.aggregate("chosen", F.lit(0).cast("long"), lambda bits, t: bits.bitwiseOR(bit(t)))
+    return chosen.select("node", posted.alias("posted"), F.explode("chosen").alias("t")).select("t.token", "t.head", "node", "posted")
 
 
 def _similar(a: np.ndarray, b: np.ndarray, slack: int) -> bool:
@@ -151,43 +158,89 @@ def _first_links(pairs: DataFrame) -> DataFrame:
     return pairs.select("a", "b", "short_a", "short_b").mapInArrow(compare, "a long, b long")
 
 
-def _block_links(key: tuple[pa.Scalar, ...], block: pa.Table) -> pa.Table:
-    """Links between classes that are apart (side a) and all classes of a block of one list, if of other components.
+class _Block:
+    """Rows of one list: classes that are apart (`left`), all classes of a block (`right`), and which of them may be near."""
+
+    def __init__(self, rows: pa.Table):
+        column = lambda name: rows.column(name).to_numpy()
+        self.node, self.n, self.component = column("node"), column("n"), column("component")
+        self.posted, self.bit = column("posted"), 1 << (rows.column("token")[0].as_py() >> 32)
+        self.signatures = rows.column("signature").combine_chunks().flatten().to_numpy().reshape(-1, COORDINATES)
+        self.left = np.flatnonzero(column("own_a") == column("a_block"))
+        self.right = np.flatnonzero(column("own_b") == column("b_block"))
+
+    def near(self, i: int) -> np.ndarray:
+        """Rows of `right` of other components, of a fitting size, that agree with row i in MATCHES coordinates.
+
+        A pair that meets in several lists counts in that of the first coordinate under which both are posted.
+        """
+        n, right = self.n, self.right
+        fits = (100 * np.minimum(n[right], n[i]) >= SIMILARITY * np.maximum(n[right], n[i])) & (self.component[right] != self.component[i])
+        fitting = right[fits]
+        agree = self.signatures[fitting] == self.signatures[i]
+        shared = (agree @ _BITS) & self.posted[fitting] & self.posted[i]
+        return fitting[(agree.sum(axis=1) >= MATCHES) & (shared & -shared == self.bit)]
+
+
+def _lists(block: pa.Table) -> Iterator[pa.Table]:
+    """The lists of a block: several short ones, or a part of a long one."""
+    block = block.sort_by("token")
+    token = block.column("token").to_numpy()
+    starts = np.flatnonzero(np.append(True, token[1:] != token[:-1]))
+    for start, end in zip(starts, np.append(starts[1:], len(token))):
+        yield block.slice(start, end - start)
+
+
+_BLOCK = ("bundle", "token", "posted", "a_block", "b_block", "node", "component", "own_a", "own_b")
+_BLOCK_FIELDS = ", ".join(f"{name} long" for name in _BLOCK)
+
+
+def _possible_rows(block: pa.Table) -> pa.Table:
+    """Rows that agree with another one in enough coordinates to be near it."""
+    kept = []
+    for rows in _lists(block):
+        own, possible = _Block(rows), np.zeros(rows.num_rows, bool)
+        for i in own.left.tolist():
+            near = own.near(i)
+            if len(near):
+                possible[i], possible[near] = True, True
+        kept.append(rows.filter(pa.array(possible)).select(_BLOCK))
+    return pa.concat_tables(kept)
+
+
+def _block_links(block: pa.Table) -> pa.Table:
+    """Links between classes of different components that meet in a block.
 
     What a sure link joins is skipped from then on; links near the limit join nothing, so that no other link is lost.
     """
-    _, a_block, b_block = (part.as_py() for part in key)
-    column = lambda name: block.column(name).to_numpy()
-    node, n, component = column("node"), column("n"), column("component")
-    signatures = block.column("signature").combine_chunks().flatten().to_numpy().reshape(-1, COORDINATES)
-    shorts = [np.frombuffer(s, "<u4") for s in block.column("short").to_pylist()]
-    left = np.flatnonzero(column("own_a") == a_block)
-    right = np.flatnonzero(column("own_b") == b_block)
-    parent = {c: c for c in component.tolist()}
+    parent: dict[int, int] = {}
 
     def root(c: int) -> int:
-        while parent[c] != c:
+        while parent.setdefault(c, c) != c:
             parent[c] = parent[parent[c]]
             c = parent[c]
         return c
 
     out = []
-    for i in left.tolist():
-        fits = (100 * np.minimum(n[right], n[i]) >= SIMILARITY * np.maximum(n[right], n[i])) & (component[right] != component[i])
-        near = right[fits]
-        near = near[(signatures[near] == signatures[i]).sum(axis=1) >= MATCHES]
-        for j in near.tolist():
-            a, b = root(int(component[i])), root(int(component[j]))
-            if a != b and _similar(shorts[i], shorts[j], SLACK):
-                out.append((int(node[i]), int(node[j])))
-                if _similar(shorts[i], shorts[j], -SLACK):
-                    parent[a] = b
+    for rows in _lists(block):
+        own = _Block(rows)
+        shorts = [np.frombuffer(s, "<u4") for s in rows.column("short").to_pylist()]
+        for i in own.left.tolist():
+            for j in own.near(i).tolist():
+                a, b = root(int(own.component[i])), root(int(own.component[j]))
+                if a != b and _similar(shorts[i], shorts[j], SLACK):
+                    out.append((int(own.node[i]), int(own.node[j])))
+                    if _similar(shorts[i], shorts[j], -SLACK):
+                        parent[a] = b
     return pa.table({"a": pa.array([o[0] for o in out], pa.int64()), "b": pa.array([o[1] for o in out], pa.int64())})
 
 
-def _blocks(posts: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame:
-    """The rows of lists with classes of several components, dealt to the blocks in which they meet."""
-    placed = posts.join(labels, "node", "left").select("token", "node", F.coalesce("component", "node").alias("component"))
+def _blocks(posts: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of lists with classes of several components, dealt to the blocks in which they meet.
+
+    Short lists share a bundle of about BUNDLE_ROWS rows; a long list is cut into blocks, so that no task gets all of it.
+    """
+    placed = posts.join(labels, "node", "left").select("token", "node", "posted", F.coalesce("component", "node").alias("component"))
     placed = common.written(placed, "placed")
     firsts = placed.groupBy("token").agg(F.min(F.struct("node", "component")).alias("first"), F.count(F.lit(1)).alias("z"), F.min("component").alias("low"), F.max("component").alias("high"))
     mixed = firsts.where("z > 1 AND low < high").select("token", F.col("first.component").alias("main"), "z")
@@ -199,15 +252,15 @@ def _blocks(posts: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFram
     )
     part = lambda blocks: F.pmod(F.xxhash64("node"), F.col(blocks))
     rows = placed.join(counts, "token").select(
-        "token", "node", "component", "a_blocks", "b_blocks", F.when(apart, part("a_blocks")).otherwise(F.lit(-1)).alias("own_a"), part("b_blocks").alias("own_b")
+        "token", "node", "posted", "component", "a_blocks", "b_blocks", F.when(apart, part("a_blocks")).otherwise(F.lit(-1)).alias("own_a"), part("b_blocks").alias("own_b")
     )
     as_b = F.transform(F.sequence(F.lit(0), F.col("a_blocks") - 1), lambda a: F.struct(a.alias("a_block"), F.col("own_b").alias("b_block")))
     as_a = F.when(F.col("own_a") >= 0, F.transform(F.sequence(F.lit(0), F.col("b_blocks") - 1), lambda b: F.struct(F.col("own_a").alias("a_block"), b.alias("b_block"))))
-    dealt = rows.select("token", "node", "component", "own_a", "own_b", F.explode(F.array_union(as_b, F.coalesce(as_a, F.array().cast(rows.select(as_b).schema[0].dataType)))).alias("k"))
-    # Sets are long: only those of rows that meet are shuffled.
-    needed = common.small(common.written(rows.select("node").distinct(), "block-nodes"))
-    sets = classes.select("node", "n", "signature", "short").join(needed, "node")
-    return dealt.select("token", "k.*", "node", "component", "own_a", "own_b").join(sets, "node")
+    dealt = rows.select("token", "node", "posted", "component", "a_blocks", "b_blocks", "own_a", "own_b", F.explode(F.array_union(as_b, F.coalesce(as_a, F.array().cast(rows.select(as_b).schema[0].dataType)))).alias("k"))
+    whole = (F.col("a_blocks") == 1) & (F.col("b_blocks") == 1)
+    bundles = max(1, placed.count() // BUNDLE_ROWS)
+    bundle = F.when(whole, F.pmod(F.xxhash64("token"), F.lit(bundles))).otherwise(-F.abs(F.xxhash64("token", "k.a_block", "k.b_block")))
+    return dealt.select(bundle.alias("bundle"), "token", "posted", "k.*", "node", "component", "own_a", "own_b")
 
 
 def _confirmed(links: DataFrame, reps: DataFrame, source: DataFrame, width: int) -> DataFrame:
@@ -242,11 +295,16 @@ def near_dedup(docs: DataFrame, width: int = 5, id_col: str = "doc_id", text_col
     Null ids come last: a group of null ids has a null component_id and `kept` is true for all of it.
     """
     common.ship_package(docs.sparkSession)
+    with common.temporary_tables(docs.sparkSession):
+        return _linked(docs, width, id_col, text_col)
+
+
+def _linked(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
     source = located(docs).select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), "_file", "_row")
-    sketches = common.written(_sketches(source, width), "sketches")
+    sketches = common.written(_sketches(source, width), "sketches", keep=True)
     by_id = F.struct(F.col("doc_id").isNull().alias("null_id"), "doc_id", "_file", "_row", "row")
     keys = sketches.where("n > 0").groupBy("set_key").agg(F.min(by_id).alias("rep"))
-    keys = common.written(keys.select("set_key", F.col("rep.row").alias("node"), "rep"), "classes")
+    keys = common.written(keys.select("set_key", F.col("rep.row").alias("node"), "rep"), "classes", keep=True)
     reps = keys.select("node", "rep._file", "rep._row")
     classes = sketches.select(F.col("row").alias("node"), "n", "signature", "short").join(common.small(keys.select("node")), "node")
     posts = common.written(_posts(classes.select("node", "signature")), "posts")
@@ -264,11 +322,16 @@ def near_dedup(docs: DataFrame, width: int = 5, id_col: str = "doc_id", text_col
     sure = common.written(_confirmed(common.written(links, "first-links"), reps, source, width), "sure-links")
     labels = common.written(components(sure), "labels")
 
-    blocks = _blocks(posts, labels, classes)
-    more = blocks.groupBy("token", "a_block", "b_block").applyInArrow(_block_links, "a long, b long")
+    blocks = _blocks(posts, labels)
+    signed = blocks.join(classes.select("node", "n", "signature"), "node")
+    possible = common.written(signed.groupBy("bundle").applyInArrow(_possible_rows, _BLOCK_FIELDS), "possible")
+    # Sets are long: only those of rows that may be near another one are shuffled.
+    needed = common.small(common.written(possible.select("node").distinct(), "block-nodes"))
+    sets = classes.select("node", "n", "signature", "short").join(needed, "node")
+    more = possible.join(sets, "node").groupBy("bundle").applyInArrow(_block_links, "a long, b long")
     more = more.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     sure_more = common.written(_confirmed(common.written(more, "block-links"), reps, source, width), "sure-links")
-    labels = common.written(components(sure.unionByName(sure_more)), "labels")
+    labels = common.written(components(sure.unionByName(sure_more)), "labels", keep=True)
 
     named = keys.join(labels, "node", "left").select("set_key", F.coalesce("component", "node").alias("component"), "rep")
     groups = named.groupBy("component").agg(F.min("rep").alias("first"))
