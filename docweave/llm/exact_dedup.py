@@ -12,6 +12,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from docweave.llm import common
+from docweave.scratch import remove_tables
 
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -75,6 +76,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     arrivals = spark.read.parquet(path)
     run_state(spark, path, arrivals.schema, checkpoint)
     state = common.written(read_state(spark, checkpoint), "groups")
+    remove_tables(spark, [checkpoint])
 
     other = common.written(_different_bytes(keyed, state), "different")
     other_groups = other.groupBy("digest", "text").agg(

@@ -10,8 +10,10 @@ from __future__ import annotations
 
 import heapq
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +26,7 @@ MARK = "▁"
 #: What a byte of a character without a piece is worth below the least score.
 BYTE_PENALTY = 10.0
 #: Words kept by one Python worker; words up to SHORT characters are searched BLOCK at a time.
-MEMO_WORDS, SHORT, BLOCK = 250_000, 40, 4_096
+MEMO_WORDS, SHORT, BLOCK = 400_000, 40, 4_096
 
 _WORDS = regex.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 Path = tuple[float, tuple[int, ...]]
@@ -56,7 +58,8 @@ class PieceModel:
                 self.bytes[int(piece[3:5], 16)] = i
             elif not (library.is_control(i) or library.is_unknown(i) or library.is_unused(i)):
                 self.ids[piece], self.scores[piece] = i, library.get_score(i)
-        self.byte_values = {i: value for value, i in self.bytes.items()}
+        values = {i: value for value, i in self.bytes.items()}
+        self.raw = [bytes([values[i]]) if i in values else piece.encode() for i, piece in enumerate(self.text)]
         self.longest = max(map(len, self.ids))
         self.byte_score = min(score for score in self.scores.values() if score > -1e8) - BYTE_PENALTY
         keys = np.array([_key(piece) for piece in self.ids], np.uint64)
@@ -191,12 +194,13 @@ class PieceModel:
                 order += 1
         return found
 
-    def decode(self, ids: list[int]) -> str:
+    def decode_word(self, ids: Iterable[int]) -> str:
+        """The text of ids with its marks; bytes are joined."""
+        return b"".join(map(self.raw.__getitem__, ids)).decode("utf-8", "replace")
+
+    def decode(self, ids: Iterable[int]) -> str:
         """The text of ids: marks become spaces, bytes are joined, the mark in front goes."""
-        out = bytearray()
-        for i in ids:
-            out += bytes([self.byte_values[i]]) if i in self.byte_values else self.text[i].encode()
-        text = out.decode("utf-8", "replace").replace(MARK, " ")
+        text = self.decode_word(ids).replace(MARK, " ")
         return text[1:] if text.startswith(" ") else text
 
 
@@ -209,13 +213,14 @@ class Segmenter:
     """N-best segmentations of whole texts; best paths of words are kept in a bounded table."""
 
     def __init__(self, path: str, n: int):
-        self.model, self.n, self.known = piece_model(path), n, {}
+        self.model, self.n, self.known, self.searched = piece_model(path), n, {}, {}
 
     def prepare(self, texts: list[str]) -> list[list[str]]:
         """The words of texts; best paths of new short words are found together."""
         known = self.known
         if len(known) > MEMO_WORDS:
             known.clear()
+            self.searched.clear()
         words = [_WORDS.findall(self.model.normalized(text)) for text in texts]
         new = sorted({word for own in words for word in own if word not in known and len(word) <= SHORT}, key=len)
         for start in range(0, len(new), BLOCK):
@@ -223,26 +228,43 @@ class Segmenter:
             known.update(zip(block, self.model.best_of(block)))
         return words
 
-    def segmentations(self, words: list[str]) -> list[Path]:
-        """The best `n` paths of a prepared text (fewer if there are no more), best first. No words have one empty path.
+    def _paths(self, word: str) -> list[Path]:
+        paths = self.searched.get(word)
+        if paths is None:
+            paths = self.model.n_best(word, self.n)
+            if len(word) <= SHORT:
+                self.searched[word] = paths
+        return paths
+
+    def ranked(self, words: list[str]) -> tuple[list[tuple[float, tuple[int, ...], float]], list[tuple[float, dict[int, tuple[int, ...]]]]]:
+        """Best paths of the words, and the best `n` paths of the text: what each loses, and the words where it differs.
 
         They leave the best path only in the n - 1 words whose second path loses least; only these are searched further.
         """
         known = self.known
         best = [known[word] if word in known else self.model.best(word) for word in words]
-        total = sum(found[0] for found in best)
         mixes: list[tuple[float, dict[int, tuple[int, ...]]]] = [(0.0, {})]
-        for loss, i in heapq.nsmallest(self.n - 1, ((found[2], i) for i, found in enumerate(best))):
-            if loss == float("inf"):
+        losses = [found[2] for found in best]
+        for i in heapq.nsmallest(self.n - 1, range(len(losses)), key=losses.__getitem__):
+            if losses[i] == float("inf"):
                 break
-            first, *others = self.model.n_best(words[i], self.n)
-            paths = [(0.0, best[i][1]), *((first[0] - score, ids) for score, ids in [first, *others] if ids != best[i][1])]
-            longer = [(cost + more, {**mix, i: ids}) for cost, mix in mixes for more, ids in paths]
+            paths = self._paths(words[i])
+            choices = [(0.0, best[i][1]), *((best[i][0] - score, ids) for score, ids in paths if ids != best[i][1])]
+            longer = [(cost + more, {**mix, i: ids} if more or ids != best[i][1] else mix) for cost, mix in mixes for more, ids in choices]
             mixes = sorted(longer, key=lambda mix: mix[0])[: self.n]
-        ids = [found[1] for found in best]
-        return [
-            (total - cost, tuple(k for i, own in enumerate(ids) for k in mix.get(i, own))) for cost, mix in mixes
-        ]
+        return best, mixes
+
+    def segmentations(self, words: list[str]) -> list[Path]:
+        """The best `n` paths of a prepared text (fewer if there are no more), best first. No words have one empty path."""
+        best, mixes = self.ranked(words)
+        total, ids = sum(found[0] for found in best), [found[1] for found in best]
+        return [(total - cost, tuple(k for i, own in enumerate(ids) for k in mix.get(i, own))) for cost, mix in mixes]
+
+
+@lru_cache(maxsize=4)
+def segmenter_of(path: str, n: int) -> Segmenter:
+    """One for each Python worker, so that tasks that follow find its words."""
+    return Segmenter(path, n)
 
 
 def encode(docs: DataFrame, model: str, n: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -255,7 +277,7 @@ def encode(docs: DataFrame, model: str, n: int = 3, id_col: str = "doc_id", text
     kind = pa.list_(pa.struct([("score", pa.float64()), ("ids", pa.list_(pa.int32()))]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        segmenter = Segmenter(model, n)
+        segmenter = segmenter_of(model, n)
         for batch in common.blocks(batches, 64):
             prepared = segmenter.prepare(batch.column("text").to_pylist())
             paths = [[{"score": score, "ids": ids} for score, ids in segmenter.segmentations(words)] for words in prepared]
@@ -291,15 +313,19 @@ def encoding_report(docs: DataFrame, model: str, n: int = 3, id_col: str = "doc_
     types = [pa.int64(), pa.float64(), pa.int64(), pa.int32(), pa.float64(), pa.bool_()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        segmenter = Segmenter(model, n)
+        segmenter = segmenter_of(model, n)
         for batch in common.blocks(batches, 64):
             rows = []
             texts = batch.column("text").to_pylist()
             for text, words in zip(texts, segmenter.prepare(texts)):
-                paths = segmenter.segmentations(words)
-                score, ids = paths[0]
-                same = all(segmenter.model.decode(list(path)) == text for _, path in paths)
-                rows.append((len(ids), score, zlib.crc32(np.array(ids, "<u4").tobytes()), len(paths), paths[-1][0], same))
+                best, mixes = segmenter.ranked(words)
+                ids = array("I", chain.from_iterable(found[1] for found in best))
+                score = sum(found[0] for found in best)
+                # Only the words in which a path differs from the best one need decoding again.
+                same = segmenter.model.decode(ids) == text and all(
+                    segmenter.model.decode_word(own) == words[i] for _, mix in mixes for i, own in mix.items()
+                )
+                rows.append((len(ids), score, zlib.crc32(np.array(ids, "<u4").tobytes()), len(mixes), score - mixes[-1][0], same))
             columns = [pa.array(column, kind) for column, kind in zip(zip(*rows), types)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], ["doc_id", *names])
 
