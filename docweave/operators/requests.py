@@ -104,7 +104,7 @@ def status_events(requests: DataFrame, status: str, events: DataFrame | None = N
 
     Each has the number after the last one of its request in `events`, the log so far.
     """
-    asked = requests.select("seq").distinct()
+    asked = requests.select(F.col("seq").cast("bigint").alias("seq")).distinct()
     if events is None:
         return asked.select("seq", F.lit(1).cast("bigint").alias("event_no"), F.lit(status).alias("status"))
     last = events.groupBy("seq").agg(F.max("event_no").alias("_last"))
