@@ -1,8 +1,9 @@
 """Secrets in whole texts: fixed patterns, and tokens that pass for random.
 
 A long token with letters and digits is taken for a number written in some encoding, the narrowest that has its
-characters. Three tests ask whether it could be uniform in that alphabet: chi-squared (single characters and classes),
-runs about the middle, serial correlation. Across all tokens of one encoding and length class, the Benjamini-Hochberg
+characters. A run of token characters is judged whole, and so is each part between its slashes, as paths join tokens to
+names; '=' ends a run, and belongs to it only as padding. Three tests ask whether a token could be uniform in its
+alphabet: chi-squared (single characters and classes), runs about the middle, serial correlation. Across all tokens of one encoding and length class, the Benjamini-Hochberg
 procedure rejects randomness; tokens that are not rejected, and are long enough for the tests to tell, are secrets.
 """
 
@@ -27,7 +28,7 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]+")
 LEAST_VALUE, LEAST_ACCESS, LEAST_HEX = 8, 16, 32
 
-_RUN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]+={0,2}(?![A-Za-z0-9+/_=-])")
+_RUN = re.compile(r"([A-Za-z0-9+/_-]+)(?:={1,2}(?![A-Za-z0-9+/_=-]))?")
 LEAST_RUN = 20
 #: A token must be worth so many bits if it is random.
 LEAST_BITS = 80
@@ -102,20 +103,36 @@ def randomness(token: str, name: str) -> float:
     return min(1.0, 4 * min(p_values))
 
 
+def _tokens(text: str) -> Iterator[tuple[int, int, str]]:
+    """Start, end with padding, and token of each run, followed by those of its parts if it has slashes."""
+    for m in _RUN.finditer(text):
+        run, start = m[1], m.start()
+        if len(run) < LEAST_RUN:
+            continue
+        yield start, m.end(), run
+        if "/" in run:
+            for part in run.split("/"):
+                end = start + len(part)
+                yield start, m.end() if end == m.end(1) else end, part
+                start = end + 1
+
+
 def candidates(text: str, taken: list[Span]) -> list[tuple[int, int, str, int]]:
-    """Tokens to judge that touch no taken span: start, end, class (encoding and octave of length), step of the p-value."""
+    """Tokens to judge that touch no taken span: start, end, class (encoding and octave of length), step of the p-value.
+
+    By start, a run before its parts.
+    """
     if not any(len(word) >= LEAST_RUN and not word.isalpha() and any(c.isdigit() for c in word) for word in text.split()):
         return []
     found = []
-    for m in _RUN.finditer(text):
-        token = m[0].rstrip("=")
+    for start, end, token in _tokens(text):
         if len(token) < LEAST_RUN or (name := encoding(token)) is None or len(token) * log2(len(ENCODINGS[name])) < LEAST_BITS:
             continue
-        if any(start < m.end() and m.start() < end for start, _, end in taken):
+        if any(first < end and start < last for first, _, last in taken):
             continue
         p = randomness(token, name)
         step = min(STEPS, int(-10 * log10(max(p, 1e-31))))
-        found.append((m.start(), m.end(), f"{name}:{len(token).bit_length()}", step))
+        found.append((start, end, f"{name}:{len(token).bit_length()}", step))
     return found
 
 
@@ -155,8 +172,11 @@ def learn_limits(docs: DataFrame, text_col: str = "text", false_share: float = F
 
 def spans(text: str, limits: dict[str, int]) -> tuple[list[Span], list[Span]]:
     """Spans of the fixed patterns, and all spans."""
-    base = base_spans(text)
-    added = [(start, 3, end) for start, end, own, step in candidates(text, base) if step < limits.get(own, STEPS + 1)]
+    base, added, at = base_spans(text), [], 0
+    for start, end, own, step in candidates(text, base):
+        if start >= at and step < limits.get(own, STEPS + 1):  # parts of a run that is a secret are in it
+            added.append((start, 3, end))
+            at = end
     return base, sorted(base + added)
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from docweave.llm import boosting
 from docweave.llm.quality_classifier import SAMPLE_ROWS, quality_scores, statistics, train as train_quality
 from docweave.llm.quality_rules import BASE, POLICIES, RULES, ablations, apply_policy, ledger, mask
-from docweave.llm.secrets import ENCODINGS, base_spans, encoding, find_secrets, learn_limits, randomness, redact, redacted, written_spans
+from docweave.llm.secrets import ENCODINGS, base_spans, candidates, encoding, find_secrets, learn_limits, randomness, redact, redacted, written_spans
 from docweave.llm.toxicity import drop_toxic, toxicity_scores, train as train_toxicity
 
 SF = "/root/testdata/sf0.01"
@@ -123,6 +123,26 @@ def test_random_tokens_pass_and_ordinary_ones_do_not(make_docs):
     assert some.spans == f"random:4:{4 + 40}"
 
 
+def test_values_after_equals_signs_and_in_paths_are_judged(make_docs):
+    forms = [
+        "export AWS_SECRET_ACCESS_KEY={}\n", "private_key={}; x", "https://host.example/cb?sig={}&auth={}&n=1", "a=={}", "key={}== x", "k={}===",
+        "https://host.example/reset/{}", "https://host.example/files/{}/name_of-file.txt", "/{}/{}?v=1", "0123456789abcdef0123456789abcdef/{}",
+    ]
+    r = random.Random(8)
+    texts, wanted = [], []
+    for form in forms * 12:
+        tokens = [next(t for _ in iter(int, 1) if encoding(t := "".join(r.choice(ENCODINGS["base62"]) for _ in range(40))) == "base62") for _ in range(form.count("{}"))]
+        texts.append(form.format(*tokens))
+        wanted.append(tokens)
+        judged = {texts[-1][start:end].rstrip("=") for start, end, _, _ in candidates(texts[-1], base_spans(texts[-1]))}
+        assert judged >= set(tokens), texts[-1]
+    assert [(start, end) for start, end, _, _ in candidates(f"key={'Ab1' * 9}== x", [])] == [(4, 33)]
+    assert [(start, end) for start, end, _, _ in candidates(f"key={'Ab1' * 9}==x", [])] == [(4, 31)]
+    limits = learn_limits(make_docs(texts))
+    left = [any(token in redacted(text, limits) for token in tokens) for text, tokens in zip(texts, wanted)]
+    assert np.mean(left) < 0.15
+
+
 def test_secrets_of_odd_rows(odd, odd_rows, empty):
     rows = find_secrets(odd, learn_limits(odd)).collect()
     assert len(rows) == len(odd_rows)
