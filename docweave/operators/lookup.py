@@ -10,10 +10,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 from docweave.bounds import PLAN_ROWS, broadcast_if_small, rows_if_small
 from docweave.functions.dictionary import let, lookup
 from docweave.functions.text import tokens
+from docweave.scratch import written_table
 
 HOT_ENTRIES = 1_000
 # Tokens that are set apart because many entries hold them, at most; the answer is the same for any number.
 HOT_TOKENS = 500
+# Entries that are listed together for a token, about; tokens with more get several lists.
+LISTED = 1_000
 POSTING = "array<struct<key:string,value:string>>"
 
 
@@ -110,44 +113,65 @@ def best_match(
 def _best_by_join(texts: DataFrame, dictionary: DataFrame, hot_entries: int) -> DataFrame:
     """`_text`, `_found` for distinct texts that share a token with some entry.
 
-    A token that more than `hot_entries` entries hold does not pair texts with all of them. Entries that share
-    nothing else with a text differ only in which hot tokens they hold, so of each such set the first entry by
-    key stands for all.
+    Entries are numbered in the order of (key, value) and stay long, one row per token, so an entry may have any number
+    of rows and tokens; the shared tokens of a text and an entry are counted. Texts meet short lists of the entries that
+    hold a token, which are taken apart only where all of a text is. A token that more than `hot_entries` entries hold
+    does not pair texts with all of them. Entries that share nothing else with a text differ only in which hot tokens
+    they hold, so of each such set the first entry stands for all. Only hot tokens are gathered in arrays, of at most
+    `HOT_TOKENS`.
     """
-    listed = dictionary.select("key", "value", tokens(F.col("words")).alias("words"))
-    entries = listed.groupBy("key", "value").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("words")))).alias("words"))
-    postings = entries.select("key", "value", "words", F.explode("words").alias("token"))
+    numbers = dictionary.select("key", "value").distinct().orderBy("key", "value")
+    numbers = written_table(numbers.withColumn("_entry", F.monotonically_increasing_id()), "entries")
+    named = numbers.select(F.col("key").alias("_key"), F.col("value").alias("_value"), "_entry")
+    same = F.col("key").eqNullSafe(F.col("_key")) & F.col("value").eqNullSafe(F.col("_value"))
+    postings = written_table(_postings(dictionary).join(broadcast_if_small(named), same).select("token", "_entry"), "postings")
     counts = postings.groupBy("token").count()
     most = counts.where(F.col("count") > hot_entries).orderBy(F.desc("count"), "token").limit(HOT_TOKENS)
     hot = [row.token for row in most.collect()]
-    split = texts.select("_text", F.array_distinct(tokens(F.col("_text"))).alias("_tokens"))
+    texts = written_table(texts.withColumn("_row", F.monotonically_increasing_id()), "texts")
+    held = F.array_distinct(tokens(F.col("_text")))
+    rare_held = F.filter(held, lambda token: ~token.isin(hot)) if hot else held
     rare_postings = postings.where(~F.col("token").isin(hot)) if hot else postings
-    overlap = F.size(F.array_intersect("_tokens", "words"))
+    largest = (counts.where(~F.col("token").isin(hot)) if hot else counts).agg(F.max("count")).first()[0] or 1
+    part = F.pmod(F.xxhash64("_entry"), F.lit(-(-largest // LISTED)))
+    lists = (
+        rare_postings.groupBy("token", part.alias("part"))
+        .agg(F.array_sort(F.collect_list("_entry")).alias("entries"))
+        .select("token", "entries")
+    )
     candidates = (
-        split.select("*", F.explode(F.filter("_tokens", lambda token: ~token.isin(hot)) if hot else F.col("_tokens")).alias("token"))
-        .join(broadcast_if_small(rare_postings), "token")
-        .select("_text", (-overlap).alias("score"), "key", "value")
+        texts.select("_row", F.explode(rare_held).alias("token"))
+        .join(broadcast_if_small(lists), "token")
+        .select("_row", "entries")
+        .repartition("_row")
+        .select("_row", F.explode_outer("entries").alias("_entry"))
+        .groupBy("_row", "_entry")
+        .agg((-F.count(F.lit(1))).alias("score"))
     )
     if hot:
-        hot_part = lambda words: F.array_sort(F.filter(words, lambda token: token.isin(hot)))
+        overlap = F.size(F.array_intersect("_held", "hot")).cast("bigint")
+        hot_sets = postings.where(F.col("token").isin(hot)).groupBy("_entry").agg(F.array_sort(F.collect_list("token")).alias("hot"))
+        hot_held = F.array_sort(F.filter(held, lambda token: token.isin(hot))).alias("_held")
+        with_hot = texts.select("_row", hot_held).where(F.size("_held") > 0)
+        both = F.when(F.col("_held").isNotNull() & F.col("hot").isNotNull(), overlap).otherwise(0)
+        candidates = (
+            candidates.join(with_hot, "_row", "left")
+            .join(broadcast_if_small(hot_sets), "_entry", "left")
+            .select("_row", "_entry", (F.col("score") - both).alias("score"))
+        )
         standing_in = (
-            entries.groupBy(hot_part("words").alias("words"))
-            .agg(F.min(F.struct("key", "value")).alias("first"))
-            .select("words", "first", F.explode_outer("words").alias("token"))
-            .where(F.col("token").isNotNull())
+            hot_sets.groupBy("hot")
+            .agg(F.min("_entry").alias("_entry"))
+            .select("hot", "_entry", F.explode("hot").alias("token"))
         )
-        held = split.select("_text", hot_part("_tokens").alias("_held"))
-        sets = held.select(F.col("_held").alias("_tokens")).distinct()
         per_set = (
-            sets.select("_tokens", F.explode_outer("_tokens").alias("token"))
+            with_hot.select("_held").distinct()
+            .select("_held", F.explode("_held").alias("token"))
             .join(broadcast_if_small(standing_in), "token")
-            .groupBy("_tokens")
-            .agg(F.min(F.struct((-overlap).alias("score"), "first.key", "first.value")).alias("best"))
+            .groupBy("_held")
+            .agg(F.min(F.struct((-overlap).alias("score"), "_entry")).alias("best"))
         )
-        by_hot = held.join(per_set, F.col("_held") == F.col("_tokens")).select("_text", "best.*")
-        candidates = candidates.unionByName(by_hot)
-    return (
-        candidates.groupBy("_text")
-        .agg(F.min(F.struct("score", "key", "value")).alias("_best"))
-        .select("_text", F.col("_best.value").alias("_found"))
-    )
+        candidates = candidates.unionByName(with_hot.join(per_set, "_held").select("_row", "best.*"))
+    best = candidates.groupBy("_row").agg(F.min(F.struct("score", "_entry"))["_entry"].alias("_entry"))
+    found = best.join(broadcast_if_small(numbers), "_entry").select("_row", F.col("value").alias("_found"))
+    return texts.join(found, "_row").select("_text", "_found")

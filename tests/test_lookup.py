@@ -49,6 +49,40 @@ def test_rows_of_one_key_count_together_on_both_ways(spark):
         assert {r.t: r.c for r in got} == {"a b": "first", "a": "second", None: ""}
 
 
+def test_entries_of_many_rows_equal_brute_force(spark):
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(30)]
+    keys = [(None, "none"), ("a", "1"), ("a", "2"), ("b", None), ("c", "3"), ("d", "4")]
+    rows = [(*rng.choice(keys), " ".join(rng.sample(words, rng.randint(0, 3)))) for _ in range(40)]
+    texts = [" ".join(rng.choices([*words, "x"], k=rng.randint(0, 6))) for _ in range(80)]
+    dictionary = spark.createDataFrame(rows, "key string, value string, words string").withColumn("terms", F.array())
+    gathered: dict = {}
+    for key, value, text in rows:
+        gathered.setdefault((key, value), set()).update(text.split())
+    order = lambda x: (x is not None, x or "")
+
+    def brute(text):
+        scored = [(-n, order(k), order(v), v) for (k, v), own in gathered.items() if (n := len(own & set(text.split())))]
+        return (min(scored)[3] or "") if scored else ""
+
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    for hot in (1000, 3, 2, 0):
+        got = lookup.best_match(docs, F.col("t"), dictionary, "e", 0, hot).orderBy("i").collect()
+        assert [r.e for r in got] == [brute(t) for t in texts], hot
+
+
+def test_an_entry_with_a_large_vocabulary_costs_in_proportion(spark):
+    import time
+
+    n = 20_000
+    words = F.concat(F.lit("w"), F.col("id").cast("string"))
+    dictionary = spark.range(n).select(F.lit("k").alias("key"), F.lit("v").alias("value"), F.array().alias("terms"), words.alias("words"))
+    texts = spark.createDataFrame([("w1 w19999",), ("x",)], "t string")
+    start = time.perf_counter()
+    assert {r.t: r.e for r in lookup.best_match(texts, F.col("t"), dictionary, "e").collect()} == {"w1 w19999": "v", "x": ""}
+    assert time.perf_counter() - start < 20
+
+
 def test_large_literals_cost_what_small_ones_cost(spark):
     import time
 
