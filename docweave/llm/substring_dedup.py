@@ -5,6 +5,10 @@ at the same place. Chosen short windows that occur once are dropped; those that
 length, to the left and to the right, and counted again, until the length reaches `window` or nothing survives. At the
 last length all windows around the survivors are compared by 96 bits of hash, and each is traced to its first start.
 Copies of a whole document are found beforehand by their digest: none of their windows starts first.
+
+With the defaults, 10 words to 20, there is a single doubling: all windows around the repeated short windows are compared
+at once, and no level lies between. Short windows of 5 words, with one level more, were stopped by the disk limit of the
+check. The result does not depend on the base; tests run more levels.
 """
 
 from __future__ import annotations
