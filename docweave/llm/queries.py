@@ -7,13 +7,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 from docweave.llm import common
 from docweave.llm.exact_dedup import exact_dedup
+from docweave.llm.html_extraction import extract_main_text
 from docweave.llm.near_dedup import near_dedup
 from docweave.llm.packing import pack_documents
+from docweave.llm.periodic_runs import periodic_runs
 from docweave.llm.pieces import encoding_report
 from docweave.llm.quality_classifier import quality_scores, train as train_quality
 from docweave.llm.quality_rules import apply_policy, ledger
 from docweave.llm.secrets import find_secrets, learn_limits
 from docweave.llm.substring_dedup import substring_dedup
+from docweave.llm.token_alignment import token_alignment
 from docweave.llm.token_counts import token_counts
 from docweave.llm.toxicity import toxicity_scores, train as train_toxicity
 
@@ -66,6 +69,18 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(common.documents(spark, sf_dir), width=2).select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs(common.documents(spark, sf_dir), planted=True)
+
+
+def op12_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment(common.documents(spark, sf_dir), public_tokenizers.path(BYTE_BPE), public_tokenizers.path(PIECE_BPE))
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_substring_dedup": op2_substring_dedup,
@@ -77,6 +92,9 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_toxicity": op9_toxicity,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_html_extraction": op12_html_extraction,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 _WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
