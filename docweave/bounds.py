@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Row, functions as F
 
+from docweave.scratch import written_table
+
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 PLAN_ROWS = 4_096
+#: Dictionaries that Spark expects to be larger are written before they are measured and used.
+UNWRITTEN_BYTES = 1024 * 1024
 
 
 def fits(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
@@ -29,3 +33,13 @@ def rows_if_small(df: DataFrame, max_rows: int = PLAN_ROWS) -> list[Row] | None:
     """The rows of a small dictionary, or None when it holds more than `max_rows`."""
     rows = df.limit(max_rows + 1).collect()
     return rows if len(rows) <= max_rows else None
+
+
+def computed_once(df: DataFrame, name: str, paths: list[str] | None = None) -> DataFrame:
+    """`df`, written to a table first unless Spark expects it to be small.
+
+    What is measured and then used is otherwise computed each time, and its size in the plan is a guess; a written
+    table is read again at the cost of its files.
+    """
+    expected = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return df if int(str(expected)) <= UNWRITTEN_BYTES else written_table(df, name, paths)

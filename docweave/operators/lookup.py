@@ -5,18 +5,19 @@ A dictionary has the columns `key`, `value`, `terms` (exact forms) and `words` (
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
-from docweave.bounds import PLAN_ROWS, broadcast_if_small, rows_if_small
+from docweave.bounds import PLAN_ROWS, broadcast_if_small, computed_once, rows_if_small
 from docweave.functions.dictionary import let, lookup
 from docweave.functions.text import tokens
 from docweave.scratch import written_table
 
+#: Tokens of more entries than this are hot: a text meets their entries only by way of distinct sets of such tokens.
 HOT_ENTRIES = 1_000
-# Tokens that are set apart because many entries hold them, at most; the answer is the same for any number.
-HOT_TOKENS = 500
-# Entries that are listed together for a token, about; tokens with more get several lists.
-LISTED = 1_000
+#: The first rounds of a search take so many tokens of a text, the next ones each so many times as many.
+FIRST_TOKENS, MORE_TOKENS = 1, 4
 POSTING = "array<struct<key:string,value:string>>"
 
 
@@ -90,9 +91,10 @@ def best_match(
     """Value of the entry that shares most distinct tokens with `text`, the first key on a tie; '' if none does.
 
     An entry is a (key, value) with the tokens of all its rows. A dictionary of at most `max_in_plan` (token, entry)
-    pairs is matched inside the row. A larger one is
-    matched once per distinct text, and the answers are joined back.
+    pairs is matched inside the row. A larger one is searched once per distinct set of tokens, which rows find again by
+    its digest.
     """
+    dictionary = computed_once(dictionary.select("key", "value", "words"), "dictionary")
     postings = _postings(dictionary)
     small = rows_if_small(postings, max_in_plan)
     if small is not None:
@@ -101,77 +103,139 @@ def best_match(
             index.setdefault(row.token, []).append({"key": row.key, "value": row.value})
         return df.withColumn(out_col, _best_in_row(text, index) if index else F.lit(""))
 
-    best = _best_by_join(df.select(text.alias("_text")).where(text.isNotNull()).distinct(), dictionary, hot_entries)
+    held = F.array_sort(F.array_distinct(tokens(text)))
+    digest = F.when(F.size(held) > 0, F.md5(F.array_join(held, " ").cast("binary")))
+    sets = df.select(digest.alias("_set"), held.alias("_tokens")).where(F.col("_set").isNotNull()).dropDuplicates(["_set"])
+    best = _best_by_threshold(sets, dictionary, hot_entries)
     return (
-        df.withColumn("_text", text)
-        .join(best, "_text", "left")
+        df.withColumn("_digest", digest)
+        .join(broadcast_if_small(best), F.col("_digest") == F.col("_set"), "left")
         .withColumn(out_col, F.coalesce("_found", F.lit("")))
-        .drop("_text", "_found")
+        .drop("_digest", "_set", "_found")
+    )
+
+
+def _unlike(postings: DataFrame) -> DataFrame:
+    """Postings (token, _entry, size) of the first entry of each set of tokens; `size` is the number of its tokens.
+
+    Entries with the same tokens tie for every text, so the first one stands for all. Sets are told apart by two hashes.
+    """
+    sets = postings.groupBy("_entry").agg(
+        F.count(F.lit(1)).alias("size"), F.bit_xor(F.xxhash64("token")).alias("_one"), F.bit_xor(F.xxhash64("token", F.lit(1))).alias("_two")
+    )
+    firsts = sets.groupBy("size", "_one", "_two").agg(F.min("_entry").alias("_entry")).select("_entry", "size")
+    return postings.join(firsts, "_entry").select("token", "_entry", "size")
+
+
+def _token_facts(postings: DataFrame) -> DataFrame:
+    """Per token: how many entries hold it, the tokens of the largest of them, and the first of them."""
+    return postings.groupBy("token").agg(
+        F.count(F.lit(1)).alias("n"), F.max("size").alias("largest"), F.min("_entry").alias("first")
+    )
+
+
+def _by_rarity(held: DataFrame, facts: DataFrame) -> DataFrame:
+    """(_set, tokens) from (_set, token): the known tokens of each set with their facts, rarest first."""
+    return (
+        held.join(facts, "token").groupBy("_set")
+        .agg(F.array_sort(F.collect_list(F.struct("n", "token", "largest", "first"))).alias("tokens"))
     )
 
 
-def _best_by_join(texts: DataFrame, dictionary: DataFrame, hot_entries: int) -> DataFrame:
-    """`_text`, `_found` for distinct texts that share a token with some entry.
+def _best_by_threshold(sets: DataFrame, dictionary: DataFrame, hot_entries: int) -> DataFrame:
+    """`_set`, `_found` of the token sets (_set, _tokens) that share a token with some entry.
 
-    Entries are numbered in the order of (key, value) and stay long, one row per token, so an entry may have any number
-    of rows and tokens; the shared tokens of a text and an entry are counted. Texts meet short lists of the entries that
-    hold a token, which are taken apart only where all of a text is. A token that more than `hot_entries` entries hold
-    does not pair texts with all of them. Entries that share nothing else with a text differ only in which hot tokens
-    they hold, so of each such set the first entry stands for all. Only hot tokens are gathered in arrays, of at most
-    `HOT_TOKENS`.
+    Entries are numbered in the order of (key, value) and stay long, one row per token. Entries with a rare token of a set
+    are searched from its rarest token on (`_search`). Entries that share only hot tokens with it differ for it in which
+    of those they hold, so they are searched once per distinct set of hot tokens, among the distinct sets of hot tokens
+    that entries have. The better of both answers counts: what the second search finds is an entry whose score is no
+    less than what it was found with.
     """
     numbers = dictionary.select("key", "value").distinct().orderBy("key", "value")
     numbers = written_table(numbers.withColumn("_entry", F.monotonically_increasing_id()), "entries")
     named = numbers.select(F.col("key").alias("_key"), F.col("value").alias("_value"), "_entry")
     same = F.col("key").eqNullSafe(F.col("_key")) & F.col("value").eqNullSafe(F.col("_value"))
-    postings = written_table(_postings(dictionary).join(broadcast_if_small(named), same).select("token", "_entry"), "postings")
-    counts = postings.groupBy("token").count()
-    most = counts.where(F.col("count") > hot_entries).orderBy(F.desc("count"), "token").limit(HOT_TOKENS)
-    hot = [row.token for row in most.collect()]
-    texts = written_table(texts.withColumn("_row", F.monotonically_increasing_id()), "texts")
-    held = F.array_distinct(tokens(F.col("_text")))
-    rare_held = F.filter(held, lambda token: ~token.isin(hot)) if hot else held
-    rare_postings = postings.where(~F.col("token").isin(hot)) if hot else postings
-    largest = (counts.where(~F.col("token").isin(hot)) if hot else counts).agg(F.max("count")).first()[0] or 1
-    part = F.pmod(F.xxhash64("_entry"), F.lit(-(-largest // LISTED)))
-    lists = (
-        rare_postings.groupBy("token", part.alias("part"))
-        .agg(F.array_sort(F.collect_list("_entry")).alias("entries"))
-        .select("token", "entries")
-    )
-    candidates = (
-        texts.select("_row", F.explode(rare_held).alias("token"))
-        .join(broadcast_if_small(lists), "token")
-        .select("_row", "entries")
-        .repartition("_row")
-        .select("_row", F.explode_outer("entries").alias("_entry"))
-        .groupBy("_row", "_entry")
-        .agg((-F.count(F.lit(1))).alias("score"))
+    pairs = dictionary.select("key", "value", F.explode(tokens(F.col("words"))).alias("token")).distinct()
+    postings = written_table(_unlike(pairs.join(broadcast_if_small(named), same).select("token", "_entry")), "postings")
+    facts = written_table(_token_facts(postings), "tokens")
+    held = sets.select("_set", F.explode("_tokens").alias("token"))
+    known = written_table(_by_rarity(held, broadcast_if_small(facts)), "sets")
+    is_hot = lambda token: token["n"] > hot_entries
+    parted = known.select(
+        "_set", F.filter("tokens", lambda t: ~is_hot(t)).alias("tokens"),
+        F.transform(F.filter("tokens", is_hot), lambda t: t["token"]).alias("others"),
     )
-    if hot:
-        overlap = F.size(F.array_intersect("_held", "hot")).cast("bigint")
-        hot_sets = postings.where(F.col("token").isin(hot)).groupBy("_entry").agg(F.array_sort(F.collect_list("token")).alias("hot"))
-        hot_held = F.array_sort(F.filter(held, lambda token: token.isin(hot))).alias("_held")
-        with_hot = texts.select("_row", hot_held).where(F.size("_held") > 0)
-        both = F.when(F.col("_held").isNotNull() & F.col("hot").isNotNull(), overlap).otherwise(0)
-        candidates = (
-            candidates.join(with_hot, "_row", "left")
-            .join(broadcast_if_small(hot_sets), "_entry", "left")
-            .select("_row", "_entry", (F.col("score") - both).alias("score"))
+    best = _search(parted.where(F.size("tokens") > 0), postings)
+    hot = postings.join(broadcast_if_small(facts.where(F.col("n") > hot_entries).select("token")), "token", "left_semi")
+    if not hot.isEmpty():
+        projected = written_table(_unlike(hot.select("token", "_entry")), "hot-postings")
+        hot_sets = written_table(
+            parted.where(F.size("others") > 0).select("_set", F.md5(F.array_join(F.array_sort("others"), " ").cast("binary")).alias("_hot"), "others"), "hot-sets"
+        )
+        hot_held = hot_sets.dropDuplicates(["_hot"]).select(F.col("_hot").alias("_set"), F.explode("others").alias("token"))
+        hot_known = _by_rarity(hot_held, broadcast_if_small(_token_facts(projected))).withColumn("others", F.array().cast("array<string>"))
+        hot_best = _search(hot_known, projected).withColumnRenamed("_set", "_hot")
+        best = best.unionByName(hot_sets.join(hot_best, "_hot").select("_set", "_score", "_entry"))
+    first = best.groupBy("_set").agg(F.min(F.struct((-F.col("_score")).alias("score"), "_entry"))["_entry"].alias("_entry"))
+    return first.join(broadcast_if_small(numbers), "_entry").select("_set", F.col("value").alias("_found"))
+
+
+def _hits(asked: DataFrame, postings: DataFrame) -> DataFrame:
+    """Every entry of the asked tokens (_set, token): one row per (set, token, entry)."""
+    return asked.join(postings, "token").select("_set", "_entry", "size")
+
+
+def _search(sets: DataFrame, postings: DataFrame) -> DataFrame:
+    """`_set`, `_score`, `_entry`: the entry that shares most tokens with a set, of those that hold one of its `tokens`.
+
+    Sets have their `tokens`, rarest first, and `others`, which count but are not searched by. Each round takes the entries
+    of the next tokens of a set and counts what they share so far; what is left of the set bounds what they, and entries
+    not met so far, can still reach. Entries below the best count are left out. A set is closed as soon as no entry that
+    was not met can win any more, and the entries that are left then are compared exactly, by looking up the rest of the
+    set in them: tokens with long lists are mostly never listed. Equal scores go to the first entry, by the same bounds.
+    """
+    counts = sets.sparkSession.createDataFrame([], "_set string, _entry bigint, size bigint, met bigint")
+    open_, taken, block, closed, kept = written_table(sets, "open"), 0, FIRST_TOKENS, [], []
+    while True:
+        rest = F.slice("tokens", taken + 1, 2**31 - 1 - taken)
+        best = counts.groupBy("_set").agg(F.min(F.struct((-F.col("met")).alias("met"), "_entry")).alias("_best"))
+        left = F.size("rest") + F.size("others")
+        unmet = F.when(F.size("rest") > 0, F.least(left, F.array_max(F.transform("rest", lambda t: t["largest"])))).otherwise(0)
+        first = F.array_min(F.transform("rest", lambda t: t["first"]))
+        floor, leader = F.coalesce(-F.col("_best.met"), F.lit(0)), F.col("_best._entry")
+        # The first entry of a list is a candidate as it stands: with one token to share, no other of the list is better.
+        done = (unmet <= 1) | (unmet < floor) | ((unmet == floor) & (first > leader))
+        judged = written_table(
+            open_.withColumn("rest", rest).join(best, "_set", "left").select(
+                "_set", "tokens", "others", "rest", left.alias("left"), floor.alias("floor"), leader.alias("leader"),
+                F.coalesce(done, F.lit(False)).alias("done"), F.when(unmet == 1, first).alias("first"),
+            ), "judged",
         )
-        standing_in = (
-            hot_sets.groupBy("hot")
-            .agg(F.min("_entry").alias("_entry"))
-            .select("hot", "_entry", F.explode("hot").alias("token"))
+        reach = F.least(F.col("size"), F.col("met") + F.col("left"))
+        wins = (F.col("_entry") == F.col("leader")) | (reach > F.col("floor")) | ((reach == F.col("floor")) & (F.col("_entry") < F.col("leader")))
+        alive = written_table(
+            counts.join(judged.select("_set", "left", "floor", "leader", "done"), "_set").where(wins).select("_set", "_entry", "size", "met", "done"), "alive"
         )
-        per_set = (
-            with_hot.select("_held").distinct()
-            .select("_held", F.explode("_held").alias("token"))
-            .join(broadcast_if_small(standing_in), "token")
-            .groupBy("_held")
-            .agg(F.min(F.struct((-overlap).alias("score"), "_entry")).alias("best"))
+        closed.append(judged.where("done").select("_set", "others", F.transform("rest", lambda t: t["token"]).alias("rest"), "first"))
+        kept.append(alive.where("done").drop("size", "done"))
+        open_ = judged.where(~F.col("done")).select("_set", "tokens", "others")
+        if open_.isEmpty():
+            break
+        asked = open_.select("_set", F.explode(F.transform(F.slice("tokens", taken + 1, block), lambda t: t["token"])).alias("token"))
+        met = _hits(asked, postings).withColumn("met", F.lit(1).cast("bigint"))
+        counts = written_table(
+            alive.where(~F.col("done")).drop("done").unionByName(met).groupBy("_set", "_entry").agg(F.max("size").alias("size"), F.sum("met").alias("met")), "counts"
         )
-        candidates = candidates.unionByName(with_hot.join(per_set, "_held").select("_row", "best.*"))
-    best = candidates.groupBy("_row").agg(F.min(F.struct("score", "_entry"))["_entry"].alias("_entry"))
-    found = best.join(broadcast_if_small(numbers), "_entry").select("_row", F.col("value").alias("_found"))
-    return texts.join(found, "_row").select("_text", "_found")
+        taken, block = taken + block, block * MORE_TOKENS
+    ends, found = reduce(DataFrame.unionByName, closed), reduce(DataFrame.unionByName, kept)
+    # An entry that was not met shares none of the tokens before `rest`.
+    firsts = ends.where(F.col("first").isNotNull()).select("_set", F.col("first").alias("_entry"), F.lit(0).cast("bigint").alias("met"))
+    candidates = written_table(found.unionByName(firsts).groupBy("_set", "_entry").agg(F.max("met").alias("met")), "candidates")
+    probed = candidates.join(ends.select("_set", F.concat("rest", "others").alias("more")), "_set").select("_set", "_entry", F.explode("more").alias("token"))
+    more = probed.join(postings.select("token", "_entry"), ["token", "_entry"], "left_semi").groupBy("_set", "_entry").agg(F.count(F.lit(1)).alias("more"))
+    scored = candidates.join(more, ["_set", "_entry"], "left").select("_set", "_entry", (F.col("met") + F.coalesce("more", F.lit(0))).alias("_score"))
+    return (
+        scored.where(F.col("_score") > 0).groupBy("_set")
+        .agg(F.min(F.struct((-F.col("_score")).alias("score"), "_entry")).alias("_best"))
+        .select("_set", (-F.col("_best.score")).alias("_score"), F.col("_best._entry").alias("_entry"))
+    )

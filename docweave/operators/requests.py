@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from docweave.bounds import broadcast_if_small
 from docweave.functions.text import BLANK
@@ -99,14 +99,30 @@ def with_current_status(queue: DataFrame, events: DataFrame) -> DataFrame:
     )
 
 
-def status_events(requests: DataFrame, status: str, events: DataFrame | None = None) -> DataFrame:
-    """Events to append when requests are queued again (I), taken up (P) or finished (C).
+def open_requests(queue: DataFrame, events: DataFrame, now: Column) -> DataFrame:
+    """Requests that a run may take up, with status I.
 
-    Each has the number after the last one of its request in `events`, the log so far.
+    Open are those whose last status, in the log or else in the queue, is I, and those in progress (P) whose lease has
+    ended: the run that held it has failed. A request that is in progress without a lease is open too.
     """
-    asked = requests.select(F.col("seq").cast("bigint").alias("seq")).distinct()
-    if events is None:
-        return asked.select("seq", F.lit(1).cast("bigint").alias("event_no"), F.lit(status).alias("status"))
-    last = events.groupBy("seq").agg(F.max("event_no").alias("_last"))
-    number = (F.coalesce("_last", F.lit(0)) + 1).cast("bigint")
-    return asked.join(last, "seq", "left").select("seq", number.alias("event_no"), F.lit(status).alias("status"))
+    last = events.groupBy("seq").agg(F.max_by(F.struct("status", "expires"), "event_no").alias("_last"))
+    status = F.coalesce("_last.status", "status")
+    ended = F.col("_last.expires").isNull() | (F.col("_last.expires") < now)
+    return (
+        queue.join(last, "seq", "left")
+        .where((status == PENDING) | ((status == IN_PROGRESS) & ended))
+        .withColumn("status", F.lit(PENDING))
+        .select(*queue.columns)
+    )
+
+
+def owned_requests(events: DataFrame, run_id: str) -> DataFrame:
+    """`seq` of the requests that are in progress and were taken up by `run_id` last."""
+    last = events.groupBy("seq").agg(F.max_by(F.struct("status", "run_id"), "event_no").alias("_last"))
+    return last.where((F.col("_last.status") == IN_PROGRESS) & (F.col("_last.run_id") == run_id)).select("seq")
+
+
+def finished_runs(events: DataFrame) -> DataFrame:
+    """(seq, run_id): the run that finished each request last."""
+    done = events.where(F.col("status") == DONE)
+    return done.groupBy("seq").agg(F.max_by("run_id", "event_no").alias("run_id"))

@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from docweave.sinks.rows import wide_topics
 from docweave.sources.tables import DOCUMENT_COLUMNS
 
 
+# Values are quoted as needed, keep their outer blanks, and are empty when null.
+_PAGE = {"escape": '"', "nullValue": "", "emptyValue": "", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
 def write_delimited(df: DataFrame, path: str, sep: str = "\t", header: bool = False, mode: str = "errorifexists") -> None:
     """Delimited rows; values that hold the delimiter or a quote are quoted, nulls are empty."""
     df.write.mode(mode).options(sep=sep, header=header, escape='"', emptyValue="", nullValue="").csv(path)
@@ -45,11 +49,21 @@ def write_pages(paged: DataFrame, path: str, columns: Sequence[str] = DOCUMENT_C
         .drop("row_no")
         .write.partitionBy("reg_dt", "seq", "file_name")
         .mode("overwrite")
-        .options(header=True, escape='"', nullValue="", emptyValue="", partitionOverwriteMode="dynamic")
+        .options(header=True, partitionOverwriteMode="dynamic", **_PAGE)
         .csv(path)
     )
 
 
+def read_pages(spark: SparkSession, path: str, columns: Sequence[str] = DOCUMENT_COLUMNS) -> DataFrame:
+    """Rows of pages, all columns as text, with the columns that their folders are named by.
+
+    An empty value comes back as null. Cells may hold line breaks, so a page, which is bounded, is read by one task.
+    """
+    folders = ["run", "reg_dt", "seq", "file_name"]
+    schema = ", ".join(f"{name} string" for name in [*columns, *folders])
+    return spark.read.schema(schema).options(header=True, multiLine=True, enforceSchema=True, **_PAGE).csv(path)
+
+
 def write_pages_unordered(matched: DataFrame, path: str, size: int, columns: Sequence[str] = DOCUMENT_COLUMNS) -> None:
     """Files of at most `size` rows per (request, dataset), without a shuffle and without a fixed order."""
     (

@@ -1,6 +1,7 @@
 import csv
 import glob
 import random
+from datetime import datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +10,7 @@ from docweave.operators import matching, paging, requests
 from docweave.plans import export
 from docweave.scratch import fresh_path
 from docweave.sinks import files as sinks
+from docweave.sinks.commits import StatusLog, publish_once
 from docweave.sources.tables import DOCUMENT_COLUMNS, QUEUE_SCHEMA, RULE_SCHEMA
 
 DOC_SCHEMA = "doc_id string, doc_datetime timestamp_ntz, doc_url string, doc_title string, doc_content string, depth1_seq int, depth2_seq int"
@@ -154,67 +156,138 @@ def test_swap_extension(spark):
     assert [r[0] for r in got] == ["/a/b.c/in.SCD", "/a/x"]
 
 
-def test_export_writes_pages_manifest_and_statuses(spark, docs, control):
-    missing = [c for c in DOCUMENT_COLUMNS if c not in docs.columns]
-    full = docs.withColumns({c: F.lit("v").alias(c) for c in missing})
-    base, log = fresh_path(spark, "export"), fresh_path(spark, "status")
-    listed = export.run_export(full, control, base, log, size=2).collect()
+def with_all_columns(docs):
+    return docs.withColumns({c: F.lit("v").alias(c) for c in DOCUMENT_COLUMNS if c not in docs.columns})
+
+
+@pytest.fixture
+def shared(spark):
+    """A base folder and a status log for the runs of a test."""
+    return fresh_path(spark, "export"), fresh_path(spark, "status")
+
+
+def statuses(spark, log):
+    return {r.seq: r.status for r in requests.current_status(StatusLog(spark, log).events()).collect()}
+
+
+def live(spark, shared):
+    """Rows of the live pages by request and file name."""
+    out = {}
+    for row in export.live_pages(spark, *shared).collect():
+        out.setdefault((int(row.seq), row.file_name), []).append(row.doc_id)
+    return {name: sorted(ids) for name, ids in out.items()}
+
+
+def test_export_writes_pages_manifest_and_statuses(spark, docs, control, shared):
+    base, log = shared
+    listed = export.run_export(with_all_columns(docs), control, base, log, size=2, run_id="one").collect()
     assert {(r.seq, r.dataset_seq, r.page, r.n_rows) for r in listed} == {
         (12, 6, 0, 1), (12, 7, 0, 2), (12, 7, 1, 2), (12, 7, 2, 1), (13, None, 0, 2),
     }
     local = base.removeprefix("file:")
     for row in listed:
         reg_dt, seq = row.directory.split("/")
-        found = glob.glob(f"{glob.escape(f'{local}/reg_dt={reg_dt}/seq={seq}/file_name={row.file_name}')}/*.csv")
+        found = glob.glob(f"{glob.escape(f'{local}/pages/run=one/reg_dt={reg_dt}/seq={seq}/file_name={row.file_name}')}/*.csv")
         assert len(found) == 1
         with open(found[0], encoding="utf-8") as file:
             lines = list(csv.reader(file))
         assert lines[0] == DOCUMENT_COLUMNS and len(lines) == row.n_rows + 1
-    after = requests.with_current_status(control.queue, spark.read.parquet(log))
+    after = requests.with_current_status(control.queue, StatusLog(spark, log).events())
     assert {r.seq: r.status for r in after.collect()} == {12: "C", 13: "C", 14: "I", 15: "C"}
-    assert {r.status for r in spark.read.parquet(log).where("seq = 12").collect()} == {"P", "C"}
+    assert {r.status for r in StatusLog(spark, log).events().where("seq = 12").collect()} == {"P", "C"}
+    assert {len(ids) for ids in live(spark, shared).values()} == {1, 2} and len(live(spark, shared)) == 5
 
 
-def with_all_columns(docs):
-    return docs.withColumns({c: F.lit("v").alias(c) for c in DOCUMENT_COLUMNS if c not in docs.columns})
+def test_runs_share_a_base_and_done_requests_are_left_out(spark, docs, control, shared):
+    base, log = shared
+    first = export.run_export(with_all_columns(docs), control, base, log, size=2).count()
+    pages = live(spark, shared)
+    assert first == 5 and export.run_export(with_all_columns(docs), control, base, log, size=2).count() == 0
+    again = StatusLog(spark, log)
+    assert again.append(spark.createDataFrame([(12,)], "seq bigint"), requests.PENDING, again.version())
+    assert statuses(spark, log) == {12: "I", 13: "C"}
+    assert {r.seq for r in export.run_export(with_all_columns(docs), control, base, log, size=2).collect()} == {12}
+    assert statuses(spark, log) == {12: "C", 13: "C"} and live(spark, shared) == pages
 
 
-def pages_of(base):
-    out = {}
-    for path in glob.glob(f"{glob.escape(base.removeprefix('file:'))}/reg_dt=*/seq=*/file_name=*/*.csv"):
-        with open(path, encoding="utf-8") as file:
-            out.setdefault(path.split("/reg_dt=")[1].rsplit("/", 1)[0], []).append(sorted(map(tuple, csv.reader(file))))
-    return out
+def test_a_shorter_export_leaves_no_pages_of_the_longer_one(spark, docs, control, shared):
+    base, log = shared
+    export.run_export(with_all_columns(docs), control, base, log, size=2)
+    before = live(spark, shared)
+    again = StatusLog(spark, log)
+    again.append(spark.createDataFrame([(12,)], "seq bigint"), requests.PENDING, again.version())
+    gone = max((ids for (seq, _), ids in before.items() if seq == 12), key=len)
+    export.run_export(with_all_columns(docs.where(~F.col("doc_id").isin(gone))), control, base, log, size=2)
+    after = live(spark, shared)
+    assert {n for n in before if n[0] == 12} > {n for n in after if n[0] == 12}
+    assert not any(set(gone) & set(ids) for (seq, _), ids in after.items() if seq == 12)
+    assert {n: ids for n, ids in before.items() if n[0] == 13} == {n: ids for n, ids in after.items() if n[0] == 13}
+    listed = export.live_manifest(spark, base, log).where("page IS NOT NULL").collect()
+    assert {(r.seq, r.file_name): r.n_rows for r in listed} == {n: len(ids) for n, ids in after.items()}
 
 
-def test_runs_share_a_base_and_done_requests_are_left_out(spark, docs, control):
-    base, log = fresh_path(spark, "export"), fresh_path(spark, "status")
-    first = export.run_export(with_all_columns(docs), control, base, log, size=2).count()
-    pages = pages_of(base)
-    assert first == 5 and export.run_export(with_all_columns(docs), control, base, log, size=2).count() == 0
-    again = spark.createDataFrame([(12,)], "seq bigint")
-    requests.status_events(again, requests.PENDING, spark.read.parquet(log)).write.mode("append").parquet(log)
-    status = lambda: {r.seq: r.status for r in requests.current_status(spark.read.parquet(log)).collect()}
-    assert status() == {12: "I", 13: "C"}
-    assert {r.seq for r in export.run_export(with_all_columns(docs), control, base, log, size=2).collect()} == {12}
-    assert status() == {12: "C", 13: "C"} and pages_of(base) == pages
+HOUR = timedelta(hours=1)
+NOON = datetime(2024, 6, 1, 12, tzinfo=timezone.utc)
 
 
-@pytest.mark.parametrize("step", ["filter_documents", "write_pages", "manifest"])
-def test_a_retry_after_a_failure_gives_the_same_files(spark, docs, control, monkeypatch, step):
-    base, log = fresh_path(spark, "export"), fresh_path(spark, "status")
-    owner = {"filter_documents": export.matching, "write_pages": export, "manifest": export.paging}[step]
+@pytest.mark.parametrize("step", ["filter_documents", "write_pages", "manifest", "finish"])
+def test_a_failed_run_is_taken_up_after_its_lease(spark, docs, control, shared, monkeypatch, step):
+    """Whatever step fails, nothing of the run is live, and its requests are free when its lease has ended."""
+    base, log = shared
+    owner = {"filter_documents": export.matching, "manifest": export.paging}.get(step, export)
 
     def fail(*_, **__):
         raise RuntimeError(step)
 
+    run = lambda now: export.run_export(with_all_columns(docs), control, base, log, size=2, lease=HOUR, now=now)
     with monkeypatch.context() as patch:
         patch.setattr(owner, step, fail)
         with pytest.raises(RuntimeError):
-            export.run_export(with_all_columns(docs), control, base, log, size=2)
-    assert {r.status for r in requests.current_status(spark.read.parquet(log)).collect()} == {"P"}
-    assert export.run_export(with_all_columns(docs), control, base, log, size=2).count() == 5
-    assert len(pages_of(base)) == 5 and all(len(files) == 1 for files in pages_of(base).values())
+            run(NOON)
+    assert set(statuses(spark, log).values()) == {"P"}
+    assert requests.finished_runs(StatusLog(spark, log).events()).isEmpty()
+    assert run(NOON + HOUR / 2).count() == 0
+    assert run(NOON + 2 * HOUR).count() == 5 and len(live(spark, shared)) == 5
+    assert set(statuses(spark, log).values()) == {"C"}
+
+
+def test_interleaved_runs_export_each_request_once(spark, docs, control, shared, monkeypatch):
+    """The second run does all its work between the reading and the claim of the first."""
+    base, log = shared
+    run = lambda run_id: export.run_export(with_all_columns(docs), control, base, log, size=2, run_id=run_id)
+    append, between = StatusLog.append, []
+
+    def claim(self, rows, status, after, run_id=None, expires=None):
+        if run_id == "first" and not between:
+            between.append(None)
+            between[0] = run("second").collect()
+        return append(self, rows, status, after, run_id, expires)
+
+    monkeypatch.setattr(StatusLog, "append", claim)
+    assert run("first").count() == 0 and {r.seq for r in between[0]} == {12, 13}
+    events = StatusLog(spark, log).events().collect()
+    assert sorted((r.seq, r.status, r.run_id) for r in events) == [(s, t, "second") for s in (12, 13) for t in "CP"]
+
+
+def test_a_run_that_lost_its_lease_finishes_nothing(spark, docs, control, shared, monkeypatch):
+    base, log = shared
+    run = lambda run_id, now: export.run_export(with_all_columns(docs), control, base, log, size=2, run_id=run_id, lease=HOUR, now=now)
+    finish, between = export.finish, []
+
+    def late(own_log, run_id):
+        if run_id == "slow":
+            between.append(run("other", NOON + 2 * HOUR).count())
+        return finish(own_log, run_id)
+
+    monkeypatch.setattr(export, "finish", late)
+    assert run("slow", NOON).count() == 0 and between == [5]
+    assert {r.run for r in export.live_manifest(spark, base, log).collect()} == {"other"} and len(live(spark, shared)) == 5
+
+
+def test_one_of_several_writers_wins(spark):
+    path = fresh_path(spark, "commit") + "/1"
+    assert publish_once(spark, path, "a") and not publish_once(spark, path, "b")
+    assert [r.value for r in spark.read.text(path).collect()] == ["a"]
 
 
 def test_rows_with_null_and_repeated_ids_count_on_both_ways(spark, docs, rules):

@@ -325,6 +325,10 @@ SELECT seq, dataset_seq, directory, file_name || CASE WHEN page > 0 THEN '(' ||
 FROM (SELECT *, unnest(range((total + {PAGE_SIZE} - 1) // {PAGE_SIZE})) AS page FROM named)
 UNION ALL SELECT seq, dataset_seq, directory, NULL, total, NULL, 0 FROM named WHERE total = 0"""
 
+ORACLE["exported_files"] = f"""WITH paged AS ({ORACLE["export_pages"]}), listed AS ({ORACLE["export_manifest"]})
+SELECT seq, file_name, doc_id, nullif(doc_title, '') AS doc_title, view_count
+FROM paged JOIN listed USING (seq, page) WHERE paged.dataset_seq IS NOT DISTINCT FROM listed.dataset_seq"""
+
 ORACLE["pending_requests"] = f"""WITH {ORDER_QUEUE}
 SELECT seq, user_seq, type_cd, account_seq, strftime(reg_dt, '%Y%m%d') AS reg_dt, datasets, channel,
  strftime(start_date, '%Y-%m-%d %H:%M:%S') AS start_date, strftime(end_date, '%Y-%m-%d %H:%M:%S') AS end_date, compare_yn, campaign_seq

@@ -98,6 +98,17 @@ def export_manifest(spark, sf):
     return _big(paging.manifest(export.named_requests(control), matched, PAGE_SIZE), "seq", "dataset_seq", "total", "page")
 
 
+def exported_files(spark, sf):
+    """The whole job: requests taken up, pages and manifest written and committed, and what is live read back."""
+    base, log = fresh_path(spark, "export"), fresh_path(spark, "status-log")
+    control = W.control_tables(spark)
+    # The queue's own request in progress (P) is left to the run that holds it.
+    control.queue = control.queue.where("status <> 'P'")
+    export.run_export(W.crawl_doc(spark, sf), control, base, log, PAGE_SIZE)
+    found = export.live_pages(spark, base, log)
+    return found.select(F.col("seq").cast("bigint").alias("seq"), "file_name", "doc_id", "doc_title", F.col("view_count").cast("bigint").alias("view_count"))
+
+
 def request_status(spark, sf):
     return requests.current_status(W.status_log(spark, sf))
 
@@ -419,7 +430,7 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         channel_filter, date_range_filter, dataset_match, dataset_exclusion, url_exclusion, filter_documents,
-        pending_requests, request_type_names, request_datasets, export_pages, export_manifest, request_status,
+        pending_requests, request_type_names, request_datasets, export_pages, export_manifest, exported_files, request_status,
         sentences, sentences_multi, clean_text, tag_tokens, strip_tags, conjunct_subjects, topic_words, content_words,
         normalize_hangul, close_words, related_words, emotion_exact, emotion_match, category_exact, category_match,
         attribute_rows, clause_sentiment, clause_documents, survey_attributes, survey_documents, tagged_records,
