@@ -9,7 +9,7 @@ from docweave.scratch import written_table
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 PLAN_ROWS = 4_096
-#: Dictionaries that Spark expects to be larger are written before they are measured and used.
+#: Stored tables up to this size are read again instead of being written once more.
 UNWRITTEN_BYTES = 1024 * 1024
 
 
@@ -36,10 +36,16 @@ def rows_if_small(df: DataFrame, max_rows: int = PLAN_ROWS) -> list[Row] | None:
 
 
 def computed_once(df: DataFrame, name: str, paths: list[str] | None = None) -> DataFrame:
-    """`df`, written to a table first unless Spark expects it to be small.
+    """`df`, written to a table unless it is a literal or a small stored table.
 
     What is measured and then used is otherwise computed each time, and its size in the plan is a guess; a written
     table is read again at the cost of its files.
     """
-    expected = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return df if int(str(expected)) <= UNWRITTEN_BYTES else written_table(df, name, paths)
+    plan = df._jdf.queryExecution().optimizedPlan()
+    while plan.nodeName() == "Project":
+        plan = plan.child()
+    kind = plan.nodeName()
+    stored = kind.startswith("LogicalRelation") or kind.startswith("Relation")
+    if kind == "LocalRelation" or (stored and int(str(plan.stats().sizeInBytes())) <= UNWRITTEN_BYTES):
+        return df
+    return written_table(df, name, paths)

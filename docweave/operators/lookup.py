@@ -57,9 +57,8 @@ def exact_lookup(
 
 
 def _postings(dictionary: DataFrame) -> DataFrame:
-    """One row per (token, entry)."""
-    entries = dictionary.select("key", "value", F.explode(tokens(F.col("words"))).alias("token"))
-    return entries.distinct()
+    """The tokens of all entries, one row for each time that a token is in a row of an entry."""
+    return dictionary.select("key", "value", F.explode(tokens(F.col("words"))).alias("token"))
 
 
 def _best_in_row(text: Column, postings: dict[str, list[dict]]) -> Column:
@@ -90,16 +89,15 @@ def best_match(
 ) -> DataFrame:
     """Value of the entry that shares most distinct tokens with `text`, the first key on a tie; '' if none does.
 
-    An entry is a (key, value) with the tokens of all its rows. A dictionary of at most `max_in_plan` (token, entry)
-    pairs is matched inside the row. A larger one is searched once per distinct set of tokens, which rows find again by
+    An entry is a (key, value) with the tokens of all its rows. A dictionary of at most `max_in_plan` tokens is matched
+    inside the row. A larger one is searched once per distinct set of tokens, which rows find again by
     its digest.
     """
     dictionary = computed_once(dictionary.select("key", "value", "words"), "dictionary")
-    postings = _postings(dictionary)
-    small = rows_if_small(postings, max_in_plan)
+    small = rows_if_small(_postings(dictionary), max_in_plan)
     if small is not None:
         index: dict[str, list[dict]] = {}
-        for row in small:
+        for row in set(small):
             index.setdefault(row.token, []).append({"key": row.key, "value": row.value})
         return df.withColumn(out_col, _best_in_row(text, index) if index else F.lit(""))
 
@@ -109,7 +107,7 @@ def best_match(
     best = _best_by_threshold(sets, dictionary, hot_entries)
     return (
         df.withColumn("_digest", digest)
-        .join(broadcast_if_small(best), F.col("_digest") == F.col("_set"), "left")
+        .join(written_table(best, "best"), F.col("_digest") == F.col("_set"), "left")
         .withColumn(out_col, F.coalesce("_found", F.lit("")))
         .drop("_digest", "_set", "_found")
     )
@@ -151,33 +149,34 @@ def _best_by_threshold(sets: DataFrame, dictionary: DataFrame, hot_entries: int)
     that entries have. The better of both answers counts: what the second search finds is an entry whose score is no
     less than what it was found with.
     """
+    # Joins with the tables written here are planned by the size of their files.
     numbers = dictionary.select("key", "value").distinct().orderBy("key", "value")
     numbers = written_table(numbers.withColumn("_entry", F.monotonically_increasing_id()), "entries")
     named = numbers.select(F.col("key").alias("_key"), F.col("value").alias("_value"), "_entry")
     same = F.col("key").eqNullSafe(F.col("_key")) & F.col("value").eqNullSafe(F.col("_value"))
-    pairs = dictionary.select("key", "value", F.explode(tokens(F.col("words"))).alias("token")).distinct()
-    postings = written_table(_unlike(pairs.join(broadcast_if_small(named), same).select("token", "_entry")), "postings")
-    facts = written_table(_token_facts(postings), "tokens")
+    pairs = _postings(dictionary).join(named, same).select("token", "_entry").distinct()
+    postings = written_table(_unlike(pairs), "postings")
     held = sets.select("_set", F.explode("_tokens").alias("token"))
-    known = written_table(_by_rarity(held, broadcast_if_small(facts)), "sets")
     is_hot = lambda token: token["n"] > hot_entries
-    parted = known.select(
-        "_set", F.filter("tokens", lambda t: ~is_hot(t)).alias("tokens"),
-        F.transform(F.filter("tokens", is_hot), lambda t: t["token"]).alias("others"),
+    known = written_table(
+        _by_rarity(held, _token_facts(postings)).select(
+            "_set", F.filter("tokens", lambda t: ~is_hot(t)).alias("tokens"),
+            F.transform(F.filter("tokens", is_hot), lambda t: t["token"]).alias("others"),
+        ), "sets",
     )
-    best = _search(parted.where(F.size("tokens") > 0), postings)
-    hot = postings.join(broadcast_if_small(facts.where(F.col("n") > hot_entries).select("token")), "token", "left_semi")
-    if not hot.isEmpty():
-        projected = written_table(_unlike(hot.select("token", "_entry")), "hot-postings")
-        hot_sets = written_table(
-            parted.where(F.size("others") > 0).select("_set", F.md5(F.array_join(F.array_sort("others"), " ").cast("binary")).alias("_hot"), "others"), "hot-sets"
-        )
+    best = _search(known.where(F.size("tokens") > 0), postings)
+    hot_sets = known.where(F.size("others") > 0).select(
+        "_set", F.md5(F.array_join(F.array_sort("others"), " ").cast("binary")).alias("_hot"), "others"
+    )
+    if not hot_sets.isEmpty():
+        hot_tokens = _token_facts(postings).where(F.col("n") > hot_entries).select("token")
+        projected = written_table(_unlike(postings.join(hot_tokens, "token", "left_semi").select("token", "_entry")), "hot-postings")
         hot_held = hot_sets.dropDuplicates(["_hot"]).select(F.col("_hot").alias("_set"), F.explode("others").alias("token"))
-        hot_known = _by_rarity(hot_held, broadcast_if_small(_token_facts(projected))).withColumn("others", F.array().cast("array<string>"))
-        hot_best = _search(hot_known, projected).withColumnRenamed("_set", "_hot")
+        hot_known = _by_rarity(hot_held, _token_facts(projected)).withColumn("others", F.array().cast("array<string>"))
+        hot_best = _search(written_table(hot_known, "hot-sets"), projected).withColumnRenamed("_set", "_hot")
         best = best.unionByName(hot_sets.join(hot_best, "_hot").select("_set", "_score", "_entry"))
     first = best.groupBy("_set").agg(F.min(F.struct((-F.col("_score")).alias("score"), "_entry"))["_entry"].alias("_entry"))
-    return first.join(broadcast_if_small(numbers), "_entry").select("_set", F.col("value").alias("_found"))
+    return first.join(numbers, "_entry").select("_set", F.col("value").alias("_found"))
 
 
 def _hits(asked: DataFrame, postings: DataFrame) -> DataFrame:
@@ -194,48 +193,56 @@ def _search(sets: DataFrame, postings: DataFrame) -> DataFrame:
     was not met can win any more, and the entries that are left then are compared exactly, by looking up the rest of the
     set in them: tokens with long lists are mostly never listed. Equal scores go to the first entry, by the same bounds.
     """
-    counts = sets.sparkSession.createDataFrame([], "_set string, _entry bigint, size bigint, met bigint")
-    open_, taken, block, closed, kept = written_table(sets, "open"), 0, FIRST_TOKENS, [], []
+    open_, taken, block, counts = sets, 0, FIRST_TOKENS, None
+    closed, kept = [], []
     while True:
         rest = F.slice("tokens", taken + 1, 2**31 - 1 - taken)
-        best = counts.groupBy("_set").agg(F.min(F.struct((-F.col("met")).alias("met"), "_entry")).alias("_best"))
         left = F.size("rest") + F.size("others")
         unmet = F.when(F.size("rest") > 0, F.least(left, F.array_max(F.transform("rest", lambda t: t["largest"])))).otherwise(0)
         first = F.array_min(F.transform("rest", lambda t: t["first"]))
-        floor, leader = F.coalesce(-F.col("_best.met"), F.lit(0)), F.col("_best._entry")
-        # The first entry of a list is a candidate as it stands: with one token to share, no other of the list is better.
-        done = (unmet <= 1) | (unmet < floor) | ((unmet == floor) & (first > leader))
+        rows = open_.withColumn("rest", rest)
+        if counts is None:
+            rows = rows.withColumns({"floor": F.lit(0).cast("bigint"), "leader": F.lit(None).cast("bigint")})
+        else:
+            best = counts.groupBy("_set").agg(F.min(F.struct((-F.col("met")).alias("met"), "_entry")).alias("_best"))
+            floor = F.coalesce(-F.col("_best.met"), F.lit(0).cast("bigint"))
+            rows = rows.join(best, "_set", "left").withColumns({"floor": floor, "leader": F.col("_best._entry")}).drop("_best")
+        # With one token to share, the first entry of the lists is the best that was not met.
+        done = (unmet <= 1) | (unmet < F.col("floor")) | ((unmet == F.col("floor")) & (first > F.col("leader")))
         judged = written_table(
-            open_.withColumn("rest", rest).join(best, "_set", "left").select(
-                "_set", "tokens", "others", "rest", left.alias("left"), floor.alias("floor"), leader.alias("leader"),
-                F.coalesce(done, F.lit(False)).alias("done"), F.when(unmet == 1, first).alias("first"),
-            ), "judged",
+            rows.select("_set", "tokens", "others", "rest", left.alias("left"), "floor", "leader",
+                        F.coalesce(done, F.lit(False)).alias("done"), F.when(unmet == 1, first).alias("first")), "judged",
         )
-        reach = F.least(F.col("size"), F.col("met") + F.col("left"))
-        wins = (F.col("_entry") == F.col("leader")) | (reach > F.col("floor")) | ((reach == F.col("floor")) & (F.col("_entry") < F.col("leader")))
-        alive = written_table(
-            counts.join(judged.select("_set", "left", "floor", "leader", "done"), "_set").where(wins).select("_set", "_entry", "size", "met", "done"), "alive"
-        )
-        closed.append(judged.where("done").select("_set", "others", F.transform("rest", lambda t: t["token"]).alias("rest"), "first"))
-        kept.append(alive.where("done").drop("size", "done"))
+        closed.append(judged.where("done"))
         open_ = judged.where(~F.col("done")).select("_set", "tokens", "others")
-        if open_.isEmpty():
+        more = not open_.isEmpty()
+        alive = None
+        if counts is not None:
+            reach = F.least(F.col("size"), F.col("met") + F.col("left"))
+            wins = (F.col("_entry") == F.col("leader")) | (reach > F.col("floor")) | ((reach == F.col("floor")) & (F.col("_entry") < F.col("leader")))
+            alive = written_table(
+                counts.join(judged.select("_set", "left", "floor", "leader", "done"), "_set").where(wins).select("_set", "_entry", "size", "met", "done"), "alive"
+            )
+            kept.append(alive.where("done").drop("size", "done"))
+        if not more:
             break
         asked = open_.select("_set", F.explode(F.transform(F.slice("tokens", taken + 1, block), lambda t: t["token"])).alias("token"))
         met = _hits(asked, postings).withColumn("met", F.lit(1).cast("bigint"))
-        counts = written_table(
-            alive.where(~F.col("done")).drop("done").unionByName(met).groupBy("_set", "_entry").agg(F.max("size").alias("size"), F.sum("met").alias("met")), "counts"
-        )
+        if alive is not None:
+            met = met.unionByName(alive.where(~F.col("done")).drop("done"))
+        counts = written_table(met.groupBy("_set", "_entry").agg(F.max("size").alias("size"), F.sum("met").alias("met")), "counts")
         taken, block = taken + block, block * MORE_TOKENS
-    ends, found = reduce(DataFrame.unionByName, closed), reduce(DataFrame.unionByName, kept)
-    # An entry that was not met shares none of the tokens before `rest`.
-    firsts = ends.where(F.col("first").isNotNull()).select("_set", F.col("first").alias("_entry"), F.lit(0).cast("bigint").alias("met"))
-    candidates = written_table(found.unionByName(firsts).groupBy("_set", "_entry").agg(F.max("met").alias("met")), "candidates")
-    probed = candidates.join(ends.select("_set", F.concat("rest", "others").alias("more")), "_set").select("_set", "_entry", F.explode("more").alias("token"))
-    more = probed.join(postings.select("token", "_entry"), ["token", "_entry"], "left_semi").groupBy("_set", "_entry").agg(F.count(F.lit(1)).alias("more"))
-    scored = candidates.join(more, ["_set", "_entry"], "left").select("_set", "_entry", (F.col("met") + F.coalesce("more", F.lit(0))).alias("_score"))
+    ends = reduce(DataFrame.unionByName, closed)
+    scored = ends.where(F.col("first").isNotNull()).select("_set", F.col("first").alias("_entry"), F.lit(1).cast("bigint").alias("_score"))
+    if kept:
+        found = reduce(DataFrame.unionByName, kept)
+        rest_of = ends.select("_set", F.concat(F.transform("rest", lambda t: t["token"]), "others").alias("more"))
+        probed = found.join(rest_of, "_set").select("_set", "_entry", F.explode("more").alias("token"))
+        shared = probed.join(postings.select("token", "_entry"), ["token", "_entry"], "left_semi").groupBy("_set", "_entry").agg(F.count(F.lit(1)).alias("more"))
+        exact = found.join(shared, ["_set", "_entry"], "left").select("_set", "_entry", (F.col("met") + F.coalesce("more", F.lit(0))).alias("_score"))
+        scored = scored.unionByName(exact)
     return (
-        scored.where(F.col("_score") > 0).groupBy("_set")
+        scored.groupBy("_set")
         .agg(F.min(F.struct((-F.col("_score")).alias("score"), "_entry")).alias("_best"))
         .select("_set", (-F.col("_best.score")).alias("_score"), F.col("_best._entry").alias("_entry"))
     )

@@ -9,7 +9,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from docweave.bounds import PLAN_ROWS, broadcast_if_small, rows_if_small
+from docweave.bounds import PLAN_ROWS, broadcast_if_small, computed_once, rows_if_small
 from docweave.functions import text as T
 from docweave.functions.dictionary import let, lookup
 from docweave.functions.tags import KOREAN, STOP_TYPES, Letters
@@ -47,7 +47,7 @@ def tag_sentences(
     by word, and the words are put back in order by a number of the row. Both ways give the same rows, also for null
     or repeated keys; a null text stays untagged.
     """
-    entries = word_list(lexicon)
+    entries = word_list(computed_once(lexicon, "lexicon"))
     small = rows_if_small(entries, max_in_plan)
     words = _words(F.col(text_col), letters)
     if small is not None:

@@ -99,3 +99,41 @@ def test_large_literals_cost_what_small_ones_cost(spark):
 
     seconds(20)
     assert seconds(4_000) < 4 * seconds(20) + 1
+
+
+def test_a_search_lists_few_entries_of_frequent_tokens(spark, monkeypatch):
+    """Texts hold tokens of thousands of entries and a rare pair: rows after the explode stay near the rare lists."""
+    n_entries, n_texts, n_hot = 3_000, 200, 6
+    hot = [f"hot{i}" for i in range(n_hot)]
+    entries = [(f"k{i:05}", f"v{i}", " ".join([f"rare{i % 1500}", f"also{i % 1500}", *hot[: i % n_hot]])) for i in range(n_entries)]
+    texts = [(i, " ".join([f"rare{i}", f"also{i}", "unknown", hot[0]])) for i in range(n_texts)]
+    dictionary = spark.createDataFrame(entries, "key string, value string, words string")
+    listed, hits = [], lookup._hits
+
+    def counted(asked, postings):
+        found = hits(asked, postings)
+        listed.append(found.count())
+        return found
+
+    monkeypatch.setattr(lookup, "_hits", counted)
+    rows = lookup.best_match(spark.createDataFrame(texts, "i int, t string"), F.col("t"), dictionary, "e", 0).collect()
+    own = {key: (value, set(words.split())) for key, value, words in entries}
+    for row in rows[::20]:
+        assert row.e == min((-len(words & set(row.t.split())), key, value) for key, (value, words) in own.items())[2]
+    full = sum(len([1 for _, words in own.values() if token in words]) for _, text in texts for token in text.split())
+    assert sum(listed) <= 2 * 2 * n_texts + n_entries and full > 400_000
+
+
+def test_a_dictionary_is_computed_once(spark):
+    """The words of a large dictionary pass through the plan that makes them a single time."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def made(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    verbs = spark.range(6_000).selectExpr("concat('w', id) AS verb", "'e' AS emotion").mapInArrow(made, "verb string, emotion string")
+    texts = spark.createDataFrame([("w17 x",), ("y",)], "t string")
+    got = lookup.best_match(texts, F.col("t"), lookup.emotion_dictionary(verbs), "e").collect()
+    assert {r.t: r.e for r in got} == {"w17 x": "e", "y": ""} and seen.value == 6_000

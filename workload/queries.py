@@ -389,7 +389,7 @@ def topic_columns(spark, sf):
 
 def _document_words(spark, sf):
     words = F.explode(F.array_distinct(tagging._words(F.col("text"), LETTERS)))
-    return W.load(spark, sf, "documents").select(words.alias("word")).distinct()
+    return W.spread(W.load(spark, sf, "documents")).select(words.alias("word")).distinct()
 
 
 def tag_tokens_large(spark, sf):
