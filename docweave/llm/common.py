@@ -97,9 +97,19 @@ def small(df: DataFrame) -> DataFrame:
     return broadcast_if_small(df, SMALL_ROWS, SMALL_BYTES)
 
 
+#: The setting that bounds the bytes of a batch sent to Python, its default, and the bound used here. Batches are
+#: otherwise bounded by rows only, and a worker and the JVM each hold whole ones.
+_BATCH, _BATCH_DEFAULT, _BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 64 * 1024 * 1024, "4m"
+
+
 def ship_package(spark: SparkSession) -> None:
-    """Make this package importable in the Python workers, wherever the driver was started."""
+    """Make this package importable in the Python workers, wherever the driver was started.
+
+    Batches sent to Python are bounded to a few megabytes for the session, unless it sets a bound of its own.
+    """
     sc = spark.sparkContext
+    if spark.conf.get(_BATCH, "").removesuffix("b") == str(_BATCH_DEFAULT):
+        spark.conf.set(_BATCH, _BATCH_BYTES)
     if getattr(sc, "_docweave_shipped", False):
         return
     root = Path(__file__).resolve().parent.parent

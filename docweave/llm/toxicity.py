@@ -7,9 +7,11 @@ capitals, punctuation and signs of obfuscation.
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 from math import log
 
 import numpy as np
@@ -26,6 +28,8 @@ LEXICON_UNITS = 3_000
 HELD_OUT, FOLDS = 1, 3
 THRESHOLD = 0.7
 STEMS = range(4, 9)
+#: Characters that the table of a worker's known words holds, and what an entry counts besides its word.
+KNOWN_CHARS, ENTRY_CHARS = 16_000_000, 120
 #: Words to the left and right that count as near.
 NEAR = 6
 #: Words of second-person address in the languages of the tables.
@@ -33,10 +37,13 @@ YOU = frozenset(
     "you your yours yourself yourselves ya u tu te toi ton ta tes vous votre vos du dich dir dein deine deinen deinem deiner "
     "ihr euch euer eure tú ti tuyo tuya usted ustedes vos vosotros os vuestro vuestra".split()
 )
-_WORD = regex.compile(r"[\p{L}\p{N}@$*]+")
+_WORD = re.compile(r"[\w@$*]+")
 _LEET = str.maketrans("013457@$", "oieastas")
 _ODD = regex.compile(r"\p{L}[0-9@$*]+\p{L}")
 _LONG = regex.compile(r"(\p{L})\1{2,}")
+#: Cheap tests that texts and words pass before the patterns above and below are tried on them.
+_MAYBE_LONG = re.compile(r"(\w)\1\1")
+_MAYBE_SPACED = re.compile(r"[^\W_][ .*-][^\W_][ .*-][^\W_][ .*-][^\W_]")
 _SPACED = regex.compile(r"(?<!\p{L})(?:\p{L}[ .*-]){3,}\p{L}(?!\p{L})")
 FEATURES = (
     "words", "word_hits", "stem_hits", "word_weight", "stem_weight", "word_density", "stem_density", "distinct_hits",
@@ -47,7 +54,7 @@ FEATURES = (
 
 def units(word: str) -> list[str]:
     """What a lower-case word may be found by: itself (marked by =) and its beginnings."""
-    return ["=" + word[:40], *(word[:size] for size in STEMS if len(word) >= size)]
+    return ["=" + word, *(word[:size] for size in STEMS if len(word) >= size)]
 
 
 @dataclass(frozen=True)
@@ -56,9 +63,16 @@ class Lexicon:
 
     weights: dict[str, float]
 
+    @cached_property
+    def heads(self) -> frozenset[str]:
+        """The first characters that every beginning in the lexicon has."""
+        return frozenset(unit[: STEMS[0]] for unit in self.weights if not unit.startswith("="))
+
     def find(self, word: str) -> tuple[float, float]:
         """Weight of the word itself and the largest weight of its beginnings."""
-        own = self.weights.get("=" + word[:40], 0.0)
+        if word[: STEMS[0]] not in self.heads:
+            return self.weights.get("=" + word, 0.0), 0.0
+        own = self.weights.get("=" + word, 0.0)
         return own, max((self.weights.get(word[:size], 0.0) for size in STEMS if len(word) >= size), default=0.0)
 
 
@@ -73,48 +87,64 @@ def lexicon(counts: list[tuple[str, int, int]], n_toxic: int, n_clean: int, most
     return Lexicon({unit: odds for _, unit, odds in scored[:most]})
 
 
-class Measurer:
-    """FEATURES of texts; what is known of a word is kept in a bounded table."""
+def words_of(text: str) -> list[str]:
+    """Runs of letters, digits and the signs that stand in for letters."""
+    return _WORD.findall(text.replace("_", " ") if "_" in text else text)
+
+
+class _Facts(dict):
+    """What is known of words: None for most, else weight of the word, of its beginnings, and the marks that it has.
+
+    A word is looked at once; the table is emptied when it holds `KNOWN_CHARS` characters.
+    """
 
     def __init__(self, lexicon: Lexicon):
-        self.lexicon, self.known = lexicon, {}
+        self.lexicon, self.chars = lexicon, 0
 
-    def _word(self, word: str) -> tuple[float, float, bool]:
-        """Weights of word and stem, and whether they are those of the word with digits read as letters."""
+    def __missing__(self, word: str) -> tuple | None:
+        self.chars += len(word) + ENTRY_CHARS
+        if self.chars > KNOWN_CHARS:
+            self.clear()
+            self.chars = 0
         low = word.lower()
         own, stem = self.lexicon.find(low)
-        if not own and not low.isalpha():
-            plain = low.translate(_LEET)
-            if plain != low and (found := self.lexicon.find(plain)) > (own, stem):
-                return *found, True
-        return own, stem, False
+        plain, letters = False, low.isalpha()
+        if not own and not letters:
+            read = low.translate(_LEET)
+            if read != low and (found := self.lexicon.find(read)) > (own, stem):
+                (own, stem), plain = found, True
+        odd = 0 if letters else len(_ODD.findall(word))
+        stretched = len(_LONG.findall(word)) if _MAYBE_LONG.search(word) else 0
+        facts = (own, stem, plain, low in YOU, word.isupper(), len(word) > 2, odd, stretched)
+        self[word] = found = facts if own or stem or facts[3] or facts[4] or odd or stretched else None
+        return found
+
+
+class Measurer:
+    """FEATURES of texts."""
+
+    def __init__(self, lexicon: Lexicon):
+        self.known = _Facts(lexicon)
 
     def features(self, text: str) -> list[float]:
         """FEATURES of a whole text; zeros for a text without words."""
-        words = _WORD.findall(text)
-        n, size = len(words), max(1, len(text))
+        words = words_of(text)
+        n, size, known = len(words), max(1, len(text)), self.known
         if not n:
             return [0.0] * len(FEATURES)
-        known = self.known
-        if len(known) > 300_000:
-            known.clear()
-        hits = []
-        for i, word in enumerate(words):
-            found = known.get(word)
-            if found is None:
-                found = known[word] = self._word(word)
-            if found[0] or found[1]:
-                hits.append((i, word, *found))
-        you = {i for i, word in enumerate(words) if word.lower() in YOU} if hits else ()
-        own, stem = [h[2] for h in hits if h[2]], [h[3] for h in hits if h[3]]
+        marked = [(i, facts) for i, word in enumerate(words) if (facts := known[word])]
+        hits = [(i, facts) for i, facts in marked if facts[0] or facts[1]]
+        you = {i for i, facts in marked if facts[3]} if hits else ()
+        own, stem = [f[0] for _, f in hits if f[0]], [f[1] for _, f in hits if f[1]]
+        spaced = len(_SPACED.findall(text)) if _MAYBE_SPACED.search(text) else 0
         share = lambda count, of=n: count / max(1, of)
         return [
             log(1 + n), float(len(own)), float(len(stem)), sum(own), sum(stem), share(sum(own)), share(sum(stem)),
-            float(len({h[1] for h in hits})), max(own, default=0.0), max(stem, default=0.0),
-            share(sum(any(j in you for j in range(h[0] - NEAR, h[0] + NEAR + 1)) for h in hits)), share(len(you)),
-            share(sum(word.isupper() and len(word) > 2 for word in words)), share(sum(h[1].isupper() for h in hits), len(hits)),
+            float(len({words[i] for i, _ in hits})), max(own, default=0.0), max(stem, default=0.0),
+            share(sum(any(j in you for j in range(i - NEAR, i + NEAR + 1)) for i, _ in hits)), share(len(you)),
+            share(sum(f[4] and f[5] for _, f in marked)), share(sum(f[4] for _, f in hits), len(hits)),
             text.count("!") / size, text.count("?") / size, sum(map(text.count, ".,;:")) / size,
-            share(len(_ODD.findall(text))), float(sum(h[4] for h in hits)), share(len(_LONG.findall(text))), share(len(_SPACED.findall(text))),
+            share(sum(f[6] for _, f in marked)), float(sum(f[2] for _, f in hits)), share(sum(f[7] for _, f in marked)), share(spaced),
         ]
 
     def matrix(self, texts: list[str]) -> np.ndarray:
@@ -146,7 +176,7 @@ def _count_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts: Counter = Counter()
     for batch in common.blocks(batches):
         for half, label, text in zip(*(batch.column(c).to_pylist() for c in ("half", "label", "text"))):
-            words = {word.lower() for word in _WORD.findall(text)}
+            words = {word.lower() for word in words_of(text)}
             counts.update((unit, half, label) for unit in {unit for word in words for unit in units(word)})
         if len(counts) > 400_000:
             yield flush(counts)
