@@ -108,7 +108,7 @@ def ship_package(spark: SparkSession) -> None:
     Batches sent to Python are bounded to a few megabytes for the session, unless it sets a bound of its own.
     """
     sc = spark.sparkContext
-    if spark.conf.get(_BATCH, "").removesuffix("b") == str(_BATCH_DEFAULT):
+    if spark.conf.get(_BATCH) == f"{_BATCH_DEFAULT}b":
         spark.conf.set(_BATCH, _BATCH_BYTES)
     if getattr(sc, "_docweave_shipped", False):
         return
