@@ -1,13 +1,18 @@
 """Which documents answer an export request: channel, date range and the keyword rules of a dataset.
 
-A document is read once and never shuffled. Each request is reduced to *targets* (request, dataset) that carry
-their channels, dates and rules, and every target is reachable by a few *entry keys*: one word of each of its
-rules, or, without rules, the years it covers. A document finds its targets by an equi-join on the entry keys
-it holds, and the full condition is then tested on that row.
+Each request is reduced to *targets* (request, dataset) that carry their channels, dates and rules, and every target is
+reachable by a few *entry keys*: one word of each of its rules, or, without rules, the months or years that it covers,
+each with its channels. A document finds its targets by an equi-join on the entry keys it holds.
+
+With few entry keys a document is read once and never shuffled: the full condition is tested on its row. With many, a
+count-min sketch of all document words first tells which word of each rule the fewest documents hold; candidates are
+then found on narrow rows, and a document's texts are fetched for those rules alone that it is a candidate of.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from docweave.bounds import PLAN_ROWS, broadcast_if_small, rows_if_small
@@ -24,6 +29,12 @@ RULES_IN_ROW = 64
 # First channel numbers that a scan is pruned by, at most.
 CHANNELS_IN_PLAN = 256
 
+# Lines and cells per line of the sketch of document words.
+SKETCH_LINES, SKETCH_CELLS = 4, 1 << 16
+
+# Targets without rules are entered by month up to so many months, else by year.
+MONTHS = 36
+
 RULE = (
     "struct<required:array<string>,title:array<string>,content:array<string>,url:array<string>>"
 )
@@ -81,15 +92,48 @@ def _urls(listed: Column) -> Column:
 
 
 def _entry_word(required: Column) -> Column:
-    """The longest word of the required phrases, as the one that fewest documents hold."""
-    words = F.flatten(F.transform(required, T.padded_tokens))
-    return F.array_min(F.transform(words, lambda w: F.struct((-F.char_length(w)).alias("n"), w.alias("w"))))["w"]
+    """The longest word of the required phrases, as a guess at the one that fewest documents hold."""
+    return F.array_min(F.transform(_words_of(required), lambda w: F.struct((-F.char_length(w)).alias("n"), w.alias("w"))))["w"]
+
+
+def _words_of(required: Column) -> Column:
+    return F.array_distinct(F.flatten(F.transform(required, T.padded_tokens)))
+
+
+def word_sketch(held: DataFrame) -> DataFrame:
+    """(line, cell, n): a count-min sketch of how many rows of `held` (keys) hold each key.
+
+    It has a fixed size, however many documents and words there are, and is summed up before it is shuffled.
+    """
+    cell = lambda i: F.struct(F.lit(i).alias("line"), F.pmod(F.xxhash64("key", F.lit(i)), F.lit(SKETCH_CELLS)).alias("cell"))
+    keys = held.select(F.explode("keys").alias("key"))
+    return keys.select(F.inline(F.array(*map(cell, range(SKETCH_LINES))))).groupBy("line", "cell").agg(F.count(F.lit(1)).alias("n"))
+
+
+def sketched_counts(words: DataFrame, sketch: DataFrame) -> DataFrame:
+    """(word, n) of distinct words: a count that is never too small, as several words may share a cell."""
+    cells = [F.struct(F.lit(i).alias("line"), F.pmod(F.xxhash64("word", F.lit(i)), F.lit(SKETCH_CELLS)).alias("cell")) for i in range(SKETCH_LINES)]
+    placed = words.select("word", F.inline(F.array(*cells)))
+    found = placed.join(sketch, ["line", "cell"], "left")
+    return found.groupBy("word").agg(F.min(F.coalesce("n", F.lit(0))).alias("n"))
+
+
+def entered_by_rarest(active: DataFrame, sketch: DataFrame) -> DataFrame:
+    """Active rules whose `entry_word` is the required word that fewest documents hold by the sketch, the longest on a tie."""
+    numbered = written_table(active.withColumn("_rule", F.monotonically_increasing_id()), "rules")
+    words = numbered.select("_rule", F.explode(_words_of(F.col("rule.required"))).alias("word"))
+    counted = sketched_counts(words.select("word").distinct(), sketch)
+    rarest = words.join(counted, "word").groupBy("_rule").agg(
+        F.min(F.struct("n", (-F.char_length("word")).alias("l"), "word"))["word"].alias("entry_word")
+    )
+    return numbered.drop("entry_word").join(rarest, "_rule").drop("_rule")
 
 
 def active_rules(rules: DataFrame) -> DataFrame:
     """Rules in use, one row per rule: `dataset_seq`, `entry_word` and the parsed `rule`.
 
-    A rule without any required word matches nothing and is left out.
+    A rule without any required word matches nothing and is left out. The entry word is the longest required one; where
+    there are many, `entered_by_rarest` measures instead.
     """
     required = F.array_union(_phrases(F.col("keyword")), _phrases(F.col("sub_keywords")))
     rule = F.struct(
@@ -118,16 +162,46 @@ def is_excluded(rule: Column, title: Column, content: Column, url: Column) -> Co
     )
 
 
-def _year_key(year: Column) -> Column:
-    return F.concat(F.lit("#"), year.cast("string"))
+def _month(moment: Column | str) -> Column:
+    return 12 * F.year(moment) + F.month(moment)
+
+
+def _period_key(kind: str, number: Column, *channel: Column) -> Column:
+    """`#m` and the number of a month, or `#y` and a year, with a channel if one is given; a missing part of it is empty."""
+    parts = [F.lit(f"#{kind}"), number.cast("string")]
+    for depth in channel:
+        parts += [F.lit("^"), F.coalesce(depth.cast("string"), F.lit(""))]
+    return F.concat(*parts)
+
+
+def _period_keys() -> Column:
+    """The period keys a document can be entered by."""
+    moment, channel = F.col("doc_datetime"), [F.col("depth1_seq").cast("int"), F.col("depth2_seq").cast("int")]
+    periods = [("m", _month(moment)), ("y", F.year(moment))]
+    keys = F.array(*[_period_key(kind, number, *own) for kind, number in periods for own in ([], channel)])
+    return F.filter(keys, lambda key: key.isNotNull())
+
 
+def _open_keys() -> Column:
+    """The period keys of a target without rules: its months, or its years if they are many, with each of its channels."""
 
-def _rules_per_entry_word(rules: DataFrame, rules_in_row: int) -> DataFrame:
+    def of_period(kind: str, first: Column, last: Column) -> Column:
+        def of_channels(number: Column) -> Column:
+            return F.transform("channels", lambda pair: _period_key(kind, number, pair["depth1_seq"], pair["depth2_seq"]))
+
+        numbers = F.sequence(first, last)
+        every = F.transform(numbers, lambda number: _period_key(kind, number))
+        return F.when(F.col("channels").isNull(), every).otherwise(F.flatten(F.transform(numbers, of_channels)))
+
+    by_month = of_period("m", _month("start"), _month("end"))
+    return F.when(_month("end") - _month("start") < MONTHS, by_month).otherwise(of_period("y", F.year("start"), F.year("end")))
+
+
+def _rules_per_entry_word(active: DataFrame, rules_in_row: int) -> DataFrame:
     """`dataset_seq`, `entry_key`, the `rules` to test there, and all `entry_words` of the dataset.
 
     A dataset of more than `rules_in_row` rules has one row per rule, and its `entry_words` are left empty.
     """
-    active = active_rules(rules)
     sizes = active.groupBy("dataset_seq").agg(F.count(F.lit(1)).alias("_n"))
     sized = active.join(broadcast_if_small(sizes), "dataset_seq")
     whole = (
@@ -146,11 +220,11 @@ def _rules_per_entry_word(rules: DataFrame, rules_in_row: int) -> DataFrame:
     return whole.unionByName(single)
 
 
-def targets(requests: DataFrame, rules: DataFrame | None, rules_in_row: int = RULES_IN_ROW) -> DataFrame:
+def targets(requests: DataFrame, active: DataFrame | None, rules_in_row: int = RULES_IN_ROW) -> DataFrame:
     """Requests as targets: `seq`, `dataset_seq`, `channels`, `start`, `end`, `rules`, `entry_words`, `entry_key`.
 
-    Input has one row per (request, dataset), as `requests.with_datasets` gives. A dataset without active
-    rules gives no target, so it matches nothing.
+    Input has one row per (request, dataset), as `requests.with_datasets` gives, and the `active_rules`. A dataset
+    without active rules gives no target, so it matches nothing.
     """
     base = requests.select(
         "seq", "dataset_seq",
@@ -158,16 +232,15 @@ def targets(requests: DataFrame, rules: DataFrame | None, rules_in_row: int = RU
         bound(F.col("start_date"), FIRST_MOMENT).alias("start"),
         bound(F.col("end_date"), LAST_MOMENT).alias("end"),
     ).distinct()
-    years = F.transform(F.sequence(F.year("start"), F.year("end")), _year_key)
     open_targets = base.where(F.col("dataset_seq").isNull() & (F.col("start") <= F.col("end"))).select(
         "*",
         F.array().cast(f"array<{RULE}>").alias("rules"),
         F.array().cast("array<string>").alias("entry_words"),
-        F.explode(years).alias("entry_key"),
+        F.explode(_open_keys()).alias("entry_key"),
     )
-    if rules is None:
+    if active is None:
         return open_targets
-    entries = _rules_per_entry_word(rules, rules_in_row)
+    entries = _rules_per_entry_word(active, rules_in_row)
     return open_targets.unionByName(base.join(broadcast_if_small(entries), "dataset_seq"))
 
 
@@ -185,25 +258,33 @@ def _with_texts(docs: DataFrame) -> DataFrame:
 
 def _entry_keys() -> Column:
     words = F.split(F.btrim(F.concat("_title", "_content")), " +", -1)
-    return F.array_append(words, _year_key(F.year("doc_datetime")))
+    return F.concat(words, _period_keys())
 
 
 def _accepted() -> Column:
     """Whether the target of a joined row takes the document, counting each pair at its first entry key only."""
     title, content, url = F.col("_title"), F.col("_content"), F.col("_url")
     first_key = F.get(F.filter("entry_words", lambda word: F.array_contains("_keys", word)), F.lit(0))
-    pair = F.struct(F.col("depth1_seq").cast("int").alias("depth1_seq"), F.col("depth2_seq").cast("int").alias("depth2_seq"))
-    by_rule = F.exists(
-        "rules", lambda rule: holds_required(rule, title, content) & ~is_excluded(rule, title, content, url)
-    )
     return (
-        F.col("doc_datetime").between(F.col("start"), F.col("end"))
-        & (F.col("channels").isNull() | F.array_contains(F.coalesce("channels", F.array(pair)), pair))
+        _asked()
         & ((F.size("entry_words") == 0) | (first_key == F.col("entry_key")))
-        & ((F.size("rules") == 0) | by_rule)
+        & ((F.size("rules") == 0) | _by_rule(title, content, url))
+    )
+
+
+def _asked() -> Column:
+    """Whether a document is in the period and the channels of a target."""
+    pair = F.struct(F.col("depth1_seq").cast("int").alias("depth1_seq"), F.col("depth2_seq").cast("int").alias("depth2_seq"))
+    return F.col("doc_datetime").between(F.col("start"), F.col("end")) & (
+        F.col("channels").isNull() | F.array_contains(F.coalesce("channels", F.array(pair)), pair)
     )
 
 
+def _by_rule(title: Column, content: Column, url: Column) -> Column:
+    """Whether one of the `rules` takes the texts."""
+    return F.exists("rules", lambda rule: holds_required(rule, title, content) & ~is_excluded(rule, title, content, url))
+
+
 def filter_documents(
     docs: DataFrame,
     requests: DataFrame,
@@ -217,12 +298,14 @@ def filter_documents(
     `dataset_seq`. Each row of `docs` counts for itself, also where ids are null or repeated.
     """
     # Small, and read several times: for its bounds, its keys, its size and by the join.
-    wanted = written_table(targets(requests, rules, rules_in_row), "targets")
+    active = None if rules is None else active_rules(rules)
+    wanted = written_table(targets(requests, active, rules_in_row), "targets")
     keys = rows_if_small(wanted.select("entry_key").distinct(), max_in_plan)
     # Only where a dataset has one row per rule can a pair be found twice.
     once = wanted.where((F.size("entry_words") == 0) & (F.size("rules") > 0)).isEmpty()
     if not once or keys is None:
-        return _filter_by_number(_pruned(docs, wanted), wanted, docs.columns)
+        measured = lambda sketch: targets(requests, None if active is None else entered_by_rarest(active, sketch), rules_in_row)
+        return _filter_by_number(_pruned(docs, wanted), measured, docs.columns)
     texts = _with_texts(_pruned(docs, wanted))
     # Only keys that some target asks for leave the row, so few copies of a document are made.
     asked = [row.entry_key for row in keys]
@@ -256,21 +339,33 @@ def _pruned(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return docs.where(F.col("depth1_seq").isin([row.depth1_seq for row in firsts if row.depth1_seq is not None]))
 
 
-def _filter_by_number(docs: DataFrame, wanted: DataFrame, columns: list[str]) -> DataFrame:
+def _filter_by_number(docs: DataFrame, targets_by: Callable[[DataFrame], DataFrame], columns: list[str]) -> DataFrame:
     """The same pairs for many entry keys, or for datasets with one row per rule.
 
-    Documents get a number that is written once, because their ids may be null or repeated. Candidates and accepted
-    pairs are found on narrow rows; a pair that several rules accept counts once.
+    Documents get a number that is written once, because their ids may be null or repeated. Words are counted and
+    candidates (document, target) found on narrow rows. Requests for one dataset share its rules, so a document's texts
+    meet each set of rules once, whoever asks; a pair that several rules accept counts once.
     """
     numbered = written_table(docs.select("*", F.monotonically_increasing_id().alias("_number")), "documents")
-    texts = _with_texts(numbered)
-    held = F.array_distinct(_entry_keys())
-    bounded = broadcast_if_small(wanted.select("entry_key").distinct())
-    met = texts.select("_number", F.explode(held).alias("entry_key")).join(bounded, "entry_key", "left_semi")
-    keys = met.groupBy("_number").agg(F.collect_set("entry_key").alias("_keys"))
-    candidates = texts.join(keys, "_number").select("*", F.explode("_keys").alias("entry_key")).join(broadcast_if_small(wanted), "entry_key")
-    accepted = candidates.where(_accepted()).select("seq", "dataset_seq", "_number").distinct()
-    return numbered.join(accepted, "_number").select("seq", "dataset_seq", *columns)
+    place = ["_number", "doc_datetime", "depth1_seq", "depth2_seq"]
+    held = written_table(_with_texts(numbered).select(*place, F.array_distinct(_entry_keys()).alias("keys")), "keys")
+    wanted = targets_by(written_table(word_sketch(held), "sketch"))
+    wanted = written_table(wanted.withColumn("_rules", F.when(F.size("rules") > 0, F.md5(F.to_json("rules").cast("binary")))), "targets")
+    asking = wanted.select("seq", "dataset_seq", "channels", "start", "end", "_rules", "entry_key")
+    met = held.select(*place, F.explode("keys").alias("entry_key"))
+    candidates = met.join(broadcast_if_small(asking), "entry_key").where(_asked()).select("_number", "seq", "dataset_seq", "_rules").distinct()
+    candidates = written_table(candidates, "candidates")
+    tested = candidates.where(F.col("_rules").isNotNull()).select("_number", "_rules").distinct()
+    rules = wanted.where(F.col("_rules").isNotNull()).select("_rules", "rules").dropDuplicates(["_rules"])
+    texts = _with_texts(numbered.join(tested.select("_number").distinct(), "_number", "left_semi")).select("_number", "_title", "_content", "_url")
+    accepted = (
+        tested.join(texts, "_number").join(broadcast_if_small(rules), "_rules")
+        .where(_by_rule(F.col("_title"), F.col("_content"), F.col("_url")))
+        .select("_number", "_rules")
+    )
+    by_rules = candidates.join(accepted, ["_number", "_rules"]).select("seq", "dataset_seq", "_number")
+    found = by_rules.unionByName(candidates.where(F.col("_rules").isNull()).select("seq", "dataset_seq", "_number")).distinct()
+    return numbered.join(found, "_number").select("seq", "dataset_seq", *columns)
 
 
 def match_datasets(
@@ -287,26 +382,27 @@ def match_datasets(
 def rule_decisions(docs: DataFrame, rules: DataFrame, keep: list[str], max_in_plan: int = PLAN_ROWS) -> DataFrame:
     """Every (document, rule) whose required phrases are all there, with the exclusions that apply.
 
-    `rules` has a `rule_id` and the columns of the rule table.
+    `rules` has a `rule_id` and the columns of the rule table. With many entry words, documents get a number and meet
+    their rules on narrow rows; the texts are joined to those pairs.
     """
-    parsed = active_rules(rules.withColumn("dataset_seq", F.struct("dataset_seq", "rule_id"))).select(
-        "dataset_seq.*", "rule", F.col("entry_word").alias("entry_key")
-    )
-    words = rows_if_small(parsed.select("entry_key").distinct(), max_in_plan)
-    held = _entry_keys()
+    parsed = active_rules(rules.withColumn("dataset_seq", F.struct("dataset_seq", "rule_id")))
+    words = rows_if_small(parsed.select("entry_word").distinct(), max_in_plan)
     if words is not None:
-        asked = [row.entry_key for row in words]
-        held = F.filter(held, lambda key: key.isin(asked))
+        asked = [row.entry_word for row in words]
+        held = F.array_distinct(F.filter(_entry_keys(), lambda key: key.isin(asked)))
+        entries = parsed.select("dataset_seq.*", "rule", F.col("entry_word").alias("entry_key"))
+        pairs = _with_texts(docs).withColumn("entry_key", F.explode(held)).join(broadcast_if_small(entries), "entry_key")
+    else:
+        numbered = written_table(docs.select("*", F.monotonically_increasing_id().alias("_number")), "documents")
+        keys = written_table(_with_texts(numbered).select("_number", F.array_distinct(_entry_keys()).alias("keys")), "keys")
+        entered = entered_by_rarest(parsed, written_table(word_sketch(keys), "sketch"))
+        entries = entered.select("dataset_seq.*", "rule", F.col("entry_word").alias("entry_key"))
+        met = keys.select("_number", F.explode("keys").alias("entry_key")).join(broadcast_if_small(entries), "entry_key")
+        pairs = _with_texts(numbered).join(met, "_number")
     title, content, url, rule = F.col("_title"), F.col("_content"), F.col("_url"), F.col("rule")
-    return (
-        _with_texts(docs)
-        .withColumn("entry_key", F.explode(F.array_distinct(held)))
-        .join(broadcast_if_small(parsed), "entry_key")
-        .where(holds_required(rule, title, content))
-        .select(
-            *keep, "dataset_seq", "rule_id",
-            F.exists(rule["title"], lambda p: T.holds_phrase(title, p)).alias("title_excluded"),
-            F.exists(rule["content"], lambda p: T.holds_phrase(content, p)).alias("content_excluded"),
-            F.exists(rule["url"], lambda u: F.contains(url, u)).alias("url_excluded"),
-        )
+    return pairs.where(holds_required(rule, title, content)).select(
+        *keep, "dataset_seq", "rule_id",
+        F.exists(rule["title"], lambda p: T.holds_phrase(title, p)).alias("title_excluded"),
+        F.exists(rule["content"], lambda p: T.holds_phrase(content, p)).alias("content_excluded"),
+        F.exists(rule["url"], lambda u: F.contains(url, u)).alias("url_excluded"),
     )

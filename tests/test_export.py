@@ -102,6 +102,56 @@ def test_matching_equals_brute_force(spark):
         assert len(rows) == len(want) and {(r.dataset_seq, r.doc_id) for r in rows} == want
 
 
+def test_more_entry_words_than_the_plan_holds(spark):
+    """Thousands of rules, each with a word that most documents hold; the measured limit chooses the way."""
+    rng = random.Random(11)
+    docs = [(str(i), "the title", " ".join(["the", "hot", *(f"w{rng.randrange(6_000)}" for _ in range(30))])) for i in range(400)]
+    docs += [("none", None, None), ("twice", "w1 the", "w2"), ("twice", "w1 the", "w2")]
+    rules = [(i, i % 50, "Y", f"w{i}", "the", "", rng.choice(["", "w5 w6", f"w{rng.randrange(6_000)}"]), "") for i in range(5_000)]
+    frame = spark.createDataFrame([(*d, None, 1, 2) for d in docs], "doc_id string, doc_title string, doc_content string, doc_url string, depth1_seq int, depth2_seq int")
+    frame = frame.withColumn("doc_datetime", F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
+    held = [(i, set(f"{t or ''} {c or ''}".split()), f" {c or ''} ") for i, t, c in docs]
+    want = sorted(
+        (ds, doc_id) for doc_id, words, content in held for ds in range(50)
+        if any(key in words and "the" in words and not (no and f" {no} " in content) for _, own, _, key, _, _, no, _ in rules if own == ds)
+    )
+    table = spark.createDataFrame(rules, RULE_SCHEMA)
+    rows = matching.match_datasets(frame, table).collect()
+    assert sorted((r.dataset_seq, r.doc_id) for r in rows) == want and len(want) > 3_000
+    decided = matching.rule_decisions(frame, table, ["doc_id"]).where("rule_id < 40").select("doc_id", "rule_id").collect()
+    assert sorted(tuple(r) for r in decided) == sorted((i, rule[0]) for i, words, _ in held for rule in rules[:40] if {rule[3], "the"} <= words)
+
+
+def test_rules_are_entered_by_their_rarest_word(spark):
+    docs = spark.createDataFrame([(["veryfrequentword", "hot", f"w{i}"],) for i in range(500)], "keys array<string>")
+    sketch = matching.word_sketch(docs)
+    assert sketch.count() <= matching.SKETCH_LINES * matching.SKETCH_CELLS
+    words = spark.createDataFrame([("hot",), ("w7",), ("unseen",)], "word string")
+    counts = {r.word: r.n for r in matching.sketched_counts(words, sketch).collect()}
+    assert counts["hot"] >= 500 and 1 <= counts["w7"] < 20 and counts["unseen"] < 20
+    rules = spark.createDataFrame([(1, 1, "Y", "veryfrequentword w7", "hot", "", "", ""), (2, 1, "Y", "unseen veryfrequentword", "", "", "", "")], RULE_SCHEMA)
+    entered = matching.entered_by_rarest(matching.active_rules(rules), sketch).collect()
+    assert sorted(r.entry_word for r in entered) == ["unseen", "w7"]
+
+
+@pytest.mark.parametrize("max_in_plan", [4096, 0])
+def test_requests_without_rules_by_period_and_channel(spark, max_in_plan):
+    """Short and long periods, channels with missing parts: the same as testing every pair."""
+    rng = random.Random(6)
+    moment = lambda: f"{rng.randint(2015, 2026)}-{rng.randint(1, 12):02}-{rng.randint(1, 28):02} 0{rng.randint(0, 9)}:00:00"
+    docs = [(str(i), moment(), rng.choice([1, 2, None]), rng.choice([1, 2, 3, None])) for i in range(300)]
+    frame = spark.createDataFrame(docs, "doc_id string, doc_datetime string, depth1_seq int, depth2_seq int")
+    frame = frame.withColumns({"doc_datetime": F.col("doc_datetime").cast("timestamp_ntz"), **{c: F.lit(None).cast("string") for c in ("doc_title", "doc_content", "doc_url")}})
+    channels = {"all": None, "": None, "1^1,2;2^3": {(1, 1), (1, 2), (2, 3)}, "2^": {(2, None)}, "9^9": {(9, 9)}}
+    asked = [(i, None, rng.choice(list(channels)), *sorted([moment(), moment()])) for i in range(20)] + [(90, None, "1^1", "", ""), (91, None, "all", "2026-01-01 00:00:00", "2020-01-01 00:00:00")]
+    rows = matching.filter_documents(frame, spark.createDataFrame(asked, REQUEST), max_in_plan=max_in_plan).collect()
+    want = [
+        (seq, doc_id) for seq, _, channel, start, end in asked for doc_id, at, d1, d2 in docs
+        if (start or "1900") <= at <= (end or "2100") and (channels.get(channel, {(1, 1)}) is None or (d1, d2) in channels.get(channel, {(1, 1)}))
+    ]
+    assert sorted((r.seq, r.doc_id) for r in rows) == sorted(want) and len(want) > 300
+
+
 def test_positions_with_one_hot_group(spark):
     rng = random.Random(5)
     rows = [(1 if rng.random() < 0.7 else rng.choice([2, 3, None]), rng.randint(0, 40), f"{i:05d}") for i in range(3000)]

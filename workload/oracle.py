@@ -528,7 +528,17 @@ ORACLE["category_match_large"] = f"""WITH {SURVEY}, {
     match_cte('category', 'survey', 'comment',
               "SELECT source AS key, lang AS value, source || ' ' || lang || ' ' || split_part(text, chr(10), 1) AS words FROM documents")
 } SELECT {SURVEY_ROW}, coalesce(value, '') AS category FROM survey LEFT JOIN category ON text = comment"""
-ORACLE["dataset_match_large"] = ORACLE["dataset_match"]
+ORACLE["dataset_match_large"] = f"""WITH {CRAWL},
+items AS (SELECT item_id, string_split(trim({padded('text')}), ' ') AS w FROM benchmark),
+rules AS (
+ SELECT DISTINCT item_id, w[i] || ' ' || w[i + 1] AS pair, w[i + 2] AS word
+ FROM (SELECT item_id, w, unnest(range(1, len(w) - 1)) AS i FROM items)),
+lists AS (
+ SELECT doc_id, string_split(trim({padded('doc_title')}), ' ') AS w FROM crawl
+ UNION ALL SELECT doc_id, string_split(trim({padded('doc_content')}), ' ') FROM crawl),
+words AS (SELECT DISTINCT doc_id, unnest(w) AS word FROM lists),
+pairs AS (SELECT DISTINCT doc_id, w[i] || ' ' || w[i + 1] AS pair FROM (SELECT doc_id, w, unnest(range(1, len(w))) AS i FROM lists))
+SELECT DISTINCT CAST(item_id AS BIGINT) AS dataset_seq, doc_id FROM rules JOIN pairs USING (pair) JOIN words USING (doc_id, word)"""
 
 # -- the same records and sheets from other files ----------------------------------------------------------
 

@@ -420,9 +420,20 @@ def category_match_large(spark, sf):
     return found.select("case_id", "response_id", "answer_id", "category")
 
 
+def _benchmark_rules(spark, sf):
+    """A rule for each pair of neighbouring words of each item: the pair, and the word after it."""
+    words = F.split(F.btrim(T.padded(F.col("text"))), " ", -1)
+    rows = W.load(spark, sf, "benchmark").select("item_id", F.posexplode(words).alias("i", "first"), words.alias("words"))
+    second, third = F.get("words", F.col("i") + 1), F.get("words", F.col("i") + 2)
+    rules = rows.where(third.isNotNull()).select(
+        F.col("item_id").cast("int").alias("dataset_seq"), F.lit("Y").alias("use_yn"), F.concat_ws(" ", "first", second).alias("keyword"), third.alias("sub_keywords")
+    )
+    return rules.select("*", *[F.lit("").alias(name) for name in ("title_filter_keywords", "content_filter_keywords", "filter_urls")])
+
+
 def dataset_match_large(spark, sf):
-    """`dataset_match` by the way that many entry words take."""
-    found = matching.match_datasets(W.crawl_doc(spark, sf), W.small(spark, W.RULES), max_in_plan=0)
+    """Documents matched with thousands of rules made from the benchmark texts, frequent words among them."""
+    found = matching.match_datasets(W.crawl_doc(spark, sf), _benchmark_rules(spark, sf), max_in_plan=256)
     return _big(found.select("dataset_seq", "doc_id"), "dataset_seq")
 
 
