@@ -34,3 +34,32 @@ def lookup(key: Column, entries: Mapping[str, object], value_type: str, default:
     buckets, n = literal_buckets(entries, value_type)
     found = F.element_at(F.get(buckets, (F.crc32(key.cast("binary")) % n).cast("int")), key)
     return F.when(key.isin(list(entries)), found).otherwise(default)
+
+
+# Numbers that are summed up in one growing array.
+SUM_BLOCK = 128
+
+
+def sums_before(lengths: Column) -> Column:
+    """Sums of all numbers before each place, in blocks: an array that grows step by step is copied in every step."""
+
+    def running(values: Column, first: Column) -> Column:
+        return F.aggregate(values, F.array(first), lambda sums, value: F.array_append(sums, F.element_at(sums, -1) + value))
+
+    def of_blocks(blocks: Column) -> Column:
+        totals = F.transform(blocks, lambda block: F.aggregate(block, F.lit(0), lambda total, value: total + value))
+        return let(
+            running(totals, F.lit(0)),
+            lambda firsts: F.flatten(
+                F.transform(blocks, lambda block, b: F.slice(running(block, F.get(firsts, b)), 1, F.size(block)))
+            ),
+        )
+
+    def cut(values: Column) -> Column:
+        n_blocks = F.ceil(F.size(values) / SUM_BLOCK).cast("int")
+        blocks = F.transform(
+            F.sequence(F.lit(0), F.greatest(n_blocks - 1, F.lit(0))), lambda b: F.slice(values, b * SUM_BLOCK + 1, SUM_BLOCK)
+        )
+        return let(blocks, of_blocks)
+
+    return let(lengths, cut)

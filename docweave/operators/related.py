@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -10,6 +10,7 @@ from docweave.bounds import fits
 from docweave.functions import text as T
 from docweave.functions.dictionary import let
 from docweave.functions.tags import STOP_TYPES
+from docweave.operators.tagging import with_content_words
 
 # Size and number of fragments.
 FRAGMENT_SIZE = 30
@@ -73,7 +74,7 @@ def _close_words(placed: Column, phrase: Column, fragment_limit: int, attached:
 def related_words(
     requests: DataFrame,
     docs: DataFrame,
-    content: Callable[[Column], Column] | None = None,
+    lexicon: DataFrame | None = None,
     fragment_size: int = FRAGMENT_SIZE,
     fragment_limit: int = MAX_FRAGMENTS,
     attached: bool = False,
@@ -81,8 +82,8 @@ def related_words(
     """Related words of every (doc_id, term) request, in order of first occurrence.
 
     The term is looked for as a phrase in title and content. Words of the first hit fragments of the title
-    come before those of the content. `content` gives the content word of a word, '' if it carries none. With
-    `attached`, letters that follow the phrase's last word belong to the hit.
+    come before those of the content. Words that a `lexicon` gives a type without content are left out. With `attached`,
+    letters that follow the phrase's last word belong to the hit.
     """
     asked = requests.select("doc_id", "term")
     wanted = F.broadcast(asked.distinct()) if fits(asked) else asked.distinct()
@@ -94,7 +95,8 @@ def related_words(
         return let(placed, lambda words: _close_words(words, phrase, fragment_limit, attached))
 
     words = let(phrase, lambda p: F.concat(words_of("doc_title", p), words_of("doc_content", p)))
-    if content is not None:
-        words = F.transform(words, content)
-    kept = F.filter(F.array_distinct(words), lambda word: F.char_length(word) > 1)
+    joined = joined.select("doc_id", "term", words.alias("_close"))
+    if lexicon is not None:
+        joined = with_content_words(joined, "_close", lexicon, "_close")
+    kept = F.filter(F.array_distinct("_close"), lambda word: F.char_length(word) > 1)
     return joined.select("doc_id", "term", F.posexplode(kept).alias("word_order", "word"))

@@ -6,14 +6,12 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from docweave.functions.dictionary import let
+from docweave.functions.dictionary import let, sums_before
 from docweave.functions.text import dictionary_form
 from docweave.operators.lookup import best_match, emotion_dictionary, exact_lookup
 from docweave.operators.payload import MATCHING_PAYLOAD, parse
 
 VERB_TYPES = ("VV", "VA", "XR")
-# Analyser tokens of one word, at most.
-WORD_TOKENS = 8
 
 
 def cause_spans(docs: DataFrame, keys: Sequence[str], body_col: str = "JSON") -> DataFrame:
@@ -60,7 +58,7 @@ def described_tokens(tokens: Column, span: Column) -> Column:
 
     After a word with a particle, tokens at other positions describe something else and are passed over: a token is
     kept if no word with a particle came before it, or if its own word is one. Tokens are in order of position, a word's
-    form before its at most WORD_TOKENS - 1 other tokens.
+    form before its other tokens, of which it may have any number.
     """
 
     def opens(token: Column) -> Column:
@@ -75,15 +73,19 @@ def described_tokens(tokens: Column, span: Column) -> Column:
     )
 
     def kept(tokens: Column) -> Column:
-        first = F.coalesce(F.get(F.filter(F.transform(tokens, lambda t, i: F.when(opens(t), i)), lambda i: i.isNotNull()), F.lit(0)), F.size(tokens))
+        # The words that open a stretch before each token, by number; the last of them is the token's own or an earlier one.
+        earlier = sums_before(F.transform(tokens, lambda t: F.when(opens(t), 1).otherwise(0)))
 
-        def own_word_opens(token: Column, i: Column) -> Column:
-            before = F.slice(tokens, F.greatest(i - WORD_TOKENS + 2, F.lit(1)), F.least(i, F.lit(WORD_TOKENS - 1)))
-            return F.exists(before, lambda other: opens(other) & (other["position"] == token["position"]))
+        def of_open(opening: Column, earlier: Column) -> Column:
+            def stays(token: Column, i: Column) -> Column:
+                n = F.get(earlier, i)
+                own = F.get(opening, n - 1) == token["position"]
+                return ~opens(token) & ((n == 0) | F.coalesce(own, F.lit(False)))
 
-        return let(
-            first, lambda first: F.filter(tokens, lambda t, i: ~opens(t) & ((i < first) | own_word_opens(t, i)))
-        )
+            return F.filter(tokens, stays)
+
+        opening = F.transform(F.filter(tokens, opens), lambda t: t["position"])
+        return let(opening, lambda opening: let(earlier, lambda earlier: of_open(opening, earlier)))
 
     items = let(relevant, kept)
     return F.transform(items, lambda t: F.struct(t["token"].alias("token"), t["type"].alias("type")))
@@ -104,16 +106,16 @@ def last_per_token(kept: Column) -> Column:
 def cause_verbs(
     causes: DataFrame,
     verb_dict: DataFrame,
-    analyse: Callable[[Column], Column],
+    analyse: Callable[[DataFrame, str, str], DataFrame],
     keys: Sequence[str],
 ) -> DataFrame:
     """One row per distinct verb, adjective, root or noun of a cause, with its emotion.
 
-    `analyse` turns the matched text into analyser tokens. Verbs, adjectives and roots are looked up exactly
+    `analyse` adds the analyser tokens of a text column as a new column, both given by name. Verbs, adjectives and roots are looked up exactly
     in their dictionary form, nouns by shared tokens.
     """
-    kept = last_per_token(described_tokens(analyse(F.col("matched_text")), F.col("span")))
-    rows = causes.select(*keys, "cause_idx", "value", F.posexplode(kept).alias("verb_idx", "_item")).select(
+    kept = last_per_token(described_tokens(F.col("_tokens"), F.col("span")))
+    rows = analyse(causes, "matched_text", "_tokens").select(*keys, "cause_idx", "value", F.posexplode(kept).alias("verb_idx", "_item")).select(
         *keys, "cause_idx", "value", "verb_idx", F.col("_item.token").alias("verb"), F.col("_item.type").alias("_type")
     )
     dictionary = emotion_dictionary(verb_dict)

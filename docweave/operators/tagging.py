@@ -11,11 +11,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from docweave.bounds import PLAN_ROWS, broadcast_if_small, computed_once, rows_if_small
 from docweave.functions import text as T
-from docweave.functions.dictionary import let, lookup
+from docweave.functions.dictionary import let, lookup, sums_before
 from docweave.functions.tags import KOREAN, STOP_TYPES, Letters
 from docweave.scratch import written_table
 
 UNKNOWN_TAG = "NNG"
+TOKENS = "array<struct<token:string,type:string,start_offset:int,end_offset:int,position:int,particle:boolean>>"
 
 
 def word_list(lexicon: DataFrame) -> DataFrame:
@@ -55,62 +56,31 @@ def tag_sentences(
         tagged = F.transform(words, lambda word: lookup(word, pieces, "string", _unknown(word)))
         return sentences.withColumn(out_col, F.array_join(tagged, " "))
 
-    # The callers' keys may be null or repeated, and texts are long: rows get a number that is written once.
-    numbered = written_table(sentences.withColumn("_number", F.monotonically_increasing_id()), "sentences")
-    known = broadcast_if_small(entries.select("word", "piece"))
-    pieces = (
-        numbered.select("_number", F.posexplode(words).alias("word_idx", "word"))
-        .join(known, "word", "left")
-        .groupBy("_number")
-        .agg(F.array_sort(F.collect_list(F.struct("word_idx", F.coalesce("piece", _unknown(F.col("word"))).alias("piece")))).alias("pieces"))
-        .select("_number", F.array_join(F.col("pieces.piece"), " ").alias("_tagged"))
-    )
-    return (
-        numbered.join(pieces, "_number", "left")
-        .withColumn(out_col, F.when(F.col(text_col).isNotNull(), F.coalesce("_tagged", F.lit(""))))
-        .drop("_tagged", "_number")
-    )
-
-
-OFFSET_BLOCK = 128
-
-
-def _starts(lengths: Column) -> Column:
-    """Sums of all lengths before each place, in blocks: an array that grows step by step is copied in every step."""
+    joined = _looked_up(sentences, words, entries.select("word", "piece"), F.coalesce("piece", _unknown(F.col("word"))))
+    tagged = F.when(F.col(text_col).isNotNull(), F.array_join("_found", " "))
+    return joined.withColumn(out_col, tagged).drop("_found")
 
-    def running(values: Column, first: Column) -> Column:
-        return F.aggregate(values, F.array(first), lambda sums, value: F.array_append(sums, F.element_at(sums, -1) + value))
 
-    def of_blocks(blocks: Column) -> Column:
-        totals = F.transform(blocks, lambda block: F.aggregate(block, F.lit(0), lambda total, value: total + value))
-        return let(
-            running(totals, F.lit(0)),
-            lambda firsts: F.flatten(
-                F.transform(blocks, lambda block, b: F.slice(running(block, F.get(firsts, b)), 1, F.size(block)))
-            ),
-        )
+# Type and marks of a word that the word list does not have.
+_UNLISTED = {"type": UNKNOWN_TAG, "particle": False}
+_ENTRY = "struct<type:string,particle:boolean>"
 
-    def cut(values: Column) -> Column:
-        n_blocks = F.ceil(F.size(values) / OFFSET_BLOCK).cast("int")
-        blocks = F.transform(
-            F.sequence(F.lit(0), F.greatest(n_blocks - 1, F.lit(0))), lambda b: F.slice(values, b * OFFSET_BLOCK + 1, OFFSET_BLOCK)
-        )
-        return let(blocks, of_blocks)
 
-    return let(lengths, cut)
+def _entry(token_type: Column, piece: Column) -> Column:
+    """What analyser tokens need of a word list entry; that of an unlisted word where there is none."""
+    return F.struct(
+        F.coalesce(token_type, F.lit(UNKNOWN_TAG)).alias("type"), F.coalesce(F.contains(piece, F.lit("/J_")), F.lit(False)).alias("particle")
+    )
 
 
-def word_tokens(text: Column, lexicon_rows: Sequence, letters: Letters = KOREAN) -> Column:
+def _placed_tokens(words: Column, entry_of: Callable[[Column, Column], Column]) -> Column:
     """Two analyser tokens per word: the word form (EOJEOL) and its content token.
 
     Offsets count characters of the cleaned text, in which words are one space apart.
     """
-    entry_type = "struct<type:string,particle:boolean>"
-    entries = {row.word: {"type": row.token_type, "particle": "/J_" in row.piece} for row in lexicon_rows}
-    unknown = F.struct(F.lit(UNKNOWN_TAG).alias("type"), F.lit(False).alias("particle"))
 
     def placed(words: Column) -> Column:
-        starts = _starts(F.transform(words, lambda word: F.char_length(word) + 1))
+        starts = sums_before(F.transform(words, lambda word: F.char_length(word) + 1))
         return let(starts, lambda starts: F.flatten(F.transform(words, lambda word, i: pair(word, i, starts))))
 
     def pair(word: Column, position: Column, starts: Column) -> Column:
@@ -126,12 +96,60 @@ def word_tokens(text: Column, lexicon_rows: Sequence, letters: Letters = KOREAN)
                 F.struct(content.alias("token"), kind.alias("type"), *place, F.lit(False).alias("particle")),
             )
 
-        return let(lookup(word, entries, entry_type, unknown), tokens_of)
+        return let(entry_of(word, position), tokens_of)
+
+    return let(words, placed)
+
+
+def _looked_up(rows: DataFrame, words: Column, entries: DataFrame, found: Column) -> DataFrame:
+    """`rows` as a written table with `_found`: what the joined entry of each word gives, in the order of the words.
 
-    return let(_words(text, letters), placed)
+    Rows are told apart by a number that is written once; only it travels with the words. `found` may use `word` and the
+    columns of `entries`, which are null for an unlisted word. A row without words has an empty array.
+    """
+    numbered = written_table(rows.withColumn("_number", F.monotonically_increasing_id()), "rows")
+    listed = (
+        numbered.select("_number", F.posexplode(words).alias("_i", "word"))
+        .join(broadcast_if_small(entries), "word", "left")
+        .groupBy("_number")
+        .agg(F.array_sort(F.collect_list(F.struct("_i", found.alias("found"))))["found"].alias("_found"))
+    )
+    empty = F.array().cast(listed.schema["_found"].dataType)
+    return numbered.join(listed, "_number", "left").withColumn("_found", F.coalesce("_found", empty)).drop("_number")
 
 
-def content_word_of(lexicon_rows: Sequence, stop_types: Sequence[str] = STOP_TYPES) -> Callable[[Column], Column]:
-    """The content word of a word: itself, or '' where the word list gives it a type that carries none."""
-    empty = {row.word: "" for row in lexicon_rows if row.token_type in stop_types}
-    return lambda word: lookup(word, empty, "string", word)
+def with_word_tokens(
+    rows: DataFrame, text_col: str, lexicon: DataFrame, out_col: str = "tokens", letters: Letters = KOREAN, max_in_plan: int = PLAN_ROWS
+) -> DataFrame:
+    """Add the analyser tokens of `text_col`: two per word, with offsets in the cleaned text; none for a null text.
+
+    A word list of at most `max_in_plan` entries is looked up in the row. The words of a larger one are joined, and the
+    tokens are put back in order by a number of the row; both ways give the same rows, whatever keys they have.
+    """
+    entries = word_list(computed_once(lexicon, "lexicon"))
+    small = rows_if_small(entries, max_in_plan)
+    words = _words(F.col(text_col), letters)
+    if small is not None:
+        known = {row.word: {"type": row.token_type, "particle": "/J_" in row.piece} for row in small}
+        unlisted = F.struct(*[F.lit(value).alias(name) for name, value in _UNLISTED.items()])
+        tokens = _placed_tokens(words, lambda word, _: lookup(word, known, _ENTRY, unlisted))
+        return rows.withColumn(out_col, F.coalesce(tokens, F.array().cast(TOKENS)))
+    joined = _looked_up(rows, words, entries, F.struct(F.col("word"), _entry(F.col("token_type"), F.col("piece")).alias("entry")))
+    tokens = let(F.col("_found"), lambda found: _placed_tokens(F.transform(found, lambda x: x["word"]), lambda _, i: F.get(found, i)["entry"]))
+    return joined.withColumn(out_col, tokens).drop("_found")
+
+
+def with_content_words(
+    rows: DataFrame, words_col: str, lexicon: DataFrame, out_col: str, stop_types: Sequence[str] = STOP_TYPES, max_in_plan: int = PLAN_ROWS
+) -> DataFrame:
+    """Add the content word of each word of the array `words_col`, in order.
+
+    It is the word itself, or '' where the word list gives the word a type that carries none.
+    """
+    stops = word_list(computed_once(lexicon, "lexicon")).where(F.col("token_type").isin(*stop_types)).select("word", F.lit("").alias("empty"))
+    small = rows_if_small(stops, max_in_plan)
+    if small is not None:
+        empty = {row.word: "" for row in small}
+        return rows.withColumn(out_col, F.transform(words_col, lambda word: lookup(word, empty, "string", word)))
+    joined = _looked_up(rows, F.col(words_col), stops, F.coalesce("empty", "word"))
+    return joined.withColumn(out_col, F.when(F.col(words_col).isNotNull(), F.col("_found"))).drop("_found")

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from docweave.functions import tags, text as T
 from docweave.functions.tags import KOREAN, Letters
 from docweave.functions.topics import topic_words
 from docweave.operators import clauses, payload, spans
-from docweave.operators.tagging import tag_sentences
+from docweave.operators.tagging import tag_sentences, with_word_tokens
 from docweave.sinks.rows import index_document, joined_id, tagged_record
 from docweave.sources.files import SURVEY_COLUMNS
 
@@ -98,13 +98,21 @@ def corpus(records: DataFrame) -> DataFrame:
 def cause_verbs(
     records: DataFrame,
     verb_dict: DataFrame,
-    analyse: Callable[[Column], Column],
+    analyse: Callable[[DataFrame, str, str], DataFrame],
     keys: Sequence[str] = ("doc_id", "content"),
 ) -> DataFrame:
-    """Verbs and nouns per cause of cleaned records, with their emotions. `keys` are repeated on every row."""
+    """Verbs and nouns per cause of cleaned records, with their emotions. `keys` are repeated on every row.
+
+    `analyse` adds analyser tokens: `word_analyser` of a word list, or anything else that gives such tokens.
+    """
     return spans.cause_verbs(spans.cause_spans(records, keys), verb_dict, analyse, keys)
 
 
+def word_analyser(lexicon: DataFrame, letters: Letters = KOREAN) -> Callable[[DataFrame, str, str], DataFrame]:
+    """The analyser that looks words up in a word list of any size."""
+    return lambda rows, text_col, out_col: with_word_tokens(rows, text_col, lexicon, out_col, letters)
+
+
 def topic_lists(rows: DataFrame, lexicon: DataFrame, keys: Sequence[str], text_col: str, letters: Letters = KOREAN) -> DataFrame:
     """Rows of a free sheet with the topic words of their text; a blank text has none."""
     line = rows.withColumn("_line", T.without_line_breaks(F.col(text_col)))

@@ -3,6 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from docweave.functions.tags import KOREAN_AND_LATIN
 from docweave.operators import payload, related, spans, tagging
 from docweave.plans import jobs
 
@@ -40,7 +41,7 @@ def test_words_with_a_particle_absorb_what_follows(spark):
     ]
     rows = spark.createDataFrame([("d", 0, "v", "text", 20, tokens)], f"doc_id string, cause_idx int, value string, matched_text string, span int, t {TOKEN}")
     verbs = spark.createDataFrame([("좋다", "긍정"), ("값", "부정")], "verb string, emotion string")
-    analyse = lambda _: F.col("t")
+    analyse = lambda rows, text_col, out_col: rows.withColumn(out_col, F.col("t"))
     got = spans.cause_verbs(rows, verbs, analyse, ["doc_id"]).orderBy("verb_idx").collect()
     assert [(r.verb, r.emotion) for r in got] == [("좋/VA", "긍정"), ("가격", ""), ("값", "부정")]
 
@@ -96,15 +97,58 @@ def test_tags_are_the_same_on_both_ways_for_null_and_repeated_keys(spark):
 def test_offsets_and_tokens_grow_with_the_words(spark):
     import time
 
+    none = spark.createDataFrame([], "word string, piece string, token_type string")
+
     def seconds(n):
         text = spark.range(1).select(F.array_join(F.transform(F.sequence(F.lit(1), F.lit(n)), lambda i: F.concat(F.lit("가"), i.cast("string"))), " ").alias("t"))
         text = text.repartition(1)
-        tokens = tagging.word_tokens(F.col("t"), [])
+        analysed = tagging.with_word_tokens(text, "t", none)
+        tokens = F.col("tokens")
         start = time.perf_counter()
         kept = spans.last_per_token(spans.described_tokens(tokens, F.lit(10_000_000)))
-        last = text.select(F.size(kept).alias("n"), F.element_at(tokens, -1)["end_offset"].alias("end"), F.char_length("t").alias("size")).first()
+        last = analysed.select(F.size(kept).alias("n"), F.element_at(tokens, -1)["end_offset"].alias("end"), F.char_length("t").alias("size")).first()
         assert last.n == n and last.end == last.size
         return time.perf_counter() - start
 
     seconds(1_000)
     assert seconds(40_000) < 3 * seconds(20_000) + 2
+
+
+def test_a_word_with_any_number_of_tokens_keeps_them_all(spark):
+    """Twenty tokens of a word with a particle stay, those of a later word without one do not."""
+    parts = [tok(f"부분{i}", "NNG", 2, 1) for i in range(20)]
+    tokens = [tok("앞", "NNG", 0, 0), tok("가격이", "EOJEOL", 2, 1, True), *parts, tok("뒤", "EOJEOL", 6, 2), tok("뒤", "NNG", 6, 2), tok("값은", "EOJEOL", 8, 3, True), tok("값", "NNG", 8, 3)]
+    rows = spark.createDataFrame([(tokens,)], f"t {TOKEN}")
+    got = rows.select(spans.described_tokens(F.col("t"), F.lit(50))).first()[0]
+    assert [t.token for t in got] == ["앞", *(p[0] for p in parts), "값"]
+
+
+LEXICON = [("값", "값/NNG+은/J_", "NNG"), ("싸다", "싸/VA+다/EF", "VA"), ("및", "및/MA", "MAJ"), ("및", "및/X", "NNG")]
+
+
+def test_tokens_and_content_words_are_the_same_on_both_ways(spark):
+    lexicon = spark.createDataFrame(LEXICON, "word string, piece string, token_type string")
+    rows = spark.createDataFrame([(None, "값 싸다 및"), (None, "모름, 값"), (1, "값"), (1, "값"), (2, ""), (3, None)], "k int, s string")
+    tokens = [sorted(map(str, tagging.with_word_tokens(rows, "s", lexicon, max_in_plan=limit).collect())) for limit in (4096, 0)]
+    assert tokens[0] == tokens[1] and len(tokens[0]) == 6
+    words = rows.select("k", F.split("s", " ").alias("w"))
+    content = [sorted(map(str, tagging.with_content_words(words, "w", lexicon, "c", ["MAJ"], limit).collect())) for limit in (4096, 0)]
+    assert content[0] == content[1] and any("c=['값', '싸다', '']" in row for row in content[0])
+
+
+def test_a_lexicon_of_a_hundred_thousand_words(spark):
+    lexicon = spark.range(100_000).select(
+        F.concat(F.lit("w"), F.col("id").cast("string")).alias("word"),
+        F.when(F.col("id") % 2 == 0, "x/NNG+y/J_").otherwise("x/VV").alias("piece"), F.when(F.col("id") % 2 == 0, "NNG").otherwise("VV").alias("token_type"),
+    )
+    rows = spark.createDataFrame([("w0 w1 w99999 zz",)], "s string")
+    got = tagging.with_word_tokens(rows, "s", lexicon, letters=KOREAN_AND_LATIN).first().tokens
+    assert [(t.token, t.type, t.start_offset, t.particle) for t in got] == [
+        ("w0", "EOJEOL", 0, True), ("w0", "NNG", 0, False), ("w1", "EOJEOL", 3, False), ("w1/VV", "VV", 3, False),
+        ("w99999", "EOJEOL", 6, False), ("w99999/VV", "VV", 6, False), ("zz", "EOJEOL", 13, False), ("zz", "NNG", 13, False),
+    ]
+    docs = spark.createDataFrame([("d", "t", "w2 key w3 zz")], "doc_id string, doc_title string, doc_content string")
+    asked = spark.createDataFrame([("d", "key")], "doc_id string, term string")
+    stopped = lexicon.withColumn("token_type", F.when(F.col("word") == "w3", "MAJ").otherwise(F.col("token_type")))
+    assert [r.word for r in related.related_words(asked, docs, stopped).collect()] == ["w2", "zz"]
+

@@ -177,8 +177,7 @@ def topic_words(spark, sf):
 
 
 def content_words(spark, sf):
-    analysed = tagging.word_tokens(F.col("sentence"), W.small(spark, W.LEXICON).collect(), LETTERS)
-    rows = _sentences(spark, sf).withColumn("tokens", analysed)
+    rows = tagging.with_word_tokens(_sentences(spark, sf), "sentence", W.small(spark, W.LEXICON), letters=LETTERS)
     kept = related.content_tokens(F.col("tokens"))
     found = rows.select(
         "doc_id", "sentence_idx", F.size(kept).alias("n_content"), related.content_word(F.col("tokens")).alias("content_word")
@@ -200,10 +199,7 @@ def close_words(spark, sf):
 
 
 def related_words(spark, sf):
-    content = tagging.content_word_of(W.small(spark, W.LEXICON).collect())
-    found = related.related_words(
-        W.related_requests(spark, sf), W.crawl_doc(spark, sf, with_url=False), content=content
-    )
+    found = related.related_words(W.related_requests(spark, sf), W.crawl_doc(spark, sf, with_url=False), W.small(spark, W.LEXICON))
     return _big(found, "word_order")
 
 
@@ -297,11 +293,9 @@ def cause_spans(spark, sf):
 
 
 def cause_verbs(spark, sf):
-    lexicon = W.small(spark, W.LEXICON).collect()
     records = payload.cleaned_records(W.matching_records(W.plain_docs(spark, sf)))
     found = jobs.cause_verbs(
-        records, W.small(spark, W.VERB_DICT), lambda text: tagging.word_tokens(text, lexicon, LETTERS),
-        ["doc_id", "content"],
+        records, W.small(spark, W.VERB_DICT), jobs.word_analyser(W.small(spark, W.LEXICON), LETTERS), ["doc_id", "content"],
     )
     return _big(found, "cause_idx", "verb_idx")
 
@@ -392,11 +386,28 @@ def _document_words(spark, sf):
     return W.spread(W.load(spark, sf, "documents")).select(words.alias("word")).distinct()
 
 
-def tag_tokens_large(spark, sf):
-    """Comments tagged with every distinct word of the documents."""
+def _large_lexicon(spark, sf):
+    """Every distinct word of the documents, tagged by its length."""
     kind = F.char_length("word") % 3
     piece = F.when(kind == 0, F.concat("word", F.lit("/VV+다/EM"))).when(kind == 1, F.concat("word", F.lit("/NNG+은/J_"))).otherwise(F.concat("word", F.lit("/MAG")))
-    lexicon = _document_words(spark, sf).select("word", piece.alias("piece"), F.lit("NNG").alias("token_type"))
+    token_type = F.when(kind == 0, "VV").when(kind == 1, "NNG").otherwise("MAG")
+    return _document_words(spark, sf).select("word", piece.alias("piece"), token_type.alias("token_type"))
+
+
+def content_words_large(spark, sf):
+    """Content words of comments, by a word list of every distinct word of the documents."""
+    keys = ["case_id", "response_id", "answer_id"]
+    rows = tagging.with_word_tokens(W.survey(spark, sf).select(*keys, "comment"), "comment", _large_lexicon(spark, sf), letters=LETTERS)
+    tokens = F.col("tokens")
+    last = F.element_at(F.transform(tokens, lambda t: t["end_offset"]), -1)
+    n_opening = F.size(F.filter(tokens, lambda t: t["particle"]))
+    found = rows.select(*keys, related.content_word(tokens).alias("content_word"), F.coalesce(last, F.lit(0)).alias("n_chars"), n_opening.alias("n_opening"))
+    return _big(found, "n_chars", "n_opening")
+
+
+def tag_tokens_large(spark, sf):
+    """Comments tagged with every distinct word of the documents."""
+    lexicon = _large_lexicon(spark, sf)
     keys = ["case_id", "response_id", "answer_id"]
     tagged = tagging.tag_sentences(W.survey(spark, sf), lexicon, keys, "comment", letters=LETTERS)
     return tagged.select(*keys, "sentence_kma")
@@ -446,7 +457,7 @@ QUERIES: dict[str, Query] = {
         normalize_hangul, close_words, related_words, emotion_exact, emotion_match, category_exact, category_match,
         attribute_rows, clause_sentiment, clause_documents, survey_attributes, survey_documents, tagged_records,
         payload_quality, corpus_lines, cause_spans, cause_verbs, xml_records, charset_ingest, survey_scan,
-        recursive_scan, topic_columns, xml_rooted_records, positional_sheet, tag_tokens_large, emotion_match_large, category_match_large, dataset_match_large,
+        recursive_scan, topic_columns, xml_rooted_records, positional_sheet, tag_tokens_large, content_words_large, emotion_match_large, category_match_large, dataset_match_large,
     )
 }
 QUERIES["clauses"] = clause_rows
