@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from docweave.functions.text import is_blank
 from docweave.session import allow_legacy_charsets
+from docweave.sources.sheets import column_of, read_sheets
 
 # Fields of an XML record and columns of a survey sheet.
 RECORD = "DocId string, Content string, JSON string"
@@ -65,30 +64,21 @@ def add_xml_root(files: DataFrame, charset: str = "MS949") -> DataFrame:
     return files.select("path", F.concat(F.lit(head), F.decode("content", charset), F.lit("</Result>")).alias("value"))
 
 
-def _sheet(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    return spark.read.options(header=True, multiLine=True, escape='"').csv(path)
-
-
 def read_survey_sheets(spark: SparkSession, paths: Sequence[str], columns: Sequence[str] = SURVEY_COLUMNS) -> DataFrame:
-    """Rows of all sheets. Columns are found by their header, so sheets may order them differently.
+    """Rows of all sheets. Columns are found by the header of each sheet, so sheets may order them differently.
 
-    Headers are read by one job; then there is one read for each order of columns, not for each sheet. A path may be a
-    file or a folder of files with one header. Cells keep line breaks, so a file is read by one task.
+    A path may be a file or a folder of files with a header each. One large sheet is read by many tasks, also where its
+    cells hold line breaks. A column that a sheet does not have is null.
     """
-    lines = spark.read.text(list(paths), wholetext=True).select(
-        F.col("_metadata.file_path").alias("path"), F.regexp_extract("value", "^\\uFEFF?([^\\r\\n]*)", 1).alias("header")
-    )
-    groups = lines.where(F.col("header") != "").groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths"))
-    reads = [_sheet(spark, row.paths).select(*[F.col(c).cast("string") for c in columns]) for row in groups.orderBy("header").collect()]
-    if not reads:
-        return spark.createDataFrame([], ", ".join(f"{c} string" for c in columns))
-    return reduce(DataFrame.unionByName, reads)
+    return read_sheets(spark, paths).select(*[column_of(c).alias(c) for c in columns])
 
 
 def read_positional_sheet(spark: SparkSession, path: str, n_columns: int) -> DataFrame:
-    """The first `n_columns` columns of a sheet with a header row."""
-    sheet = _sheet(spark, path)
-    return sheet.select(*sheet.columns[:n_columns])
+    """The first `n_columns` columns of a sheet with a header row, under their names."""
+    rows = read_sheets(spark, [path])
+    first = rows.select(F.slice("header", 1, n_columns).alias("names")).first()
+    names = first.names if first else []
+    return rows.select(*[F.get("cells", F.lit(i)).alias(name) for i, name in enumerate(names)])
 
 
 def read_tree(spark: SparkSession, path: str, schema: str | None = None, file_format: str = "csv", **options) -> DataFrame:

@@ -1,4 +1,6 @@
+import csv
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,7 +9,7 @@ from docweave.operators import payload
 from docweave.plans import jobs
 from docweave.sinks import files as sinks
 from docweave.sinks.rows import tagged_record, wide_topics
-from docweave.sources import files as sources
+from docweave.sources import files as sources, sheets
 
 RECORDS = [("1\r\n", "첫 <글> & 끝"), (" 2 ", "둘\n째"), ("3", "")]
 
@@ -54,6 +56,37 @@ def test_sheets_are_read_by_header(spark, tmp_path):
     assert [tuple(r) for r in rows] == [("1", "2", "3", "ko", '여러\n줄, "인용"'), ("10", "20", "30", "ko", "좋아요")]
 
 
+def test_one_large_sheet_is_read_by_many_tasks(spark, tmp_path):
+    """Cells with line breaks, quotes and separators, longer than a split: the rows that a whole reading gives."""
+    rng = random.Random(2)
+    cell = lambda: "".join(rng.choice(["a", "\n", '"', ",", " ", "가", "\n\n", ""]) for _ in range(rng.choice([0, 1, 5, 40])))
+    rows = [[f"{i}", cell(), cell() if i % 97 else cell() + "\n" * 3_000 + '"', "end"] for i in range(2_000)]
+    for name, newline in (("a.csv", "\n"), ("b.csv", "\r\n")):
+        with open(tmp_path / name, "w", encoding="utf-8", newline="") as file:
+            writer = csv.writer(file, lineterminator=newline)
+            writer.writerows([["case_id", "comment", "note", "last"], *rows])
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        assert sheets._lines(spark, [str(tmp_path / "a.csv")]).select("block").distinct().count() > 20
+        got = sources.read_survey_sheets(spark, [str(tmp_path / "a.csv"), str(tmp_path / "b.csv")], ["case_id", "comment", "note", "last"]).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    want = [tuple(value or None for value in row) for row in rows]
+    assert sorted(map(tuple, got), key=str) == sorted(want * 2, key=str)
+    whole = spark.read.options(header=True, multiLine=True, escape='"').csv(str(tmp_path / "a.csv"))
+    assert sorted(map(tuple, whole.collect()), key=str) == sorted(want, key=str)
+
+
+def test_sheets_of_odd_shapes(spark, tmp_path):
+    for name, text in {"empty.csv": "", "header.csv": "a,b\n", "bom.csv": "\ufeffa,b\n1,2\n\n3\n4,5,6", "open.csv": 'b,a\n"x\ny,1\n'}.items():
+        (tmp_path / name).write_text(text, encoding="utf-8", newline="")
+    rows = sources.read_survey_sheets(spark, [str(tmp_path / n) for n in ("empty.csv", "header.csv", "bom.csv")], ["b", "a", "c"]).collect()
+    assert sorted(map(tuple, rows), key=str) == [("2", "1", None), ("5", "4", None), (None, "3", None)]
+    assert sources.read_survey_sheets(spark, [str(tmp_path / "empty.csv")], ["a"]).collect() == []
+    assert sources.read_survey_sheets(spark, [str(tmp_path / "open.csv")], ["b"]).count() == 1
+
+
 def test_positional_sheet_and_topic_columns(spark, tmp_path):
     (tmp_path / "in.csv").write_text("문장,번호,기타\n값이 싸다,1,x\n,2,y\n", encoding="utf-8")
     rows = sources.read_positional_sheet(spark, str(tmp_path / "in.csv"), 2)
@@ -104,14 +137,15 @@ def test_legacy_lines_lose_nothing(spark, tmp_path):
     assert [r.value for r in rows.collect()] == lines
 
 
-def test_sheets_with_one_header_are_read_together(spark, tmp_path):
+def test_the_plan_does_not_grow_with_sheets_and_headers(spark, tmp_path):
     for i in range(6):
         order = list(sources.SURVEY_COLUMNS) if i % 2 else list(reversed(sources.SURVEY_COLUMNS))
         row = [f'"{c}\n{i}"' for c in order]
         (tmp_path / f"{i}.csv").write_text(",".join(order) + "\n" + ",".join(row) + "\n", encoding="utf-8")
     found = sources.read_survey_sheets(spark, [str(tmp_path / f"{i}.csv") for i in range(6)])
     assert sorted(r.comment for r in found.collect()) == [f"comment\n{i}" for i in range(6)]
-    assert found._jdf.queryExecution().optimizedPlan().toString().count("Relation") == 2
+    reads = lambda rows: rows._jdf.queryExecution().optimizedPlan().toString().count("Relation")
+    assert reads(found) == reads(sources.read_survey_sheets(spark, [str(tmp_path / "0.csv")]))
 
 
 def test_broken_xml_records_are_kept_apart(spark, tmp_path):
