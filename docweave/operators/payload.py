@@ -38,11 +38,12 @@ def parse_checked(body: Column) -> Column:
 
 
 def cleaned_records(records: DataFrame, strip_ends: bool = False) -> DataFrame:
-    """Drop line breaks from ids and contents, and blanks from ids."""
+    """Drop line breaks from ids and contents, and blanks from ids. Columns besides those of a record come first."""
+    others = [name for name in records.columns if name not in ("DocId", "Content", "JSON")]
     doc_id, content = clean_id(F.col("DocId")), without_line_breaks(F.col("Content"))
     if strip_ends:
         doc_id, content = strip(doc_id), strip(content)
-    return records.select(doc_id.alias("doc_id"), content.alias("content"), "JSON")
+    return records.select(*others, doc_id.alias("doc_id"), content.alias("content"), "JSON")
 
 
 def record_quality(records: DataFrame, body_col: str = "JSON") -> DataFrame:

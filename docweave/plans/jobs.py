@@ -30,45 +30,48 @@ def tagged_sentences(
     return tag_sentences(sentences, lexicon, [*keys, "sentence_idx"], letters=letters)
 
 
-def attribute_rows(tagged: DataFrame, verb_dict: DataFrame, category: DataFrame, **options) -> DataFrame:
-    """Seven output columns after the ordinals: a sentence's clause, subject, verb, sentiment and category."""
+def attribute_rows(tagged: DataFrame, verb_dict: DataFrame, category: DataFrame, carried: Sequence[str] = (), **options) -> DataFrame:
+    """Seven output columns after the ordinals: a sentence's clause, subject, verb, sentiment and category.
+
+    Here and below, `carried` names columns of the input that come first, such as the file a row was read from.
+    """
     rows = clauses.extract_attributes(tagged, verb_dict, category, **options)
     return rows.select(
-        "doc_id", "sentence_idx", "clause_idx", "attr_idx", "sentence", F.col("clause_kma").alias("sentence_kma"),
+        *carried, "doc_id", "sentence_idx", "clause_idx", "attr_idx", "sentence", F.col("clause_kma").alias("sentence_kma"),
         "subject", "verb", "sentiment", "category",
     )
 
 
-def clause_documents(tagged: DataFrame, verb_dict: DataFrame) -> DataFrame:
+def clause_documents(tagged: DataFrame, verb_dict: DataFrame, carried: Sequence[str] = ()) -> DataFrame:
     """One JSON document per clause, with an id that is unique within the document."""
     rows = clauses.clause_sentiments(tagged, verb_dict).where(F.col("clause_idx").isNotNull())
     source = {
         "sentence": F.col("sentence"), "sentence_kma": F.col("clause_kma"), "sentiment": F.col("clause_sentiment"),
     }
     doc_id = joined_id("doc_id", "sentence_idx", "clause_idx")
-    return rows.select(doc_id.alias("id"), index_document(doc_id, source).alias("document"))
+    return rows.select(*carried, doc_id.alias("id"), index_document(doc_id, source).alias("document"))
 
 
-def survey_sentences(survey: DataFrame, lexicon: DataFrame, letters: Letters = KOREAN) -> DataFrame:
+def survey_sentences(survey: DataFrame, lexicon: DataFrame, letters: Letters = KOREAN, carried: Sequence[str] = ()) -> DataFrame:
     """Tagged sentences of the comments. The comment travels with its sentences instead of being joined back."""
     keyed = survey.withColumn("content", F.col("comment"))
     return tagged_sentences(
-        keyed, lexicon, [*SURVEY_KEYS, "content"], "comment", tags.SENTENCE_END_MULTI, letters
+        keyed, lexicon, [*carried, *SURVEY_KEYS, "content"], "comment", tags.SENTENCE_END_MULTI, letters
     )
 
 
 def survey_attributes(
-    tagged: DataFrame, verb_dict: DataFrame, category: DataFrame, **options
+    tagged: DataFrame, verb_dict: DataFrame, category: DataFrame, carried: Sequence[str] = (), **options
 ) -> DataFrame:
     """Eleven columns per attribute of a comment, and the ordinals that order them."""
     rows = clauses.extract_attributes(tagged, verb_dict, category, **options)
     return rows.select(
-        *SURVEY_KEYS, T.strip(F.col("content")).alias("content"), "sentence_idx", "clause_idx", "clause",
+        *carried, *SURVEY_KEYS, T.strip(F.col("content")).alias("content"), "sentence_idx", "clause_idx", "clause",
         "attr_idx", "subject", "verb", "sentiment", "category",
     )
 
 
-def survey_documents(tagged: DataFrame, verb_dict: DataFrame) -> DataFrame:
+def survey_documents(tagged: DataFrame, verb_dict: DataFrame, carried: Sequence[str] = ()) -> DataFrame:
     """One JSON document per clause of a comment; a sentence without clauses gives one with empty values."""
     rows = clauses.clause_sentiments(tagged, verb_dict)
     source = {
@@ -77,17 +80,17 @@ def survey_documents(tagged: DataFrame, verb_dict: DataFrame) -> DataFrame:
         "sentiment": F.coalesce("clause_sentiment", F.lit("")),
     }
     doc_id = joined_id(*SURVEY_KEYS, "sentence_idx", "clause_idx")
-    return rows.select(doc_id.alias("id"), index_document(doc_id, source).alias("document"))
+    return rows.select(*carried, doc_id.alias("id"), index_document(doc_id, source).alias("document"))
 
 
 def tagged_records(
-    tagged: DataFrame, verb_dict: DataFrame, category: DataFrame, date: str, content_col: str = "content"
+    tagged: DataFrame, verb_dict: DataFrame, category: DataFrame, date: str, content_col: str = "content", carried: Sequence[str] = ()
 ) -> DataFrame:
     """One record of the tagged format per attribute. `tagged` carries the document's content; `date` is yyyyMMdd."""
     rows = clauses.extract_attributes(tagged, verb_dict, category).where(F.col("attr_idx").isNotNull())
     record_id = joined_id("doc_id", "sentence_idx", "clause_idx", "attr_idx")
     attributes = [F.col(name) for name in ("subject", "verb", "sentiment", "category")]
-    return rows.select(record_id.alias("id"), tagged_record(record_id, date, F.col(content_col), attributes).alias("record"))
+    return rows.select(*carried, record_id.alias("id"), tagged_record(record_id, date, F.col(content_col), attributes).alias("record"))
 
 
 def corpus(records: DataFrame) -> DataFrame:

@@ -39,9 +39,13 @@ def quarantined_xml(spark: SparkSession, path: str, tag: str = "Doc", schema: st
     return records.select(F.col("value").alias("broken"))
 
 
-def read_xml(spark: SparkSession, path: str, row_tag: str = "Doc", schema: str = RECORD) -> DataFrame:
-    """Records of well-formed XML files, whatever their root is called."""
-    return spark.read.schema(schema).option("rowTag", row_tag).xml(path)
+def read_xml(spark: SparkSession, path: str, row_tag: str = "Doc", schema: str = RECORD, with_path: bool = False) -> DataFrame:
+    """Records of well-formed XML files, whatever their root is called.
+
+    A folder is read with all below it; `with_path` adds the `file_path` that a record came from.
+    """
+    records = spark.read.schema(schema).options(rowTag=row_tag, recursiveFileLookup=True).xml(path)
+    return records.select(F.col("_metadata.file_path").alias("file_path"), "*") if with_path else records
 
 
 def read_legacy_lines(spark: SparkSession, path: str, charset: str = "MS949") -> DataFrame:
@@ -64,13 +68,16 @@ def add_xml_root(files: DataFrame, charset: str = "MS949") -> DataFrame:
     return files.select("path", F.concat(F.lit(head), F.decode("content", charset), F.lit("</Result>")).alias("value"))
 
 
-def read_survey_sheets(spark: SparkSession, paths: Sequence[str], columns: Sequence[str] = SURVEY_COLUMNS) -> DataFrame:
+def read_survey_sheets(
+    spark: SparkSession, paths: Sequence[str], columns: Sequence[str] = SURVEY_COLUMNS, with_path: bool = False
+) -> DataFrame:
     """Rows of all sheets. Columns are found by the header of each sheet, so sheets may order them differently.
 
     A path may be a file or a folder of files with a header each. One large sheet is read by many tasks, also where its
-    cells hold line breaks. A column that a sheet does not have is null.
+    cells hold line breaks. A column that a sheet does not have is null. `with_path` adds the `file_path` of a row.
     """
-    return read_sheets(spark, paths).select(*[column_of(c).alias(c) for c in columns])
+    path = [F.col("path").alias("file_path")] if with_path else []
+    return read_sheets(spark, paths).select(*path, *[column_of(c).alias(c) for c in columns])
 
 
 def read_positional_sheet(spark: SparkSession, path: str, n_columns: int) -> DataFrame:

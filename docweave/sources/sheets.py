@@ -21,7 +21,7 @@ _BOM = "﻿"
 def _lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """`path`, `block` (where its split begins), `line_no` (rising within a split), `value`, `odd` (1 for an odd number of quotes)."""
     quotes = F.char_length("value") - F.char_length(F.replace("value", F.lit('"'), F.lit("")))
-    return spark.read.option("lineSep", "\n").text(list(paths)).select(
+    return spark.read.options(lineSep="\n", recursiveFileLookup=True).text(list(paths)).select(
         F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("line_no"), "value", (quotes % 2).alias("odd"),
     )

@@ -524,11 +524,11 @@ ORACLE["tag_tokens_large"] = f"""WITH {SURVEY}, {
 ORACLE["content_words_large"] = f"""WITH {SURVEY}, {
     tag_cte('survey', SURVEY_ROW, 'comment', 's.case_id, s.response_id, s.answer_id').replace(W.LEXICON, LARGE_LEXICON)
 },
-typed AS (SELECT {SURVEY_ROW}, word_idx, w.piece AS word, CASE WHEN l.word IS NULL THEN 1 ELSE length(w.piece) % 3 END AS kind
+typed AS (SELECT {SURVEY_ROW}, word_idx, w.piece AS word, CASE WHEN l.word IS NULL THEN 1 ELSE length(w.piece) % 3 END AS kind, l.word IS NOT NULL AS listed
  FROM flat_words w LEFT JOIN lexicon l ON l.word = w.piece),
 content AS (
  SELECT {SURVEY_ROW}, string_agg(word, '' ORDER BY word_idx) FILTER (WHERE kind <> 0) AS glued,
-  sum(length(word) + 1) - 1 AS n_chars, count(*) FILTER (WHERE kind = 1) AS n_opening
+  sum(length(word) + 1) - 1 AS n_chars, count(*) FILTER (WHERE kind = 1 AND listed) AS n_opening
  FROM typed GROUP BY {SURVEY_ROW})
 SELECT {SURVEY_ROW}, coalesce(glued, '') AS content_word, CAST(coalesce(n_chars, 0) AS BIGINT) AS n_chars, coalesce(n_opening, 0) AS n_opening
 FROM survey LEFT JOIN content USING ({SURVEY_ROW})"""
