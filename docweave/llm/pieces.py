@@ -9,15 +9,13 @@ its words: words are searched once, and the best paths of the text differ from t
 from __future__ import annotations
 
 import heapq
+import re
 import zlib
-from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 
 from docweave.llm import common
@@ -25,10 +23,11 @@ from docweave.llm import common
 MARK = "▁"
 #: What a byte of a character without a piece is worth below the least score.
 BYTE_PENALTY = 10.0
-#: Words kept by one Python worker; words up to SHORT characters are searched BLOCK at a time.
+#: Words kept by one Python worker; words up to SHORT characters are searched BLOCK at a time. Both ways of searching
+#: take the longer last piece where scores are equal.
 MEMO_WORDS, SHORT, BLOCK = 400_000, 40, 4_096
 
-_WORDS = regex.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
+_WORDS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 Path = tuple[float, tuple[int, ...]]
 
 
@@ -117,9 +116,16 @@ class PieceModel:
         return left[size], ids, left[size] - max(others, default=worst)
 
     def best_of(self, words: list[str]) -> list[tuple[float, tuple[int, ...], float]]:
-        """`best` of many words of at most SHORT characters at once: arrays of (word, end, length of the last piece)."""
-        if not words:
-            return []
+        """`best` of many words."""
+        total, ids, counts, loss = self.best_arrays(words)
+        ends = np.cumsum(counts)
+        return [(t, tuple(ids[end - n : end].tolist()), lost) for t, n, end, lost in zip(total.tolist(), counts.tolist(), ends.tolist(), loss.tolist())]
+
+    def best_arrays(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """`best` of many words at once: scores, the ids of all words, how many each has, and losses.
+
+        Works on arrays of (word, end, length of the last piece), so words should be of similar length.
+        """
         sizes = np.array([len(word) for word in words])
         n, width, longest = len(words), int(sizes.max()), min(self.longest, int(sizes.max()))
         characters = np.zeros((n, width), np.uint64)
@@ -148,7 +154,7 @@ class PieceModel:
         for end in range(1, width + 1):
             own = min(end, longest)
             value = left[:, end - own : end][:, ::-1] + scores[:, end, :own]
-            back[:, end] = value.argmax(axis=1)
+            back[:, end] = own - 1 - value[:, ::-1].argmax(axis=1)  # the longest of equal ones
             left[:, end] = value[every, back[:, end]]
         through = np.full((n, width + 1, longest), worst)
         for end in range(width, 0, -1):
@@ -157,19 +163,30 @@ class PieceModel:
             through[:, end, :own] = value + left[:, end - own : end][:, ::-1]
             part = right[:, end - own : end]
             np.maximum(part, value[:, ::-1], out=part)
-        paths: list[list[int]] = [[] for _ in words]
+        # The pieces of each word from its end on, taken off all words at the same time.
+        rows, owns, ends = [], [], []
         place, live = sizes.copy(), every
         while len(live):
             last = back[live, place[live]]
-            own = ids[live, place[live], last]
+            rows.append(live)
+            owns.append(ids[live, place[live], last])
+            ends.append(place[live])
             through[live, place[live], last] = worst
-            for r, i, end in zip(live.tolist(), own.tolist(), place[live].tolist()):
-                paths[r].extend((i,) if i >= 0 else reversed(self.arc_ids(words[r][end - 1])))
             place[live] -= last + 1
             live = live[place[live] > 0]
         total = left[every, sizes]
         loss = total - through.reshape(n, -1).max(axis=1)
-        return [(score, tuple(reversed(path)), lost) for score, path, lost in zip(total.tolist(), paths, loss.tolist())]
+        row, own, end = (np.concatenate(parts) for parts in (rows, owns, ends))
+        order = np.lexsort((end, row))
+        row, own, end = row[order], own[order], end[order]
+        lacking = np.flatnonzero(own < 0)  # characters without a piece become several bytes
+        spelled = [self.arc_ids(words[row[k]][end[k] - 1]) for k in lacking.tolist()]
+        width_of = np.ones(len(own), np.int64)
+        width_of[lacking] = [len(own_bytes) for own_bytes in spelled]
+        flat, begin = np.repeat(own, width_of), np.cumsum(width_of) - width_of
+        for k, own_bytes in zip(lacking.tolist(), spelled):
+            flat[begin[k] : begin[k] + len(own_bytes)] = own_bytes
+        return total, flat, np.bincount(row, weights=width_of, minlength=n).astype(np.int64), loss
 
     def n_best(self, word: str, n: int) -> list[Path]:
         """The `n` best paths of a word, best first; of equal scores the path with the longer last pieces comes first."""
@@ -209,24 +226,77 @@ def piece_model(path: str) -> PieceModel:
     return PieceModel(path)
 
 
+class _Grown:
+    """An array that grows at its end."""
+
+    def __init__(self, kind: type):
+        self.values, self.size = np.empty(1024, kind), 0
+
+    def add(self, values: np.ndarray) -> None:
+        end = self.size + len(values)
+        if end > len(self.values):
+            grown = np.empty(2 * end, self.values.dtype)
+            grown[: self.size] = self.values[: self.size]
+            self.values = grown
+        self.values[self.size : end] = values
+        self.size = end
+
+
+class _Known:
+    """Best paths of words as arrays: a word is a number in `index`; its ids lie from `starts` on."""
+
+    def __init__(self) -> None:
+        self.index: dict[str, int] = {}
+        self.chars = 0
+        self.scores, self.losses, self.starts, self.counts = _Grown(np.float64), _Grown(np.float64), _Grown(np.int64), _Grown(np.int64)
+        self.ids, self.whole = _Grown(np.uint32), _Grown(np.bool_)
+
+    def add(self, words: list[str], total: np.ndarray, ids: np.ndarray, counts: np.ndarray, loss: np.ndarray, whole: list[bool]) -> None:
+        first = len(self.index)
+        self.index.update(zip(words, range(first, first + len(words))))
+        self.chars += sum(map(len, words))
+        self.starts.add(self.ids.size + np.cumsum(counts) - counts)
+        for own, values in ((self.ids, ids), (self.counts, counts), (self.scores, total), (self.losses, loss), (self.whole, whole)):
+            own.add(values)
+
+    def ids_of(self, numbers: np.ndarray) -> np.ndarray:
+        """The ids of words one after the other."""
+        counts = self.counts.values[numbers]
+        ends = np.cumsum(counts)
+        shift = self.starts.values[numbers] - (ends - counts)
+        return self.ids.values[np.arange(ends[-1] if len(ends) else 0) + np.repeat(shift, counts)]
+
+
+#: The words of a text, and their numbers.
+Prepared = tuple[list[str], np.ndarray]
+
+
 class Segmenter:
     """N-best segmentations of whole texts; best paths of words are kept in a bounded table."""
 
     def __init__(self, path: str, n: int):
-        self.model, self.n, self.known, self.searched = piece_model(path), n, {}, {}
-
-    def prepare(self, texts: list[str]) -> list[list[str]]:
-        """The words of texts; best paths of new short words are found together."""
-        known = self.known
-        if len(known) > MEMO_WORDS:
-            known.clear()
-            self.searched.clear()
-        words = [_WORDS.findall(self.model.normalized(text)) for text in texts]
-        new = sorted({word for own in words for word in own if word not in known and len(word) <= SHORT}, key=len)
-        for start in range(0, len(new), BLOCK):
-            block = new[start : start + BLOCK]
-            known.update(zip(block, self.model.best_of(block)))
-        return words
+        self.model, self.n, self.known, self.searched = piece_model(path), n, _Known(), {}
+
+    def prepare(self, texts: list[str]) -> list[Prepared]:
+        """The words of texts. Best paths of new words are found together, those of long words one by one."""
+        if len(self.known.index) > MEMO_WORDS or self.known.chars > MEMO_WORDS * SHORT:
+            self.known, self.searched = _Known(), {}
+        known, model = self.known, self.model
+        words = [_WORDS.findall(model.normalized(text)) for text in texts]
+        new = sorted({word for own in words for word in own if word not in known.index}, key=len)
+        n_short = next((i for i, word in enumerate(new) if len(word) > SHORT), len(new))
+        for start in range(0, n_short, BLOCK):
+            self._add(new[start : min(start + BLOCK, n_short)], model.best_arrays(new[start : min(start + BLOCK, n_short)]))
+        for word in new[n_short:]:
+            total, ids, loss = model.best(word)
+            self._add([word], (np.array([total]), np.array(ids), np.array([len(ids)]), np.array([loss])))
+        index = known.index
+        return [(own, np.fromiter(map(index.__getitem__, own), np.int64, len(own))) for own in words]
+
+    def _add(self, words: list[str], found: tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]) -> None:
+        ids, ends = found[1].tolist(), np.cumsum(found[2]).tolist()
+        decoded = [self.model.decode_word(ids[start:end]) for start, end in zip([0, *ends], ends)]
+        self.known.add(words, *found, [word == text for word, text in zip(words, decoded)])
 
     def _paths(self, word: str) -> list[Path]:
         paths = self.searched.get(word)
@@ -236,29 +306,34 @@ class Segmenter:
                 self.searched[word] = paths
         return paths
 
-    def ranked(self, words: list[str]) -> tuple[list[tuple[float, tuple[int, ...], float]], list[tuple[float, dict[int, tuple[int, ...]]]]]:
-        """Best paths of the words, and the best `n` paths of the text: what each loses, and the words where it differs.
+    def ranked(self, prepared: Prepared) -> list[tuple[float, dict[int, tuple[int, ...]]]]:
+        """The best `n` paths of the text: what each loses against the best one, and the words where it differs.
 
         They leave the best path only in the n - 1 words whose second path loses least; only these are searched further.
         """
+        words, numbers = prepared
         known = self.known
-        best = [known[word] if word in known else self.model.best(word) for word in words]
         mixes: list[tuple[float, dict[int, tuple[int, ...]]]] = [(0.0, {})]
-        losses = [found[2] for found in best]
-        for i in heapq.nsmallest(self.n - 1, range(len(losses)), key=losses.__getitem__):
+        losses = known.losses.values[numbers]
+        for i in np.argsort(losses, kind="stable")[: self.n - 1].tolist():
             if losses[i] == float("inf"):
                 break
-            paths = self._paths(words[i])
-            choices = [(0.0, best[i][1]), *((best[i][0] - score, ids) for score, ids in paths if ids != best[i][1])]
-            longer = [(cost + more, {**mix, i: ids} if more or ids != best[i][1] else mix) for cost, mix in mixes for more, ids in choices]
+            number = int(numbers[i])
+            score, own = float(known.scores.values[number]), tuple(known.ids_of(numbers[i : i + 1]).tolist())
+            choices = [(0.0, own), *((max(0.0, score - other), ids) for other, ids in self._paths(words[i]) if ids != own)]
+            longer = [(cost + more, {**mix, i: ids} if ids != own else mix) for cost, mix in mixes for more, ids in choices]
             mixes = sorted(longer, key=lambda mix: mix[0])[: self.n]
-        return best, mixes
+        return mixes
+
+    def score(self, prepared: Prepared) -> float:
+        """The score of the best path of a text."""
+        return float(self.known.scores.values[prepared[1]].sum())
 
-    def segmentations(self, words: list[str]) -> list[Path]:
+    def segmentations(self, prepared: Prepared) -> list[Path]:
         """The best `n` paths of a prepared text (fewer if there are no more), best first. No words have one empty path."""
-        best, mixes = self.ranked(words)
-        total, ids = sum(found[0] for found in best), [found[1] for found in best]
-        return [(total - cost, tuple(k for i, own in enumerate(ids) for k in mix.get(i, own))) for cost, mix in mixes]
+        total = self.score(prepared)
+        ids = [self.known.ids_of(prepared[1][i : i + 1]).tolist() for i in range(len(prepared[0]))]
+        return [(total - cost, tuple(k for i, own in enumerate(ids) for k in mix.get(i, own))) for cost, mix in self.ranked(prepared)]
 
 
 @lru_cache(maxsize=4)
@@ -317,15 +392,14 @@ def encoding_report(docs: DataFrame, model: str, n: int = 3, id_col: str = "doc_
         for batch in common.blocks(batches, 64):
             rows = []
             texts = batch.column("text").to_pylist()
-            for text, words in zip(texts, segmenter.prepare(texts)):
-                best, mixes = segmenter.ranked(words)
-                ids = array("I", chain.from_iterable(found[1] for found in best))
-                score = sum(found[0] for found in best)
-                # Only the words in which a path differs from the best one need decoding again.
-                same = segmenter.model.decode(ids) == text and all(
+            for text, prepared in zip(texts, segmenter.prepare(texts)):
+                words, numbers = prepared
+                mixes, score, ids = segmenter.ranked(prepared), segmenter.score(prepared), segmenter.known.ids_of(numbers)
+                # Best paths of words are decoded once; a mark in the text itself comes back as a space.
+                same = MARK not in text and bool(segmenter.known.whole.values[numbers].all()) and all(
                     segmenter.model.decode_word(own) == words[i] for _, mix in mixes for i, own in mix.items()
                 )
-                rows.append((len(ids), score, zlib.crc32(np.array(ids, "<u4").tobytes()), len(mixes), score - mixes[-1][0], same))
+                rows.append((len(ids), score, zlib.crc32(ids.astype("<u4").tobytes()), len(mixes), score - mixes[-1][0], same))
             columns = [pa.array(column, kind) for column, kind in zip(zip(*rows), types)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], ["doc_id", *names])
 

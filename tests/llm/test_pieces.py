@@ -1,9 +1,12 @@
 import random
+import struct
+import zlib
 from functools import lru_cache
 
 import public_tokenizers
 import sentencepiece
 
+from docweave.llm import pieces
 from docweave.llm.pieces import Segmenter, decode, encode, encoding_report, piece_model
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -40,8 +43,44 @@ def test_many_words_at_once_are_as_one_by_one():
     model, r = piece_model(MODEL), random.Random(3)
     words = ["▁" * r.randint(0, 2) + "".join(r.choice("abcdetinrs①é") for _ in range(r.randint(1, 30))) for _ in range(300)]
     for word, found in zip(words, model.best_of(words)):
-        want = model.best(word)
-        assert found[0] == want[0] and found[2] == want[2] and model.decode(list(found[1])) == model.decode(list(want[1]))
+        assert found == model.best(word)
+
+
+def test_ids_do_not_depend_on_how_words_are_searched(spark, monkeypatch):
+    """All words of a table, ties among them: the search of many words, of one word, and of n paths agree on the best ids."""
+    model = piece_model(MODEL)
+    texts = [r.text or "" for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()]
+    words = sorted({word for text in texts for word in pieces._WORDS.findall(model.normalized(text)) if len(word) <= pieces.SHORT}, key=len)
+    ties = 0
+    for start in range(0, len(words), 4_096):
+        block = words[start : start + 4_096]
+        for word, found in zip(block, model.best_of(block)):
+            assert found == model.best(word)
+            if found[2] == 0:
+                ties += 1
+                assert model.n_best(word, 1)[0] == found[:2]
+    assert ties > 100 and len(words) > 20_000
+    docs = spark.createDataFrame([(i, text) for i, text in enumerate(texts[:60])], "doc_id long, text string")
+    reports = []
+    for short in (0, 40, 10_000):
+        segmenter = Segmenter(MODEL, 3)
+        monkeypatch.setattr(pieces, "SHORT", short)
+        reports.append([segmenter.segmentations(p) for p in segmenter.prepare([r.text for r in docs.collect()])])
+    assert reports[0] == reports[1] == reports[2]
+
+
+def test_the_report_is_that_of_the_paths(spark, make_docs):
+    texts = ["one two  three", "", "$$|$ é①x", "a ▁ b", "word " * 300]
+    model = piece_model(MODEL)
+    encoded = {r.doc_id: r.paths for r in encode(make_docs(texts), MODEL, 3).collect()}
+    for row in encoding_report(make_docs(texts), MODEL, 3).collect():
+        text, paths = texts[row.doc_id], encoded[row.doc_id]
+        ids = list(paths[0].ids)
+        assert row.ids_crc32 == zlib.crc32(struct.pack(f"<{len(ids)}I", *ids)) and row.n_pieces == len(ids)
+        assert (row.score, row.last_score, row.n_found) == (paths[0].score, paths[-1].score, len(paths))
+        assert row.round_trip == all(model.decode(list(path.ids)) == text for path in paths) and row.round_trip == ("▁" not in text)
+        if len(text) < 20:
+            assert [p.score for p in paths] == [p[0] for p in all_paths(model, text)[: len(paths)]]
 
 
 def test_round_trip_of_odd_rows(odd, odd_rows, empty):
