@@ -11,6 +11,7 @@ from __future__ import annotations
 import heapq
 import re
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -285,8 +286,12 @@ class Segmenter:
         words = [_WORDS.findall(model.normalized(text)) for text in texts]
         new = sorted({word for own in words for word in own if word not in known.index}, key=len)
         n_short = next((i for i, word in enumerate(new) if len(word) > SHORT), len(new))
-        for start in range(0, n_short, BLOCK):
-            self._add(new[start : min(start + BLOCK, n_short)], model.best_arrays(new[start : min(start + BLOCK, n_short)]))
+        start = 0
+        while start < n_short:  # words that are searched together are of similar length
+            most = max(6, len(new[start]) * 4 // 3)
+            end = bisect_right(new, most, start, min(start + BLOCK, n_short), key=len)
+            self._add(new[start:end], model.best_arrays(new[start:end]))
+            start = end
         for word in new[n_short:]:
             total, ids, loss = model.best(word)
             self._add([word], (np.array([total]), np.array(ids), np.array([len(ids)]), np.array([loss])))
@@ -353,7 +358,7 @@ def encode(docs: DataFrame, model: str, n: int = 3, id_col: str = "doc_id", text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         segmenter = segmenter_of(model, n)
-        for batch in common.blocks(batches, 64):
+        for batch in common.blocks(batches):
             prepared = segmenter.prepare(batch.column("text").to_pylist())
             paths = [[{"score": score, "ids": ids} for score, ids in segmenter.segmentations(words)] for words in prepared]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(paths, kind)], ["doc_id", "paths"])
@@ -389,7 +394,7 @@ def encoding_report(docs: DataFrame, model: str, n: int = 3, id_col: str = "doc_
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         segmenter = segmenter_of(model, n)
-        for batch in common.blocks(batches, 64):
+        for batch in common.blocks(batches):
             rows = []
             texts = batch.column("text").to_pylist()
             for text, prepared in zip(texts, segmenter.prepare(texts)):
