@@ -19,6 +19,7 @@ from docweave.bounds import PLAN_ROWS, broadcast_if_small, rows_if_small
 from docweave.functions import text as T
 from docweave.functions.dictionary import let
 from docweave.scratch import written_table
+from docweave.sources.tables import STORED_COLUMNS
 
 # Bounds that stand for a missing date.
 FIRST_MOMENT, LAST_MOMENT = "1900-01-01 00:00:00", "2100-12-31 23:59:59"
@@ -325,18 +326,26 @@ def filter_documents(
 def _pruned(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """Documents in the period of all targets together, and in their channels if none asks for every channel.
 
-    The bounds are a few values, so they are plain conditions that reach the scan of stored documents.
+    The bounds are a few values, so they are plain conditions that reach the scan of stored documents, and choose the
+    folders of those that are stored by month and channel.
     """
     span = wanted.agg(F.min("start").alias("start"), F.max("end").alias("end"), F.count_if(F.col("channels").isNull()).alias("n_every")).first()
     if span.start is None:
         return docs.where(F.lit(False))
     docs = docs.where(F.col("doc_datetime").between(F.lit(span.start), F.lit(span.end)))
+    stored = set(STORED_COLUMNS) <= set(docs.columns)
+    if stored:
+        # Only folders of months that some target covers are listed and read.
+        months = rows_if_small(wanted.select(F.explode(F.sequence(_month("start"), _month("end"))).alias("month")).distinct(), PLAN_ROWS)
+        docs = docs if months is None else docs.where(F.col("stored_month").isin([row.month for row in months]))
     if span.n_every:
         return docs
     firsts = rows_if_small(wanted.select(F.explode("channels.depth1_seq").alias("depth1_seq")).distinct(), CHANNELS_IN_PLAN)
-    if firsts is None:
+    if firsts is None or any(row.depth1_seq is None for row in firsts):
         return docs
-    return docs.where(F.col("depth1_seq").isin([row.depth1_seq for row in firsts if row.depth1_seq is not None]))
+    listed = [row.depth1_seq for row in firsts]
+    docs = docs.where(F.col("depth1_seq").isin(listed))
+    return docs.where(F.col("stored_channel").isin(listed)) if stored else docs
 
 
 def _filter_by_number(docs: DataFrame, targets_by: Callable[[DataFrame], DataFrame], columns: list[str]) -> DataFrame:

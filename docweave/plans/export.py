@@ -13,7 +13,7 @@ from docweave.operators import matching, paging, requests
 from docweave.scratch import remove_tables, written_table
 from docweave.sinks.commits import StatusLog
 from docweave.sinks.files import read_pages, write_pages
-from docweave.sources.tables import DOCUMENT_COLUMNS
+from docweave.sources.tables import DOCUMENT_COLUMNS, STORED_COLUMNS
 
 #: How long a run holds the requests that it has taken up.
 LEASE = timedelta(hours=6)
@@ -79,9 +79,8 @@ def run_export(
     spark, paths = docs.sparkSession, []
     log, run_id = StatusLog(spark, status_table), run_id or uuid.uuid4().hex
     named = take_up(control, log, run_id, lease, now, paths)
-    matched = written_table(
-        matching.filter_documents(docs.select(*DOCUMENT_COLUMNS), named, control.rules), "matched", paths
-    )
+    kept = docs.select(*DOCUMENT_COLUMNS, *[name for name in STORED_COLUMNS if name in docs.columns])
+    matched = written_table(matching.filter_documents(kept, named, control.rules).drop(*STORED_COLUMNS), "matched", paths)
     paged = paging.add_pages(matched, size)
     names = named.select(
         F.col("seq").alias("_seq"), F.col("dataset_seq").alias("_dataset"), "directory", F.col("file_name").alias("_name")

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from docweave.functions.text import is_blank
 from docweave.session import allow_legacy_charsets
@@ -11,10 +11,13 @@ from docweave.sources.sheets import column_of, read_sheets
 
 # Fields of an XML record and columns of a survey sheet.
 RECORD = "DocId string, Content string, JSON string"
+# The class of characters that cp949 is taken to hold: ASCII without the backslash, and Hangul syllables.
+LEGACY_KEPT = r" -\[\]-~가-힣"
 SURVEY_COLUMNS = ["case_id", "response_id", "answer_id", "language_id", "comment"]
 
 
-def _rootless_records(spark: SparkSession, path: str, tag: str, schema: str) -> DataFrame:
+def rootless_records(spark: SparkSession, path: str, tag: str, schema: str) -> DataFrame:
+    """(value, record) of files of XML records without a root; `record._broken` is set where one cannot be parsed."""
     close = f"</{tag}>"
     records = spark.read.option("lineSep", close).text(path).where(~is_blank(F.col("value")))
     parsed = F.from_xml(
@@ -29,13 +32,13 @@ def read_rootless_xml(spark: SparkSession, path: str, tag: str = "Doc", schema:
     The file is cut at the closing tag, so that large files stay splittable. Broken records are left to
     `quarantined_xml`.
     """
-    records = _rootless_records(spark, path, tag, schema).where(F.col("record._broken").isNull())
+    records = rootless_records(spark, path, tag, schema).where(F.col("record._broken").isNull())
     return records.select("record.*").drop("_broken")
 
 
 def quarantined_xml(spark: SparkSession, path: str, tag: str = "Doc", schema: str = RECORD) -> DataFrame:
     """The text of the records that `read_rootless_xml` cannot parse."""
-    records = _rootless_records(spark, path, tag, schema).where(F.col("record._broken").isNotNull())
+    records = rootless_records(spark, path, tag, schema).where(F.col("record._broken").isNotNull())
     return records.select(F.col("value").alias("broken"))
 
 
@@ -56,6 +59,30 @@ def read_legacy_lines(spark: SparkSession, path: str, charset: str = "MS949") ->
     return lines.select(F.regexp_replace(F.decode(F.col("value").cast("binary"), charset), "\r$", "").alias("value"))
 
 
+def legacy_text(text: Column, kept: str = LEGACY_KEPT) -> Column:
+    """Text that a legacy charset can hold on one line: every character outside the class `kept` becomes an escape.
+
+    An escape is a backslash and eight hexadecimal digits of the code point; backslashes are escaped too.
+    """
+    runs = F.regexp_extract_all(text, F.lit(f"(?s)[{kept}]+|."), F.lit(0))
+    escaped = lambda run: F.concat(F.lit("\\"), F.hex(F.encode(run, "UTF-32")))
+    return F.array_join(F.transform(runs, lambda run: F.when(F.rlike(run, F.lit(f"^[{kept}]")), run).otherwise(escaped(run))), "")
+
+
+def restored_text(text: Column) -> Column:
+    """The text that `legacy_text` was made from."""
+    runs = F.regexp_extract_all(text, F.lit(r"\\[0-9A-F]{8}|[^\\]+"), F.lit(0))
+    character = lambda run: F.decode(F.unhex(F.substr(run, F.lit(2))), "UTF-32")
+    return F.array_join(F.transform(runs, lambda run: F.when(F.startswith(run, F.lit("\\")), character(run)).otherwise(run)), "")
+
+
+def write_legacy_lines(lines: DataFrame, path: str, charset: str = "MS949") -> None:
+    """The single text column of `lines` in a legacy charset, one line per row; see `legacy_text` for what that can hold."""
+    allow_legacy_charsets(lines.sparkSession)
+    blanks = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    lines.write.options(encoding=charset, sep="\u0001", quote="", escape="", **blanks).csv(path)
+
+
 def convert_to_utf8(spark: SparkSession, path: str, out_path: str, charset: str = "MS949") -> None:
     """Rewrite legacy text as UTF-8 lines."""
     read_legacy_lines(spark, path, charset).write.text(out_path)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # The columns of a crawled document, in export order.
 DOCUMENT_COLUMNS = [
@@ -29,6 +29,26 @@ def read_table(spark: SparkSession, name_or_path: str, file_format: str = "parqu
     return spark.table(name_or_path)
 
 
+# Folders of stored documents: the number of a month (12 * year + month) and the first channel number.
+STORED_COLUMNS = ["stored_month", "stored_channel"]
+
+
+def write_documents(docs: DataFrame, path: str) -> None:
+    """Store documents by month and first channel, so that a request reads only the folders it can match.
+
+    A month of a channel that holds much is written by several tasks.
+    """
+    month = 12 * F.year("doc_datetime") + F.month("doc_datetime")
+    placed = docs.withColumns(dict(zip(STORED_COLUMNS, (month, F.col("depth1_seq").cast("int")))))
+    placed.hint("rebalance", *STORED_COLUMNS).write.partitionBy(*STORED_COLUMNS).parquet(path)
+
+
+def read_documents(spark: SparkSession, name_or_path: str) -> DataFrame:
+    """Documents with the columns of an export, and those of the folders they are stored in, if they are."""
+    docs = read_table(spark, name_or_path)
+    return docs.select(*DOCUMENT_COLUMNS, *[name for name in STORED_COLUMNS if name in docs.columns])
+
+
 def read_jdbc(spark: SparkSession, url: str, table: str, **options: str) -> DataFrame:
     """A control table from a relational database; filters and columns are pushed down to it."""
     return spark.read.format("jdbc").options(url=url, dbtable=table, **options).load()

@@ -11,7 +11,7 @@ from docweave.plans import export
 from docweave.scratch import fresh_path
 from docweave.sinks import files as sinks
 from docweave.sinks.commits import StatusLog, publish_once
-from docweave.sources.tables import DOCUMENT_COLUMNS, QUEUE_SCHEMA, RULE_SCHEMA
+from docweave.sources.tables import DOCUMENT_COLUMNS, QUEUE_SCHEMA, RULE_SCHEMA, read_documents, write_documents
 
 DOC_SCHEMA = "doc_id string, doc_datetime timestamp_ntz, doc_url string, doc_title string, doc_content string, depth1_seq int, depth2_seq int"
 DOCS = [
@@ -378,3 +378,18 @@ def test_filters_reach_the_scan(spark, docs):
     pushed = text[text.index("PushedFilters") :]
     assert "GreaterThanOrEqual(doc_datetime" in pushed
     assert "doc_content" not in text[text.index("ReadSchema") :]
+
+
+def test_stored_documents_are_read_by_month_and_channel(spark, docs, control, shared):
+    path = fresh_path(spark, "stored")
+    write_documents(with_all_columns(docs), path)
+    stored = read_documents(spark, path)
+    wanted = spark.createDataFrame([(1, None, "2^11", "2024-01-02 00:00:00", "2024-01-31 00:00:00"), (2, None, "9^11", "2024-03-01 00:00:00", "2024-03-31 00:00:00")], REQUEST)
+    found = matching.filter_documents(stored, wanted)
+    plan = found._jdf.queryExecution().optimizedPlan().toString() + found._jdf.queryExecution().executedPlan().toString()
+    filters = plan[plan.index("PartitionFilters") :].split("PushedFilters")[0]
+    assert "stored_month" in filters and "stored_channel" in filters
+    assert sorted((r.seq, r.doc_id) for r in found.collect()) == [(2, "5")]
+    base, log = shared
+    listed = export.run_export(stored, control, base, log, size=2)
+    assert listed.count() == 5 and set(export.live_pages(spark, base, log).columns) >= set(DOCUMENT_COLUMNS)

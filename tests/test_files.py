@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from docweave.operators import payload
-from docweave.plans import jobs
+from docweave.plans import ingest, jobs
 from docweave.sinks import files as sinks
 from docweave.sinks.rows import tagged_record, wide_topics
 from docweave.sources import files as sources, sheets
@@ -154,3 +154,29 @@ def test_broken_xml_records_are_kept_apart(spark, tmp_path):
     path = str(tmp_path / "in.xml")
     assert [r.DocId for r in sources.read_rootless_xml(spark, path).collect()] == ["2"]
     assert [r.broken for r in sources.quarantined_xml(spark, path).collect()] == ["<Doc><DocId>1</DocId><Content>a & b</Content>"]
+
+
+def test_whole_texts_survive_a_legacy_charset(spark, tmp_path):
+    texts = ["가나 abc", "é\\x\n\r\t|", "日本😀", "", "\\0001F600", "뷁똠 ~!\x00"]
+    path = str(tmp_path / "out")
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    sources.write_legacy_lines(rows.select(sources.legacy_text(F.col("t")).alias("value")).where("value <> ''"), path)
+    got = [r[0] for r in sources.read_legacy_lines(spark, path).select(sources.restored_text(F.col("value"))).collect()]
+    assert sorted(got) == sorted(t for t in texts if t)
+    both = rows.select("t", sources.restored_text(sources.legacy_text(F.col("t"))).alias("u")).collect()
+    assert all(r.t == r.u for r in both)
+
+
+def test_records_are_taken_in_with_counts_and_quarantine(spark, tmp_path):
+    body = lambda result: f'"result":{result}'
+    good = [f"<Doc><DocId>{i}</DocId><Content>c{i}</Content><JSON>{j}</JSON></Doc>" for i, j in enumerate([body('[{"kma":"a"}]'), body("[]"), body('[{"kma":'), body('[{"kma":"b"}]')])]
+    (tmp_path / "in.xml").write_text("\n".join([*good, "<Doc><DocId>9</Content></Doc>"]), encoding="utf-8")
+    taken = ingest.ingest_records(spark, str(tmp_path / "in.xml"), str(tmp_path / "out"))
+    assert taken.counts == {"ok": 2, "no_result": 1, "undecodable": 1, "broken": 1}
+    assert sorted((r.doc_id, r.content, r.state) for r in taken.records.collect()) == [
+        ("0", "c0", "ok"), ("1", "c1", "no_result"), ("2", "c2", "undecodable"), ("3", "c3", "ok"),
+    ]
+    raw = {r.state: r.raw for r in taken.quarantine.collect()}
+    assert raw["undecodable"] == '{"result":[{"kma":}' and "<DocId>9" in raw["broken"] and len(raw) == 2
+    plan = taken.records.where("state = 'ok'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(state" in plan

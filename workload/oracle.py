@@ -305,6 +305,8 @@ ORACLE["filter_documents"] = f"""{MATCHED}
 SELECT seq, dataset_seq, doc_id, strftime(doc_datetime, '%Y-%m-%d %H:%M:%S') AS doc_datetime, doc_title, depth1_seq, depth2_seq
 FROM found"""
 
+ORACLE["filter_documents_stored"] = ORACLE["filter_documents"]
+
 ORACLE["export_pages"] = f"""{MATCHED}
 SELECT * EXCLUDE (p) REPLACE (strftime(doc_datetime, '%Y-%m-%d %H:%M:%S') AS doc_datetime), p // {PAGE_SIZE} AS page, p % {PAGE_SIZE} AS row_no
 FROM (SELECT *, row_number() OVER (PARTITION BY seq, dataset_seq ORDER BY doc_datetime, doc_id) - 1 AS p FROM found)"""
@@ -467,6 +469,7 @@ SELECT id, '<DOCID>' || id || '<DATE>{W.RECORD_DATE}<CONTENT>' || content || sub
 FROM ids JOIN docs USING (doc_id)"""
 
 ORACLE["payload_quality"] = f"WITH {PAYLOAD_CHAIN} SELECT doc_id, quality, content FROM checked"
+ORACLE["ingested_records"] = ORACLE["payload_quality"]
 ORACLE["corpus_lines"] = f"""WITH {PAYLOAD_CHAIN}
 SELECT doc_id, CASE WHEN quality = 'ok' THEN regexp_replace(kma, '[{WS}+]', ' ', 'g') || ' ' ELSE '' END AS line FROM checked WHERE quality <> 'no_result'"""
 
@@ -501,8 +504,7 @@ LEFT JOIN verb_dict d ON d.verb = a.word || CASE a.type WHEN 'XR' THEN '하다'
 
 ORACLE["xml_records"] = """SELECT CAST(doc_id AS VARCHAR) AS doc_id, replace(replace(text, chr(13), ''), chr(10), '') AS content,
  '"result":[]' AS payload FROM documents"""
-ORACLE["charset_ingest"] = """SELECT doc_id || '|' || translate(regexp_replace(translate(text, chr(13) || chr(10) || chr(9), '   '), '[^ -~]', '', 'g'),
- 'aeiou', '가나다라마') AS value FROM documents"""
+ORACLE["charset_ingest"] = "SELECT concat_ws('|', doc_id, translate(text, 'aeiou', '가나다라마')) AS value FROM documents"
 ORACLE["survey_scan"] = f"WITH {SURVEY} SELECT * FROM survey"
 ORACLE["recursive_scan"] = f"""WITH {SURVEY}
 SELECT case_id, response_id, answer_id, replace(replace(comment, chr(13), ' '), chr(10), ' ') AS comment, answer_id AS folder FROM survey"""

@@ -9,11 +9,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from docweave.functions import hangul, tags, text as T, topics
 from docweave.functions.tags import KOREAN_AND_LATIN as LETTERS
 from docweave.operators import clauses, lookup, matching, paging, payload, related, requests, spans, tagging
-from docweave.plans import export, jobs
+from docweave.plans import export, ingest, jobs
 from docweave.scratch import fresh_path, written_table
 from docweave.session import allow_legacy_charsets
 from docweave.sinks import files as sinks
-from docweave.sources import files as sources
+from docweave.sources import files as sources, tables
 from workload import tables as W
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,6 +67,15 @@ def filter_documents(spark, sf):
     return _big(shown, "seq", "dataset_seq", "depth1_seq", "depth2_seq")
 
 
+def filter_documents_stored(spark, sf):
+    """`filter_documents` over documents that are stored by month and channel."""
+    path = fresh_path(spark, "documents")
+    tables.write_documents(W.crawl_doc(spark, sf), path)
+    found = export.matched_documents(tables.read_documents(spark, path), W.control_tables(spark))
+    shown = found.select("seq", "dataset_seq", "doc_id", _stamp("doc_datetime"), "doc_title", "depth1_seq", "depth2_seq")
+    return _big(shown, "seq", "dataset_seq", "depth1_seq", "depth2_seq")
+
+
 def pending_requests(spark, sf):
     found = requests.pending_requests(W.order_queue(spark, sf), W.customer_users(spark, sf))
     return _big(found, "seq", "user_seq", "account_seq", "campaign_seq")
@@ -315,6 +324,16 @@ def xml_records(spark, sf):
     return payload.cleaned_records(sources.read_rootless_xml(spark, path)).withColumnRenamed("JSON", "payload")
 
 
+def ingested_records(spark, sf):
+    """Tagged documents written as XML records without a root, and taken in with the state of each record."""
+    path, out = fresh_path(spark, "xml"), fresh_path(spark, "ingested")
+    escape = lambda c: F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+    fields = [F.concat(F.lit(f"<{name}>"), escape(F.coalesce(name, F.lit(""))), F.lit(f"</{name}>")) for name in ("DocId", "Content", "JSON")]
+    sinks.write_lines(_tagging_records(spark, sf).select(F.concat(F.lit("<Doc>"), *fields, F.lit("</Doc>")).alias("value")), path)
+    taken = ingest.ingest_records(spark, path, out)
+    return taken.records.select("doc_id", F.col("state").alias("quality"), "content")
+
+
 def xml_rooted_records(spark, sf):
     """Documents written as XML files with a root element, then read back."""
     path = fresh_path(spark, "rooted")
@@ -337,16 +356,12 @@ def positional_sheet(spark, sf):
 
 
 def charset_ingest(spark, sf):
-    """Lines of Hangul and ASCII text written in cp949, then read back."""
-    allow_legacy_charsets(spark)
-    path = fresh_path(spark, "cp949")
-    ascii_only = F.regexp_replace(F.translate("content", "\r\n\t", "   "), "[^ -~]", "")
-    lines = W.plain_docs(spark, sf).select(
-        F.concat_ws("|", "doc_id", F.translate(ascii_only, "aeiou", "가나다라마")).alias("value")
-    )
-    lines.write.options(encoding="MS949", sep="\u0001", quote="", escape="", ignoreLeadingWhiteSpace=False,
-                        ignoreTrailingWhiteSpace=False).csv(path)
-    return sources.read_legacy_lines(spark, path)
+    """Whole texts with Hangul in them written as lines in cp949, rewritten as UTF-8, and read back."""
+    legacy, utf8 = fresh_path(spark, "cp949"), fresh_path(spark, "utf8")
+    text = F.concat_ws("|", "doc_id", F.translate("content", "aeiou", "가나다라마"))
+    sources.write_legacy_lines(W.plain_docs(spark, sf).select(sources.legacy_text(text).alias("value")), legacy)
+    sources.convert_to_utf8(spark, legacy, utf8)
+    return spark.read.text(utf8).select(sources.restored_text(F.col("value")).alias("value"))
 
 
 def survey_scan(spark, sf):
@@ -451,12 +466,12 @@ def dataset_match_large(spark, sf):
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
-        channel_filter, date_range_filter, dataset_match, dataset_exclusion, url_exclusion, filter_documents,
+        channel_filter, date_range_filter, dataset_match, dataset_exclusion, url_exclusion, filter_documents, filter_documents_stored,
         pending_requests, request_type_names, request_datasets, export_pages, export_manifest, exported_files, request_status,
         sentences, sentences_multi, clean_text, tag_tokens, strip_tags, conjunct_subjects, topic_words, content_words,
         normalize_hangul, close_words, related_words, emotion_exact, emotion_match, category_exact, category_match,
         attribute_rows, clause_sentiment, clause_documents, survey_attributes, survey_documents, tagged_records,
-        payload_quality, corpus_lines, cause_spans, cause_verbs, xml_records, charset_ingest, survey_scan,
+        payload_quality, corpus_lines, cause_spans, cause_verbs, xml_records, ingested_records, charset_ingest, survey_scan,
         recursive_scan, topic_columns, xml_rooted_records, positional_sheet, tag_tokens_large, content_words_large, emotion_match_large, category_match_large, dataset_match_large,
     )
 }
