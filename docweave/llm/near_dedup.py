@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from docweave.llm import common
 from docweave.llm.components import components
@@ -94,24 +94,29 @@ def shingle_set(text: str, width: int) -> set[tuple[bytes, ...]]:
 
 
 def _sketches(source: DataFrame, width: int) -> DataFrame:
-    """row (a number of its own), doc_id, _file, _row, n, set_key, signature, short (32-bit hashes of the set)."""
+    """row (a number of its own), doc_id, _file, _row, n, set_key, signature, brief, short (32-bit hashes of the set).
+
+    `brief` has eight bits of each coordinate, four coordinates in a number.
+    """
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, row = Shingler(width), TaskContext.get().partitionId() << 36
         for batch in common.blocks(batches):
             sets = [shingler.hashes(text) for text in batch.column("text").to_pylist()]
+            signatures = [signature(s) for s in sets]
             columns = [
                 pa.array(np.arange(row, row + len(sets))), *(batch.column(c) for c in ("doc_id", "_file", "_row")),
                 pa.array([len(s) for s in sets], pa.int64()), pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets]),
-                pa.array([signature(s).view(np.int32) for s in sets], pa.list_(pa.int32())),
+                pa.array([own.view(np.int32) for own in signatures], pa.list_(pa.int32())),
+                pa.array([(own >> np.uint32(24)).astype(np.uint8).view("<i4") for own in signatures], pa.list_(pa.int32())),
                 pa.array([np.unique(s >> _U(32)).astype("<u4").tobytes() for s in sets], pa.binary()),
             ]
             row += len(sets)
-            yield pa.RecordBatch.from_arrays(columns, ["row", "doc_id", "_file", "_row", "n", "set_key", "signature", "short"])
+            yield pa.RecordBatch.from_arrays(columns, ["row", "doc_id", "_file", "_row", "n", "set_key", "signature", "brief", "short"])
 
     doc_id = source.schema["doc_id"].dataType.simpleString()
     return source.mapInArrow(
-        sketch, f"row long, doc_id {doc_id}, _file string, _row long, n long, set_key binary, signature array<int>, short binary"
+        sketch, f"row long, doc_id {doc_id}, _file string, _row long, n long, set_key binary, signature array<int>, brief array<int>, short binary"
     )
 
 
@@ -138,6 +143,14 @@ def _posts(classes: DataFrame) -> DataFrame:
     return chosen.select("node", posted.alias("posted"), F.explode("chosen").alias("t")).select("t.token", "t.head", "node", "posted")
 
 
+def _same_bytes(a: Column, b: Column) -> Column:
+    """How many of the four bytes of two numbers are equal."""
+    differ = a.bitwiseXOR(b).cast("long").bitwiseAND(0xFFFFFFFF)
+    # The upper bit of each byte that is not zero.
+    marks = (differ.bitwiseAND(0x7F7F7F7F) + 0x7F7F7F7F).bitwiseOR(differ).bitwiseAND(0x80808080)
+    return 4 - F.bit_count(marks)
+
+
 def _similar(a: np.ndarray, b: np.ndarray, slack: int) -> bool:
     """Whether sorted sets of 32-bit hashes are similar enough, `slack` shingles short or over allowed for."""
     both = np.concatenate([a, b])
@@ -306,12 +319,13 @@ def _linked(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFram
     keys = sketches.where("n > 0").groupBy("set_key").agg(F.min(by_id).alias("rep"))
     keys = common.written(keys.select("set_key", F.col("rep.row").alias("node"), "rep"), "classes", keep=True)
     reps = keys.select("node", "rep._file", "rep._row")
-    classes = sketches.select(F.col("row").alias("node"), "n", "signature", "short").join(common.small(keys.select("node")), "node")
+    classes = sketches.select(F.col("row").alias("node"), "n", "signature", "brief", "short").join(common.small(keys.select("node")), "node")
     posts = common.written(_posts(classes.select("node", "signature")), "posts")
 
     firsts = posts.where("head < node").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
-    short_of = lambda side: classes.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}"), F.col("signature").alias(f"s_{side}"))
-    matches = F.aggregate(F.zip_with("s_a", "s_b", lambda x, y: (x == y).cast("int")), F.lit(0), lambda total, same: total + same)
+    # Coordinates are compared by eight bits first: no pair that agrees is missed, and the sets decide anyway.
+    short_of = lambda side: classes.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}"), F.col("brief").alias(f"s_{side}"))
+    matches = F.aggregate(F.zip_with("s_a", "s_b", _same_bytes), F.lit(0), lambda total, same: total + same)
     fits = 100 * F.least("n_a", "n_b") >= SIMILARITY * F.greatest("n_a", "n_b")
     checked = firsts.join(short_of("a"), "a").join(short_of("b"), "b").where(fits).where(matches >= MATCHES).select("a", "b")
     checked = common.written(checked, "pairs")

@@ -126,3 +126,16 @@ def test_substring_dedup_of_odd_rows(odd, odd_rows, empty):
     assert substring_dedup(empty).count() == 0
     with pytest.raises(ValueError):
         substring_dedup(odd, 20, 11)
+
+
+def test_equal_bytes_are_counted(spark):
+    from docweave.llm.near_dedup import _same_bytes
+
+    r = random.Random(5)
+    rows = []
+    for _ in range(500):
+        a = bytes(r.choice([0, 1, 127, 128, 255]) for _ in range(4))
+        b = bytes(x if r.random() < 0.5 else r.choice([0, 1, 127, 128, 255]) for x in a)
+        rows.append((int.from_bytes(a, "little", signed=True), int.from_bytes(b, "little", signed=True), sum(x == y for x, y in zip(a, b))))
+    frame = spark.createDataFrame(rows, "a int, b int, want int")
+    assert frame.where(_same_bytes(frame.a, frame.b) != frame.want).count() == 0
