@@ -136,7 +136,9 @@ def _packer(capacity: int, number: int, last: bool) -> Callable[[pa.Table], pa.T
 def pack(items: DataFrame, capacity: int = CAPACITY, group_items: int = GROUP_ITEMS, rounds: int = ROUNDS) -> DataFrame:
     """`items` (with `length`, 1 to `capacity`) with sequence_id and offset: no sequence is longer than `capacity`.
 
-    Every row is placed once, repeated rows too; an empty table stays empty. `items` should be a written table, so that
+    Every row is placed once, repeated rows too; an empty table stays empty. Items of equal length, and bins that are
+    equally full, are interchangeable: which is taken may differ between runs, the number of sequences does not depend
+    on it. Other columns, null or not, are carried along. `items` should be a written table, so that
     a lost task deals its rows to the same groups again. A round that saves no sequence is not used.
     """
     common.ship_package(items.sparkSession)
@@ -170,7 +172,11 @@ def pack(items: DataFrame, capacity: int = CAPACITY, group_items: int = GROUP_IT
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Every piece of every document with its sequence and offset."""
+    """Every piece of every document with its sequence and offset.
+
+    Null and empty texts are one piece of one id, a long text is as many pieces as it needs; repeated rows are documents
+    of their own, and an empty table gives no pieces.
+    """
     return pack(common.written(pieces(docs, tokenizer, capacity, id_col, text_col), "pieces"), capacity)
 
 

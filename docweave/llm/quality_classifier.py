@@ -80,7 +80,9 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, la
 def quality_scores(docs: DataFrame, model: boosting.Trees, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, held_out, score (0 to 1) and predicted of every row.
 
-    Null and empty texts are scored by their statistics, which are zeros. The model is a few arrays of fixed size.
+    Null and empty texts are scored by their statistics, which are zeros; a long text is read whole. Rows are scored by
+    their text alone, so equal texts have equal scores, and repeated rows and null ids one row each. The model is a few
+    arrays of fixed size.
     """
     common.ship_package(docs.sparkSession)
     source = common.texts(docs, id_col, text_col).select("doc_id", (fold() == 0).alias("held_out"), "text")

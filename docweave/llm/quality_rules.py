@@ -85,7 +85,8 @@ def _repeated(windows: Column) -> Column:
 def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id and the measurements of each row. Null and empty texts measure 0 everywhere.
 
-    Windows are compared by 64-bit hashes within one document.
+    Windows are compared by 64-bit hashes within one document. A long text is one row and is measured whole; repeated
+    rows and null ids are measured each, and an empty table has no measurements. A value equal to a rule's limit passes.
     """
     words = F.array_remove(F.split("text", common.WORD_GAP), "")
     lines = F.filter(F.split("text", "\n"), lambda line: line.rlike("[^\\x20\\x09-\\x0D]"))

@@ -188,7 +188,8 @@ def find_secrets(docs: DataFrame, limits: dict[str, int], id_col: str = "doc_id"
     """doc_id, n_assign, n_access, n_hex, base_sha256, spans and n_random of every row.
 
     Spans are kind:start:end in code points, by start and kind. A null or empty text has none: the digest is that of the
-    empty string. Overlapping spans of different kinds are all listed; a random token touches no other span.
+    empty string. Overlapping spans of different kinds are all listed; a random token touches no other span. Whole texts
+    are scanned, however long; repeated rows and null ids give a row each, an empty table none.
     """
     common.ship_package(docs.sparkSession)
     source = common.texts(docs, id_col, text_col)

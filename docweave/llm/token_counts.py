@@ -18,7 +18,8 @@ def token_counts(docs: DataFrame, tokenizer: str, limit: int = LIMIT, id_col: st
     """doc_id, n_bytes (UTF-8), n_tokens and over_limit of every row; null and empty texts count 0.
 
     `tokenizer` is the path of a byte-level BPE file. Counts are those of its library without added special tokens;
-    its special strings inside a text count one each. Nothing is shuffled; a worker's table of chunks is bounded.
+    its special strings inside a text count one each. Whole texts are counted, however long; repeated rows and null ids
+    give a row each, an empty table none. Nothing is shuffled; a worker's table of chunks is bounded.
     """
     common.ship_package(docs.sparkSession)
     source = common.texts(docs, id_col, text_col)

@@ -233,7 +233,11 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, la
 
 
 def toxicity_scores(docs: DataFrame, model: Model, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, held_out, score (0 to 1) and predicted of every row; null and empty texts are scored by zeros."""
+    """doc_id, held_out, score (0 to 1) and predicted of every row; null and empty texts are scored by zeros.
+
+    A long text is read whole. Equal texts have equal scores; repeated rows and null ids give a row each, an empty table
+    none. A score equal to the threshold is predicted 1.
+    """
     common.ship_package(docs.sparkSession)
     source = common.texts(docs, id_col, text_col).select("doc_id", (fold() == HELD_OUT).alias("held_out"), "text")
 

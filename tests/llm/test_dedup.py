@@ -139,3 +139,22 @@ def test_equal_bytes_are_counted(spark):
         rows.append((int.from_bytes(a, "little", signed=True), int.from_bytes(b, "little", signed=True), sum(x == y for x, y in zip(a, b))))
     frame = spark.createDataFrame(rows, "a int, b int, want int")
     assert frame.where(_same_bytes(frame.a, frame.b) != frame.want).count() == 0
+
+
+def test_the_state_goes_on_with_a_second_arrival(spark, tmp_path):
+    """Rows that arrive later meet the digests that earlier runs kept; a run without new rows changes nothing."""
+    from docweave.llm.exact_dedup import read_state, run_state
+
+    arrivals, checkpoint = str(tmp_path / "arrivals"), str(tmp_path / "state")
+    schema = "doc_id long, _file string, _row long, digest binary, text_sha256 string"
+
+    def arrive(rows):
+        frame = spark.createDataFrame([(i, f, r, d.encode(), d) for i, f, r, d in rows], schema)
+        frame.write.mode("append").parquet(arrivals)
+        run_state(spark, arrivals, frame.schema, checkpoint)
+        return {bytes(s.digest).decode(): (s.keeper.doc_id, s.n) for s in read_state(spark, checkpoint).collect()}
+
+    assert arrive([(1, "f", 0, "a"), (2, "f", 1, "b")]) == {"a": (1, 1), "b": (2, 1)}
+    assert arrive([(9, "g", 0, "a"), (1, "g", 1, "b"), (3, "g", 2, "c")]) == {"a": (9, 2), "b": (2, 2), "c": (3, 1)}
+    run_state(spark, arrivals, spark.read.parquet(arrivals).schema, checkpoint)
+    assert {bytes(s.digest).decode(): s.n for s in read_state(spark, checkpoint).collect()} == {"a": 2, "b": 2, "c": 1}
