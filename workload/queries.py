@@ -442,7 +442,7 @@ def category_match_large(spark, sf):
         F.col("source").alias("category_eng"), F.col("lang").alias("category_kor"),
         F.split_part("text", F.lit("\n"), F.lit(1)).alias("synonym"), F.col("lang").alias("subtopic_code"),
     )
-    found = lookup.best_match(W.survey(spark, sf), F.col("comment"), lookup.category_dictionary(category), "category", max_in_plan=0)
+    found = lookup.best_match(W.survey(spark, sf), F.col("comment"), lookup.category_dictionary(category), "category")
     return found.select("case_id", "response_id", "answer_id", "category")
 
 
