@@ -14,8 +14,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from docweave.llm import common
 from docweave.scratch import remove_tables
 
-_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: The state is kept on disk; its many small stores do not reserve space ahead (4 MB for each partition).
+_STATE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 
 
 def located(docs: DataFrame) -> DataFrame:
@@ -35,8 +38,9 @@ def run_state(spark: SparkSession, arrivals_path: str, schema, checkpoint: str)
     state = arrivals.groupBy("digest").agg(
         F.max(F.struct("doc_id", "_file", "_row")).alias("keeper"), F.count(F.lit(1)).alias("n")
     )
-    before = spark.conf.get(_PROVIDER, None)
-    spark.conf.set(_PROVIDER, _ROCKSDB)
+    before = {name: spark.conf.get(name, None) for name in _STATE}
+    for name, value in _STATE.items():
+        spark.conf.set(name, value)
     try:
         query = (
             state.writeStream.format("noop").outputMode("update").option("checkpointLocation", checkpoint)
@@ -44,10 +48,11 @@ def run_state(spark: SparkSession, arrivals_path: str, schema, checkpoint: str)
         )
         query.awaitTermination()
     finally:
-        if before is None:
-            spark.conf.unset(_PROVIDER)
-        else:
-            spark.conf.set(_PROVIDER, before)
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
 
 
 def read_state(spark: SparkSession, checkpoint: str) -> DataFrame:

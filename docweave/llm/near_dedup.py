@@ -314,7 +314,9 @@ def near_dedup(docs: DataFrame, width: int = 5, id_col: str = "doc_id", text_col
 
 def _linked(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
     source = located(docs).select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), "_file", "_row")
-    sketches = common.written(_sketches(source, width), "sketches", keep=True)
+    sketches = common.written(_sketches(source, width), "sketches")
+    # What the result is read from, without the sets.
+    places = common.written(sketches.select("row", "doc_id", "_file", "_row", "n", "set_key"), "rows", keep=True)
     by_id = F.struct(F.col("doc_id").isNull().alias("null_id"), "doc_id", "_file", "_row", "row")
     keys = sketches.where("n > 0").groupBy("set_key").agg(F.min(by_id).alias("rep"))
     keys = common.written(keys.select("set_key", F.col("rep.row").alias("node"), "rep"), "classes", keep=True)
@@ -350,7 +352,7 @@ def _linked(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFram
     named = keys.join(labels, "node", "left").select("set_key", F.coalesce("component", "node").alias("component"), "rep")
     groups = named.groupBy("component").agg(F.min("rep").alias("first"))
     of_key = named.select("set_key", "component").join(groups, "component").select("set_key", "first")
-    rows = sketches.select("row", "doc_id", "_file", "_row", "n", "set_key").join(of_key, "set_key", "left")
+    rows = places.join(of_key, "set_key", "left")
     component = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("first.doc_id"))
     return rows.select(
         "doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"),
