@@ -149,6 +149,6 @@ def test_a_lexicon_of_a_hundred_thousand_words(spark):
     ]
     docs = spark.createDataFrame([("d", "t", "w2 key w3 zz")], "doc_id string, doc_title string, doc_content string")
     asked = spark.createDataFrame([("d", "key")], "doc_id string, term string")
-    stopped = lexicon.withColumn("token_type", F.when(F.col("word") == "w3", "MAJ").otherwise(F.col("token_type")))
+    stopped = lexicon.withColumn("token_type", F.when(F.col("word") == "w3", "JX").otherwise(F.col("token_type")))
     assert [r.word for r in related.related_words(asked, docs, stopped).collect()] == ["w2", "zz"]
 
