@@ -14,10 +14,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from docweave.llm import common
 from docweave.scratch import remove_tables
 
-#: The state is kept on disk; its many small stores do not reserve space ahead (4 MB for each partition).
+#: The state is kept on disk. Its many small stores do not reserve space ahead (4 MB for each partition), share one bound
+#: of memory in an executor, and buffer little each.
 _STATE = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "128",
+    "spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB": "4",
 }
 
 

@@ -32,6 +32,8 @@ SIMILARITY = 80
 HOT, LOW = 512, 10
 #: Rows of a list that meet in one block: classes that are apart, and all classes.
 APART_BLOCK, ALL_BLOCK, BUNDLE_ROWS = 256, 512, 2_000
+#: Hashes of words that a task keeps, at most.
+KNOWN_WORDS = 100_000
 #: Sets are compared by 32-bit hashes first; links within so many shingles of the limit are left to the full sets.
 SLACK = 2
 
@@ -61,7 +63,7 @@ class Shingler:
         if not words:
             return np.zeros(0, _U)
         known = self.words
-        if len(known) > 300_000:
+        if len(known) > KNOWN_WORDS:
             known.clear()
         out = []
         for word in words:

@@ -29,7 +29,7 @@ HELD_OUT, FOLDS = 1, 3
 THRESHOLD = 0.7
 STEMS = range(4, 9)
 #: Characters that the table of a worker's known words holds, and what an entry counts besides its word.
-KNOWN_CHARS, ENTRY_CHARS = 16_000_000, 120
+KNOWN_CHARS, ENTRY_CHARS = 12_000_000, 120
 #: Words to the left and right that count as near.
 NEAR = 6
 #: Words of second-person address in the languages of the tables.
