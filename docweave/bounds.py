@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Row, functions as F
 
 from docweave.scratch import written_table
@@ -11,6 +13,9 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 PLAN_ROWS = 4_096
 #: Stored tables up to this size are read again instead of being written once more.
 UNWRITTEN_BYTES = 1024 * 1024
+#: Texts of a partition whose rows repeat them. A Parquet file keeps each text once if the different ones fit a
+#: dictionary page of 1 MB; the rest is room for partitions that get more than their share.
+REPEATED_BYTES = 512 * 1024
 
 
 def fits(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
@@ -49,3 +54,14 @@ def computed_once(df: DataFrame, name: str, paths: list[str] | None = None) -> D
     if kind == "LocalRelation" or (stored and int(str(plan.stats().sizeInBytes())) <= UNWRITTEN_BYTES):
         return df
     return written_table(df, name, paths)
+
+
+def dealt_by_bytes(df: DataFrame, names: Sequence[str], max_bytes: int = REPEATED_BYTES) -> DataFrame:
+    """`df` dealt to so many partitions that each column of `names` has about `max_bytes` in one.
+
+    For rows that are exploded next and repeat these columns: written as Parquet, a repeated text then takes a number in
+    a dictionary instead of its bytes. The columns are measured in one distributed pass.
+    """
+    sizes = [F.sum(F.octet_length(F.col(name).cast("string"))).alias(f"n{i}") for i, name in enumerate(names)]
+    largest = max((n or 0 for n in df.agg(*sizes).first()), default=0) if sizes else 0
+    return df.repartition(max(-(-largest // max_bytes), df.sparkSession.sparkContext.defaultParallelism))

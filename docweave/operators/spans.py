@@ -6,6 +6,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from docweave.bounds import dealt_by_bytes
 from docweave.functions.dictionary import let, sums_before
 from docweave.functions.text import dictionary_form
 from docweave.operators.lookup import best_match, emotion_dictionary, exact_lookup
@@ -18,7 +19,8 @@ def cause_spans(docs: DataFrame, keys: Sequence[str], body_col: str = "JSON") ->
     """One row per (result, variable), in order of start offset, with the length of its span.
 
     A span ends where the document's next cause starts, the last one where its sentence ends. A document's
-    causes stay inside its row, so sorting them needs no shuffle.
+    causes stay inside its row, so sorting them needs no shuffle. Each cause repeats the keys and the other columns, which
+    may hold whole texts, so documents are dealt to partitions whose different texts fit a Parquet dictionary.
     """
     results = F.coalesce(parse(F.col(body_col), MATCHING_PAYLOAD)["result"], F.array().cast(
         "array<struct<sentence:struct<string:string>,matched_text:struct<string:string,begin:int>,"
@@ -46,7 +48,8 @@ def cause_spans(docs: DataFrame, keys: Sequence[str], body_col: str = "JSON") ->
     causes = F.array_sort(F.flatten(F.transform(results, causes_of)))
     others = [name for name in docs.columns if name != body_col and name not in keys]
     return (
-        docs.select(*keys, *others, F.posexplode(let(causes, with_next)).alias("cause_idx", "_item"))
+        dealt_by_bytes(docs, [*keys, *others])
+        .select(*keys, *others, F.posexplode(let(causes, with_next)).alias("cause_idx", "_item"))
         .select(*keys, *others, "cause_idx", "_item.cause.*", "_item.next")
         .withColumn("span", F.coalesce("next", "sentence_length") - F.col("start"))
         .drop("next")

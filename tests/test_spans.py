@@ -152,3 +152,25 @@ def test_a_lexicon_of_a_hundred_thousand_words(spark):
     stopped = lexicon.withColumn("token_type", F.when(F.col("word") == "w3", "JX").otherwise(F.col("token_type")))
     assert [r.word for r in related.related_words(asked, docs, stopped).collect()] == ["w2", "zz"]
 
+
+
+def test_causes_of_many_long_documents_are_stored_with_each_text_once(spark, tmp_path):
+    # 400 texts of 6,000 letters that do not compress, ten causes each: 24 MB of repeated texts.
+    letters = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(150)), lambda i: F.sha2(F.concat("id", i).cast("binary"), 256)), "")
+    causes = body([result(f"word {i}", 80 * i, "x") for i in range(10)])
+    docs = spark.range(0, 400, 1, 1).select(F.col("id").cast("string").alias("doc_id"), F.substring(letters, 1, 6000).alias("content"), F.lit(causes).alias("JSON"))
+    found = spans.cause_spans(docs, ["doc_id", "content"])
+    per_task = found.select("doc_id", "content", F.spark_partition_id().alias("p")).distinct().groupBy("p").agg(F.sum(F.length("content")).alias("n"))
+    assert per_task.agg(F.max("n")).first()[0] < 1024 * 1024
+    path = str(tmp_path / "causes")
+    found.write.parquet(path)
+    stored = sum(f.stat().st_size for f in (tmp_path / "causes").glob("*.parquet"))
+    assert stored < 2 * 400 * 6000
+    back = spark.read.parquet(path)
+    assert back.count() == 4000 and back.join(docs, ["doc_id", "content"], "left_semi").count() == 4000
+
+
+def test_causes_without_texts_or_documents(spark):
+    docs = spark.createDataFrame([(None, None, body([result("abc", 2, "z")])), (None, None, body([result("abc", 2, "z")]))], "doc_id string, content string, JSON string")
+    assert [(r.doc_id, r.content, r.value) for r in spans.cause_spans(docs, ["doc_id", "content"]).collect()] == [(None, None, "z")] * 2
+    assert spans.cause_spans(docs.where("doc_id = 'x'"), ["doc_id", "content"]).collect() == []
