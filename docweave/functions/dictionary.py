@@ -10,8 +10,12 @@ from pyspark.sql import Column, functions as F
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Evaluate `value` once per row for a body that uses it several times, for example inside a lambda."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+    """Evaluate `value` once per row for a body that uses it several times, for example inside a lambda.
+
+    The only element is taken out as the largest one: taken by its place, the type of the body is worked out for each row.
+    The body's type must have an order, as all but maps have.
+    """
+    return F.array_max(F.transform(F.array(value), body))
 
 
 # Entries of a bucket on average: a map is searched from its first entry on.

@@ -22,20 +22,26 @@ _UNIT = (
     rf"[ㄱ-ㅎ](?=[ㅏ-ㅣ])(?<![{_CLUSTERS}])[ㅏ-ㅣ]"
     rf"(?:[ㄱ-ㅎ](?<![{_LEADS_ONLY}])(?:(?![ㅏ-ㅣ])|(?<=[{_CLUSTERS}])))?|."
 )
-_RUN = r"[가-힣ㄱ-ㅣ]+|[^가-힣ㄱ-ㅣ]+"
 _HAS_LETTER = "[ㄱ-ㅣ]"
+# Single letters with the syllable before them, and what stands between such pieces.
+_PIECE = r"[가-힣]?[ㄱ-ㅣ]+|[^ㄱ-ㅣ]+?(?=[가-힣]?[ㄱ-ㅣ]|\z)"
 
 
 def _letter(letters: str, index: Column) -> Column:
-    return F.substring(F.lit(letters), index + 1, F.lit(1))
+    """The letter at a place that is known to exist."""
+    return F.get(F.split(F.lit(letters), ""), index)
+
+
+def _div(value: Column, by: int) -> Column:
+    return F.call_function("div", value, F.lit(by)).cast("int")
 
 
 def _decompose(char: Column) -> Column:
     code = F.ascii(char) - FIRST_SYLLABLE
     tail = F.pmod(code, F.lit(TAIL_SLOTS))
     letters = F.concat(
-        _letter(LEADS, F.floor(code / LEAD_SLOTS).cast("int")),
-        _letter(VOWELS, F.floor(F.pmod(code, F.lit(LEAD_SLOTS)) / TAIL_SLOTS).cast("int")),
+        _letter(LEADS, _div(code, LEAD_SLOTS)),
+        _letter(VOWELS, _div(F.pmod(code, F.lit(LEAD_SLOTS)), TAIL_SLOTS)),
         F.when(tail > 0, _letter(TAILS, tail - 1)).otherwise(F.lit("")),
     )
     return F.when(char.between("가", "힣"), letters).otherwise(char)
@@ -51,21 +57,23 @@ def _compose(unit: Column) -> Column:
     return F.when(F.char_length(unit) > 1, F.decode(F.unhex(F.hex(code)), "UTF-16BE")).otherwise(unit)
 
 
-def _recompose(run: Column) -> Column:
-    letters = F.array_join(F.transform(F.split(run, ""), _decompose), "")
+def _recompose(piece: Column) -> Column:
+    """A piece of letters that a syllable may open."""
+    first = let(F.substring(piece, 1, 1), _decompose)
+    letters = F.concat(first, F.substring(piece, F.lit(2), F.char_length(piece)))
     return F.array_join(F.transform(F.regexp_extract_all(letters, F.lit(_UNIT), F.lit(0)), _compose), "")
 
 
 def compose_jamo(text: Column) -> Column:
     """Take every syllable apart into letters, then put the letters together again.
 
-    Letters only combine within a run of Hangul, and a run without single letters comes back unchanged. So
-    only runs that hold some are worked on.
+    A syllable whose next character is no single letter comes back unchanged: what it opens with is followed by its own
+    vowel, so nothing before can take it. So only single letters and the syllable before them are worked on.
     """
 
-    def by_run(text: Column) -> Column:
-        runs = F.regexp_extract_all(text, F.lit(_RUN), F.lit(0))
-        fixed = F.transform(runs, lambda run: F.when(run.rlike(_HAS_LETTER), _recompose(run)).otherwise(run))
+    def by_piece(text: Column) -> Column:
+        pieces = F.regexp_extract_all(text, F.lit(_PIECE), F.lit(0))
+        fixed = F.transform(pieces, lambda piece: F.when(piece.rlike(_HAS_LETTER), _recompose(piece)).otherwise(piece))
         return F.when(text.rlike(_HAS_LETTER), F.array_join(fixed, "")).otherwise(text)
 
-    return let(text, by_run)
+    return let(text, by_piece)

@@ -5,9 +5,10 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 # Patterns of the tagged text (`surface/TAG`, morphemes joined by `+`, words by a space).
+# Classes of single syllables are held against the range of Hangul first, which answers for other letters at once.
 CLAUSE_MARK = "/EM "
-PARTICLE = r"[은는이가도]/J_"
-CONJUNCTION = r"[와과및]+/[(J_|MA)]+"
+PARTICLE = r"[가-힣&&[은는이가도]]/J_"
+CONJUNCTION = r"[가-힣&&[와과및]]+/[(J_|MA)]+"
 TAG = r"/[A-Z]+[_]*[\+]*"
 VERB_TAGS = ("/VA", "/VV", "/XSD", "/EM")
 

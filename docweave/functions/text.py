@@ -52,8 +52,13 @@ def inside(body: str) -> str:
     return rf"(?:[{low}]|{_ABOVE}[{high}])"
 
 
+# A whole text of spaces, Hangul syllables and printable characters below 256. It holds no other blank and no single Hangul
+# letter, so spaces are all there is to strip and nothing has to be composed.
+PLAIN = r"\A[\x20-\x7e\xa1-\xff가-힣]*+\z"
+
+
 def without_line_breaks(text: Column) -> Column:
-    return F.translate(text, "\r\n", "")
+    return F.replace(F.replace(text, F.lit("\r")), F.lit("\n"))
 
 
 def clean_id(text: Column) -> Column:

@@ -38,7 +38,9 @@ def split_clauses(tagged: DataFrame, text_col: str = "sentence", kma_col: str =
             lambda part, idx: F.struct(
                 idx.alias("clause_idx"),
                 part.alias("clause_kma"),
-                F.when(F.size(parts) == 1, whole).otherwise(T.strip(compose_jamo(T.strip_tags(part)))).alias("clause"),
+                F.when(F.size(parts) == 1, whole)
+                .when(part.rlike(T.PLAIN), F.trim(T.strip_tags(part)))
+                .otherwise(T.strip(compose_jamo(T.strip_tags(part)))).alias("clause"),
             ),
         )
         return F.filter(clauses, lambda clause: clause["clause"] != "")
@@ -53,14 +55,20 @@ def _plain(tagged: Column) -> Column:
 
 def subject_part(kma: Column) -> Column:
     """The text before the last particle, or null when no particle occurs."""
-    parts = F.split(kma, tags.PARTICLE, -1)
+    return _before_last(F.split(kma, tags.PARTICLE, -1))
+
+
+def _before_last(parts: Column) -> Column:
     return F.get(parts, F.size(parts) - 2)
 
 
 def split_conjuncts(subject: Column) -> Column:
     """Coordinated subjects, one array element each; an empty conjunct stays as ''."""
     conjuncts = F.split(subject, tags.CONJUNCTION, -1)
-    return F.transform(conjuncts, lambda part: T.strip(compose_jamo(T.strip_tags(part))))
+    plain = F.transform(conjuncts, lambda part: F.trim(T.strip_tags(part)))
+    return F.when(subject.rlike(T.PLAIN), plain).otherwise(
+        F.transform(conjuncts, lambda part: T.strip(compose_jamo(T.strip_tags(part))))
+    )
 
 
 def _is_verb(word: Column) -> Column:
@@ -70,14 +78,20 @@ def _is_verb(word: Column) -> Column:
     return found
 
 
+# A word with the space before it, if it is a verb or if it is none.
+_VERB_WORD = f" [^ ]*(?:{'|'.join(tags.VERB_TAGS)})[^ ]*"
+_OTHER_WORD = f" (?![^ ]*(?:{'|'.join(tags.VERB_TAGS)}))[^ ]*"
+
+
 def add_subjects_and_verb(clauses: DataFrame, kma_col: str = "clause_kma", verb_part: str = "as_written") -> DataFrame:
     """Add `n_parts`, `subjects` and `verb`; all subjects of a clause share its verb.
 
     With one particle the verb follows it. With more, `verb_part` picks the text after the first particle
     (`as_written`) or after the last one (`last`).
     """
-    kma = F.col(kma_col)
-    parts = F.split(kma, tags.PARTICLE, -1)
+    # Both are used several times, so they are columns until the end.
+    clauses = clauses.withColumns({"_parts": F.split(F.col(kma_col), tags.PARTICLE, -1), "_is_plain": F.col(kma_col).rlike(T.PLAIN)})
+    kma, parts, is_plain = F.col(kma_col), F.col("_parts"), F.col("_is_plain")
     words = F.split(kma, " ", -1)
     chosen = {"as_written": F.get(parts, F.lit(1)), "last": F.get(parts, F.size(parts) - 1)}[verb_part]
 
@@ -86,17 +100,22 @@ def add_subjects_and_verb(clauses: DataFrame, kma_col: str = "clause_kma", verb_
         joined = compose_jamo(T.strip_tags(F.array_join(F.transform(chosen, T.strip), " ")))
         return F.when(F.size(chosen) > 0, F.concat(F.lit(" "), joined)).otherwise("")
 
-    verb_words = let(F.filter(words, _is_verb), plain_words)
-    noun_words = let(F.filter(words, lambda word: ~_is_verb(word)), plain_words)
+    def without(words: str) -> Column:
+        """The same for plain text, in which words have no blanks to strip: the other words are cut out."""
+        return T.strip_tags(F.regexp_replace(F.concat(F.lit(" "), kma), words, ""))
+
+    verb_words = F.when(is_plain, without(_OTHER_WORD)).otherwise(let(F.filter(words, _is_verb), plain_words))
+    noun_words = F.when(is_plain, without(_VERB_WORD)).otherwise(let(F.filter(words, lambda word: ~_is_verb(word)), plain_words))
     # The text before the first space is no noun.
     nouns = let(F.split(noun_words, " ", -1), lambda list_: F.slice(list_, F.lit(2), F.size(list_)))
+    after = F.when(is_plain, T.strip_tags(F.trim(chosen))).otherwise(_plain(chosen))
     no_particle = F.size(parts) == 1
     return clauses.select(
         "*",
         F.size(parts).alias("n_parts"),
-        F.when(no_particle, verb_words).otherwise(_plain(chosen)).alias("verb"),
-        F.when(no_particle, nouns).otherwise(split_conjuncts(subject_part(kma))).alias("subjects"),
-    )
+        F.when(no_particle, verb_words).otherwise(after).alias("verb"),
+        F.when(no_particle, nouns).otherwise(split_conjuncts(_before_last(parts))).alias("subjects"),
+    ).drop("_parts", "_is_plain")
 
 
 def clause_label(sentiments: Column) -> Column:

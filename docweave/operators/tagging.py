@@ -5,13 +5,13 @@ The word list has the columns `word`, `piece` (one or more `surface/TAG`, joined
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from docweave.bounds import PLAN_ROWS, broadcast_if_small, computed_once, rows_if_small
 from docweave.functions import text as T
-from docweave.functions.dictionary import let, lookup, sums_before
+from docweave.functions.dictionary import lookup, sums_before
 from docweave.functions.tags import KOREAN, STOP_TYPES, Letters
 from docweave.scratch import written_table
 
@@ -24,9 +24,15 @@ def word_list(lexicon: DataFrame) -> DataFrame:
     return lexicon.groupBy("word").agg(F.min(F.struct("piece", "token_type")).alias("entry")).select("word", "entry.*")
 
 
+# Blanks that are no line breaks; a word never holds one.
+_SEPARATORS = "".join(blank for blank in T.BLANKS if blank not in "\r\n")
+
+
 def _words(text: Column, letters: Letters) -> Column:
-    split = F.split(F.lower(T.tagger_input(text, letters)), f"{T.inside(T.BLANKS)}+", -1)
-    return F.filter(split, lambda word: word != "")
+    """The lower-cased words of `T.tagger_input`. Every separator becomes a space, which is cheaper to split by."""
+    kept = F.regexp_replace(T.blank_punctuation(text), T.outside(letters.kept + T.BLANKS), "")
+    spaced = F.translate(kept, _SEPARATORS + "\r\n", " " * len(_SEPARATORS))
+    return F.filter(F.split(F.lower(spaced), " ", -1), lambda word: word != "")
 
 
 def _unknown(word: Column) -> Column:
@@ -73,32 +79,32 @@ def _entry(token_type: Column, piece: Column) -> Column:
     )
 
 
-def _placed_tokens(words: Column, entry_of: Callable[[Column, Column], Column]) -> Column:
-    """Two analyser tokens per word: the word form (EOJEOL) and its content token.
-
-    Offsets count characters of the cleaned text, in which words are one space apart.
-    """
+def _placed_tokens(words: str, starts: str, entries: str) -> Column:
+    """Two analyser tokens per word: the word form (EOJEOL) and its content token, from three columns of arrays."""
 
-    def placed(words: Column) -> Column:
-        starts = sums_before(F.transform(words, lambda word: F.char_length(word) + 1))
-        return let(starts, lambda starts: F.flatten(F.transform(words, lambda word, i: pair(word, i, starts))))
-
-    def pair(word: Column, position: Column, starts: Column) -> Column:
+    def pair(word: Column, position: Column) -> Column:
         start = F.get(starts, position)
-        end = start + F.char_length(word)
-        place = [start.alias("start_offset"), end.alias("end_offset"), position.alias("position")]
+        place = [start.alias("start_offset"), (start + F.char_length(word)).alias("end_offset"), position.alias("position")]
+        entry = F.get(entries, position)
+        kind = entry["type"]
+        content = F.when(kind.isin("VV", "VA", "XR"), F.concat(word, F.lit("/"), kind)).otherwise(word)
+        return F.array(
+            F.struct(word.alias("token"), F.lit("EOJEOL").alias("type"), *place, entry["particle"].alias("particle")),
+            F.struct(content.alias("token"), kind.alias("type"), *place, F.lit(False).alias("particle")),
+        )
+
+    return F.flatten(F.transform(words, pair))
 
-        def tokens_of(entry: Column) -> Column:
-            kind = entry["type"]
-            content = F.when(kind.isin("VV", "VA", "XR"), F.concat(word, F.lit("/"), kind)).otherwise(word)
-            return F.array(
-                F.struct(word.alias("token"), F.lit("EOJEOL").alias("type"), *place, entry["particle"].alias("particle")),
-                F.struct(content.alias("token"), kind.alias("type"), *place, F.lit(False).alias("particle")),
-            )
 
-        return let(entry_of(word, position), tokens_of)
+def _with_placed_tokens(rows: DataFrame, out_col: str, entries: Column) -> DataFrame:
+    """Add the tokens of `_words`, an array of words, and of their `entries`.
 
-    return let(words, placed)
+    Offsets count characters of the cleaned text, in which words are one space apart. What the tokens are made of are
+    columns until the end: within one expression, every `let` would copy all tokens once more.
+    """
+    starts = sums_before(F.transform("_words", lambda word: F.char_length(word) + 1))
+    placed = rows.withColumns({"_starts": starts, "_entries": entries})
+    return placed.withColumn(out_col, F.coalesce(_placed_tokens("_words", "_starts", "_entries"), F.array().cast(TOKENS))).drop("_words", "_starts", "_entries")
 
 
 def _looked_up(rows: DataFrame, words: Column, entries: DataFrame, found: Column) -> DataFrame:
@@ -132,11 +138,10 @@ def with_word_tokens(
     if small is not None:
         known = {row.word: {"type": row.token_type, "particle": "/J_" in row.piece} for row in small}
         unlisted = F.struct(*[F.lit(value).alias(name) for name, value in _UNLISTED.items()])
-        tokens = _placed_tokens(words, lambda word, _: lookup(word, known, _ENTRY, unlisted))
-        return rows.withColumn(out_col, F.coalesce(tokens, F.array().cast(TOKENS)))
+        found = F.transform("_words", lambda word: lookup(word, known, _ENTRY, unlisted))
+        return _with_placed_tokens(rows.withColumn("_words", words), out_col, found)
     joined = _looked_up(rows, words, entries, F.struct(F.col("word"), _entry(F.col("token_type"), F.col("piece")).alias("entry")))
-    tokens = let(F.col("_found"), lambda found: _placed_tokens(F.transform(found, lambda x: x["word"]), lambda _, i: F.get(found, i)["entry"]))
-    return joined.withColumn(out_col, tokens).drop("_found")
+    return _with_placed_tokens(joined.withColumn("_words", F.col("_found.word")), out_col, F.col("_found.entry")).drop("_found")
 
 
 def with_content_words(

@@ -111,3 +111,24 @@ def test_documents_are_valid_json(spark, dictionaries):
     document = json.loads(row.document)
     assert document["_id"] == row.id == "d_3_0"
     assert document["_source"] == {"sentence": "그의 '값'\"이\"", "sentence_kma": "값/NNG+이/J_ 싸/VA 다/EF", "sentiment": "긍정"}
+
+
+def test_a_clause_is_split_by_particles_once(spark):
+    rows = spark.createDataFrame([("가격/NNG+은/J_ 싸/VA", 0)], "clause_kma string, clause_idx int")
+    plan = clauses.add_subjects_and_verb(rows)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("/J_") == 1
+
+
+def test_plain_clauses_are_parsed_like_others(spark):
+    """A single letter makes a text one that is not plain; a clause without letters or blanks must give the same words."""
+    kma = ["a/NNG b/VV  c/XSD+d/EM e", "/VV", "", " ", "x/NNG y/VA ", "a/NNG+은/J_ b/VV 다/EF", "a/NNG+와/J_ b은/J_c", "é/VV f/VVVV+/EMx", "가/J_도/J_ ", "은/J_"]
+    texts = spark.createDataFrame([(i, k) for i, k in enumerate(kma)], "i int, clause_kma string")
+    # A word of its own at the end, with a letter that stays single.
+    marked = texts.withColumn("clause_kma", F.concat("clause_kma", F.lit(" ㅎ/NNG")))
+    plain = texts.withColumn("clause_kma", F.concat("clause_kma", F.lit(" Q/NNG")))
+    both = [clauses.add_subjects_and_verb(df).orderBy("i").collect() for df in (plain, marked)]
+    seen = [[(r.n_parts, r.verb.replace("ㅎ", "Q"), [s.replace("ㅎ", "Q") for s in r.subjects]) for r in rows] for rows in both]
+    assert seen[0] == seen[1]
+    blanks = spark.createDataFrame([("\u00a0a\t/NNG b\u3000/VV\x1c",)], "clause_kma string")
+    row = clauses.add_subjects_and_verb(blanks).first()
+    assert row.subjects == ["a\t"] and row.verb == " b\u3000"

@@ -1,12 +1,15 @@
+import random
 import re
 
 import pytest
 from pyspark.sql import functions as F
 
-from docweave.functions import tags, text as T
+from docweave.functions import hangul, tags, text as T
+from docweave.functions.dictionary import let
 from docweave.functions.hangul import compose_jamo
 from docweave.functions.tags import KOREAN_AND_LATIN
 from docweave.functions.topics import topic_words
+from docweave.operators import tagging
 
 
 def test_strip_removes_what_python_strips(value):
@@ -91,3 +94,46 @@ def test_dictionary_form(spark):
     rows = spark.createDataFrame([("좋/VA", "VA"), ("깨끗/XR", "XR"), ("차", "NNG")], "t string, k string")
     got = [r[0] for r in rows.select(T.dictionary_form(F.col("t"), F.col("k"))).collect()]
     assert got == ["좋다", "깨끗하다", "차"]
+
+
+def test_recomposition_of_pieces_equals_that_of_whole_runs(spark):
+    """The plain rule in Python: all syllables of a run of Hangul are taken apart, and units are put together from the left."""
+    leads, vowels, tails = hangul.LEADS, hangul.VOWELS, [""] + list(hangul.TAILS)
+    clusters, leads_only = "ㄳㄵㄶㄺㄻㄼㄽㄾㄿㅀㅄ", "ㄸㅃㅉ"
+
+    def whole(text):
+        letters = ""
+        for c in text:
+            n = ord(c) - 0xAC00
+            letters += leads[n // 588] + vowels[n % 588 // 28] + tails[n % 28] if "가" <= c <= "힣" else c
+        out, i = "", 0
+        while i < len(letters):
+            at = lambda k: letters[k] if k < len(letters) else ""
+            is_vowel = lambda c: "ㅏ" <= c <= "ㅣ"
+            is_letter = lambda c: "ㄱ" <= c <= "ㅎ"
+            if is_letter(at(i)) and at(i) not in clusters and is_vowel(at(i + 1)):
+                tail = at(i + 2)
+                closes = is_letter(tail) and tail not in leads_only and (tail in clusters or not is_vowel(at(i + 3)))
+                out += chr(0xAC00 + leads.index(at(i)) * 588 + vowels.index(at(i + 1)) * 28 + (tails.index(tail) if closes else 0))
+                i += 3 if closes else 2
+            else:
+                out, i = out + at(i), i + 1
+        return out
+
+    rng = random.Random(3)
+    texts = ["".join(rng.choice("가각갃값나낙닭힣하ㄱㄴㄷㄸㅃㄳㄺㅄㅎㅏㅑㅣㅗx \n1") for _ in range(rng.randint(0, 12))) for _ in range(3000)]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", hangul.compose_jamo(F.col("t")).alias("got")).collect()
+    assert [(r.t, r.got) for r in rows if r.got != whole(r.t)] == []
+
+
+def test_let_does_not_work_out_its_type_for_each_row(spark):
+    """Taken by its place, an element has the type of the whole body worked out for each row."""
+    rows = spark.range(3).select(let(F.col("id") + 1, lambda x: F.struct(x.alias("a"), (x * 2).alias("b"))).alias("v"))
+    assert "array_max(transform(" in rows._jdf.queryExecution().optimizedPlan().toString()
+    assert [tuple(r.v) for r in rows.collect()] == [(1, 2), (2, 4), (3, 6)]
+    assert spark.range(1).select(let(F.lit(None).cast("string"), lambda x: x).alias("v")).first().v is None
+
+
+def test_words_are_split_at_every_blank(value):
+    text = "Ab\u3000c\u00a0d\te\u2028f\u1680g\x1ch\x85i j\nk\r\nl"
+    assert value(lambda c: tagging._words(c, KOREAN_AND_LATIN), text) == ["ab", "c", "d", "e", "f", "g", "h", "i", "jkl"]
