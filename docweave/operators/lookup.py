@@ -16,6 +16,8 @@ from docweave.scratch import written_table
 
 #: Tokens of more entries than this are hot: a text meets their entries only by way of distinct sets of such tokens.
 HOT_ENTRIES = 1_000
+#: Up to so many entries are counted for each text at once instead of being searched.
+FEW_ENTRIES = 256
 #: The first rounds of a search take so many tokens of a text, the next ones each so many times as many.
 FIRST_TOKENS, MORE_TOKENS = 1, 4
 POSTING = "array<struct<key:string,value:string>>"
@@ -86,12 +88,13 @@ def best_match(
     out_col: str,
     max_in_plan: int = PLAN_ROWS,
     hot_entries: int = HOT_ENTRIES,
+    few_entries: int = FEW_ENTRIES,
 ) -> DataFrame:
     """Value of the entry that shares most distinct tokens with `text`, the first key on a tie; '' if none does.
 
     An entry is a (key, value) with the tokens of all its rows. A dictionary of at most `max_in_plan` tokens is matched
     inside the row. A larger one is searched once per distinct set of tokens, which rows find again by
-    its digest.
+    its digest; if it has at most `few_entries`, all their scores are counted instead.
     """
     dictionary = computed_once(dictionary.select("key", "value", "words"), "dictionary")
     small = rows_if_small(_postings(dictionary), max_in_plan)
@@ -104,7 +107,7 @@ def best_match(
     held = F.array_sort(F.array_distinct(tokens(text)))
     digest = F.when(F.size(held) > 0, F.md5(F.array_join(held, " ").cast("binary")))
     sets = df.select(digest.alias("_set"), held.alias("_tokens")).where(F.col("_set").isNotNull()).dropDuplicates(["_set"])
-    best = _best_by_threshold(sets, dictionary, hot_entries)
+    best = _best_by_threshold(sets, dictionary, hot_entries, few_entries)
     return (
         df.withColumn("_digest", digest)
         .join(written_table(best, "best"), F.col("_digest") == F.col("_set"), "left")
@@ -140,9 +143,41 @@ def _by_rarity(held: DataFrame, facts: DataFrame) -> DataFrame:
     )
 
 
-def _best_by_threshold(sets: DataFrame, dictionary: DataFrame, hot_entries: int) -> DataFrame:
+def _best_by_counts(sets: DataFrame, pairs: DataFrame, entries: list[int]) -> DataFrame:
+    """`_set`, `_entry` with the best score, from (token, _entry), for `entries` that are few, in order.
+
+    A token marks its entries by the bits of a few numbers, 64 entries each. One row per token of a set meets its marks,
+    and what is gathered per set are these numbers, not its entries: it grows with the texts alone.
+    """
+    numbered = written_table(sets.withColumn("_number", F.monotonically_increasing_id()), "texts")
+    listed = F.lit(entries).cast("array<bigint>")
+    place = (F.array_position(listed, F.col("_entry")) - 1).cast("int")
+    words = {f"w{k}": range(first, min(first + 64, len(entries))) for k, first in enumerate(range(0, len(entries), 64))}
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod("_place", F.lit(64)))
+    marks = [F.bit_or(F.when(F.col("_place").between(own[0], own[-1]), bit).otherwise(F.lit(0).cast("bigint"))).alias(name) for name, own in words.items()]
+    marked = written_table(pairs.withColumn("_place", place).groupBy("token").agg(*marks), "marks")
+    met = (
+        numbered.select("_number", F.explode("_tokens").alias("token")).join(marked, "token")
+        .groupBy("_number").agg(*[F.collect_list(name).alias(name) for name in words])
+    )
+
+    def scores(name: str, own: range) -> Column:
+        def score(i: Column) -> Column:
+            shared = F.size(F.filter(name, lambda marks: F.getbit(marks, i) == 1))
+            return F.struct((-shared).alias("score"), (i + own[0]).alias("place"))
+
+        return F.transform(F.sequence(F.lit(0), F.lit(len(own) - 1)), score)
+
+    best = F.array_min(F.concat(*[scores(name, own) for name, own in words.items()]))
+    found = met.select("_number", F.get(listed, best["place"]).alias("_entry"))
+    return numbered.select("_number", "_set").join(found, "_number").select("_set", "_entry")
+
+
+def _best_by_threshold(sets: DataFrame, dictionary: DataFrame, hot_entries: int, few_entries: int) -> DataFrame:
     """`_set`, `_found` of the token sets (_set, _tokens) that share a token with some entry.
 
+    A few entries are counted (`_best_by_counts`).
+
     Entries are numbered in the order of (key, value) and stay long, one row per token. Entries with a rare token of a set
     are searched from its rarest token on (`_search`). Entries that share only hot tokens with it differ for it in which
     of those they hold, so they are searched once per distinct set of hot tokens, among the distinct sets of hot tokens
@@ -155,6 +190,9 @@ def _best_by_threshold(sets: DataFrame, dictionary: DataFrame, hot_entries: int)
     named = numbers.select(F.col("key").alias("_key"), F.col("value").alias("_value"), "_entry")
     same = F.col("key").eqNullSafe(F.col("_key")) & F.col("value").eqNullSafe(F.col("_value"))
     pairs = _postings(dictionary).join(named, same).select("token", "_entry").distinct()
+    few = rows_if_small(numbers.select("_entry"), few_entries)
+    if few is not None:
+        return _best_by_counts(sets, pairs, sorted(row["_entry"] for row in few)).join(numbers, "_entry").select("_set", F.col("value").alias("_found"))
     postings = written_table(_unlike(pairs), "postings")
     held = sets.select("_set", F.explode("_tokens").alias("token"))
     is_hot = lambda token: token["n"] > hot_entries

@@ -137,3 +137,33 @@ def test_a_dictionary_is_computed_once(spark):
     texts = spark.createDataFrame([("w17 x",), ("y",)], "t string")
     got = lookup.best_match(texts, F.col("t"), lookup.emotion_dictionary(verbs), "e").collect()
     assert {r.t: r.e for r in got} == {"w17 x": "e", "y": ""} and seen.value == 6_000
+
+
+def test_few_entries_are_counted_as_they_are_searched(spark):
+    """130 entries take three numbers of 64 bits; keys, values and texts may be null or repeated, and ties are many."""
+    rng = random.Random(8)
+    some = lambda n: " ".join(f"w{rng.randrange(60)}" for _ in range(n))
+    entries = [(rng.choice([None, "a", *[f"k{i:03d}"] * 30]), rng.choice([None, "v", *[f"v{i}"] * 30]), some(rng.randint(0, 9))) for i in range(160)]
+    dictionary = spark.createDataFrame(entries, "key string, value string, words string")
+    texts = [(i, rng.choice([None, "", "other", some(3), some(12), some(40)])) for i in range(400)]
+    rows = spark.createDataFrame(texts + texts[:50], "i int, t string")
+    found = lambda few: lookup.best_match(rows, F.col("t"), dictionary, "e", 0, few_entries=few)
+    assert dictionary.select("key", "value").distinct().count() > 64
+    searched, counted = found(0), found(256)
+    assert sorted(map(tuple, counted.collect()), key=str) == sorted(map(tuple, searched.collect()), key=str)
+    assert len({r.e for r in counted.collect()}) > 20
+
+
+def test_entries_of_long_texts_meet_a_text_once_per_token(spark):
+    """What is gathered for a text are its tokens' marks, one row each, not a row for each entry of each token."""
+    words = " ".join(f"w{i}" for i in range(50))
+    dictionary = spark.createDataFrame([(f"k{i:02d}", f"v{i}", f"{words} own{i}") for i in range(80)], "key string, value string, words string")
+    rows = spark.range(200).select(F.col("id"), F.concat(F.lit(words + " x"), "id").alias("t"))
+    tables = []
+    written = lookup.written_table
+    lookup.written_table = lambda df, name, *args: tables.append(table := written(df, name, *args)) or table
+    try:
+        assert {r.e for r in lookup.best_match(rows, F.col("t"), dictionary, "e", 0).collect()} == {"v0"}
+    finally:
+        lookup.written_table = written
+    assert max(table.count() for table in tables) <= 200
