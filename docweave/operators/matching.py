@@ -198,16 +198,19 @@ def _open_keys() -> Column:
     return F.when(_month("end") - _month("start") < MONTHS, by_month).otherwise(of_period("y", F.year("start"), F.year("end")))
 
 
-def _rules_per_entry_word(active: DataFrame, rules_in_row: int) -> DataFrame:
-    """`dataset_seq`, `entry_key`, the `rules` to test there, and all `entry_words` of the dataset.
+def _rules_per_entry_word(active: DataFrame, rules_in_row: int, own_only: bool = False) -> DataFrame:
+    """`dataset_seq`, `entry_key`, the `rules` to test there, and all `entry_words` that have the same rules.
 
-    A dataset of more than `rules_in_row` rules has one row per rule, and its `entry_words` are left empty.
+    These are all rules of a dataset, or with `own_only` those alone that are entered by that word: no other rule can take
+    a document for it, but a pair may then be found at several words. Where there are more than `rules_in_row` rules, there is
+    one row per rule, and its `entry_words` are left empty.
     """
-    sizes = active.groupBy("dataset_seq").agg(F.count(F.lit(1)).alias("_n"))
-    sized = active.join(broadcast_if_small(sizes), "dataset_seq")
+    together = ["dataset_seq", "entry_word"] if own_only else ["dataset_seq"]
+    sizes = active.groupBy(*together).agg(F.count(F.lit(1)).alias("_n"))
+    sized = active.join(broadcast_if_small(sizes), together)
     whole = (
         sized.where(F.col("_n") <= rules_in_row)
-        .groupBy("dataset_seq")
+        .groupBy(*together)
         .agg(
             F.array_sort(F.collect_list("rule")).alias("rules"),
             F.array_sort(F.collect_set("entry_word")).alias("entry_words"),
@@ -221,7 +224,7 @@ def _rules_per_entry_word(active: DataFrame, rules_in_row: int) -> DataFrame:
     return whole.unionByName(single)
 
 
-def targets(requests: DataFrame, active: DataFrame | None, rules_in_row: int = RULES_IN_ROW) -> DataFrame:
+def targets(requests: DataFrame, active: DataFrame | None, rules_in_row: int = RULES_IN_ROW, own_only: bool = False) -> DataFrame:
     """Requests as targets: `seq`, `dataset_seq`, `channels`, `start`, `end`, `rules`, `entry_words`, `entry_key`.
 
     Input has one row per (request, dataset), as `requests.with_datasets` gives, and the `active_rules`. A dataset
@@ -241,7 +244,7 @@ def targets(requests: DataFrame, active: DataFrame | None, rules_in_row: int = R
     )
     if active is None:
         return open_targets
-    entries = _rules_per_entry_word(active, rules_in_row)
+    entries = _rules_per_entry_word(active, rules_in_row, own_only)
     return open_targets.unionByName(base.join(broadcast_if_small(entries), "dataset_seq"))
 
 
@@ -305,7 +308,7 @@ def filter_documents(
     # Only where a dataset has one row per rule can a pair be found twice.
     once = wanted.where((F.size("entry_words") == 0) & (F.size("rules") > 0)).isEmpty()
     if not once or keys is None:
-        measured = lambda sketch: targets(requests, None if active is None else entered_by_rarest(active, sketch), rules_in_row)
+        measured = lambda sketch: targets(requests, None if active is None else entered_by_rarest(active, sketch), rules_in_row, own_only=True)
         return _filter_by_number(_pruned(docs, wanted), measured, docs.columns)
     texts = _with_texts(_pruned(docs, wanted))
     # Only keys that some target asks for leave the row, so few copies of a document are made.
@@ -352,20 +355,25 @@ def _filter_by_number(docs: DataFrame, targets_by: Callable[[DataFrame], DataFra
     """The same pairs for many entry keys, or for datasets with one row per rule.
 
     Documents get a number that is written once, because their ids may be null or repeated. Words are counted and
-    candidates (document, target) found on narrow rows. Requests for one dataset share its rules, so a document's texts
+    candidates (document, target) found on narrow rows. A target is a request with the rules of one entry word, so a text
+    is held against those rules alone whose rarest word it has. Requests for one dataset share its rules, so a document's texts
     meet each set of rules once, whoever asks; a pair that several rules accept counts once.
     """
     numbered = written_table(docs.select("*", F.monotonically_increasing_id().alias("_number")), "documents")
     place = ["_number", "doc_datetime", "depth1_seq", "depth2_seq"]
     held = written_table(_with_texts(numbered).select(*place, F.array_distinct(_entry_keys()).alias("keys")), "keys")
     wanted = targets_by(written_table(word_sketch(held), "sketch"))
-    wanted = written_table(wanted.withColumn("_rules", F.when(F.size("rules") > 0, F.md5(F.to_json("rules").cast("binary")))), "targets")
+    wanted = written_table(wanted.withColumn("_digest", F.when(F.size("rules") > 0, F.md5(F.to_json("rules").cast("binary")))), "targets")
+    # Pairs carry a number of their rules, which takes little room in a shuffle.
+    sets = wanted.where(F.col("_digest").isNotNull()).select("_digest", "rules").dropDuplicates(["_digest"])
+    sets = written_table(sets.withColumn("_rules", F.monotonically_increasing_id()), "rule-sets")
+    wanted = wanted.join(broadcast_if_small(sets.select("_digest", "_rules")), "_digest", "left")
     asking = wanted.select("seq", "dataset_seq", "channels", "start", "end", "_rules", "entry_key")
     met = held.select(*place, F.explode("keys").alias("entry_key"))
     candidates = met.join(broadcast_if_small(asking), "entry_key").where(_asked()).select("_number", "seq", "dataset_seq", "_rules").distinct()
     candidates = written_table(candidates, "candidates")
     tested = candidates.where(F.col("_rules").isNotNull()).select("_number", "_rules").distinct()
-    rules = wanted.where(F.col("_rules").isNotNull()).select("_rules", "rules").dropDuplicates(["_rules"])
+    rules = sets.select("_rules", "rules")
     texts = _with_texts(numbered.join(tested.select("_number").distinct(), "_number", "left_semi")).select("_number", "_title", "_content", "_url")
     accepted = (
         tested.join(texts, "_number").join(broadcast_if_small(rules), "_rules")

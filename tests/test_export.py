@@ -134,6 +134,19 @@ def test_rules_are_entered_by_their_rarest_word(spark):
     assert sorted(r.entry_word for r in entered) == ["unseen", "w7"]
 
 
+def test_a_text_is_held_against_the_rules_of_its_words_alone(spark, monkeypatch):
+    """With many entry words, no target carries rules that another word enters; pairs found at several words count once."""
+    docs = spark.createDataFrame([(str(i), f"apple{i % 7} pear{i % 5}", "fig") for i in range(70)], "doc_id string, doc_title string, doc_content string")
+    docs = docs.withColumns({"doc_url": F.lit(""), "doc_datetime": F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"), "depth1_seq": F.lit(1), "depth2_seq": F.lit(1)})
+    listed = [(1, "Y", f"{fruit}{i}", "fig", "", "", "") for fruit, n in (("apple", 6), ("pear", 4)) for i in range(n)]
+    rules = spark.createDataFrame(listed, "dataset_seq int, use_yn string, keyword string, sub_keywords string, title_filter_keywords string, content_filter_keywords string, filter_urls string")
+    tables, written = {}, matching.written_table
+    monkeypatch.setattr(matching, "written_table", lambda df, name, *args: tables.setdefault(name, []).append(written(df, name, *args)) or tables[name][-1])
+    got = [r.doc_id for r in matching.match_datasets(docs, rules, max_in_plan=2).collect()]
+    assert sorted(got) == sorted(str(i) for i in range(70) if i % 7 < 6 or i % 5 < 4)
+    assert tables["targets"][-1].agg(F.max(F.size("rules"))).first()[0] == 1
+
+
 @pytest.mark.parametrize("max_in_plan", [4096, 0])
 def test_requests_without_rules_by_period_and_channel(spark, max_in_plan):
     """Short and long periods, channels with missing parts: the same as testing every pair."""
