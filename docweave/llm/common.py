@@ -75,10 +75,11 @@ def temporary_tables(spark: SparkSession) -> Iterator[None]:
         remove_tables(spark, _temporary.pop())
 
 
-def written(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
+def written(df: DataFrame, name: str, keep: bool = False, outer: bool = False) -> DataFrame:
     """`df` as a Parquet table in the shared folder: it cuts the lineage and survives lost executors.
 
-    Shuffle files of the query go as soon as the table is written. Inside `temporary_tables` only a table to `keep` stays.
+    Shuffle files of the query go as soon as the table is written. Inside `temporary_tables` only a table to `keep` stays;
+    of two such blocks, one inside the other, an `outer` table stays for the outer one.
     """
     spark, path = df.sparkSession, fresh_path(df.sparkSession, name)
     before = spark.conf.get(_CLEANUP, "false")
@@ -88,7 +89,7 @@ def written(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     finally:
         spark.conf.set(_CLEANUP, before)
     if _temporary and not keep:
-        _temporary[-1].append(path)
+        _temporary[-2 if outer else -1].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

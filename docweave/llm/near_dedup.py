@@ -96,9 +96,10 @@ def shingle_set(text: str, width: int) -> set[tuple[bytes, ...]]:
 
 
 def _sketches(source: DataFrame, width: int) -> DataFrame:
-    """row (a number of its own), doc_id, _file, _row, n, set_key, signature, brief, short (32-bit hashes of the set).
+    """row (a number of its own), doc_id, _file, _row, n, set_key, signature, brief.
 
-    `brief` has eight bits of each coordinate, four coordinates in a number.
+    `brief` has the lower eight bits of each coordinate, four coordinates in a number. (A coordinate is a minimum: the
+    upper bits of all large sets are zero.)
     """
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -110,18 +111,38 @@ def _sketches(source: DataFrame, width: int) -> DataFrame:
                 pa.array(np.arange(row, row + len(sets))), *(batch.column(c) for c in ("doc_id", "_file", "_row")),
                 pa.array([len(s) for s in sets], pa.int64()), pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets]),
                 pa.array([own.view(np.int32) for own in signatures], pa.list_(pa.int32())),
-                pa.array([(own >> np.uint32(24)).astype(np.uint8).view("<i4") for own in signatures], pa.list_(pa.int32())),
-                pa.array([np.unique(s >> _U(32)).astype("<u4").tobytes() for s in sets], pa.binary()),
+                pa.array([own.astype(np.uint8).view("<i4") for own in signatures], pa.list_(pa.int32())),
             ]
             row += len(sets)
-            yield pa.RecordBatch.from_arrays(columns, ["row", "doc_id", "_file", "_row", "n", "set_key", "signature", "brief", "short"])
+            yield pa.RecordBatch.from_arrays(columns, ["row", "doc_id", "_file", "_row", "n", "set_key", "signature", "brief"])
 
     doc_id = source.schema["doc_id"].dataType.simpleString()
     return source.mapInArrow(
-        sketch, f"row long, doc_id {doc_id}, _file string, _row long, n long, set_key binary, signature array<int>, brief array<int>, short binary"
+        sketch, f"row long, doc_id {doc_id}, _file string, _row long, n long, set_key binary, signature array<int>, brief array<int>"
     )
 
 
+def _texts(nodes: DataFrame, reps: DataFrame, source: DataFrame) -> DataFrame:
+    """node, text: the texts of some classes, read again from where they lie."""
+    places = reps.join(common.small(nodes), "node").select("node", F.col("_file").alias("its_file"), F.col("_row").alias("its_row"))
+    places = common.written(places, "places")
+    here = (F.col("_file") == F.col("its_file")) & (F.col("_row") == F.col("its_row"))
+    return common.written(source.join(common.small(places), here).select("node", "text"), "texts")
+
+
+def _sets(texts: DataFrame, width: int) -> DataFrame:
+    """node, short (32-bit hashes of the set of shingles)."""
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler = Shingler(width)
+        for batch in common.blocks(batches):
+            hashes = [shingler.hashes(text) for text in batch.column("text").to_pylist()]
+            shorts = [np.unique(h >> _U(32)).astype("<u4").tobytes() for h in hashes]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(shorts, pa.binary())], ["node", "short"])
+
+    return common.written(texts.mapInArrow(sets, "node long, short binary"), "sets")
+
+
 def _posts(classes: DataFrame) -> DataFrame:
     """token, head (least node of the token), node, posted: the postings that pairs above the threshold are sure to share.
 
@@ -161,6 +182,11 @@ def _similar(a: np.ndarray, b: np.ndarray, slack: int) -> bool:
     return 100 * (common_ + slack) >= SIMILARITY * (len(a) + len(b) - common_ - slack)
 
 
+def _nodes(pairs: DataFrame) -> DataFrame:
+    """The nodes of pairs."""
+    return common.written(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "nodes")
+
+
 def _first_links(pairs: DataFrame) -> DataFrame:
     """Pairs (a, b with both sets) that are similar by their short sets."""
 
@@ -180,21 +206,24 @@ class _Block:
         column = lambda name: rows.column(name).to_numpy()
         self.node, self.n, self.component = column("node"), column("n"), column("component")
         self.posted, self.bit = column("posted"), 1 << (rows.column("token")[0].as_py() >> 32)
-        self.signatures = rows.column("signature").combine_chunks().flatten().to_numpy().reshape(-1, COORDINATES)
+        self.brief = rows.column("brief").combine_chunks().flatten().to_numpy().astype("<i4").view(np.uint8).reshape(-1, COORDINATES)
+        # Coordinates under which a row is posted; zero elsewhere.
+        self.values = np.zeros((rows.num_rows, COORDINATES), np.int32)
+        self.values[(self.posted[:, None] & _BITS) != 0] = rows.column("values").combine_chunks().flatten().to_numpy()
         self.left = np.flatnonzero(column("own_a") == column("a_block"))
         self.right = np.flatnonzero(column("own_b") == column("b_block"))
 
     def near(self, i: int) -> np.ndarray:
-        """Rows of `right` of other components, of a fitting size, that agree with row i in MATCHES coordinates.
+        """Rows of `right` of other components, of a fitting size, that agree with row i in MATCHES brief coordinates.
 
         A pair that meets in several lists counts in that of the first coordinate under which both are posted.
         """
         n, right = self.n, self.right
         fits = (100 * np.minimum(n[right], n[i]) >= SIMILARITY * np.maximum(n[right], n[i])) & (self.component[right] != self.component[i])
         fitting = right[fits]
-        agree = self.signatures[fitting] == self.signatures[i]
-        shared = (agree @ _BITS) & self.posted[fitting] & self.posted[i]
-        return fitting[(agree.sum(axis=1) >= MATCHES) & (shared & -shared == self.bit)]
+        fitting = fitting[(self.brief[fitting] == self.brief[i]).sum(axis=1) >= MATCHES]
+        shared = ((self.values[fitting] == self.values[i]) @ _BITS) & self.posted[fitting] & self.posted[i]
+        return fitting[shared & -shared == self.bit]
 
 
 def _lists(block: pa.Table) -> Iterator[pa.Table]:
@@ -208,6 +237,7 @@ def _lists(block: pa.Table) -> Iterator[pa.Table]:
 
 _BLOCK = ("bundle", "token", "posted", "a_block", "b_block", "node", "component", "own_a", "own_b")
 _BLOCK_FIELDS = ", ".join(f"{name} long" for name in _BLOCK)
+_SIGNED = "n long, brief array<int>, values array<int>"
 
 
 def _possible_rows(block: pa.Table) -> pa.Table:
@@ -219,7 +249,7 @@ def _possible_rows(block: pa.Table) -> pa.Table:
             near = own.near(i)
             if len(near):
                 possible[i], possible[near] = True, True
-        kept.append(rows.filter(pa.array(possible)).select(_BLOCK))
+        kept.append(rows.filter(pa.array(possible)).select([*_BLOCK, "n", "brief", "values"]))
     return pa.concat_tables(kept)
 
 
@@ -278,13 +308,9 @@ def _blocks(posts: DataFrame, labels: DataFrame) -> DataFrame:
     return dealt.select(bundle.alias("bundle"), "token", "posted", "k.*", "node", "component", "own_a", "own_b")
 
 
-def _confirmed(links: DataFrame, reps: DataFrame, source: DataFrame, width: int) -> DataFrame:
+def _confirmed(links: DataFrame, texts: DataFrame, width: int) -> DataFrame:
     """Links whose full sets are similar enough."""
-    nodes = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node"))).distinct()
-    places = reps.join(nodes, "node").select("node", F.col("_file").alias("its_file"), F.col("_row").alias("its_row"))
-    places = common.written(places, "places")
-    here = (F.col("_file") == F.col("its_file")) & (F.col("_row") == F.col("its_row"))
-    texts = common.written(source.join(common.small(places), here).select("node", "text"), "linked-texts")
+    texts = texts.join(common.small(_nodes(links)), "node")
     pairs = links.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a").join(
         texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b"
     )
@@ -317,38 +343,43 @@ def near_dedup(docs: DataFrame, width: int = 5, id_col: str = "doc_id", text_col
 def _linked(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
     source = located(docs).select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), "_file", "_row")
     sketches = common.written(_sketches(source, width), "sketches")
-    # What the result is read from, without the sets.
+    # What the result is read from, without the signatures.
     places = common.written(sketches.select("row", "doc_id", "_file", "_row", "n", "set_key"), "rows", keep=True)
     by_id = F.struct(F.col("doc_id").isNull().alias("null_id"), "doc_id", "_file", "_row", "row")
     keys = sketches.where("n > 0").groupBy("set_key").agg(F.min(by_id).alias("rep"))
     keys = common.written(keys.select("set_key", F.col("rep.row").alias("node"), "rep"), "classes", keep=True)
     reps = keys.select("node", "rep._file", "rep._row")
-    classes = sketches.select(F.col("row").alias("node"), "n", "signature", "brief", "short").join(common.small(keys.select("node")), "node")
+    classes = sketches.select(F.col("row").alias("node"), "n", "signature", "brief").join(common.small(keys.select("node")), "node")
     posts = common.written(_posts(classes.select("node", "signature")), "posts")
 
     firsts = posts.where("head < node").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
-    # Coordinates are compared by eight bits first: no pair that agrees is missed, and the sets decide anyway.
+    # Coordinates are compared by eight bits: no pair that agrees is missed, and the sets decide anyway.
     short_of = lambda side: classes.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}"), F.col("brief").alias(f"s_{side}"))
     matches = F.aggregate(F.zip_with("s_a", "s_b", _same_bytes), F.lit(0), lambda total, same: total + same)
     fits = 100 * F.least("n_a", "n_b") >= SIMILARITY * F.greatest("n_a", "n_b")
     checked = firsts.join(short_of("a"), "a").join(short_of("b"), "b").where(fits).where(matches >= MATCHES).select("a", "b")
     checked = common.written(checked, "pairs")
-    needed = checked.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    needed = classes.select("node", "short").join(common.small(common.written(needed, "pair-nodes")), "node")
-    sets = lambda side: needed.select(F.col("node").alias(side), F.col("short").alias(f"short_{side}"))
-    links = _first_links(checked.join(sets("a"), "a").join(sets("b"), "b"))
-    sure = common.written(_confirmed(common.written(links, "first-links"), reps, source, width), "sure-links")
+    # Sets and texts are long: only those of classes in such pairs are made, and they go once the links are known.
+    with common.temporary_tables(docs.sparkSession):
+        texts = _texts(_nodes(checked), reps, source)
+        sets = _sets(texts, width)
+        set_of = lambda side: sets.select(F.col("node").alias(side), F.col("short").alias(f"short_{side}"))
+        links = common.written(_first_links(checked.join(set_of("a"), "a").join(set_of("b"), "b")), "first-links")
+        sure = common.written(_confirmed(links, texts, width), "sure-links", outer=True)
     labels = common.written(components(sure), "labels")
 
     blocks = _blocks(posts, labels)
-    signed = blocks.join(classes.select("node", "n", "signature"), "node")
-    possible = common.written(signed.groupBy("bundle").applyInArrow(_possible_rows, _BLOCK_FIELDS), "possible")
-    # Sets are long: only those of rows that may be near another one are shuffled.
-    needed = common.small(common.written(possible.select("node").distinct(), "block-nodes"))
-    sets = classes.select("node", "n", "signature", "short").join(needed, "node")
-    more = possible.join(sets, "node").groupBy("bundle").applyInArrow(_block_links, "a long, b long")
-    more = more.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    sure_more = common.written(_confirmed(common.written(more, "block-links"), reps, source, width), "sure-links")
+    # Of a signature, a list needs the coordinates under which a class is posted in full, the others in brief.
+    posted = lambda _, at: F.call_function("shiftright", "posted", at).bitwiseAND(1) == 1
+    of_node = classes.select("node", "n", "brief", "signature")
+    signed = blocks.join(of_node, "node").select(*blocks.columns, "n", "brief", F.filter("signature", posted).alias("values"))
+    possible = common.written(signed.groupBy("bundle").applyInArrow(_possible_rows, f"{_BLOCK_FIELDS}, {_SIGNED}"), "possible")
+    with common.temporary_tables(docs.sparkSession):
+        # Only rows that may be near another one bring their sets along.
+        texts = _texts(common.written(possible.select("node").distinct(), "nodes"), reps, source)
+        more = possible.join(_sets(texts, width), "node").groupBy("bundle").applyInArrow(_block_links, "a long, b long")
+        more = more.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        sure_more = common.written(_confirmed(common.written(more, "block-links"), texts, width), "sure-links", outer=True)
     labels = common.written(components(sure.unionByName(sure_more)), "labels", keep=True)
 
     named = keys.join(labels, "node", "left").select("set_key", F.coalesce("component", "node").alias("component"), "rep")

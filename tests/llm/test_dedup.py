@@ -73,6 +73,19 @@ def test_near_copies_are_those_of_brute_force(make_docs, monkeypatch, limits):
     assert got == want
 
 
+def test_only_near_texts_bring_their_sets(make_docs, monkeypatch):
+    # Long texts with some lines in common: they share postings, and the upper bits of most of their coordinates are zero.
+    r = random.Random(5)
+    lines = " ".join(f"line{i}" for i in range(40))
+    texts = [lines + " " + " ".join(f"w{r.randrange(10**9)}" for _ in range(900)) for _ in range(40)]
+    seen, links, sets = [], near._first_links, near._sets
+    monkeypatch.setattr(near, "_first_links", lambda pairs: seen.append(pairs.count()) or links(pairs))
+    monkeypatch.setattr(near, "_sets", lambda texts, width: seen.append(texts.count()) or sets(texts, width))
+    rows = near_dedup(make_docs([*texts, texts[0] + " more"]), width=2).collect()
+    assert {r.doc_id for r in rows if not r.kept} == {40}
+    assert seen[:2] == [2, 1]  # texts, pairs
+
+
 def test_near_dedup_of_odd_rows(odd, odd_rows, empty):
     rows = near_dedup(odd, width=5).collect()
     assert len(rows) == len(odd_rows)
