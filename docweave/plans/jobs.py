@@ -86,7 +86,10 @@ def survey_documents(tagged: DataFrame, verb_dict: DataFrame, carried: Sequence[
 def tagged_records(
     tagged: DataFrame, verb_dict: DataFrame, category: DataFrame, date: str, content_col: str = "content", carried: Sequence[str] = ()
 ) -> DataFrame:
-    """One record of the tagged format per attribute. `tagged` carries the document's content; `date` is yyyyMMdd."""
+    """One record of the tagged format per attribute. `tagged` carries the document's content; `date` is yyyyMMdd.
+
+    Each record holds the whole content, so Parquet of it belongs in a `session_for_repeated_texts`, or is written with zstd.
+    """
     rows = clauses.extract_attributes(tagged, verb_dict, category).where(F.col("attr_idx").isNotNull())
     record_id = joined_id("doc_id", "sentence_idx", "clause_idx", "attr_idx")
     attributes = [F.col(name) for name in ("subject", "verb", "sentiment", "category")]

@@ -11,7 +11,7 @@ from docweave.functions.tags import KOREAN_AND_LATIN as LETTERS
 from docweave.operators import clauses, lookup, matching, paging, payload, related, requests, spans, tagging
 from docweave.plans import export, ingest, jobs
 from docweave.scratch import fresh_path, written_table
-from docweave.session import allow_legacy_charsets
+from docweave.session import allow_legacy_charsets, session_for_repeated_texts
 from docweave.sinks import files as sinks
 from docweave.sources import files as sources, tables
 from workload import tables as W
@@ -271,6 +271,7 @@ def survey_documents(spark, sf):
 
 
 def tagged_records(spark, sf):
+    spark = session_for_repeated_texts(spark)
     keyed = W.plain_docs(spark, sf).withColumn("text", F.col("content"))
     keyed = keyed.withColumn("content", T.without_line_breaks(F.col("text")))
     tagged = jobs.tagged_sentences(keyed, W.small(spark, W.LEXICON), ["doc_id", "content"], "content", letters=LETTERS)
