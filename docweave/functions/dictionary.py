@@ -45,7 +45,10 @@ SUM_BLOCK = 128
 
 
 def sums_before(lengths: Column) -> Column:
-    """Sums of all numbers before each place, in blocks: an array that grows step by step is copied in every step."""
+    """Sums of all numbers before each place, in blocks: an array that grows step by step is copied in every step.
+
+    Few numbers are summed up at once.
+    """
 
     def running(values: Column, first: Column) -> Column:
         return F.aggregate(values, F.array(first), lambda sums, value: F.array_append(sums, F.element_at(sums, -1) + value))
@@ -59,6 +62,9 @@ def sums_before(lengths: Column) -> Column:
             ),
         )
 
+    def at_once(values: Column) -> Column:
+        return F.slice(running(values, F.lit(0)), F.lit(1), F.size(values))
+
     def cut(values: Column) -> Column:
         n_blocks = F.ceil(F.size(values) / SUM_BLOCK).cast("int")
         blocks = F.transform(
@@ -66,4 +72,4 @@ def sums_before(lengths: Column) -> Column:
         )
         return let(blocks, of_blocks)
 
-    return let(lengths, cut)
+    return let(lengths, lambda values: F.when(F.size(values) <= SUM_BLOCK, at_once(values)).otherwise(cut(values)))

@@ -46,6 +46,12 @@ def outside(body: str) -> str:
     return rf"(?s:[\x00-\xff&&[^{low}]]|{_ABOVE}{others}.)"
 
 
+def only(body: str) -> str:
+    """A pattern for a whole text of characters of the class `[body]`, which should have few ranges above 255."""
+    low, high = _class_parts(body)
+    return rf"\A[{low}{high}]*+\z"
+
+
 def inside(body: str) -> str:
     """A pattern for one character of the class `[body]`."""
     low, high = _class_parts(body)

@@ -64,9 +64,9 @@ def _postings(dictionary: DataFrame) -> DataFrame:
 
 
 def _best_in_row(text: Column, postings: dict[str, list[dict]]) -> Column:
-    known = F.filter(F.array_distinct(tokens(text)), lambda token: token.isin(list(postings)))
+    known = F.array_distinct(F.filter(tokens(text), lambda token: token.isin(list(postings))))
     none = F.array().cast(POSTING)
-    found = F.flatten(F.transform(known, lambda token: lookup(token, postings, POSTING, none)))
+    entries_of = lambda known: F.flatten(F.transform(known, lambda token: lookup(token, postings, POSTING, none)))
 
     def best(hits: Column) -> Column:
         ranked = F.transform(
@@ -78,7 +78,9 @@ def _best_in_row(text: Column, postings: dict[str, list[dict]]) -> Column:
         )
         return F.array_min(ranked)["value"]
 
-    return F.coalesce(let(found, best), F.lit(""))
+    # Most texts hold no token of the dictionary.
+    matched = lambda known: F.when(F.size(known) > 0, let(entries_of(known), best))
+    return F.coalesce(let(known, matched), F.lit(""))
 
 
 def best_match(

@@ -13,6 +13,7 @@ from docweave.operators.lookup import best_match, emotion_dictionary, exact_look
 from docweave.operators.payload import MATCHING_PAYLOAD, parse
 
 VERB_TYPES = ("VV", "VA", "XR")
+KEPT_TYPES = (*VERB_TYPES, "NNG")
 
 
 def cause_spans(docs: DataFrame, keys: Sequence[str], body_col: str = "JSON") -> DataFrame:
@@ -72,7 +73,7 @@ def described_tokens(tokens: Column, span: Column) -> Column:
         tokens,
         lambda t: (t["start_offset"] >= 0) & (t["start_offset"] < span)
         & (t["end_offset"] - 1 >= 0) & (t["end_offset"] - 1 < span)
-        & (t["type"].isin(*VERB_TYPES, "NNG") | opens(t)),
+        & (t["type"].isin(*KEPT_TYPES) | opens(t)),
     )
 
     def kept(tokens: Column) -> Column:
@@ -88,22 +89,27 @@ def described_tokens(tokens: Column, span: Column) -> Column:
             return F.filter(tokens, stays)
 
         opening = F.transform(F.filter(tokens, opens), lambda t: t["position"])
-        return let(opening, lambda opening: let(earlier, lambda earlier: of_open(opening, earlier)))
+        after_open = lambda opening: let(earlier, lambda earlier: of_open(opening, earlier))
+        return let(opening, lambda opening: F.when(F.size(opening) == 0, tokens).otherwise(after_open(opening)))
 
     items = let(relevant, kept)
     return F.transform(items, lambda t: F.struct(t["token"].alias("token"), t["type"].alias("type")))
 
 
 def last_per_token(kept: Column) -> Column:
-    """Keep the last entry of every distinct token, in order. Two sorts instead of a search for each entry."""
+    """Keep the last entry of every distinct token, in order. Two sorts instead of a search for each entry, if any is repeated."""
     def last_ones(items: Column) -> Column:
         return F.filter(items, lambda item, i: F.coalesce(F.get(items, i + 1)["token"] != item["token"], F.lit(True)))
 
-    placed = F.transform(kept, lambda item, i: F.struct(item["token"].alias("token"), i.alias("i"), item["type"].alias("type")))
-    by_place = F.array_sort(
-        F.transform(let(F.array_sort(placed), last_ones), lambda item: F.struct(item["i"].alias("i"), item["token"].alias("token"), item["type"].alias("type")))
-    )
-    return F.transform(by_place, lambda item: F.struct(item["token"].alias("token"), item["type"].alias("type")))
+    def sorted_out(kept: Column) -> Column:
+        placed = F.transform(kept, lambda item, i: F.struct(item["token"].alias("token"), i.alias("i"), item["type"].alias("type")))
+        by_place = F.array_sort(
+            F.transform(let(F.array_sort(placed), last_ones), lambda item: F.struct(item["i"].alias("i"), item["token"].alias("token"), item["type"].alias("type")))
+        )
+        return F.transform(by_place, lambda item: F.struct(item["token"].alias("token"), item["type"].alias("type")))
+
+    unlike = lambda kept: F.size(F.array_distinct(F.transform(kept, lambda item: item["token"]))) == F.size(kept)
+    return let(kept, lambda kept: F.when(unlike(kept), kept).otherwise(sorted_out(kept)))
 
 
 def cause_verbs(
@@ -114,13 +120,18 @@ def cause_verbs(
 ) -> DataFrame:
     """One row per distinct verb, adjective, root or noun of a cause, with its emotion.
 
-    `analyse` adds the analyser tokens of a text column as a new column, both given by name. Verbs, adjectives and roots are looked up exactly
-    in their dictionary form, nouns by shared tokens.
+    `analyse` adds the analyser tokens of a text column as a new column, both given by name. It is given the causes whose span
+    is not empty: no token lies inside an empty one. Verbs, adjectives and roots are looked up exactly in their dictionary
+    form, nouns by shared tokens.
     """
+    causes = causes.where(F.col("span") > 0)
     kept = last_per_token(described_tokens(F.col("_tokens"), F.col("span")))
-    rows = analyse(causes, "matched_text", "_tokens").select(*keys, "cause_idx", "value", F.posexplode(kept).alias("verb_idx", "_item")).select(
-        *keys, "cause_idx", "value", "verb_idx", F.col("_item.token").alias("verb"), F.col("_item.type").alias("_type")
-    )
+    named = [*keys, "cause_idx", "value"]
+    # As a column of its own the array is exploded in generated code, which copies the keys less often. Without the outer form
+    # Spark would test its size in a filter and make it twice.
+    listed = analyse(causes, "matched_text", "_tokens").select(*named, kept.alias("_kept"))
+    items = listed.select(*named, F.posexplode_outer("_kept").alias("verb_idx", "_item")).where(F.col("verb_idx").isNotNull())
+    rows = items.select(*named, "verb_idx", F.col("_item.token").alias("verb"), F.col("_item.type").alias("_type"))
     dictionary = emotion_dictionary(verb_dict)
     is_verb = F.col("_type").isin(*VERB_TYPES)
     form = dictionary_form(F.col("verb"), F.col("_type"))

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from docweave.bounds import PLAN_ROWS, broadcast_if_small, computed_once, rows_if_small
 from docweave.functions import text as T
-from docweave.functions.dictionary import lookup, sums_before
+from docweave.functions.dictionary import let, lookup, sums_before
 from docweave.functions.tags import KOREAN, STOP_TYPES, Letters
 from docweave.scratch import written_table
 
@@ -24,13 +24,24 @@ def word_list(lexicon: DataFrame) -> DataFrame:
     return lexicon.groupBy("word").agg(F.min(F.struct("piece", "token_type")).alias("entry")).select("word", "entry.*")
 
 
+# Blanks below 256, so that a plain text is told by a short class.
+_LOW_BLANKS = "".join(blank for blank in T.BLANKS if blank < "\u0100")
+
 # Blanks that are no line breaks; a word never holds one.
 _SEPARATORS = "".join(blank for blank in T.BLANKS if blank not in "\r\n")
 
 
 def _words(text: Column, letters: Letters) -> Column:
-    """The lower-cased words of `T.tagger_input`. Every separator becomes a space, which is cheaper to split by."""
-    kept = F.regexp_replace(T.blank_punctuation(text), T.outside(letters.kept + T.BLANKS), "")
+    """The lower-cased words of `T.tagger_input`. Every separator becomes a space, which is cheaper to split by.
+
+    A text that has nothing to drop is told by one quick test.
+    """
+
+    def without_others(blanked: Column) -> Column:
+        dropped = F.regexp_replace(blanked, T.outside(letters.kept + T.BLANKS), "")
+        return F.when(F.rlike(blanked, F.lit(T.only(letters.kept + _LOW_BLANKS))), blanked).otherwise(dropped)
+
+    kept = let(T.blank_punctuation(text), without_others)
     spaced = F.translate(kept, _SEPARATORS + "\r\n", " " * len(_SEPARATORS))
     return F.filter(F.split(F.lower(spaced), " ", -1), lambda word: word != "")
 
@@ -79,8 +90,20 @@ def _entry(token_type: Column, piece: Column) -> Column:
     )
 
 
-def _placed_tokens(words: str, starts: str, entries: str) -> Column:
-    """Two analyser tokens per word: the word form (EOJEOL) and its content token, from three columns of arrays."""
+def _first_words(words: Column, length: Column) -> Column:
+    """The words that end within the first `length` characters of the cleaned text, in which they are one space apart."""
+    text = F.array_join(words, " ")
+    # With one character more the last piece is a cut word or an empty one.
+    pieces = lambda: F.split(F.substring(text, F.lit(1), length + 1), " ", -1)
+    cut = let(pieces(), lambda pieces: F.slice(pieces, F.lit(1), F.size(pieces) - 1))
+    return F.when(F.char_length(text) <= length, words).otherwise(cut)
+
+
+def _placed_tokens(words: str, starts: str, entries: str, types: Sequence[str] | None = None) -> Column:
+    """Two analyser tokens per word: the word form (EOJEOL) and its content token, from three columns of arrays.
+
+    With `types`, content tokens of other types are left out, and word forms without a particle.
+    """
 
     def pair(word: Column, position: Column) -> Column:
         start = F.get(starts, position)
@@ -88,15 +111,18 @@ def _placed_tokens(words: str, starts: str, entries: str) -> Column:
         entry = F.get(entries, position)
         kind = entry["type"]
         content = F.when(kind.isin("VV", "VA", "XR"), F.concat(word, F.lit("/"), kind)).otherwise(word)
-        return F.array(
-            F.struct(word.alias("token"), F.lit("EOJEOL").alias("type"), *place, entry["particle"].alias("particle")),
-            F.struct(content.alias("token"), kind.alias("type"), *place, F.lit(False).alias("particle")),
-        )
+        form = F.struct(word.alias("token"), F.lit("EOJEOL").alias("type"), *place, entry["particle"].alias("particle"))
+        token = F.struct(content.alias("token"), kind.alias("type"), *place, F.lit(False).alias("particle"))
+        if types is None:
+            return F.array(form, token)
+        wanted = kind.isin(*types)
+        none = F.array().cast(TOKENS)
+        return F.when(entry["particle"], F.when(wanted, F.array(form, token)).otherwise(F.array(form))).otherwise(F.when(wanted, F.array(token)).otherwise(none))
 
     return F.flatten(F.transform(words, pair))
 
 
-def _with_placed_tokens(rows: DataFrame, out_col: str, entries: Column) -> DataFrame:
+def _with_placed_tokens(rows: DataFrame, out_col: str, entries: Column, types: Sequence[str] | None = None) -> DataFrame:
     """Add the tokens of `_words`, an array of words, and of their `entries`.
 
     Offsets count characters of the cleaned text, in which words are one space apart. What the tokens are made of are
@@ -104,7 +130,7 @@ def _with_placed_tokens(rows: DataFrame, out_col: str, entries: Column) -> DataF
     """
     starts = sums_before(F.transform("_words", lambda word: F.char_length(word) + 1))
     placed = rows.withColumns({"_starts": starts, "_entries": entries})
-    return placed.withColumn(out_col, F.coalesce(_placed_tokens("_words", "_starts", "_entries"), F.array().cast(TOKENS))).drop("_words", "_starts", "_entries")
+    return placed.withColumn(out_col, F.coalesce(_placed_tokens("_words", "_starts", "_entries", types), F.array().cast(TOKENS))).drop("_words", "_starts", "_entries")
 
 
 def _looked_up(rows: DataFrame, words: Column, entries: DataFrame, found: Column) -> DataFrame:
@@ -125,23 +151,36 @@ def _looked_up(rows: DataFrame, words: Column, entries: DataFrame, found: Column
 
 
 def with_word_tokens(
-    rows: DataFrame, text_col: str, lexicon: DataFrame, out_col: str = "tokens", letters: Letters = KOREAN, max_in_plan: int = PLAN_ROWS
+    rows: DataFrame,
+    text_col: str,
+    lexicon: DataFrame,
+    out_col: str = "tokens",
+    letters: Letters = KOREAN,
+    max_in_plan: int = PLAN_ROWS,
+    within: str | None = None,
+    types: Sequence[str] | None = None,
 ) -> DataFrame:
     """Add the analyser tokens of `text_col`: two per word, with offsets in the cleaned text; none for a null text.
 
     A word list of at most `max_in_plan` entries is looked up in the row. The words of a larger one are joined, and the
     tokens are put back in order by a number of the row; both ways give the same rows, whatever keys they have.
+
+    A caller that drops most tokens names what it needs, and no others are made: `within` is a column with the number of
+    characters of the cleaned text that a token must end in, `types` are the types of content tokens. With `types`, word
+    forms without a particle are left out too.
     """
     entries = word_list(computed_once(lexicon, "lexicon"))
     small = rows_if_small(entries, max_in_plan)
     words = _words(F.col(text_col), letters)
+    if within is not None:
+        words = let(words, lambda words: _first_words(words, F.col(within)))
     if small is not None:
         known = {row.word: {"type": row.token_type, "particle": "/J_" in row.piece} for row in small}
         unlisted = F.struct(*[F.lit(value).alias(name) for name, value in _UNLISTED.items()])
         found = F.transform("_words", lambda word: lookup(word, known, _ENTRY, unlisted))
-        return _with_placed_tokens(rows.withColumn("_words", words), out_col, found)
+        return _with_placed_tokens(rows.withColumn("_words", words), out_col, found, types)
     joined = _looked_up(rows, words, entries, F.struct(F.col("word"), _entry(F.col("token_type"), F.col("piece")).alias("entry")))
-    return _with_placed_tokens(joined.withColumn("_words", F.col("_found.word")), out_col, F.col("_found.entry")).drop("_found")
+    return _with_placed_tokens(joined.withColumn("_words", F.col("_found.word")), out_col, F.col("_found.entry"), types).drop("_found")
 
 
 def with_content_words(

@@ -73,7 +73,7 @@ def _survey(spark: SparkSession, in_dir: str, words: Dictionaries) -> DataFrame:
 
 def cause_verbs(spark: SparkSession, in_dir: str, out_dir: str, words: Dictionaries) -> None:
     """XML records with matching payloads to tab-separated rows: id, content, cause, verb, emotion."""
-    analyse = jobs.word_analyser(words.lexicon, words.letters)
+    analyse = jobs.cause_analyser(words.lexicon, words.letters)
     found = jobs.cause_verbs(_records(spark, in_dir), words.verb_dict, analyse, [*PATH, "doc_id", "content"])
     write_outputs(found.select(*PATH, "doc_id", "content", "value", "verb", "emotion"), in_dir, out_dir, ".result", "\t")
 

@@ -109,14 +109,21 @@ def cause_verbs(
 ) -> DataFrame:
     """Verbs and nouns per cause of cleaned records, with their emotions. `keys` are repeated on every row.
 
-    `analyse` adds analyser tokens: `word_analyser` of a word list, or anything else that gives such tokens.
+    `analyse` adds analyser tokens: `cause_analyser` of a word list, or anything else that gives such tokens.
     """
     return spans.cause_verbs(spans.cause_spans(records, keys), verb_dict, analyse, keys)
 
 
-def word_analyser(lexicon: DataFrame, letters: Letters = KOREAN) -> Callable[[DataFrame, str, str], DataFrame]:
-    """The analyser that looks words up in a word list of any size."""
-    return lambda rows, text_col, out_col: with_word_tokens(rows, text_col, lexicon, out_col, letters)
+def word_analyser(
+    lexicon: DataFrame, letters: Letters = KOREAN, within: str | None = None, types: Sequence[str] | None = None
+) -> Callable[[DataFrame, str, str], DataFrame]:
+    """The analyser that looks words up in a word list of any size. `within` and `types` are those of `with_word_tokens`."""
+    return lambda rows, text_col, out_col: with_word_tokens(rows, text_col, lexicon, out_col, letters, within=within, types=types)
+
+
+def cause_analyser(lexicon: DataFrame, letters: Letters = KOREAN) -> Callable[[DataFrame, str, str], DataFrame]:
+    """The word list's analyser for `cause_verbs`, which makes only tokens that can matter inside the causes' spans."""
+    return word_analyser(lexicon, letters, "span", spans.KEPT_TYPES)
 
 
 def topic_lists(rows: DataFrame, lexicon: DataFrame, keys: Sequence[str], text_col: str, letters: Letters = KOREAN) -> DataFrame:

@@ -174,3 +174,56 @@ def test_causes_without_texts_or_documents(spark):
     docs = spark.createDataFrame([(None, None, body([result("abc", 2, "z")])), (None, None, body([result("abc", 2, "z")]))], "doc_id string, content string, JSON string")
     assert [(r.doc_id, r.content, r.value) for r in spans.cause_spans(docs, ["doc_id", "content"]).collect()] == [(None, None, "z")] * 2
     assert spans.cause_spans(docs.where("doc_id = 'x'"), ["doc_id", "content"]).collect() == []
+
+
+def test_only_causes_with_a_span_are_analysed(spark):
+    rows = spark.createDataFrame(
+        [("d", 0, "v", "값 싸다", 0), ("d", 1, "v", "값 싸다", 4), ("d", 2, "v", "값", -7), (None, 3, "v", "값", None), (None, 4, None, "값", 1)],
+        "doc_id string, cause_idx int, value string, matched_text string, span int",
+    )
+    lexicon = spark.createDataFrame(LEXICON, "word string, piece string, token_type string")
+    verbs = spark.createDataFrame([("싸다다", "긍정")], "verb string, emotion string")
+    given = []
+
+    def analyse(rows, text_col, out_col):
+        given.append(sorted(r.cause_idx for r in rows.collect()))
+        return jobs.word_analyser(lexicon)(rows, text_col, out_col)
+
+    got = spans.cause_verbs(rows, verbs, analyse, ["doc_id"]).collect()
+    assert given == [[1, 4]]
+    # The second cause's first word has a particle, so its second word describes something else.
+    assert sorted(map(str, ((r.doc_id, r.cause_idx, r.value, r.verb_idx, r.verb, r.emotion) for r in got))) == sorted(
+        map(str, [("d", 1, "v", 0, "값", ""), (None, 4, None, 0, "값", "")])
+    )
+
+
+@pytest.mark.parametrize("limit", [4096, 0])
+def test_tokens_that_can_matter_give_the_same_verbs(spark, limit):
+    import random
+
+    chance = random.Random(3)
+    lexicon = spark.createDataFrame([*LEXICON, ("는", "는/J_", "JX"), ("은", "은/J_", None)], "word string, piece string, token_type string")
+    words = ["값", "싸다", "및", "는", "은", "모름", "don't", "a\nb", "É c", "x,y", "  ", "漢", "값\r\n", "."]
+    texts = [None, "", " .", *[chance.choice(["", " "]).join([chance.choice(words) + " " for _ in range(n)]) for n in (1, 2, 3, 5, 8, 13, 40, 200, 300) for _ in range(4)]]
+    rows = spark.createDataFrame(
+        [(text, span) for text in texts for span in (None, -1, 0, 1, 2, 3, 7, 20, 41, 600, 2**31 - 1)], "t string, span int"
+    )
+    kept = spans.last_per_token(spans.described_tokens(F.col("tokens"), F.col("span"))).alias("kept")
+    every = tagging.with_word_tokens(rows, "t", lexicon, max_in_plan=limit)
+    few = tagging.with_word_tokens(rows, "t", lexicon, max_in_plan=limit, within="span", types=spans.KEPT_TYPES)
+    shown = lambda df: sorted(map(str, df.select("t", "span", kept).collect()))
+    assert shown(few) == shown(every)
+    # Only such tokens are made, each as it is among all.
+    needed = lambda t: (t["end_offset"] <= F.col("span")) & (t["type"].isin(*spans.KEPT_TYPES) | ((t["type"] == "EOJEOL") & t["particle"]))
+    made = lambda df, tokens: sorted(map(str, df.select("t", "span", tokens).collect()))
+    assert made(few.where("span is not null"), F.col("tokens")) == made(every.where("span is not null"), F.filter("tokens", needed).alias("tokens"))
+    assert few.where("span is null and size(tokens) > 0").isEmpty()
+
+
+def test_sums_on_both_sides_of_a_block(spark):
+    from docweave.functions.dictionary import SUM_BLOCK, sums_before
+
+    for n in (0, 1, SUM_BLOCK - 1, SUM_BLOCK, SUM_BLOCK + 1, 3 * SUM_BLOCK):
+        values = [i % 7 for i in range(n)]
+        got = spark.createDataFrame([(values,)], "v array<int>").select(sums_before(F.col("v"))).first()[0]
+        assert got == [sum(values[:i]) for i in range(n)]

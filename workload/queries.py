@@ -305,7 +305,7 @@ def cause_spans(spark, sf):
 def cause_verbs(spark, sf):
     records = payload.cleaned_records(W.matching_records(W.plain_docs(spark, sf)))
     found = jobs.cause_verbs(
-        records, W.small(spark, W.VERB_DICT), jobs.word_analyser(W.small(spark, W.LEXICON), LETTERS), ["doc_id", "content"],
+        records, W.small(spark, W.VERB_DICT), jobs.cause_analyser(W.small(spark, W.LEXICON), LETTERS), ["doc_id", "content"],
     )
     return _big(found, "cause_idx", "verb_idx")
 

@@ -188,15 +188,14 @@ def tagging_records(tagged: DataFrame) -> DataFrame:
 
 def matching_records(docs: DataFrame) -> DataFrame:
     """Raw records with a matching payload: each sentence is a result with its first and last word."""
-    listed = F.filter(F.transform(F.split("content", "[.]", -1), strip), lambda s: F.size(tokens(s)) > 0)
+    split = F.transform(F.split("content", "[.]", -1), lambda s: F.struct(strip(s).alias("string"), tokens(s).alias("tokens")))
+    listed = F.filter(split, lambda s: F.size(s["tokens"]) > 0)
     results = F.transform(
         listed,
         lambda s, i: F.struct(
-            F.struct(s.alias("string")).alias("sentence"),
-            F.struct(s.alias("string"), (80 * i - i % 2).alias("begin")).alias("matched_text"),
-            F.array(
-                F.struct(F.element_at(tokens(s), 1).alias("value")), F.struct(F.element_at(tokens(s), -1).alias("value"))
-            ).alias("variables"),
+            F.struct(s["string"].alias("string")).alias("sentence"),
+            F.struct(s["string"].alias("string"), (80 * i - i % 2).alias("begin")).alias("matched_text"),
+            F.array(*[F.struct(F.element_at(s["tokens"], place).alias("value")) for place in (1, -1)]).alias("variables"),
         ),
     )
     return docs.select(
